@@ -91,9 +91,12 @@ def fault_features(
 
     def run(part: DataFrame, scans) -> DataFrame:
         line = scans["timeline"]
-        part = line.previous(part, _t=F.col("t_us"), _v=F.col("voltage"), _temp=F.col("temperature"))
-        part = line.running_sum(part, _pos=F.lit(1).cast("bigint"))
         part = line.total(part, _n=F.count(F.lit(1)))
+        part = line.look(
+            part,
+            previous={"_t": F.col("t_us"), "_v": F.col("voltage"), "_temp": F.col("temperature")},
+            sums={"_pos": F.lit(1).cast("bigint")},
+        )
         dt = seconds(F.col("t_us") - F.col("_t"))
         part = part.withColumns(
             {
@@ -144,12 +147,14 @@ def soh_features(
 
 def _soh_part(df: DataFrame, line, limits: SohLimits, keys: Sequence[str]) -> DataFrame:
     t, v, i, temp = (F.col(c) for c in ("t_us", "voltage", "current", "temperature"))
-    df = line.previous(df, _t=t, _v=v, _i=i, _temp=temp)
-    df = line.known_before(
+    df = line.look(
         df,
-        # the latest reading with a voltage, and the latest with voltage and current
-        _pv=F.when(v.isNotNull(), F.struct(t.alias("t"), v.alias("v"))),
-        _pc=F.when(v.isNotNull() & i.isNotNull(), F.struct(t.alias("t"), v.alias("v"), i.alias("i"))),
+        previous={"_t": t, "_v": v, "_i": i, "_temp": temp},
+        known_before={
+            # the latest reading with a voltage, and the latest with voltage and current
+            "_pv": F.when(v.isNotNull(), F.struct(t.alias("t"), v.alias("v"))),
+            "_pc": F.when(v.isNotNull() & i.isNotNull(), F.struct(t.alias("t"), v.alias("v"), i.alias("i"))),
+        },
     )
     complete = v.isNotNull() & i.isNotNull()
     dt = seconds(t - F.col("_t"))
@@ -168,9 +173,8 @@ def _soh_part(df: DataFrame, line, limits: SohLimits, keys: Sequence[str]) -> Da
             "_mid": F.when(complete, 0.5 * (v + F.col("_pc.v"))),
         }
     )
-    df = line.running_sum(df, _k=complete.cast("bigint"), _q=F.col("_dq"))
-    df = line.quantile(df, limits.cv_quantile, _high=v)
-    df = line.quantile(df, 0.5, _ohm_median=F.col("_ohm"))
+    df = line.look(df, sums={"_k": complete.cast("bigint"), "_q": F.col("_dq")})
+    df = line.quantile(df, _high=(v, limits.cv_quantile), _ohm_median=(F.col("_ohm"), 0.5))
     # The first complete interval never enters the dQ/dV curve.
     used = complete & (F.col("_k") >= 3) & (F.abs("_dv") > limits.min_voltage_step)
     df = df.withColumn("_dqdv", F.when(used, F.abs(F.col("_dq") / F.col("_dv"))))
@@ -234,7 +238,7 @@ def soh_labels(features: DataFrame, keys: Sequence[str] = CYCLE, skew: Skew = Sk
         part = part.withColumn("soh_proxy", ratio(proxy, F.col("_base")))
         before = "soh_proxy"
         for lag in range(1, 5):
-            part = life.previous(part, **{f"_y{lag}": F.col(before)})
+            part = life.look(part, previous={f"_y{lag}": F.col(before)})
             before = f"_y{lag}"
         trend = (2 * F.col("soh_proxy") + F.col("_y1") - F.col("_y3") - 2 * F.col("_y4")) / 10
         known = F.col("_y2").isNotNull()

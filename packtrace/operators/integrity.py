@@ -98,7 +98,7 @@ def checks(
 
     def run(part: DataFrame, scans) -> DataFrame:
         if "timestamp_reorder" in only:
-            part = scans["arrival"].previous(part, _arrived=F.col("t_us"))
+            part = scans["arrival"].look(part, previous={"_arrived": F.col("t_us")})
             part = part.withColumn("timestamp_reorder", _true(F.col("t_us") < F.col("_arrived")))
         if timed:
             part = _timeline_checks(part, scans["timeline"], limits, only)
@@ -110,20 +110,25 @@ def checks(
 
 
 def _timeline_checks(df: DataFrame, line, limits: IntegrityLimits, only: set[str]) -> DataFrame:
-    df = line.previous(
+    copies, flats = "duplicate_row" in only, "flatline" in only
+    df = line.look(
         df,
-        _t=F.col("t_us"),
-        _v=F.col("voltage"),
-        _i=F.col("current"),
-        _temp=F.col("temperature"),
+        previous={
+            "_t": F.col("t_us"),
+            "_v": F.col("voltage"),
+            "_i": F.col("current"),
+            "_temp": F.col("temperature"),
+        },
+        following={"_next": F.col("t_us")} if copies else None,
+        sums={"_pos": F.lit(1).cast("bigint")} if flats else None,
     )
-    if "duplicate_row" in only:
-        df = line.following(df, _next=F.col("t_us"))
+    if copies:
+        # rows come in time order, so copies of an instant are neighbours
         copied = _true(F.col("t_us") == F.col("_t")) | _true(F.col("t_us") == F.col("_next"))
         df = df.withColumn("duplicate_row", copied)
     if "gap" in only:
         step = F.col("t_us") - F.col("_t")
-        df = line.quantile(df.withColumn("_dt", step), 0.5, _median=F.when(F.col("_dt") != 0, F.abs("_dt")))
+        df = line.quantile(df.withColumn("_dt", step), _median=(F.when(F.col("_dt") != 0, F.abs("_dt")), 0.5))
         df = df.withColumn("gap", _true(F.col("_dt") > limits.gap_multiplier * F.col("_median")))
     for reason, column, before, limit in (
         ("voltage_jump", "voltage", "_v", limits.voltage_jump),
@@ -132,10 +137,10 @@ def _timeline_checks(df: DataFrame, line, limits: IntegrityLimits, only: set[str
     ):
         if reason in only:
             df = df.withColumn(reason, _true(F.abs(F.col(column) - F.col(before)) > limit))
-    if "flatline" in only:
+    if flats:
         flat = _true((F.col("voltage") == F.col("_v")) & (F.col("current") == F.col("_i")))
-        df = line.running_sum(df.withColumn("_flat", flat), _pos=F.lit(1).cast("bigint"))
-        df = line.known_until(df, _moved=F.when(~F.col("_flat"), F.col("_pos")))
+        df = df.withColumn("_flat", flat)
+        df = line.look(df, known_until={"_moved": F.when(~F.col("_flat"), F.col("_pos"))})
         run = F.col("_pos") - F.col("_moved")
         df = df.withColumn("flatline", F.col("_flat") & (run >= limits.flatline_window))
     return df

@@ -20,10 +20,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from packtrace.operators import quantiles
+from packtrace.session import durable
 from packtrace.spec import Skew
 
 HOT = "_hot"
-_FIRST = "_first"
 
 
 def _position(borders: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
@@ -56,101 +56,105 @@ def _chunk_column(borders: dict[int, list[np.ndarray]], order: Sequence[str]) ->
 
 
 class Scan:
-    """One scan order over rows grouped by ``keys``; cut by ``chunk`` for hot keys."""
+    """One scan order over rows grouped by ``keys``; cut by ``chunk`` for hot keys.
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], skew: Skew, chunk: str | None = None):
+    Hot rows are read twice by every step, once for the chunk summaries and once for
+    the rows. A step that follows a windowed one therefore starts from a table
+    written to the shared folder, so steps add up instead of multiplying.
+    """
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], skew: Skew, chunk: str | None = None, state=None):
         self.keys, self.order, self.skew, self.chunk = list(keys), list(order), skew, chunk
         self.group = Window.partitionBy(*self.keys)
         parts = self.keys + ([chunk] if chunk else [])
         self.window = Window.partitionBy(*parts).orderBy(*self.order)
         self._chunks = Window.partitionBy(*self.keys).orderBy(chunk) if chunk else None
-
-    def _at(self) -> Column:
-        return F.struct(*self.order)
-
-    def _carry(self, df: DataFrame, summary: dict[str, Column], across: dict[str, Column]) -> DataFrame:
-        """Summarise each chunk, combine over the key's chunks, attach to the rows."""
-        rows = df.groupBy(*self.keys, self.chunk).agg(*[c.alias(n) for n, c in summary.items()])
-        rows = rows.select(*self.keys, self.chunk, *[c.alias(n) for n, c in across.items()])
-        return _join_keys(df, rows, [*self.keys, self.chunk])
-
-    def _neighbour(self, df: DataFrame, cols: dict[str, Column], shift, edge) -> DataFrame:
-        local = {n: shift(c).over(self.window) for n, c in cols.items()}
+        self._state = {"windowed": False} if state is None else state
+
+    def _settled(self, df: DataFrame) -> DataFrame:
+        out = durable(df) if self._state["windowed"] else df
+        self._state["windowed"] = False
+        return out
+
+    def look(
+        self,
+        df: DataFrame,
+        previous: dict[str, Column] | None = None,
+        following: dict[str, Column] | None = None,
+        known_before: dict[str, Column] | None = None,
+        known_until: dict[str, Column] | None = None,
+        sums: dict[str, Column] | None = None,
+    ) -> DataFrame:
+        """Attach values from around each row, all in one pass.
+
+        ``previous`` and ``following`` take the adjacent row's value whatever it is,
+        ``known_before`` and ``known_until`` the latest non-NULL one before or up to the
+        row, ``sums`` the running total including the row.
+        """
+        past, upto = Window.unboundedPreceding, self.window.rowsBetween(Window.unboundedPreceding, 0)
+        before = self.window.rowsBetween(past, -1)
+        makers = [
+            (previous, lambda c: F.lag(c).over(self.window)),
+            (following, lambda c: F.lead(c).over(self.window)),
+            (known_before, lambda c: F.last(c, ignorenulls=True).over(before)),
+            (known_until, lambda c: F.last(c, ignorenulls=True).over(upto)),
+            (sums, lambda c: F.sum(c).over(upto)),
+        ]
+        makers = [(cols or {}, make) for cols, make in makers]
         if not self.chunk:
-            return df.withColumns(local)
-        df = df.withColumns({f"_v_{n}": c for n, c in cols.items()})
-        local = {n: shift(F.col(f"_v_{n}")).over(self.window) for n in cols}
-        picked = edge(F.struct(*[F.col(f"_v_{n}").alias(n) for n in cols]), self._at())
-        out = self._carry(df, {"_edge": picked}, {"_edge": shift(F.col("_edge")).over(self._chunks)})
-        out = out.withColumns({_FIRST: shift(F.lit(True)).over(self.window).isNull(), **local})
-        out = out.withColumns({n: F.when(F.col(_FIRST), F.col("_edge")[n]).otherwise(F.col(n)) for n in cols})
-        return out.drop("_edge", _FIRST, *[f"_v_{n}" for n in cols])
-
-    def previous(self, df: DataFrame, **cols: Column) -> DataFrame:
-        """Values of the row before, whatever they are."""
-        return self._neighbour(df, cols, F.lag, F.max_by)
-
-    def following(self, df: DataFrame, **cols: Column) -> DataFrame:
-        """Values of the row after."""
-        return self._neighbour(df, cols, F.lead, F.min_by)
-
-    def _known(self, df: DataFrame, cols: dict[str, Column], end: int) -> DataFrame:
-        frame = self.window.rowsBetween(Window.unboundedPreceding, end)
-        if not self.chunk:
-            return df.withColumns({n: F.last(c, ignorenulls=True).over(frame) for n, c in cols.items()})
-        before = self._chunks.rowsBetween(Window.unboundedPreceding, -1)
-        df = df.withColumns({f"_v_{n}": c for n, c in cols.items()})
-        here = {n: F.col(f"_v_{n}") for n in cols}
-        out = self._carry(
-            df,
-            {f"_c_{n}": F.max_by(c, F.when(c.isNotNull(), self._at())) for n, c in here.items()},
-            {f"_c_{n}": F.last(F.col(f"_c_{n}"), ignorenulls=True).over(before) for n in cols},
-        )
-        out = out.withColumns(
-            {n: F.coalesce(F.last(c, ignorenulls=True).over(frame), F.col(f"_c_{n}")) for n, c in here.items()}
-        )
-        return out.drop(*[f"_{p}_{n}" for p in "vc" for n in cols])
-
-    def known_before(self, df: DataFrame, **cols: Column) -> DataFrame:
-        """Latest non-NULL value strictly before the row."""
-        return self._known(df, cols, -1)
-
-    def known_until(self, df: DataFrame, **cols: Column) -> DataFrame:
-        """Latest non-NULL value up to and including the row."""
-        return self._known(df, cols, 0)
-
-    def running_sum(self, df: DataFrame, **cols: Column) -> DataFrame:
-        frame = self.window.rowsBetween(Window.unboundedPreceding, 0)
-        if not self.chunk:
-            return df.withColumns({n: F.sum(c).over(frame) for n, c in cols.items()})
-        before = self._chunks.rowsBetween(Window.unboundedPreceding, -1)
-        df = df.withColumns({f"_v_{n}": c for n, c in cols.items()})
-        out = self._carry(
-            df,
-            {f"_c_{n}": F.sum(f"_v_{n}") for n in cols},
-            {f"_c_{n}": F.sum(f"_c_{n}").over(before) for n in cols},
-        )
-        total = {}
-        for n in cols:
-            local, carried = F.sum(f"_v_{n}").over(frame), F.col(f"_c_{n}")
-            total[n] = F.when(local.isNull(), carried).otherwise(local + F.coalesce(carried, F.lit(0)))
-        return out.withColumns(total).drop(*[f"_{p}_{n}" for p in "vc" for n in cols])
+            return df.withColumns({n: make(c) for cols, make in makers for n, c in cols.items()})
+        names = [n for cols, _ in makers for n in cols]
+        df = self._settled(df).withColumns({f"_v_{n}": c for cols, _ in makers for n, c in cols.items()})
+        out = self._carry(df, previous or {}, following or {}, {**(known_before or {}), **(known_until or {})}, sums or {})
+        local = {n: make(F.col(f"_v_{n}")) for cols, make in makers for n in cols}
+        first = F.lag(F.lit(True)).over(self.window).isNull().alias("_first")
+        last = F.lead(F.lit(True)).over(self.window).isNull().alias("_last")
+        out = out.select("*", first, last, *[c.alias(n) for n, c in local.items()])
+        merged = {n: F.when(F.col("_first"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in previous or {}}
+        merged |= {n: F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in following or {}}
+        merged |= {n: F.coalesce(n, f"_c_{n}") for n in [*(known_before or {}), *(known_until or {})]}
+        merged |= {
+            n: F.when(F.col(n).isNull(), F.col(f"_c_{n}")).otherwise(F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)))
+            for n in sums or {}
+        }
+        self._state["windowed"] = True
+        return out.withColumns(merged).drop("_first", "_last", *[f"_{p}_{n}" for p in "vc" for n in names])
+
+    def _carry(self, df: DataFrame, previous, following, known, sums) -> DataFrame:
+        """Summarise each chunk, carry the summaries across the key's chunks, attach them.
+
+        One row per chunk: proven small, hence broadcast.
+        """
+        at = F.struct(*self.order)
+        edge = [F.max_by(F.struct(*[F.col(f"_v_{n}") for n in previous]), at).alias("_end")] if previous else []
+        edge += [F.min_by(F.struct(*[F.col(f"_v_{n}") for n in following]), at).alias("_start")] if following else []
+        latest = [F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), at)).alias(f"_c_{n}") for n in known]
+        totals = [F.sum(f"_v_{n}").alias(f"_c_{n}") for n in sums]
+        chunks = df.groupBy(*self.keys, self.chunk).agg(*edge, *latest, *totals)
+        earlier = self._chunks.rowsBetween(Window.unboundedPreceding, -1)
+        carried = [F.lag(F.col("_end")[f"_v_{n}"]).over(self._chunks).alias(f"_c_{n}") for n in previous]
+        carried += [F.lead(F.col("_start")[f"_v_{n}"]).over(self._chunks).alias(f"_c_{n}") for n in following]
+        carried += [F.last(f"_c_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in known]
+        carried += [F.sum(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in sums]
+        return _join_keys(df, chunks.select(*self.keys, self.chunk, *carried), [*self.keys, self.chunk])
 
     def total(self, df: DataFrame, **aggs: Column) -> DataFrame:
         """Attach per-key aggregates to every row of the key."""
         if not self.chunk:
             return df.withColumns({n: a.over(self.group) for n, a in aggs.items()})
+        df = self._settled(df)
         rows = df.groupBy(*self.keys).agg(*[a.alias(n) for n, a in aggs.items()])
         return _join_keys(df, rows, self.keys)
 
-    def quantile(self, df: DataFrame, p: float, **cols: Column) -> DataFrame:
-        """Attach an exact interpolated per-key quantile to every row of the key."""
+    def quantile(self, df: DataFrame, **wanted: tuple[Column, float]) -> DataFrame:
+        """Attach exact interpolated per-key quantiles to every row of the key."""
         if not self.chunk:
-            return df.withColumns({n: F.percentile(c, F.lit(p)).over(self.group) for n, c in cols.items()})
-        for name, col in cols.items():
-            found = quantiles.select_exact(df, self.keys, col, [p], self.skew)
-            df = _join_keys(df, found.select(*self.keys, F.col("quantiles")[0].alias(name)), self.keys, how="left")
-        return df
+            return df.withColumns({n: F.percentile(c, F.lit(p)).over(self.group) for n, (c, p) in wanted.items()})
+        df = out = self._settled(df)
+        for name, (col, p) in wanted.items():
+            found = quantiles.select_exact(df, self.keys, col, [p], self.skew, settled=True)
+            out = _join_keys(out, found.select(*self.keys, F.col("quantiles")[0].alias(name)), self.keys)
+        return out
 
 
 def _join_keys(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -209,7 +213,8 @@ class Groups:
         plain = {name: Scan(self.keys, order, self.skew) for name, order in self.orders.items()}
         if not self.hot:
             return body(df, plain)
-        cut = {name: Scan(self.keys, o, self.skew, chunk=f"_chunk_{name}") for name, o in self.orders.items()}
+        state = {"windowed": False}
+        cut = {n: Scan(self.keys, o, self.skew, f"_chunk_{n}", state) for n, o in self.orders.items()}
         if self.keys:
             table = df.sparkSession.createDataFrame(self.hot, self.types)
             hot = _join_keys(df, table, self.keys, how="inner")
@@ -232,4 +237,4 @@ def global_position(df: DataFrame, order: Sequence[str], name: str, skew: Skew =
 def position_in(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, skew: Skew = Skew()) -> DataFrame:
     """1-based position of every row within its key."""
     groups = Groups.measure(df, keys, {"o": order}, skew)
-    return groups.apply(df, lambda part, scans: scans["o"].running_sum(part, **{name: F.lit(1).cast("bigint")}))
+    return groups.apply(df, lambda part, scans: scans["o"].look(part, sums={name: F.lit(1).cast("bigint")}))

@@ -43,15 +43,21 @@ def by_group(
     return small.unionByName(select_exact(rows.join(table, keys, "left_semi"), keys, F.col("_v"), probs, skew))
 
 
-def select_exact(df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], skew: Skew) -> DataFrame:
+def select_exact(
+    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], skew: Skew, settled: bool = False
+) -> DataFrame:
     """Exact quantiles of a few large groups in three passes, none of which gathers a group.
 
     Approximate percentiles bracket each wanted rank, counting proves that the rank
     lies inside its bracket, and only values inside brackets are ranked exactly.
-    ``keys`` must name few groups: their brackets are held on the driver.
+    ``keys`` must name few groups: their brackets are held on the driver. The values are
+    read several times; they are written to the shared folder first unless ``settled``
+    says that reading ``df`` again is cheap.
     """
     keys, spark = list(keys), df.sparkSession
-    rows = durable(df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull()))
+    rows = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    if not settled:
+        rows = durable(rows)
     sizes = rows.groupBy(*keys).count().collect() if keys else [(rows.count(),)]
     sizes = [tuple(r) for r in sizes if r[-1]]
     if not sizes:

@@ -68,5 +68,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def over(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
+    """A telemetry view over a given (also streaming) events table."""
+    events.createOrReplaceTempView("live_events")
+    return spark.sql(VIEWS[name].replace("{us}", _SPARK_US).replace("from events", "from live_events"))
+
+
 def duckdb(name: str) -> str:
     return VIEWS[name].replace("{us}", _DUCKDB_US)
