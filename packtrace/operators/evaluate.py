@@ -57,7 +57,8 @@ def auroc_by_class(df: DataFrame, label: str, score: str, positive: Column, skew
     Rows collapse by score first; the running count of negatives then goes through
     the chunked scan, so no class is ordered in a single task.
     """
-    tally = df.groupBy(label, F.col(score).alias("_s")).agg(
+    rows = df.withColumn("_s", F.col(score))
+    tally = rows.groupBy(label, "_s").agg(
         F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg")
     )
 
@@ -67,7 +68,8 @@ def auroc_by_class(df: DataFrame, label: str, score: str, positive: Column, skew
         area = F.try_divide(pairs, F.sum("_pos") * F.sum("_neg").cast("double"))
         return part.groupBy(label).agg(area.alias("auroc"))
 
-    return Groups.measure(tally, [label], {"score": ["_s"]}, skew).apply(tally, run)
+    # sizes come from the scored rows: sampling the tally would build it twice
+    return Groups.measure(rows, [label], {"score": ["_s"]}, skew).apply(tally, run)
 
 
 def auroc(df: DataFrame, score: str, positive: Column, skew: Skew = Skew()) -> DataFrame:
@@ -97,16 +99,20 @@ def hard_cases(df: DataFrame, classes: int, margin: float = MARGIN, probability:
     return df.filter(close).select("sample_id", "predicted_label", "true_label", F.array_max(p).alias("max_prob"))
 
 
+def regression_columns(truth: str = "y_true", predicted: str = "y_pred") -> dict[str, Column]:
+    y, error = F.col(truth), F.col(predicted) - F.col(truth)
+    return {
+        "mae": F.avg(F.abs(error)),
+        "rmse": F.sqrt(F.avg(error * error)),
+        "r2": 1 - F.try_divide(F.avg(error * error), F.var_pop(y)),
+        "mpe_percent": F.avg(F.when(y != 0, error / y)) * 100,
+    }
+
+
 def regression_metrics(df: DataFrame, truth: str = "y_true", predicted: str = "y_pred") -> DataFrame:
     """One row: MAE, RMSE, R2 and mean percentage error over rows with a finite label."""
-    y, error = F.col(truth), F.col(predicted) - F.col(truth)
-    rows = df.filter(F.abs(number(y)) < F.lit(float("inf")))
-    return rows.agg(
-        F.avg(F.abs(error)).alias("mae"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        (1 - F.try_divide(F.avg(error * error), F.var_pop(y))).alias("r2"),
-        (F.avg(F.when(y != 0, error / y)) * 100).alias("mpe_percent"),
-    )
+    rows = df.filter(F.abs(number(F.col(truth))) < F.lit(float("inf")))
+    return rows.agg(*[c.alias(n) for n, c in regression_columns(truth, predicted).items()])
 
 
 def with_interval(df: DataFrame, centre: str = "bootstrap_mean", z: float = Z95) -> DataFrame:
@@ -120,13 +126,17 @@ def with_interval(df: DataFrame, centre: str = "bootstrap_mean", z: float = Z95)
     )
 
 
+def coverage_columns() -> dict[str, Column]:
+    inside = F.col("y_true").between(F.col("y_pi_lower_95"), F.col("y_pi_upper_95"))
+    return {
+        "test_pi_coverage_95": F.avg(F.coalesce(inside, F.lit(False)).cast("double")),
+        "test_mean_interval_width_95": F.avg("pi_width"),
+    }
+
+
 def coverage(df: DataFrame) -> DataFrame:
     """One row: share of labels inside their interval, and the mean width."""
-    inside = F.col("y_true").between(F.col("y_pi_lower_95"), F.col("y_pi_upper_95"))
-    return df.agg(
-        F.avg(F.coalesce(inside, F.lit(False)).cast("double")).alias("test_pi_coverage_95"),
-        F.avg("pi_width").alias("test_mean_interval_width_95"),
-    )
+    return df.agg(*[c.alias(n) for n, c in coverage_columns().items()])
 
 
 def uncertainty_table(df: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def _signature(df: DataFrame, replay_on: str, columns: Sequence[str] | None) ->
 
 
 def _copied_often(df: DataFrame, keys: list[str], skew: Skew) -> DataFrame | None:
-    """Groups of copies too large for one task, found in a sample.
+    """Groups of copies too large for one task, found in a sample of hot devices' rows.
 
     A group is listed only when the sample itself holds more than two of its rows, so
     being listed proves the replay. At most table_rows / rows_per_task groups qualify.
@@ -92,9 +92,10 @@ def checks(
         orders["arrival"] = ["seq"]
     if timed:
         orders["timeline"] = ["t_us", "seq"]
-    if "replay_pattern" in only:
-        often = _copied_often(base.withColumn("_sig", text), copy_keys, skew)
     groups = Groups.measure(base, ["device"], orders or {"arrival": ["seq"]}, skew)
+    often = None
+    if "replay_pattern" in only and groups.hot:
+        often = _copied_often(groups.hot_rows(base).withColumn("_sig", text), copy_keys, skew)
 
     def run(part: DataFrame, scans) -> DataFrame:
         if "timestamp_reorder" in only:
@@ -103,7 +104,8 @@ def checks(
         if timed:
             part = _timeline_checks(part, scans["timeline"], limits, only)
         if "replay_pattern" in only:
-            part = _mark_replay(part.withColumn("_sig", text), copy_keys, often)
+            hot = any(scan.chunk for scan in scans.values())
+            part = _mark_replay(part.withColumn("_sig", text), copy_keys, often if hot else None)
         return part
 
     return groups.apply(base, run).select(*names, *[r for r in REASONS if r in only])
@@ -158,7 +160,7 @@ def flag(df: DataFrame, limits: IntegrityLimits = IntegrityLimits(), **options)
     return flagged(checks(df, limits, **options))
 
 
-def _any(checked: DataFrame) -> Column:
+def any_reason(checked: DataFrame) -> Column:
     out = F.lit(False)
     for reason in REASONS:
         if reason in checked.columns:
@@ -166,21 +168,36 @@ def _any(checked: DataFrame) -> Column:
     return out
 
 
-def severity(checked: DataFrame) -> DataFrame:
-    """One row per reason, also for reasons that never fired."""
+def tally(checked: DataFrame) -> DataFrame:
+    """One row per device: rows, flagged rows and rows per reason.
+
+    Every report and gate below reads this small table, so the checks run once.
+    """
     present = [r for r in REASONS if r in checked.columns]
-    counts = checked.agg(*[F.count_if(r).alias(r) for r in present])
-    return counts.unpivot([], present, "reason", "rows")
+    return checked.groupBy("device").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(any_reason(checked)).alias("flagged_rows"),
+        *[F.count_if(r).alias(r) for r in present],
+    )
+
+
+def _sum(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0)).alias(column)
 
 
-def report(checked: DataFrame, limits: IntegrityLimits = IntegrityLimits(), source: DataFrame | None = None) -> DataFrame:
+def severity(tallied: DataFrame) -> DataFrame:
+    """One row per reason, also for reasons that never fired."""
+    present = [r for r in REASONS if r in tallied.columns]
+    return tallied.agg(*[_sum(r) for r in present]).unpivot([], present, "reason", "rows")
+
+
+def report(tallied: DataFrame, limits: IntegrityLimits = IntegrityLimits(), source: DataFrame | None = None) -> DataFrame:
     """One row: totals, severity struct and parameters.
 
     ``source`` is the canonical table before rows without a device were set aside;
     given, the total covers it as well.
     """
-    present = [r for r in REASONS if r in checked.columns]
-    counts = [F.count_if(r).alias(r) for r in present]
+    present = [r for r in REASONS if r in tallied.columns]
     parameters = F.struct(
         F.lit(limits.voltage_jump).alias("voltage_jump_threshold"),
         F.lit(limits.current_jump).alias("current_jump_threshold"),
@@ -188,20 +205,16 @@ def report(checked: DataFrame, limits: IntegrityLimits = IntegrityLimits(), sour
         F.lit(limits.flatline_window).alias("flatline_window"),
         F.lit(limits.gap_multiplier).alias("gap_multiplier"),
     )
-    out = checked.agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_if(_any(checked)).alias("flagged_rows"),
-        F.struct(*counts).alias("severity"),
+    out = tallied.agg(
+        _sum("rows").alias("rows_total"), _sum("flagged_rows"), F.struct(*[_sum(r) for r in present]).alias("severity")
     ).withColumn("parameters", parameters)
-    if source is None:
-        return out.withColumn("rows_null_device", F.lit(0).cast("bigint"))
-    unknown = source.agg(F.count_if(F.col("device").isNull()).alias("n"))
-    out = out.withColumn("rows_null_device", unknown.scalar())
+    unknown = F.lit(0).cast("bigint")
+    if source is not None:
+        unknown = source.agg(F.count_if(F.col("device").isNull()).alias("n")).scalar()
+    out = out.withColumn("rows_null_device", unknown)
     return out.withColumn("rows_total", F.col("rows_total") + F.col("rows_null_device"))
 
 
-def duplicate_ratio(checked: DataFrame) -> DataFrame:
+def duplicate_ratio(tallied: DataFrame) -> DataFrame:
     """Share of duplicate packets per device."""
-    return checked.groupBy("device").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg(F.col("duplicate_row").cast("double")).alias("duplicate_ratio")
-    )
+    return tallied.select("device", "rows", (F.col("duplicate_row") / F.col("rows")).alias("duplicate_ratio"))

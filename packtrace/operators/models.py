@@ -156,7 +156,7 @@ def fit_fault(
     fitted = (learner if len(classes) == 2 else OneVsRest(classifier=learner)).fit(train)
     model = FaultModel(fitted, classes, features)
     test = rows.filter("is_test")
-    return FaultRun(model, rows, model.predict(test, ("sample_id", "true_label")))
+    return FaultRun(model, rows, model.predict(test, ("sample_id", "true_label")).persist())
 
 
 def bootstrap_weight(sample: str, seed: int) -> Column:
@@ -210,11 +210,12 @@ class SohRun:
     def metrics(self) -> DataFrame:
         """One row: counts, regression metrics, interval coverage and width."""
         counts = evaluate.run_counts(self.rows, features=len(self.model.features))
-        cover = evaluate.coverage(self.predictions).select(F.struct("*").alias("v")).scalar()
-        test = evaluate.regression_metrics(self.predictions).select(F.struct("*").alias("v")).scalar()
-        out = counts.withColumns({"test": test, "_cover": cover})
-        out = out.withColumn("bootstrap_reps", F.lit(len(self.model.resampled)))
-        return out.select((F.col("n_train") + F.col("n_test")).alias("n_rows"), "*", "_cover.*").drop("_cover")
+        test = [c.alias(n) for n, c in evaluate.regression_columns().items()]
+        cover = [c.alias(n) for n, c in evaluate.coverage_columns().items()]
+        scored = self.predictions.agg(F.struct(*test).alias("test"), *cover)
+        out = counts.withColumn("_s", scored.select(F.struct("*")).scalar())
+        out = out.select((F.col("n_train") + F.col("n_test")).alias("n_rows"), "*", "_s.*").drop("_s")
+        return out.withColumn("bootstrap_reps", F.lit(len(self.model.resampled)))
 
 
 def _soh_learner(model: str, n_trees: int, depth: int, seed: int):
@@ -264,7 +265,7 @@ def fit_soh(
     forest = trees.Forest.load(spark, fitted) if model == "rf" else None
     soh = SohModel(fitted, resampled, features, forest)
     predictions = evaluate.with_interval(soh.predict(rows.filter("is_test"), ("sample_id", "y_true")))
-    return SohRun(soh, rows, predictions)
+    return SohRun(soh, rows, predictions.persist())
 
 
 def score_target(run: SohRun, target: DataFrame, sample: str, label: str | None = None) -> DataFrame:

@@ -215,26 +215,38 @@ class Groups:
             return body(df, plain)
         state = {"windowed": False}
         cut = {n: Scan(self.keys, o, self.skew, f"_chunk_{n}", state) for n, o in self.orders.items()}
-        if self.keys:
-            table = df.sparkSession.createDataFrame(self.hot, self.types)
-            hot = _join_keys(df, table, self.keys, how="inner")
-        else:
-            hot = df.withColumn(HOT, F.lit(0))
+        hot = self.hot_rows(df)
         hot = hot.withColumns(
             {f"_chunk_{name}": _chunk_column(self.borders[name], order) for name, order in self.orders.items()}
         ).drop(HOT)
         done = body(hot, cut).drop(*[f"_chunk_{name}" for name in self.orders])
         if not self.keys:
             return done
-        return body(_join_keys(df, table.drop(HOT), self.keys, how="left_anti"), plain).unionByName(done)
+        rest = _join_keys(df, self._hot_table(df).drop(HOT), self.keys, how="left_anti")
+        return body(rest, plain).unionByName(done)
 
+    def _hot_table(self, df: DataFrame) -> DataFrame:
+        return df.sparkSession.createDataFrame(self.hot, self.types)
 
-def global_position(df: DataFrame, order: Sequence[str], name: str, skew: Skew = Skew()) -> DataFrame:
-    """1-based position of every row in a total order over the whole table."""
-    return position_in(df, [], order, name, skew)
-
-
-def position_in(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, skew: Skew = Skew()) -> DataFrame:
-    """1-based position of every row within its key."""
-    groups = Groups.measure(df, keys, {"o": order}, skew)
+    def hot_rows(self, df: DataFrame) -> DataFrame:
+        """Rows of the hot keys, with the key's number in ``HOT``."""
+        if not self.keys:
+            return df.withColumn(HOT, F.lit(0))
+        return _join_keys(df, self._hot_table(df), self.keys, how="inner")
+
+
+def position(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str,
+    skew: Skew = Skew(),
+    like: DataFrame | None = None,
+) -> DataFrame:
+    """1-based position of every row within its key, or in the table without keys.
+
+    Group sizes are sampled from ``like`` where sampling ``df`` itself would mean
+    running the work behind it twice; it must hold the same columns.
+    """
+    groups = Groups.measure(df if like is None else like, keys, {"o": order}, skew)
     return groups.apply(df, lambda part, scans: scans["o"].look(part, sums={name: F.lit(1).cast("bigint")}))

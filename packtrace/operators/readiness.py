@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from packtrace.operators import drift, evaluate, risk
 
 
 @dataclass(frozen=True)
@@ -42,48 +44,55 @@ def summarise(stages: list[DataFrame]) -> DataFrame:
     )
 
 
-def _gate(df: DataFrame, name: str, value, threshold: float, at_most: bool) -> DataFrame:
-    row = df.agg(value.cast("double").alias("value"))
-    ok = F.col("value") <= threshold if at_most else F.col("value") >= threshold
-    return row.select(
-        F.lit(name).alias("gate"),
-        "value",
-        F.lit(float(threshold)).alias("threshold"),
-        F.coalesce(ok, F.lit(False)).alias("passed"),
-    )
+def _gate_rows(df: DataFrame, found: dict[str, tuple[Column, float, bool]]) -> DataFrame:
+    """Aggregate ``df`` once; one row per gate (value, threshold, whether low is good)."""
+    values = df.agg(*[value.cast("double").alias(name) for name, (value, _, _) in found.items()])
+    rows = []
+    for name, (_, threshold, at_most) in found.items():
+        ok = F.col(name) <= threshold if at_most else F.col(name) >= threshold
+        rows.append(
+            F.struct(
+                F.lit(name).alias("gate"),
+                F.col(name).alias("value"),
+                F.lit(float(threshold)).alias("threshold"),
+                F.coalesce(ok, F.lit(False)).alias("passed"),
+            )
+        )
+    return values.select(F.inline(F.array(*rows)))
 
 
 def gates(
-    checked: DataFrame | None = None,
+    tallied: DataFrame | None = None,
     predictions: DataFrame | None = None,
     shifts: DataFrame | None = None,
     risks: DataFrame | None = None,
     limits: GateLimits = GateLimits(),
 ) -> DataFrame:
     """One row per gate whose input was given: gate, value, threshold, passed."""
-    from packtrace.operators import drift, evaluate, integrity, risk
-
     out = []
-    if checked is not None:
-        share = F.avg(integrity._any(checked).cast("double"))
-        out.append(_gate(checked, "integrity_flagged_share", share, limits.flagged_share, True))
-        reorder = F.count_if("timestamp_reorder")
-        out.append(_gate(checked, "timestamps_in_order", reorder, 0.0, True))
-        worst = integrity.duplicate_ratio(checked)
-        out.append(_gate(worst, "duplicate_ratio", F.max("duplicate_ratio"), limits.duplicate_ratio, True))
+    if tallied is not None:
+        worst = F.max(F.col("duplicate_row") / F.col("rows"))
+        found = {
+            "integrity_flagged_share": (F.sum("flagged_rows") / F.sum("rows"), limits.flagged_share, True),
+            "timestamps_in_order": (F.sum("timestamp_reorder"), 0.0, True),
+            "duplicate_ratio": (worst, limits.duplicate_ratio, True),
+        }
+        out.append(_gate_rows(tallied, found))
     if predictions is not None:
-        metrics = evaluate.regression_metrics(predictions)
-        cover = evaluate.coverage(predictions)
-        width = F.max("test_mean_interval_width_95")
-        out.append(_gate(cover, "interval_width", width, limits.interval_width, True))
-        out.append(_gate(cover, "interval_coverage", F.max("test_pi_coverage_95"), limits.min_coverage, False))
-        out.append(_gate(metrics, "r2", F.max("r2"), limits.min_r2, False))
-        out.append(_gate(metrics, "mae", F.max("mae"), limits.max_mae, True))
+        metrics, cover = evaluate.regression_columns(), evaluate.coverage_columns()
+        found = {
+            "interval_width": (cover["test_mean_interval_width_95"], limits.interval_width, True),
+            "interval_coverage": (cover["test_pi_coverage_95"], limits.min_coverage, False),
+            "r2": (metrics["r2"], limits.min_r2, False),
+            "mae": (metrics["mae"], limits.max_mae, True),
+        }
+        out.append(_gate_rows(predictions, found))
     if shifts is not None:
         high = F.count_if(F.col("quantile_shift") > drift.HIGH_SHIFT)
-        out.append(_gate(shifts, "drifted_features", high, limits.drifted_features, True))
+        out.append(_gate_rows(shifts, {"drifted_features": (high, limits.drifted_features, True)}))
     if risks is not None:
-        out.append(_gate(risk.unowned_high_risk(risks), "unowned_high_risk", F.count(F.lit(1)), 0.0, True))
+        unowned = F.count_if(risk.unowned())
+        out.append(_gate_rows(risks, {"unowned_high_risk": (unowned, 0.0, True)}))
     if not out:
         raise ValueError("no input for any gate")
     return reduce(DataFrame.unionByName, out)

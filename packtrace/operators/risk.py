@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from packtrace.operators.ordered import global_position
+from packtrace.operators.ordered import position
 from packtrace.sources.tables import THREAT_SCHEMA
 from packtrace.spec import Skew
 
@@ -51,7 +51,7 @@ def register(assets: DataFrame, threats: Sequence[tuple]) -> DataFrame:
 def ranked(rows: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Add ``position``: highest score first, ties in listing order."""
     rows = rows.withColumn("_falling", -F.col("risk_score"))
-    return global_position(rows, _ORDER, "position", skew).drop("_falling")
+    return position(rows, [], _ORDER, "position", skew).drop("_falling")
 
 
 def _first(rows: DataFrame, n: int) -> DataFrame:
@@ -82,7 +82,7 @@ def summary(rows: DataFrame) -> DataFrame:
     ).withColumns({"top_risk_scores": scores.scalar(), "top_ten": top.scalar()})
 
 
-def unowned_high_risk(rows: DataFrame) -> DataFrame:
-    """High-risk rows nobody answers for."""
+def unowned() -> Column:
+    """Whether a register row is of high risk and nobody answers for it."""
     nobody = F.col("recommended_owner").isNull() | F.col("recommended_owner").isin("", "unassigned")
-    return rows.filter((F.col("risk_score") >= HIGH_SCORE) & nobody)
+    return (F.col("risk_score") >= HIGH_SCORE) & nobody

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from packtrace.operators.ordered import Groups, global_position
+from packtrace.operators.ordered import Groups, position
 from packtrace.spec import Skew
 
 
@@ -27,9 +27,10 @@ def stratified(
     return groups.apply(rows, run).drop("_h", "_r", "_n")
 
 
-def _cut(keys: DataFrame, test_size: float, skew: Skew) -> Column:
+def _cut(hashes: DataFrame, test_size: float, skew: Skew) -> Column:
     """Largest hash that still goes to the test side, as a scalar of the plan."""
-    ranked = global_position(keys, ["_h"], "_r", skew)
+    keys = hashes.distinct()
+    ranked = position(keys, [], ["_h"], "_r", skew, like=hashes)
     wanted = F.ceil(F.lit(test_size) * keys.agg(F.count(F.lit(1))).scalar())
     return ranked.filter(F.col("_r") <= wanted).agg(F.max("_h")).scalar()
 
@@ -46,4 +47,4 @@ def by_group(
     if group and len(df.select(group).distinct().limit(2).collect()) > 1:
         key = group
     rows = df.withColumn("_h", hash_rank(key, seed))
-    return rows.withColumn("is_test", F.col("_h") <= _cut(rows.select("_h").distinct(), test_size, skew)).drop("_h")
+    return rows.withColumn("is_test", F.col("_h") <= _cut(rows.select("_h"), test_size, skew)).drop("_h")

@@ -155,14 +155,18 @@ def _(spark, sf):
     return _flag_rows(integrity.flag(_dense(spark, sf), LIMITS, skew=TIGHT))
 
 
+def _tally(spark, sf):
+    return integrity.tally(integrity.checks(_dense(spark, sf), LIMITS))
+
+
 _SEVERITY = " union all ".join(
     f"select '{r}' as reason, count(*) filter (where {r}) as rows from checked" for r in integrity.REASONS
 )
 
 
 @query("integrity_severity", f"{_DENSE_CHECKED} {_SEVERITY}")
-def severity(spark, sf):
-    return integrity.severity(integrity.checks(_dense(spark, sf), LIMITS))
+def _(spark, sf):
+    return integrity.severity(_tally(spark, sf))
 
 
 @query(
@@ -174,7 +178,7 @@ def severity(spark, sf):
 )
 def _(spark, sf):
     source = _dense(spark, sf)
-    report = integrity.report(integrity.checks(source, LIMITS), LIMITS, source)
+    report = integrity.report(_tally(spark, sf), LIMITS, source)
     return report.select(
         "rows_total",
         "flagged_rows",
@@ -194,7 +198,7 @@ def _(spark, sf):
     "duplicate_ratio",
 )
 def _(spark, sf):
-    return integrity.duplicate_ratio(integrity.checks(_dense(spark, sf), LIMITS, only=["duplicate_row"]))
+    return integrity.duplicate_ratio(integrity.tally(integrity.checks(_dense(spark, sf), LIMITS, only=["duplicate_row"])))
 
 
 # --- cycle features ----------------------------------------------------------------
@@ -563,7 +567,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = f"{scratch(spark, 'report')}.json"
-    sinks.write_json(integrity.report(integrity.checks(_dense(spark, sf), LIMITS), LIMITS), path)
+    sinks.write_json(integrity.report(_tally(spark, sf), LIMITS), path)
     return tables.read_table(spark, path).select("rows_total", "flagged_rows")
 
 
@@ -578,7 +582,7 @@ def _(spark, sf):
     union all select 'Action: investigate flagged rows first; if `replay_pattern` exceeds zero, treat as possible tampering.'""",
 )
 def _(spark, sf):
-    report = integrity.report(integrity.checks(_dense(spark, sf), LIMITS), LIMITS)
+    report = integrity.report(_tally(spark, sf), LIMITS)
     path = scratch(spark, "summary")
     sinks.write_lines(sinks.integrity_summary(report), path)
     return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
@@ -1173,8 +1177,7 @@ select gate, cast(value as double) as value, cast(threshold as double) as thresh
 
 @query("rollout_gates", _GATE_SQL, "value threshold")
 def _(spark, sf):
-    checked = integrity.checks(_dense(spark, sf), LIMITS)
-    return readiness.gates(checked=checked, predictions=_intervals(spark, sf))
+    return readiness.gates(tallied=_tally(spark, sf), predictions=_intervals(spark, sf))
 
 
 @query(
@@ -1197,7 +1200,7 @@ def _(spark, sf):
     cast(count(*) filter (where {_ANY}) as bigint) as flagged_rows from checked""",
 )
 def _(spark, sf):
-    report = integrity.report(integrity.checks(_dense(spark, sf), LIMITS), LIMITS)
+    report = integrity.report(_tally(spark, sf), LIMITS)
     out = readiness.summarise(
         [readiness.stage(spark, "telemetry_integrity", report), readiness.stage(spark, "soh_train", None, "no label")]
     )
@@ -1260,6 +1263,16 @@ def _(spark, sf):
     return prompts.compose(rows, tables.MECHANISMS).select("sample_id", "format", "prompt")
 
 
+@query("fault_model_artifacts")
+def _(spark, sf):
+    run = _fault_run(spark, sf)
+    path = scratch(spark, "fault-model")
+    sinks.save_model(run.model.fitted, path)
+    top = attribution.top(run.model.explain(run.predictions))
+    made = {"model": path, "metrics": run.metrics(), "attributions": top, "prompt_pack": prompts.compose(top)}
+    return readiness.artifacts_complete(spark, made)
+
+
 @query("fault_model_nodes")
 def _(spark, sf):
     return trees.node_table(spark, _fault_run(spark, sf).model.fitted)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from packtrace.operators import cycles, drift, integrity, models, readiness, risk
+from packtrace.session import durable
 from packtrace.sources import sinks, tables
 from packtrace.spec import IntegrityLimits, Skew, SohLimits
 
@@ -48,15 +49,18 @@ def run(
     not failed, when the features hold no ``label``.
     """
     stages = []
-    checked = None
+    checked = tallied = None
     if skip_integrity:
         stages.append(readiness.stage(spark, "telemetry_integrity", None, "skipped by request"))
     else:
         checked = integrity.checks(telemetry, integrity_limits, skew=skew)
-        stages.append(readiness.stage(spark, "telemetry_integrity", integrity.report(checked, integrity_limits, telemetry)))
+        tallied = durable(integrity.tally(checked))
+        stages.append(readiness.stage(spark, "telemetry_integrity", integrity.report(tallied, integrity_limits, telemetry)))
 
-    features = cycles.soh_labels(cycles.soh_features(telemetry, soh_limits, skew=skew), skew=skew)
-    features = features.withColumn("sample_id", F.concat_ws("/", *cycles.CYCLE)).persist()
+    # read by labelling, training, drift and the report, so reduced from telemetry once
+    features = durable(cycles.soh_features(telemetry, soh_limits, skew=skew))
+    features = cycles.soh_labels(features, skew=skew)
+    features = features.withColumn("sample_id", F.concat_ws("/", *cycles.CYCLE))
     stages.append(readiness.stage(spark, "soh_feature_extraction", cycles.stats_report(features)))
 
     soh = shifts = None
@@ -77,7 +81,7 @@ def run(
         stages.append(readiness.stage(spark, "soh_train", soh.metrics()))
         if target is not None:
             train = soh.rows.filter(~F.col("is_test"))
-            shifts = drift.compare(train, drift.align(target, soh.model.features), soh.model.features, skew)
+            shifts = durable(drift.compare(train, drift.align(target, soh.model.features), soh.model.features, skew))
             stages.append(readiness.stage(spark, "soh_drift", drift.summary(shifts)))
 
     risks = None
@@ -89,8 +93,8 @@ def run(
         stages.append(readiness.stage(spark, "security_audit", risk.summary(risks)))
 
     gates = None
-    if checked is not None or soh is not None or risks is not None:
-        gates = readiness.gates(checked, soh.predictions if soh else None, shifts, risks, gate_limits)
+    if tallied is not None or soh is not None or risks is not None:
+        gates = readiness.gates(tallied, soh.predictions if soh else None, shifts, risks, gate_limits)
     return FieldRun(checked, features, soh, shifts, risks, readiness.summarise(stages), gates)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from packtrace.functions.numeric import number
-from packtrace.operators.ordered import global_position, position_in
+from packtrace.operators.ordered import position
 from packtrace.spec import CANONICAL, ColumnSpec, Skew
 
 # Threat profile used when the caller brings none.
@@ -101,16 +101,13 @@ def assign_cycles(
     """Number cycles 0, 1, ... by counting off rows in arrival order."""
     if samples_per_cycle <= 0:
         raise ValueError("samples_per_cycle must be positive")
-    if per_device:
-        out = position_in(df, ["device"], order, "_pos", skew)
-    else:
-        out = global_position(df, order, "_pos", skew)
+    out = position(df, ["device"] if per_device else [], order, "_pos", skew)
     return out.withColumn("cycle", F.floor((F.col("_pos") - 1) / samples_per_cycle).cast("bigint")).drop("_pos")
 
 
 def number_samples(df: DataFrame, order: Sequence[str], name: str = "sample_id", skew: Skew = Skew()) -> DataFrame:
     """0-based positional id for tables that come without one."""
-    return global_position(df, order, name, skew).withColumn(name, F.col(name) - 1)
+    return position(df, [], order, name, skew).withColumn(name, F.col(name) - 1)
 
 
 def read_attributions(spark: SparkSession, path: str) -> DataFrame:
@@ -129,13 +126,17 @@ def assets_from_names(spark: SparkSession, names: str | Sequence[str]) -> DataFr
     return spark.createDataFrame(rows, "asset_pos bigint, asset string, owner string, criticality int")
 
 
-def assets(df: DataFrame, position: str) -> DataFrame:
-    """Fill in an asset table; ``position`` is the column that holds the listing order."""
-    require(df, ["asset", position])
+def assets(df: DataFrame, listed: str | None = None) -> DataFrame:
+    """Fill in an asset table; ``listed`` is the column holding the listing order.
+
+    Without one the order of the rows as read is taken, which a single file keeps.
+    """
+    require(df, ["asset", listed])
+    at = F.col(listed) if listed else F.monotonically_increasing_id()
     owner = F.col("owner") if "owner" in df.columns else F.lit(None).cast("string")
     criticality = F.col("criticality") if "criticality" in df.columns else F.lit(None).cast("int")
     return df.select(
-        F.col(position).cast("bigint").alias("asset_pos"),
+        at.cast("bigint").alias("asset_pos"),
         F.trim("asset").alias("asset"),
         F.coalesce(F.nullif(F.trim(owner), F.lit("")), F.lit("unassigned")).alias("owner"),
         F.coalesce(criticality.cast("int"), F.lit(3)).alias("criticality"),

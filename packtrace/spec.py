@@ -75,7 +75,7 @@ class Skew:
     share of the table is ``per_chunk / rows_per_task``.
     """
 
-    rows_per_task: int = 4_000_000
+    rows_per_task: int = 2_000_000
     per_chunk: int = 32
     seed: int = 17
 
