@@ -304,12 +304,15 @@ curve as (
   select device, cycle, max(dqdv) as peak, max(case when best = 1 and dqdv is not null then q_mid end) as peak_q,
          avg(dqdv) as mean_abs, max(case when dqdv is not null then mid end) - min(case when dqdv is not null then mid end)
          as spread from cr where complete >= 4 and longest >= 1e-9 group by device, cycle),
-soh as (
+whole as (
   select plain.*, terminal_temp, terminal_voltage, terminal_soc,
     case when known_v >= 3 then cc end as cc_ratio, case when known_v >= 3 then cv end as cv_ratio,
     peak as dqdv_peak_abs, peak_q as dqdv_peak_q, mean_abs as dqdv_mean_abs, spread as dqdv_spread_v,
     peak / nullif(mean_abs, 0) as dqdv_peak_to_mean_ratio
   from plain join tail using (device, cycle) left join ratios using (device, cycle) left join curve using (device, cycle)),
+soh as (
+  select device, cycle, cycle_points, soh_proxy_from_input,
+    {", ".join(f"case when cycle_points >= 2 then {c} end as {c}" for c in cycles.SOH_FEATURES[1:])} from whole),
 based as (select *, first_value(soh_proxy_from_input) over (partition by device order by cycle) as base from soh),
 proxied as (select *, soh_proxy_from_input / nullif(base, 0) as soh_proxy from based),
 labelled as (
@@ -836,13 +839,13 @@ _LINEAR = f"""{_FAULT_SQL}, f as (select concat_ws('/', device, cast(cycle as va
   case when max_temp_diff > 11 then 'thermal' else 'normal' end as true_label,
   {', '.join(f'coalesce({c}, 0) as {c}' for c in WEIGHTS)} from fault),
 m as (select {', '.join(f'avg({c}) as m_{c}' for c in WEIGHTS)} from f),
-parts as ({' union all '.join(f"select sample_id, '{c}' as feature, {w}::double * ({c} - m_{c}) as shap_value from f, m" for c, w in WEIGHTS.items())}),
-said as (select sample_id, case when sum(round(shap_value, 9)) > 0 then 'thermal' else 'normal' end as predicted_label
+parts as ({' union all '.join(f"select sample_id, '{c}' as feature, round({w}::double * ({c} - m_{c}), 9) as shap_value from f, m" for c, w in WEIGHTS.items())}),
+said as (select sample_id, case when sum(shap_value) > 0 then 'thermal' else 'normal' end as predicted_label
          from parts group by sample_id),
 attr as (select sample_id, predicted_label, true_label, feature, shap_value
          from parts join said using (sample_id) join f using (sample_id)),
 ranked as (select *, abs(shap_value) as abs_shap, row_number() over
-           (partition by sample_id order by round(abs(shap_value), 9) desc, feature) as rank from attr)
+           (partition by sample_id order by abs(shap_value) desc, feature) as rank from attr)
 """
 
 
@@ -935,7 +938,7 @@ def _(spark, sf):
 _PROMPT_SQL = f"""{_LINEAR}, kept as (select * from ranked where rank <= 5 and sample_id in ({_FIRST_SAMPLES})),
 bullets as (select sample_id, min(predicted_label) as p, min(true_label) as t, string_agg(
   '- [' || rank || '] ' || feature || ' (' || case when shap_value > 0 then 'supports' else 'opposes' end || '): '
-  || case feature {_MECHANISM_SQL} else 'unknown mechanism' end || ' (SHAP ' || printf('%.3f', round(shap_value, 9)) || ')',
+  || case feature {_MECHANISM_SQL} else 'unknown mechanism' end || ' (SHAP ' || printf('%.3f', shap_value) || ')',
   chr(10) order by rank) as b from kept group by sample_id)
 select sample_id, 'markdown' as format, concat_ws(chr(10), '# Diagnosis Prompt for sample_id=' || sample_id,
   '- Predicted: ' || p, '- True (if known): ' || t, '- Context:', '{prompts.CONTEXT}', '- Top feature evidence:', b,
@@ -1215,13 +1218,15 @@ _SMALL = {"maxIter": 10}
 
 
 def _labelled_faults(spark, sf, classes: int) -> DataFrame:
-    """Fault features labelled by rule: hot, restless or normal cycles."""
+    """Fault features labelled by rule: cycles that end warmer or swing faster than the average one."""
     rows = _fault(spark, sf).withColumn("sample_id", F.concat_ws("/", "device", F.col("cycle").cast("string")))
-    hot, restless = F.col("max_temp_diff") > 11, F.col("voltage_gradient") > 0.005
-    label = F.when(hot, "thermal").otherwise("normal")
+    means = rows.agg(F.struct(F.avg("terminal_temp").alias("t"), F.avg("voltage_gradient").alias("g"))).scalar()
+    rows = rows.withColumn("_m", means)
+    warm, swift = F.col("terminal_temp") > F.col("_m.t"), F.col("voltage_gradient") > F.col("_m.g")
+    label = F.when(warm, "thermal").otherwise("normal")
     if classes == 3:
-        label = F.when(hot & restless, "both").when(hot | restless, "one").otherwise("normal")
-    return rows.withColumn("fault", label).drop("device", "cycle", "max_abs_temp_rate")
+        label = F.when(warm & swift, "both").when(warm | swift, "one").otherwise("normal")
+    return rows.withColumn("fault", label).drop("device", "cycle", "max_abs_temp_rate", "_m")
 
 
 def _fault_run(spark, sf, classes=2):
