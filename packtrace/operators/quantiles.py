@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from packtrace.session import durable
 from packtrace.spec import Skew
 
-_BRACKET = "key bigint, p int, lo double, hi double, rank bigint, part double"
+PIVOTS = 500
 
 
 def by_group(
@@ -46,80 +45,118 @@ def by_group(
 def select_exact(
     df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], skew: Skew, settled: bool = False
 ) -> DataFrame:
-    """Exact quantiles of a few large groups in three passes, none of which gathers a group.
+    """Exact quantiles of large groups, none of which is ever gathered.
 
-    Approximate percentiles bracket each wanted rank, counting proves that the rank
-    lies inside its bracket, and only values inside brackets are ranked exactly.
-    ``keys`` must name few groups: their brackets are held on the driver. The values are
-    read several times; they are written to the shared folder first unless ``settled``
-    says that reading ``df`` again is cheap.
+    Each wanted rank lives in an open interval of values. A round takes two pivots
+    close to the rank from an approximate percentile, counts exactly how many values
+    lie below, at and between them, and keeps the part that holds the rank, so the
+    interval shrinks some hundredfold whatever the values look like. What is left
+    below one task's worth is ranked exactly.
+
+    One small row per group and rank travels to the tasks. The values are read several
+    times; they are written to the shared folder first unless ``settled`` says that
+    reading ``df`` again is cheap.
     """
-    keys, spark = list(keys), df.sparkSession
+    keys = list(keys)
     rows = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if not settled:
         rows = durable(rows)
-    sizes = rows.groupBy(*keys).count().collect() if keys else [(rows.count(),)]
-    sizes = [tuple(r) for r in sizes if r[-1]]
-    if not sizes:
-        return rows.groupBy(*keys).agg(F.array(F.max("_v")).alias("quantiles")).filter("false")
-    names = [(*r[:-1], i) for i, r in enumerate(sizes)]
-    if keys:
-        table = spark.createDataFrame(names, rows.select(*keys).schema.add("key", T.LongType()))
-        match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-        named = F.broadcast(table.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
-        rows = rows.join(named, match).select("key", "_v")
-    else:
-        table = None
-        rows = rows.select(F.lit(0).cast("bigint").alias("key"), "_v")
-
-    largest = max(r[-1] for r in sizes)
-    accuracy = min(2_000_000, max(10_000, 8 * largest // skew.rows_per_task))
-    margin = 4.0 / accuracy
-    while True:
-        grid = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
-        edges = rows.groupBy("key").agg(
-            F.percentile_approx("_v", grid, accuracy).alias("e"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
-        )
-        found = {r["key"]: r for r in edges.collect()}
-        brackets = []
-        for i, size in enumerate(sizes):
-            for j, p in enumerate(probs):
-                at = p * (size[-1] - 1)
-                lo = found[i]["lo"] if grid[2 * j] <= 0.0 else found[i]["e"][2 * j]
-                hi = found[i]["hi"] if grid[2 * j + 1] >= 1.0 else found[i]["e"][2 * j + 1]
-                brackets.append((i, j, lo, hi, math.floor(at), at - math.floor(at)))
-        inside = F.broadcast(spark.createDataFrame(brackets, _BRACKET))
-        counts = (
-            rows.join(inside, "key")
-            .groupBy("key", "p", "lo", "hi", "rank", "part")
-            .agg(
-                F.count_if(F.col("_v") < F.col("lo")).alias("below"),
-                F.count_if(F.col("_v").between(F.col("lo"), F.col("hi"))).alias("held"),
-                F.min(F.when(F.col("_v") > F.col("hi"), F.col("_v"))).alias("next"),
-            )
-            .collect()
-        )
-        if all(c["below"] <= c["rank"] < c["below"] + c["held"] for c in counts):
-            break
-        margin *= 8
-
-    proven = F.broadcast(
-        spark.createDataFrame([tuple(c) for c in counts], _BRACKET + ", below bigint, held bigint, next double")
+    wanted = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("prob")) for i, p in enumerate(probs)])
+    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
+    sizes = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_v") == lowest).alias("n_lowest"),
+        F.count_if(F.col("_v") == highest).alias("n_highest"),
+    )
+    ranks = sizes.filter("n > 0").select("*", F.explode(wanted).alias("w")).select("*", "w.p", "w.prob")
+    at = F.col("prob") * (F.col("n") - 1)
+    infinite = F.when(F.floor(at) < F.col("n_lowest"), lowest)
+    infinite = infinite.when(F.floor(at) >= F.col("n") - F.col("n_highest"), highest)
+    ranks = ranks.select(
+        *keys,
+        "p",
+        F.floor(at).alias("rank"),
+        (at - F.floor(at)).alias("part"),
+        lowest.alias("lo"),
+        highest.alias("hi"),
+        F.col("n_lowest").alias("below"),
+        (F.col("n") - F.col("n_lowest") - F.col("n_highest")).alias("held"),
+        infinite.alias("found"),
+    )
+    ranks = durable(ranks)
+    wide = F.col("found").isNull() & (F.col("held") > skew.rows_per_task)
+    while not ranks.filter(wide).isEmpty():
+        narrowed = _narrow(rows, ranks.filter(wide), keys)
+        ranks = durable(ranks.filter(~wide).unionByName(narrowed))
+    return _interpolate(rows, _rank_rest(rows, ranks, keys), keys)
+
+
+def _beside(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """Every value next to the ranks wanted of its group; few rows per group."""
+    if not keys:
+        ranks = ranks.groupBy().agg(F.collect_list(F.struct("*")).alias("_r"))
+        return rows.withColumn("_r", ranks.scalar()).select("_v", F.inline("_r"))
+    named = F.broadcast(ranks.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(named, match).drop(*[f"_k_{k}" for k in keys])
+
+
+def _narrow(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """One round: replace each interval by the part of it that holds the rank."""
+    state = [*keys, "p", "rank", "part", "lo", "hi", "below", "held"]
+    inside = (F.col("_v") > F.col("lo")) & (F.col("_v") < F.col("hi"))
+    grid = [i / PIVOTS for i in range(PIVOTS + 1)]
+    pivots = _beside(rows, ranks, keys).filter(inside).groupBy(*state).agg(
+        F.percentile_approx("_v", grid, 2 * PIVOTS).alias("c")
+    )
+    place = (F.floor((F.col("rank") - F.col("below")) / F.col("held") * PIVOTS)).cast("int")
+    pivots = pivots.select(
+        *state,
+        F.get("c", F.greatest(place - 1, F.lit(0))).alias("a"),
+        F.get("c", F.least(place + 2, F.lit(PIVOTS))).alias("b"),
+    )
+    v, a, b = F.col("_v"), F.col("a"), F.col("b")
+    counts = _beside(rows, pivots, keys).filter(inside).groupBy(*state, "a", "b").agg(
+        F.count_if(v < a).alias("n_low"),
+        F.count_if(v == a).alias("n_a"),
+        F.count_if((v > a) & (v < b)).alias("n_mid"),
+        F.count_if((v == b) & (v > a)).alias("n_b"),
+    )
+    r = F.col("rank") - F.col("below")
+    upto_a = F.col("n_low") + F.col("n_a")
+    upto_mid = upto_a + F.col("n_mid")
+    upto_b = upto_mid + F.col("n_b")
+    low, mid, high = r < F.col("n_low"), (r >= upto_a) & (r < upto_mid), r >= upto_b
+    return counts.select(
+        *keys,
+        "p",
+        "rank",
+        "part",
+        F.when(mid, a).when(high, b).otherwise(F.col("lo")).alias("lo"),
+        F.when(mid, b).when(low, a).otherwise(F.col("hi")).alias("hi"),
+        (F.col("below") + F.when(mid, upto_a).when(high, upto_b).otherwise(0)).alias("below"),
+        F.when(low, F.col("n_low")).when(mid, F.col("n_mid")).otherwise(F.col("held") - upto_b).alias("held"),
+        F.when((r >= F.col("n_low")) & (r < upto_a), a).when((r >= upto_mid) & (r < upto_b), b).alias("found"),
     )
-    running = Window.partitionBy("key", "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        rows.join(proven, "key")
-        .filter(F.col("_v").between(F.col("lo"), F.col("hi")))
-        .groupBy("key", "p", "_v", "rank", "part", "below", "next")
-        .count()
-        .withColumn("upto", F.col("below") + F.sum("count").over(running))
+
+
+def _rank_rest(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    """Settle the ranks whose interval now fits a task."""
+    inside = (F.col("_v") > F.col("lo")) & (F.col("_v") < F.col("hi"))
+    state = [*keys, "p", "rank", "part", "below"]
+    left = _beside(rows, ranks.filter("found is null"), keys).filter(inside).groupBy(*state, "_v").count()
+    upto = F.sum("count").over(Window.partitionBy(*keys, "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    left = left.withColumn("upto", F.col("below") + upto).filter(F.col("upto") > F.col("rank"))
+    left = left.groupBy(*keys, "p", "rank", "part").agg(F.min("_v").alias("found"))
+    return ranks.filter("found is not null").select(*left.columns).unionByName(left)
+
+
+def _interpolate(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
+    v, found = F.col("_v"), F.col("found")
+    sides = _beside(rows, ranks, keys).groupBy(*keys, "p", "rank", "part", "found").agg(
+        F.count_if(v <= found).alias("upto"), F.min(F.when(v > found, v)).alias("next")
     )
-    low = F.min(F.when(F.col("upto") > F.col("rank"), F.col("_v")))
-    high = F.coalesce(F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("_v"))), F.max("next"), low)
-    points = ranked.groupBy("key", "p", "part").agg(low.alias("low"), high.alias("high"))
-    value_at = F.col("low") + F.col("part") * (F.col("high") - F.col("low"))
-    per_key = points.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("p", value_at.alias("q")))).alias("q"))
-    per_key = per_key.select("key", F.col("q")["q"].alias("quantiles"))
-    if table is None:
-        return per_key.select("quantiles")
-    return per_key.join(F.broadcast(table), "key").select(*keys, "quantiles")
+    upper = F.when(F.col("upto") > F.col("rank") + 1, found).otherwise(F.coalesce("next", "found"))
+    value_at = F.when(F.col("part") == 0, found).otherwise(found + F.col("part") * (upper - found))
+    per_key = sides.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("p", value_at.alias("q")))).alias("q"))
+    return per_key.select(*keys, F.col("q")["q"].alias("quantiles"))

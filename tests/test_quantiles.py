@@ -44,3 +44,10 @@ def test_approximate_switch(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
     got = quantiles.by_group(df, [], F.col("v"), [0.5], approx=True).first()["quantiles"][0]
     assert abs(got - 500) <= 1
+
+
+def test_infinite_values_count_as_extremes(spark):
+    values = [float("-inf")] * 30 + [float(i) for i in range(200)] + [float("inf")] * 30
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = quantiles.by_group(df, [], F.col("v"), [0.0, 0.5, 1.0], Skew(rows_per_task=40)).first()["quantiles"]
+    assert got == [float("-inf"), 99.5, float("inf")]
