@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from packtrace.functions.numeric import finite, number
 from packtrace.operators import attribution, evaluate, quantiles, split, trees
 from packtrace.operators.drift import align
+from packtrace.session import durable
 from packtrace.sources.tables import require
 from packtrace.spec import Skew
 
@@ -148,12 +149,15 @@ def fit_fault(
         raise ValueError(f"need between 2 and {_MAX_CLASSES} classes")
     rows = df.withColumnsRenamed({sample: "sample_id"}).withColumn("true_label", F.col(label).cast("string"))
     rows = feature_matrix(rows.filter(F.col("true_label").isNotNull()), features, ("sample_id", "true_label"))
-    rows = split.stratified(rows, "true_label", "sample_id", test_size, seed, skew).persist()
+    # training reads its table many times; a written one has partitions of sensible size
+    rows = durable(split.stratified(rows, "true_label", "sample_id", test_size, seed, skew))
     position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("true_label")) - 1
-    train = _assembled(rows.filter(~F.col("is_test")), features).select("features", position.cast("double").alias("label"))
+    train = _assembled(rows.filter(~F.col("is_test")), features)
+    train = train.select("features", position.cast("double").alias("label")).persist()
     settings = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "seed": seed, **(model_kwargs or {})}
     learner = GBTClassifier(**settings)
     fitted = (learner if len(classes) == 2 else OneVsRest(classifier=learner)).fit(train)
+    train.unpersist()
     model = FaultModel(fitted, classes, features)
     test = rows.filter("is_test")
     return FaultRun(model, rows, model.predict(test, ("sample_id", "true_label")).persist())
@@ -250,7 +254,7 @@ def fit_soh(
     rows = impute_label(df, label, skew=skew).withColumn("sample_id", F.col(sample))
     rows = rows.withColumn("_group", F.col(group) if group else F.lit(None).cast("string"))
     rows = feature_matrix(rows, features, keep)
-    rows = split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed, skew).persist()
+    rows = durable(split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed, skew))
     train = _assembled(rows.filter(~F.col("is_test")), features).select("sample_id", "features", "y_true").persist()
     fitted = _soh_learner(model, n_trees, max_depth, seed).fit(train.withColumn("_w", F.lit(1.0)))
 
