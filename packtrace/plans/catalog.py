@@ -6,6 +6,7 @@ six places on both sides; the operators themselves never round.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,6 @@ from packtrace.operators import (
     evaluate,
     integrity,
     models,
-    ordered,
     prompts,
     readiness,
     risk,
@@ -27,7 +27,7 @@ from packtrace.operators import (
 from packtrace.plans import views, workflow
 from packtrace.session import scratch
 from packtrace.sources import sinks, tables
-from packtrace.spec import CANONICAL, ColumnSpec, FaultLimits, IntegrityLimits, Skew, SohLimits
+from packtrace.spec import ColumnSpec, FaultLimits, IntegrityLimits, Skew, SohLimits
 from packtrace.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -971,6 +971,41 @@ def _(spark, sf):
     )
 
 
+@query(
+    "mechanism_file_lookup",
+    f"""{_LINEAR} select sample_id, feature, case feature {_MECHANISM_SQL} else 'unknown mechanism' end as mechanism
+    from attr""",
+)
+def _(spark, sf):
+    path = scratch(spark, "mechanisms")
+    spark.createDataFrame([(json.dumps(_partial_map()),)], "value string").coalesce(1).write.text(path)
+    mapping = prompts.mechanism_map(tables.mechanism_table(spark, path))
+    return prompts.with_mechanism(_linear(spark, sf), mapping).select("sample_id", "feature", "mechanism")
+
+
+@query(
+    "prompt_pack_markdown",
+    f"""with p as ({_PROMPT_SQL}), l as (select unnest(string_split(prompt, chr(10))) as line from p
+      union all select '---' from p union all select '# LLM Prompt Pack')
+    select line, count(*) as times from l group by line""",
+)
+def _(spark, sf):
+    path = scratch(spark, "pack")
+    packed = prompts.compose(attribution.top(_linear(spark, sf)), _partial_map())
+    sinks.write_lines(sinks.prompt_markdown(packed), path)
+    lines = spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query(
+    "feature_table_scan",
+    f"{_FAULT_SQL} select device, cycle, {', '.join(cycles.FAULT_FEATURES)} from fault",
+    " ".join(cycles.FAULT_FEATURES),
+)
+def _(spark, sf):
+    return _csv_round_trip(spark, _fault(spark, sf).select("device", "cycle", *cycles.FAULT_FEATURES))
+
+
 @query(
     "attribution_csv_scan",
     f"{_LINEAR} select sample_id, cast(rank as int) as rank, feature, shap_value from ranked where rank <= 8",
