@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packtrace.llm import exact, langid, simhash
-from packtrace.llm.common import table
+from packtrace.llm import exact, langid, simhash, toxicity
+from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,11 +18,18 @@ def _register(f):
     return f
 
 
+@_register
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.train(docs, labels))
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @_register
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.learnable(docs))
-    return found.select("doc_id", (langid.remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
 @_register
