@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packtrace.llm import exact, langid, simhash, toxicity
+from packtrace.llm import bpe, exact, langid, lm, simhash, toxicity
 from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,17 @@ ORACLES["op9_exact_dedup"] = r"""
 @_register
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lm.score(docs, *lm.train(lm.learnable(docs)))
+    return found.select(
+        "doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "bits_per_byte")
+
+
+@_register
+def op8_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"))
