@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packtrace.llm import bpe, exact, langid, lm, simhash, toxicity
+from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, simhash, toxicity, warc
 from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,28 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op8_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_register
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@_register
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return found.select(
+        "warc_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest", "payload_digest",
+        "source_headers")
+
+
+@_register
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "piece", "start", "length", "bin_id", "offset")
+
+
+@_register
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
