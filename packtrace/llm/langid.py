@@ -20,6 +20,7 @@ BLOCK = 1024  # characters parsed in a row
 TRAIN_CHARS = 48_000  # labelled text per language, the documented bound of the fit
 TRAIN_DOC_CHARS = 12_000  # longer texts are not taken for the fit
 TRAIN_DOCS = 120  # rows per language among which the fit chooses
+MOST_RATE = 0.6  # phrases per character above which a text is in none of the learnt languages
 _SLICE = 6 << 20
 _LANES = 4096
 _FIRST, _STATE, _TOP = np.uint32(0x80000000), np.uint32(0x7FFFFFFF), np.uint32(31)
@@ -244,6 +245,26 @@ def identify(docs: DataFrame, train: DataFrame, id: str = "doc_id", text: str =
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, phrase_rate double")
 
 
+def drop_unknown(docs: DataFrame, train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
+                 most: float = MOST_RATE, chars: int = TRAIN_CHARS) -> DataFrame:
+    """The rows of ``docs`` in a learnt language, with all their columns; nothing is shuffled.
+
+    Texts without a letter go, and those for which even the best language needs more than
+    ``most`` phrases per character. If nothing is labelled every row stays.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(labelled_text(train, text, lang, key, chars))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = automata(model.value)
+        for batch in slices(batches, text, _SLICE):
+            if models:
+                rates, length = parse(batch.column(text).to_pylist(), models)
+                batch = batch.filter(pa.array((length > 0) & (rates.min(1) <= most)))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learnable(docs: DataFrame, id: str = "doc_id") -> DataFrame:
     """The rows from which the language model may learn."""
     return docs.filter(remainder(id, 5) != 0)

@@ -197,3 +197,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id: str = "doc_id",
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``least``, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, _SLICE):
+            yield batch.filter(pa.array(scores(batch.column(text).to_pylist(), *shared.value) < least))
+
+    return docs.mapInArrow(run, docs.schema)
