@@ -26,6 +26,10 @@ def _blocks(docs: DataFrame, id: str, text: str, block_chars: int) -> DataFrame:
     return rows.select("row", "doc", "n_chars", "bare", F.size("cut").alias("left"), F.posexplode("cut").alias("pos", "block"))
 
 
+def _hash(block: str) -> Column:
+    return F.xxhash64(block)
+
+
 def _named(distinct: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """Sort the distinct rows of each task; a row's place, with the task's number, is its name."""
     return distinct.sortWithinPartitions(*keys).select(*keep, F.monotonically_increasing_id().alias("name"))
@@ -37,7 +41,7 @@ def _first_names(blocks: DataFrame) -> DataFrame:
     Contents travel once, to be made distinct. Their names come back by a 64-bit hash, which is
     exact where one content has that hash; the blocks of clashing hashes are joined by content.
     """
-    hashed = blocks.withColumn("hash", F.xxhash64("block"))
+    hashed = blocks.withColumn("hash", _hash("block"))
     distinct = hashed.select("hash", "block").distinct()
     names = durable(_named(distinct, ["hash", "block"], ["hash"]))
     by_hash = durable(names.groupBy("hash").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("contents")))

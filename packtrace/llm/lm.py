@@ -213,8 +213,11 @@ def subtree(key: np.ndarray, n: np.ndarray) -> tuple:
     return *whole, (top, *sums)
 
 
-def _crown(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Depths 0 and 1 as dense tables over (context byte, bits so far): settled part, rest, and own prediction."""
+def _crown(whole: bool, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Depths 0 and 1 as dense tables over (context byte, bits so far): settled part, rest, and prediction without depth 2.
+
+    ``whole`` tells that no node left the tree, so that a missing depth 2 was never seen.
+    """
     key1, of, (zeros, ones, children) = _up(key, 2, zeros, ones, children)
     own1 = _log_kt(zeros, ones)
     weighed1 = _both(own1, children)
@@ -226,10 +229,10 @@ def _crown(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.nd
     done1 = (share0 * est0)[up] + (1 - share0)[up] * share1 * est1
     rest1 = (1 - share0)[up] * (1 - share1)
     done, rest, alone = np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5)
-    for node, p in zip(key0.tolist(), est0.tolist(), strict=True):
-        alone[node::256] = p  # contexts never seen: the estimate without context
+    for node, p in zip(key0.tolist(), (share0 * est0 + (1 - share0) / 2).tolist(), strict=True):
+        alone[node::256] = p  # contexts never seen
     at = key1.astype(np.int64)
-    done[at], rest[at], alone[at] = done1, rest1, done1 + rest1 * est1
+    done[at], rest[at], alone[at] = done1, rest1, done1 + rest1 * (0.5 if whole else est1)
     return done, rest, alone
 
 
@@ -336,9 +339,10 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
         steps += np.frombuffer(bytes(r.steps), np.int64)
         blob = bytes(r.top)
         tops.append([np.frombuffer(blob, kind, r.n_top, 8 * i * r.n_top) for i, kind in enumerate((_U, float, float, float))])
-    crown = _crown(*(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5))
     most = np.cumsum(steps[::-1])[::-1]  # nodes of at least each step
     least = int(np.flatnonzero(most <= NODES)[0]) if (most <= NODES).any() else _CLASSES
+    crown = _crown(least == 0, *(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
+        np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -201,6 +201,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 
 
 def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns."""
-    stay = durable(near_duplicates(docs, id, text, shingle, radius).filter("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(stay, F.col(id).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    """The rows of ``docs`` with the smallest id of their component, with all their columns; rows without an id stay."""
+    out = near_duplicates(docs, id, text, shingle, radius).filter("doc_id <> component_id")
+    gone = durable(out.select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(gone, F.col(id).cast("long") == F.col("__id"), "left_anti")
