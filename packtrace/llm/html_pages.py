@@ -112,6 +112,7 @@ def _comments(w: _Words) -> str:
 def page(seed: int) -> str:
     rng = random.Random(seed)
     w = _Words(rng)
+    alone = rng.random() < 0.1  # nothing around the text
     maybe = lambda part, chance=0.5: part() if rng.random() < chance else ""
     out = [f"<!DOCTYPE html><html><head><title>{w.some(1, 9)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>"]
     nav = rng.choice((
@@ -121,8 +122,8 @@ def page(seed: int) -> str:
         lambda: f'<div id="header"><a href="/">{w.some(1, 3)}</a><p>{w.some(2, 8)}</p></div><div id="menu">{_links(w)}</div>',
         lambda: f'<table><tr><td class="nav">{_links(w)}</td></tr></table>',
     ))
-    out.append(maybe(nav, 0.9))
-    for _ in range(rng.randint(0, 2)):
+    out.append(maybe(nav, 0.0 if alone else 0.9))
+    for _ in range(0 if alone else rng.randint(0, 2)):
         out.append(_aside(w))
     shell, end = rng.choice((
         ("<article>", "</article>"), ("<main><article>", "</article></main>"), ("<main>", "</main>"),
@@ -141,13 +142,13 @@ def page(seed: int) -> str:
     else:
         out.append(f'{first} data-main="1">{rest}{inner}{end}')
     out.append(maybe(lambda: _comments(w), 0.35))
-    for _ in range(rng.randint(0, 2)):
+    for _ in range(0 if alone else rng.randint(0, 2)):
         out.append(_aside(w))
     rights = rng.choice(_RIGHTS).format(w.word() + ".example", w.sentence(1, 12), w.some(1, 3))
     foot = rng.choice((
         f"<footer>{rights}</footer>", f"<footer><p>{rights}</p>{_links(w, 1, 4)}</footer>", f'<div class="footer">{rights}</div>',
         f'<div id="footer"><p>{rights}</p><p>{w.some(2, 9)}</p></div>', f"<footer><div>{w.sentence(2, 14)}</div><p>{rights}</p></footer>",
     ))
-    out.append(foot if rng.random() < 0.9 else "")
+    out.append(foot if rng.random() < (0.0 if alone else 0.9) else "")
     text = "".join(out) + ("</body></html>" if rng.random() < 0.9 else "")
     return text

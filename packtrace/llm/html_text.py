@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from packtrace.llm import html_pages
 from packtrace.llm.common import slices
 
-TRAIN_PAGES, EPOCHS, RATE, DECAY = 400, 25, 0.1, 1e-4
+TRAIN_PAGES, EPOCHS, RATE, DECAY = 600, 25, 0.1, 1e-4
 _SLICE = 8 << 20
 
 # Fixed values of HTML: elements that are never text, that hold nothing, and that are inline.
@@ -153,7 +153,7 @@ def features(blocks: list[tuple[str, frozenset[str], str, float, bool]]) -> list
         f = list(chain)
         f += [
             "tag:" + tag, "words:" + str(min(6, n.bit_length())), "linked:" + str(int(linked * 3.999)),
-            "end:" + (text[-1] if text[-1] in ".!?…:" else "none"), "place:" + ("first" if i == 0 else "last" if i == last else str(3 * i // (last + 1))),
+            "end:" + (text[-1] if text[-1] in ".!?…:" else "none"), "place:" + ("few" if last < 4 else "first" if i == 0 else "last" if i == last else str(3 * i // (last + 1))),
         ]
         if "©" in text or "opyright" in text:
             f.append("rights")

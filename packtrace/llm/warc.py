@@ -190,7 +190,7 @@ def derivatives(response: dict) -> list[dict]:
     about = {
         "refers_to": response["record_id"], "target_uri": response["target_uri"], "http_status": status, "http_headers": headers,
         "payload_digest": source, "payload_length": len(payload), "title": " ".join(entities.unescape(title[1]).split()) if title else None,
-        "links": [entities.unescape(next(x for x in m if x is not None)) if any(m) else "" for m in _LINK.findall(body)],
+        "links": [entities.unescape("".join(m)) for m in _LINK.findall(body)],
     }
     common = {
         "refers_to": response["record_id"], "target_uri": response["target_uri"], "date": response["date"], "payload_digest": source,
