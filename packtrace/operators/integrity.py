@@ -39,7 +39,7 @@ def _signature(df: DataFrame, replay_on: str, columns: Sequence[str] | None) ->
     if replay_on not in ("row", "payload"):
         raise ValueError("replay_on must be 'row' or 'payload'")
     if columns is None:
-        columns = [c for c in CANONICAL if c != "seq" and c in df.columns]
+        columns = [c for c in df.columns if c != "seq"]
         if replay_on == "payload":
             columns = [c for c in _PAYLOAD if c in df.columns]
     keys = ["device", "t_us"] if "t_us" in columns else ["device"]

@@ -159,10 +159,8 @@ class Scan:
 
 def _join_keys(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Attach a table of at most a few rows per hot key; keys may be NULL."""
-    if not keys:
-        names = [c for c in small.columns]
-        packed = small.select(F.struct(*names).alias("_one")).scalar()
-        return df.withColumn("_one", packed).select("*", *[F.col("_one")[n].alias(n) for n in names]).drop("_one")
+    if not keys:  # one row at most, beside every row
+        return df.join(F.broadcast(small), on=F.lit(True), how="left")
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in small.columns if c not in keys])
     match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     out = df.join(F.broadcast(renamed), on=match, how=how)

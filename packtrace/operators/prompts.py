@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from packtrace.sources.tables import in_order
+
 MAX_FEATURES = 5
-SAMPLE_LIMIT = 100
 
-# Wording of the prompt.
+# Wording of the prompt, here and in the lines that ``render`` puts together.
 UNKNOWN = "unknown mechanism"
 TASK = "Produce diagnosis explanation, likely root-cause path, confidence, and verification checks."
 CONTEXT = "  - Use the top contributing features below to infer the likely fault mechanism path."
@@ -20,31 +21,37 @@ OUTPUT_FIELDS = (
 )
 
 
-def select_context(rows: DataFrame, max_features: int = MAX_FEATURES, sample_limit: int | None = SAMPLE_LIMIT) -> DataFrame:
-    """First features of each sample, re-ranked from 1, for the first samples by id."""
+def select_context(rows: DataFrame, max_features: int = MAX_FEATURES, sample_limit: int | None = None) -> DataFrame:
+    """First features of each sample, re-ranked from 1; with ``sample_limit`` of the first samples by id only."""
     if sample_limit is not None:
-        chosen = rows.select("sample_id").distinct().orderBy("sample_id").limit(sample_limit)
-        if sample_limit <= 100_000:
-            chosen = F.broadcast(chosen)
+        chosen = rows.select("sample_id").distinct().orderBy(*in_order("sample_id")).limit(sample_limit)
         rows = rows.join(chosen, "sample_id", "left_semi")
     place = Window.partitionBy("sample_id").orderBy("rank", "feature")
     return rows.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= max_features)
 
 
-def with_mechanism(rows: DataFrame, mechanisms: dict[str, str] | None) -> DataFrame:
-    """Add the mechanism text and whether the feature supports or opposes the prediction."""
+def with_mechanism(rows: DataFrame, mechanisms: dict[str, str] | DataFrame | None) -> DataFrame:
+    """Add the mechanism text and whether the feature supports or opposes the prediction.
+
+    A map of any length may come as a table (feature, mechanism) and is joined.
+    """
+    direction = F.when(F.col("shap_value") > 0, "supports").otherwise("opposes")
+    if isinstance(mechanisms, DataFrame):
+        texts = mechanisms.groupBy("feature").agg(F.min("mechanism").alias("mechanism"))
+        rows = rows.join(texts, "feature", "left")
+        return rows.withColumns({"mechanism": F.coalesce("mechanism", F.lit(UNKNOWN)), "direction": direction})
     pairs = [F.lit(x) for item in (mechanisms or {}).items() for x in item]
     known = F.create_map(*pairs)[F.col("feature")] if pairs else F.lit(None).cast("string")
     return rows.withColumns(
         {
             "mechanism": F.coalesce(known, F.lit(UNKNOWN)),
-            "direction": F.when(F.col("shap_value") > 0, "supports").otherwise("opposes"),
+            "direction": direction,
         }
     )
 
 
 def mechanism_map(table: DataFrame, limit: int = 100_000) -> dict[str, str]:
-    """A mechanism table as a dict; it has one row per model feature."""
+    """A mechanism table as a dict; it has one row per model feature. Longer tables than ``limit`` are joined instead."""
     rows = table.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError("mechanism table is not a per-feature table")
@@ -78,7 +85,7 @@ def render(rows: DataFrame, fmt: str = "markdown") -> DataFrame:
     text = F.concat_ws(
         "\n",
         F.concat(F.lit("# Diagnosis Prompt for sample_id="), sample),
-        F.concat(F.lit("- Predicted: "), F.col("predicted")),
+        F.concat(F.lit("- Predicted: "), F.coalesce("predicted", F.lit(""))),
         F.concat(F.lit("- True (if known): "), F.coalesce("truth", F.lit(""))),
         F.lit("- Context:"),
         F.lit(CONTEXT),
@@ -86,7 +93,7 @@ def render(rows: DataFrame, fmt: str = "markdown") -> DataFrame:
         F.array_join(bullet, "\n"),
         *[F.lit(line) for line in OUTPUT_FIELDS],
     )
-    body = F.to_json(summary) if fmt == "json" else text
+    body = F.to_json(summary, {"ignoreNullFields": "false"}) if fmt == "json" else text
     return per_sample.select(
         sample.alias("sample_id"), F.lit(fmt).alias("format"), body.alias("prompt"), summary.alias("summary")
     )
@@ -94,9 +101,9 @@ def render(rows: DataFrame, fmt: str = "markdown") -> DataFrame:
 
 def compose(
     attributions: DataFrame,
-    mechanisms: dict[str, str] | None = None,
+    mechanisms: dict[str, str] | DataFrame | None = None,
     max_features: int = MAX_FEATURES,
-    sample_limit: int | None = SAMPLE_LIMIT,
+    sample_limit: int | None = None,
     fmt: str = "markdown",
 ) -> DataFrame:
     return render(with_mechanism(select_context(attributions, max_features, sample_limit), mechanisms), fmt)

@@ -95,7 +95,7 @@ def _beside(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
     """Every value next to the ranks wanted of its group; few rows per group."""
     if not keys:
         ranks = ranks.groupBy().agg(F.collect_list(F.struct("*")).alias("_r"))
-        return rows.withColumn("_r", ranks.scalar()).select("_v", F.inline("_r"))
+        return rows.join(F.broadcast(ranks), on=F.lit(True), how="left").select("_v", F.inline("_r"))
     named = F.broadcast(ranks.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
     match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     return rows.join(named, match).drop(*[f"_k_{k}" for k in keys])

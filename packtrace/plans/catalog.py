@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from packtrace.operators import (
     attribution,
@@ -60,6 +60,16 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
     return add
 
 
+def _lines(spark, path: str) -> DataFrame:
+    """Lines of written text files, numbered from 1 over all files in name order."""
+    files = spark.read.text(path, wholetext=True).filter("value <> ''")
+    files = files.select(F.input_file_name().alias("file"), F.split(F.regexp_replace("value", r"\n\z", ""), "\n").alias("lines"))
+    # a row per file, not per line
+    earlier = F.coalesce(F.sum(F.size("lines")).over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = files.withColumn("earlier", earlier).select("earlier", F.posexplode("lines").alias("at", "line"))
+    return lines.select((F.col("earlier") + F.col("at") + 1).cast("bigint").alias("line_no"), "line")
+
+
 def _dense(spark, sf):
     return views.view(spark, sf, "telemetry_dense")
 
@@ -438,6 +448,31 @@ def _(spark, sf):
     return rows.select("seq", "t_us", "voltage")
 
 
+@query(
+    "csv_epoch_scan",
+    """select event_id as seq, concat('cell-', user_id % 10) as device, (1700000000 + event_id * 12) * 1000000 as t_us,
+    value as voltage, event_type from events""",
+    "voltage",
+)
+def _(spark, sf):
+    """A CSV folder without a suffix or a schema, its time in epoch seconds; a column without a role stays."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        (1_700_000_000.0 + F.col("event_id") * 12.0).alias("timestamp"), F.col("event_id").alias("n"),
+        F.concat(F.lit("cell-"), F.col("user_id") % 10).alias("cell_id"), F.col("value").alias("voltage"), "event_type")
+    path = scratch(spark, "epoch")
+    sinks.write_table(events, path, "csv")
+    spec = ColumnSpec(time="timestamp", order="n", device="cell_id", voltage="voltage")
+    return tables.normalise(tables.read_table(spark, path, fmt="csv"), spec).select("seq", "device", "t_us", "voltage", "event_type")
+
+
+@query(
+    "unreadable_times",
+    """select count(*) as rows_read, count(*) filter (where event_id % 10 = 3) as rows_without_time from events""",
+)
+def _(spark, sf):
+    return tables.unreadable_times(_raw(spark, sf), ColumnSpec(time="stamp", order="event_id"))
+
+
 @query(
     "normalise_cycle_ids",
     "select event_id % 29 as cycle, count(*) as rows from events where event_id % 17 <> 0 and event_id % 10 <> 3 group by 1",
@@ -577,18 +612,19 @@ def _(spark, sf):
 @query(
     "markdown_integrity_summary",
     f"""{_DENSE_CHECKED}, s as ({_SEVERITY})
-    select '# Telemetry Integrity Summary' as line
-    union all select '- Total rows: ' || count(*) from checked
-    union all select '- Flagged rows: ' || count(*) from checked where {_ANY}
-    union all select '## Severity counts'
-    union all select '- ' || reason || ': ' || rows from s
-    union all select 'Action: investigate flagged rows first; if `replay_pattern` exceeds zero, treat as possible tampering.'""",
+    select cast(line_no as bigint) as line_no, line from (select 1 as line_no, '# Telemetry Integrity Summary' as line union all select 2, ''
+    union all select 3, '- Total rows: ' || count(*) from checked
+    union all select 4, '- Flagged rows: ' || count(*) from checked where {_ANY}
+    union all select 5, '' union all select 6, '## Severity counts'
+    union all select 6 + list_position({list(integrity.REASONS)}, reason), '- ' || reason || ': ' || rows from s
+    union all select {len(integrity.REASONS) + 7}, ''
+    union all select {len(integrity.REASONS) + 8}, 'Action: investigate flagged rows first; if `replay_pattern` exceeds zero, treat as possible tampering.') z""",
 )
 def _(spark, sf):
     report = integrity.report(_tally(spark, sf), LIMITS)
     path = scratch(spark, "summary")
     sinks.write_lines(sinks.integrity_summary(report), path)
-    return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
+    return _lines(spark, path)
 
 
 # --- splits ------------------------------------------------------------------------
@@ -903,17 +939,24 @@ def _(spark, sf):
     return attribution.top(_linear(spark, sf)).select(*_TOP_COLUMNS.split(", "))
 
 
-_FIRST_SAMPLES = "select distinct sample_id from ranked order by sample_id limit 100"
+@query(
+    "prompt_context",
+    f"{_LINEAR} select sample_id, cast(rank as int) as rank, feature, shap_value from ranked where rank <= 5",
+    "shap_value",
+)
+def _(spark, sf):
+    rows = prompts.select_context(attribution.top(_linear(spark, sf)))
+    return rows.select("sample_id", "rank", "feature", "shap_value")
 
 
 @query(
-    "prompt_context",
+    "prompt_context_first_samples",
     f"""{_LINEAR} select sample_id, cast(rank as int) as rank, feature, shap_value from ranked
-    where rank <= 5 and sample_id in ({_FIRST_SAMPLES})""",
+    where rank <= 5 and sample_id in (select distinct sample_id from ranked order by sample_id limit 100)""",
     "shap_value",
 )
 def _(spark, sf):
-    rows = prompts.select_context(attribution.top(_linear(spark, sf)))
+    rows = prompts.select_context(attribution.top(_linear(spark, sf)), sample_limit=100)
     return rows.select("sample_id", "rank", "feature", "shap_value")
 
 
@@ -935,7 +978,7 @@ def _(spark, sf):
     return rows.select("sample_id", "feature", "mechanism", "direction")
 
 
-_PROMPT_SQL = f"""{_LINEAR}, kept as (select * from ranked where rank <= 5 and sample_id in ({_FIRST_SAMPLES})),
+_PROMPT_SQL = f"""{_LINEAR}, kept as (select * from ranked where rank <= 5),
 bullets as (select sample_id, min(predicted_label) as p, min(true_label) as t, string_agg(
   '- [' || rank || '] ' || feature || ' (' || case when shap_value > 0 then 'supports' else 'opposes' end || '): '
   || case feature {_MECHANISM_SQL} else 'unknown mechanism' end || ' (SHAP ' || printf('%.3f', shap_value) || ')',
@@ -945,6 +988,13 @@ select sample_id, 'markdown' as format, concat_ws(chr(10), '# Diagnosis Prompt f
   {', '.join(f"'{line}'" for line in prompts.OUTPUT_FIELDS)}) as prompt from bullets"""
 
 
+# the lines of a prompt pack, from a table p of prompts
+_PACK_SQL = """x as (select 0 as block, null as id, ['# LLM Prompt Pack', ''] as ls
+    union all select 1, {order}, string_split(prompt || chr(10) || chr(10) || '---' || chr(10), chr(10)) from p),
+  y as (select block, id, unnest(ls) as line, generate_subscripts(ls, 1) as place from x)
+select row_number() over (order by block, id, place) as line_no, line from y"""
+
+
 @query("prompt_markdown", _PROMPT_SQL)
 def _(spark, sf):
     rows = prompts.compose(attribution.top(_linear(spark, sf)), _partial_map())
@@ -954,7 +1004,7 @@ def _(spark, sf):
 @query(
     "prompt_jsonl_sink",
     f"""{_LINEAR} select sample_id, 'json' as format, min(predicted_label) as predicted_fault,
-    string_agg(feature, ',' order by rank) as features from ranked where rank <= 5 and sample_id in ({_FIRST_SAMPLES})
+    string_agg(feature, ',' order by rank) as features from ranked where rank <= 5
     group by sample_id""",
 )
 def _(spark, sf):
@@ -985,16 +1035,65 @@ def _(spark, sf):
 
 @query(
     "prompt_pack_markdown",
-    f"""with p as ({_PROMPT_SQL}), l as (select unnest(string_split(prompt, chr(10))) as line from p
-      union all select '---' from p union all select '# LLM Prompt Pack')
-    select line, count(*) as times from l group by line""",
+    f"""with p as ({_PROMPT_SQL}), {_PACK_SQL.format(order="sample_id")}""",
 )
 def _(spark, sf):
     path = scratch(spark, "pack")
     packed = prompts.compose(attribution.top(_linear(spark, sf)), _partial_map())
     sinks.write_lines(sinks.prompt_markdown(packed), path)
-    lines = spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
-    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("times"))
+    return _lines(spark, path)
+
+
+# attributions with numeric ids, half of them without a label
+_NUMERIC_SPARK = """select doc_id as sample_id, case when doc_id % 2 = 0 then 'thermal' end as predicted_label,
+    case when doc_id % 3 = 0 then 'normal' end as true_label, r as rank,
+    case r when 1 then 'soc_max' else 'terminal_temp' end as feature, (doc_id % 7 - 3) / (r * 2e0) as shap_value"""
+_NUMERIC_SQL = f"""n as ({_NUMERIC_SPARK} from labels, (select unnest([1, 2]) as r) u)"""
+
+
+def _numeric(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("r"))
+    rows = spark.sql(f"{_NUMERIC_SPARK} from {{labels}}", labels=labels)
+    path = f"{scratch(spark, 'numeric')}.csv"
+    sinks.write_table(rows, path, "csv")
+    return tables.read_attributions(spark, path)
+
+
+_NUMERIC_PROMPTS = f"""bullets as (select sample_id, min(predicted_label) as p, min(true_label) as t, string_agg(
+  '- [' || rank || '] ' || feature || ' (' || case when shap_value > 0 then 'supports' else 'opposes' end || '): '
+  || case feature when 'soc_max' then '{tables.MECHANISMS["soc_max"]}' else '{tables.MECHANISMS["terminal_temp"]}' end
+  || ' (SHAP ' || printf('%.3f', shap_value) || ')', chr(10) order by rank) as b from n group by sample_id),
+p as (select sample_id, concat_ws(chr(10), '# Diagnosis Prompt for sample_id=' || sample_id,
+  '- Predicted: ' || coalesce(p, ''), '- True (if known): ' || coalesce(t, ''), '- Context:', '{prompts.CONTEXT}',
+  '- Top feature evidence:', b, {', '.join(f"'{line}'" for line in prompts.OUTPUT_FIELDS)}) as prompt from bullets)"""
+
+
+@query("prompt_pack_numeric_ids", f"with {_NUMERIC_SQL}, {_NUMERIC_PROMPTS}, {_PACK_SQL.format(order='sample_id')}")
+def _(spark, sf):
+    path = scratch(spark, "pack")
+    sinks.write_lines(sinks.prompt_markdown(prompts.compose(_numeric(spark, sf), tables.mechanism_table(spark))), path)
+    return _lines(spark, path)
+
+
+@query(
+    "prompt_first_numeric_ids",
+    f"""with {_NUMERIC_SQL} select cast(sample_id as varchar) as sample_id, cast(rank as int) as rank, feature from n
+    where sample_id in (select distinct sample_id from n order by sample_id limit 25)""",
+)
+def _(spark, sf):
+    return prompts.select_context(_numeric(spark, sf), sample_limit=25).select("sample_id", "rank", "feature")
+
+
+@query(
+    "prompt_json_nulls",
+    f"""with {_NUMERIC_SQL} select cast(sample_id as varchar) as sample_id, min(predicted_label) is null as null_predicted,
+    min(true_label) is null as null_true, true as has_predicted, true as has_true from n group by sample_id""",
+)
+def _(spark, sf):
+    rows = prompts.compose(_numeric(spark, sf), tables.MECHANISMS, fmt="json").select("sample_id", F.from_json("prompt", "map<string,string>").alias("m"))
+    return rows.select(
+        "sample_id", F.col("m")["predicted_fault"].isNull().alias("null_predicted"), F.col("m")["true_fault"].isNull().alias("null_true"),
+        F.map_contains_key("m", "predicted_fault").alias("has_predicted"), F.map_contains_key("m", "true_fault").alias("has_true"))
 
 
 @query(
@@ -1019,13 +1118,13 @@ def _(spark, sf):
 
 def _domain_sql() -> str:
     cases = " ".join(f"when feature in ({', '.join(repr(f) for f in fs)}) then '{d}'" for d, fs in attribution.DOMAINS.items())
-    return f"""{_LINEAR}, d as (select sample_id, case {cases} end as domain from ranked where rank <= 2)
+    return f"""{_LINEAR}, d as (select sample_id, case {cases} end as domain from ranked where rank <= 8)
     select domain, count(distinct sample_id) as samples, count(distinct sample_id) >= 10 as covered from d group by domain"""
 
 
 @query("domain_coverage", _domain_sql())
 def _(spark, sf):
-    return attribution.domain_coverage(attribution.top(_linear(spark, sf), 2))
+    return attribution.domain_coverage(attribution.top(_linear(spark, sf)))
 
 
 # --- drift -------------------------------------------------------------------------
@@ -1175,27 +1274,27 @@ _MD_ROW = "'| ' || concat_ws(' | ', {}) || ' |'"
 
 @query(
     "risk_markdown",
-    f"""{_RISK_SQL} select '# Battery Security Risk Register' as line
-    union all select '| Asset | Threat | Likelihood | Impact | Criticality | Risk Score | Owner | Recommended Owner | Status |'
-    union all select '|---|---|---:|---:|---:|---:|---|---|---|'
-    union all select {_MD_ROW.format("asset, threat, likelihood, impact, criticality, risk_score, owner, recommended_owner, status")} from p""",
+    f"""{_RISK_SQL} select cast(line_no as bigint) as line_no, line from (select 1 as line_no, '# Battery Security Risk Register' as line union all select 2, ''
+    union all select 3, '| Asset | Threat | Likelihood | Impact | Criticality | Risk Score | Owner | Recommended Owner | Status |'
+    union all select 4, '|---|---|---:|---:|---:|---:|---|---|---|'
+    union all select 4 + position, {_MD_ROW.format("asset, threat, likelihood, impact, criticality, risk_score, owner, recommended_owner, status")} from p) z""",
 )
 def _(spark, sf):
     path = scratch(spark, "register")
     sinks.write_lines(sinks.risk_markdown(risk.ranked(_risks(spark, sf))), path)
-    return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
+    return _lines(spark, path)
 
 
 @query(
     "controls_markdown",
-    f"""{_RISK_SQL} select '# Battery Security Controls Plan' as line
-    union all select '| Asset | Threat | Owner | Action | Due By |' union all select '|---|---|---|---|---|'
-    union all select {_MD_ROW.format(f"asset, threat, recommended_owner, '{risk.ACTION}', 'TBD'")} from p where position <= 20""",
+    f"""{_RISK_SQL} select cast(line_no as bigint) as line_no, line from (select 1 as line_no, '# Battery Security Controls Plan' as line union all select 2, ''
+    union all select 3, '| Asset | Threat | Owner | Action | Due By |' union all select 4, '|---|---|---|---|---|'
+    union all select 4 + position, {_MD_ROW.format(f"asset, threat, recommended_owner, '{risk.ACTION}', 'TBD'")} from p where position <= 20) z""",
 )
 def _(spark, sf):
     path = scratch(spark, "controls")
     sinks.write_lines(sinks.controls_markdown(risk.controls_plan(_risks(spark, sf))), path)
-    return spark.read.text(path).withColumnRenamed("value", "line").filter("line <> ''")
+    return _lines(spark, path)
 
 
 # --- readiness ---------------------------------------------------------------------
@@ -1249,9 +1348,6 @@ def _(spark, sf):
 
 # --- trained models (no SQL counterpart) -------------------------------------------
 
-_SMALL = {"maxIter": 10}
-
-
 def _labelled_faults(spark, sf, classes: int) -> DataFrame:
     """Fault features labelled by rule: cycles that end warmer or swing faster than the average one."""
     rows = _fault(spark, sf).withColumn("sample_id", F.concat_ws("/", "device", F.col("cycle").cast("string")))
@@ -1264,8 +1360,19 @@ def _labelled_faults(spark, sf, classes: int) -> DataFrame:
     return rows.withColumn("fault", label).drop("device", "cycle", "max_abs_temp_rate", "_m")
 
 
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(spark, *what, fit):
+    """A model that several queries of one session use is fitted once, at its documented size."""
+    key = (spark.sparkContext.applicationId, *what)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
 def _fault_run(spark, sf, classes=2):
-    return models.fit_fault(_labelled_faults(spark, sf, classes), "fault", "sample_id", model_kwargs=_SMALL)
+    return _once(spark, "fault", sf, classes, fit=lambda: models.fit_fault(_labelled_faults(spark, sf, classes), "fault", "sample_id"))
 
 
 @query("fault_model_metrics")

@@ -30,21 +30,40 @@ def build(master: str | None = None, app: str = "packtrace", **extra: str) -> Sp
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach; the session's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master, whose executor is the driver, may fall back to a folder of this machine
+    or name one without a scheme.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    alone = master == "local" or master.startswith("local[")
     if root:
+        if not alone and ":/" not in root:
+            raise RuntimeError("spark.checkpoint.dir must name its file system, such as hdfs:// or s3a://")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not alone:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="packtrace-")
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_root(spark)}/packtrace/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/packtrace/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove what this process wrote to the shared folder; call it when no table from there is needed any more."""
+    done = 0
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        done += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return done
 
 
 def durable(df: DataFrame) -> DataFrame:

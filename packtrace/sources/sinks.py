@@ -86,11 +86,15 @@ def controls_markdown(controls: DataFrame) -> DataFrame:
 
 
 def prompt_markdown(prompts: DataFrame) -> DataFrame:
-    """Prompt pack: the bodies in sample order, each followed by a rule."""
-    head = prompts.sparkSession.createDataFrame([(0, "", "# LLM Prompt Pack\n")], "block int, at string, line string")
+    """Prompt pack: the bodies in sample order, numeric ids by value, each followed by a rule."""
+    head = prompts.sparkSession.createDataFrame(
+        [(0, None, "", "# LLM Prompt Pack\n")], "block int, number decimal(38,9), at string, line string")
+    text = F.col("sample_id").cast("string")
+    number = text.try_cast("decimal(38,9)")
     body = prompts.select(
-        F.lit(1).alias("block"),
-        F.col("sample_id").cast("string").alias("at"),
+        F.when(number.isNull(), 2).otherwise(1).alias("block"),
+        number.alias("number"),
+        text.alias("at"),
         F.concat("prompt", F.lit("\n\n---\n")).alias("line"),
     )
     return head.unionByName(body)

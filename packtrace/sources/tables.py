@@ -52,32 +52,47 @@ def require(df: DataFrame, columns: Sequence[str | None]) -> None:
         raise ValueError(f"Missing columns: {', '.join(missing)}")
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet, JSON lines or CSV with a header, chosen by the file name."""
+def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str | None = None) -> DataFrame:
+    """Parquet, JSON lines or CSV with a header: ``fmt``, or else by the name of the file or folder.
+
+    CSV without a schema is read as text; ``normalise`` and ``read_attributions`` type it.
+    """
     reader = spark.read.schema(schema) if schema else spark.read
-    if path.rstrip("/").endswith((".csv", ".csv.gz")):
-        return reader.option("header", True).csv(path)
-    if path.rstrip("/").endswith((".json", ".jsonl")):
-        return reader.json(path)
-    return reader.parquet(path)
+    name = path.rstrip("/")
+    fmt = fmt or ("csv" if name.endswith((".csv", ".csv.gz")) else "json" if name.endswith((".json", ".jsonl")) else "parquet")
+    if fmt not in ("csv", "json", "parquet"):
+        raise ValueError("format must be csv, json or parquet")
+    return reader.option("header", True).csv(path) if fmt == "csv" else reader.json(path) if fmt == "json" else reader.parquet(path)
 
 
 def micros(df: DataFrame, column: str, unit: str = "s") -> Column:
-    """Any time column as microseconds since 1970 (UTC); unreadable times are NULL."""
+    """Any time column as microseconds since 1970 (UTC); unreadable times are NULL.
+
+    Text that is a number counts as one, in ``unit``, as a CSV file holds it.
+    """
     kind, col = df.schema[column].dataType.typeName(), F.col(column)
     if kind in ("timestamp", "timestamp_ntz", "date"):
         return F.unix_micros(col.cast("timestamp"))
     if kind == "string":
-        return F.unix_micros(F.try_to_timestamp(col))
+        clock = F.round(F.trim(col).try_cast("double") * _UNIT_MICROS[unit]).try_cast("bigint")
+        return F.coalesce(clock, F.unix_micros(F.try_to_timestamp(col)))
     if kind in ("byte", "short", "integer", "long"):
         return (col.cast("bigint") * _UNIT_MICROS[unit]).cast("bigint")
     return F.round(col.cast("double") * _UNIT_MICROS[unit]).try_cast("bigint")
 
 
-def normalise(df: DataFrame, spec: ColumnSpec) -> DataFrame:
+def unreadable_times(df: DataFrame, spec: ColumnSpec) -> DataFrame:
+    """One row: rows of the input, and those that ``normalise`` leaves out for want of a time."""
+    lost = F.count_if(micros(df, spec.time, spec.time_unit).isNull())
+    return df.agg(F.count(F.lit(1)).alias("rows_read"), lost.alias("rows_without_time"))
+
+
+def normalise(df: DataFrame, spec: ColumnSpec, extras: Sequence[str] | None = None) -> DataFrame:
     """Canonical telemetry: every role present and typed, NaN as NULL, no NULL time.
 
-    Without a device column all rows belong to device ``all``.
+    Without a device column all rows belong to device ``all``. Columns that play no role pass
+    through, so that flagged rows keep them and copies are judged by the whole row; ``extras``
+    names those to keep instead of all.
     """
     roles = {name: getattr(spec, name) for name in CANONICAL if name not in ("seq", "t_us")}
     require(df, [spec.time, spec.order, *roles.values()])
@@ -92,7 +107,12 @@ def normalise(df: DataFrame, spec: ColumnSpec) -> DataFrame:
             out[name] = number(F.col(column))
         else:
             out[name] = F.col(column).try_cast("double").try_cast(kind)
-    return df.select(*[out[name].alias(name) for name in CANONICAL]).filter(F.col("t_us").isNotNull())
+    if extras is None:
+        used = {spec.time, spec.order, *roles.values()}
+        extras = [c for c in df.columns if c not in used and c not in CANONICAL]
+    require(df, extras)
+    kept = [F.col(f"`{c}`") for c in extras]
+    return df.select(*[out[name].alias(name) for name in CANONICAL], *kept).filter(F.col("t_us").isNotNull())
 
 
 def assign_cycles(
@@ -110,8 +130,13 @@ def number_samples(df: DataFrame, order: Sequence[str], name: str = "sample_id",
     return position(df, [], order, name, skew).withColumn(name, F.col(name) - 1)
 
 
-def read_attributions(spark: SparkSession, path: str) -> DataFrame:
-    df = read_table(spark, path)
+def in_order(column: str) -> list[Column]:
+    """Sort keys for ids of any type: numbers by value, also where they are text, then other text."""
+    return [F.col(column).cast("string").try_cast("decimal(38,9)").asc_nulls_last(), F.col(column)]
+
+
+def read_attributions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    df = read_table(spark, path, fmt=fmt)
     require(df, ATTRIBUTION_COLUMNS)
     return df.withColumns({"rank": F.col("rank").cast("int"), "shap_value": F.col("shap_value").cast("double")})
 
