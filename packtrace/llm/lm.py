@@ -25,10 +25,12 @@ from packtrace.llm.common import remainder, slices, words
 from packtrace.session import durable
 
 DEPTH = 6  # bytes of context
-NODES = 6_000_000  # nodes of the tree that scoring holds in memory; the least seen go first
+NODES = 5_500_000  # nodes of the tree that scoring holds in memory; the least seen go first
 FREQUENT = 1 << 20  # words whose counts scoring holds in memory; the others' counts are joined
-_SLICE = 6 << 20
-_PARTIAL = 5_000_000  # distinct n-grams a task gathers before it ships them
+_SLICE = 3 << 20
+_PARTIAL = 2_000_000  # distinct n-grams a task gathers before it ships them
+_PART = 60_000  # n-grams weighed together
+BUCKETS = 64  # of contexts, at least
 _END = b"\0"
 _U = np.uint64
 
@@ -118,7 +120,7 @@ def _gather(buckets: int):
             for tokens in lists:
                 for w in tokens:
                     seen[w] = seen.get(w, 0) + 1
-            if len(seen) > _PARTIAL // 10:
+            if len(seen) > _PARTIAL // 8:
                 yield from ship_words()
                 seen = {}
         yield from ship(0, key, n)
@@ -177,40 +179,35 @@ def _both(own: np.ndarray, children: np.ndarray) -> np.ndarray:
     return np.logaddexp(np.log(0.5) + own, np.log(0.5) + children)
 
 
-def subtree(key: np.ndarray, n: np.ndarray) -> tuple:
-    """Weigh all nodes of depth 2 to DEPTH.
+def subtrees(key: np.ndarray, n: np.ndarray, root: int) -> tuple[tuple, tuple]:
+    """Weigh the nodes of depths ``root`` to DEPTH above sorted n-grams.
 
-    Returns node keys led by their depth, counts, the settled part of each prediction and the
-    weight left to deeper nodes, both relative to the weight that depth 2 gets, and each node's
-    own estimate; then the sums for the nodes of depth 1: key, zeros, ones, log weights.
+    Returns per node its key led by its depth, its count, the settled part of its prediction
+    and the weight left to deeper nodes, both relative to what the root gets, and its own
+    estimate; then, for the parents of the roots, key, zeros, ones and summed log weights.
     """
     levels = {}
     key, zeros, ones = _bits(key, n)
     own = weighed = _log_kt(zeros, ones)
     parents: dict[int, np.ndarray] = {}
     levels[DEPTH] = (key, zeros, ones, own, weighed)
-    for depth in range(DEPTH - 1, 1, -1):
+    for depth in range(DEPTH - 1, root - 1, -1):
         key, parents[depth + 1], (zeros, ones, children) = _up(key, depth + 1, zeros, ones, weighed)
         own = _log_kt(zeros, ones)
         weighed = _both(own, children)
         levels[depth] = (key, zeros, ones, own, weighed)
-    top, _, sums = _up(key, 2, zeros, ones, weighed)
-    keys, counts, values, rests, estimates = [], [], [], [], []
+    above, _, sums = _up(key, root, zeros, ones, weighed)
+    out = []
     done, rest = np.zeros(len(key)), np.ones(len(key))
-    for depth in range(2, DEPTH + 1):
+    for depth in range(root, DEPTH + 1):
         key, zeros, ones, own, weighed = levels[depth]
-        if depth > 2:
+        if depth > root:
             done, rest = done[parents[depth]], rest[parents[depth]]
         estimate = (ones + 0.5) / (zeros + ones + 1)
         share = _share(own, weighed) if depth < DEPTH else np.ones(len(key))
         done, rest = done + rest * share * estimate, rest * (1 - share)
-        keys.append(key | _U(depth << 56))
-        counts.append(zeros + ones)
-        values.append(done)
-        rests.append(rest)
-        estimates.append(estimate)
-    whole = map(np.concatenate, (keys, counts, values, rests, estimates))
-    return *whole, (top, *sums)
+        out.append((key | _U(depth << 56), _class(zeros + ones), done.astype(np.float32), rest.astype(np.float32), estimate.astype(np.float32)))
+    return tuple(map(np.concatenate, zip(*out, strict=True))), (above, *sums)
 
 
 def _crown(whole: bool, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,18 +242,43 @@ def _class(n: np.ndarray) -> np.ndarray:
 
 
 def _weigh(table: pa.Table) -> pa.Table:
+    """Weigh a bucket. Contexts of three bytes are independent below depth 3, so they go through in small parts."""
     key, n = _counted(
         np.concatenate([_unpack(b, _U) for b in table.column("key").to_pylist()]),
         np.concatenate([_unpack(b, np.int64) for b in table.column("n").to_pylist()]))
-    nodes, counts, done, rest, estimate, top = subtree(key, n)
+    near = key >> _U(8) & _U(0xFFFFFF)
+    order = np.argsort(near, kind="stable")
+    key, n, near = key[order], n[order], near[order]
+    ends = np.flatnonzero(np.r_[near[1:] != near[:-1], True]) + 1
+    parts, tops, begin = [], [], 0
+    while begin < len(key):
+        last = min(int(np.searchsorted(ends, begin + _PART)), len(ends) - 1)
+        stop = int(ends[last])
+        at = begin + np.argsort(key[begin:stop])
+        part, top = subtrees(key[at], n[at], 3)
+        parts.append(part)
+        tops.append(top)
+        begin = stop
+    nodes, step, done, rest, estimate = map(np.concatenate, zip(*parts, strict=True))
+    key2, of, sums = _up(np.concatenate([t[0] for t in tops]), 3, *(np.concatenate([t[i] for t in tops]) for i in (1, 2, 3)))
+    zeros, ones, children = sums
+    own = _log_kt(zeros, ones)
+    weighed = _both(own, children)
+    share, estimate2 = _share(own, weighed), (ones + 0.5) / (zeros + ones + 1)
+    done2, rest2 = share * estimate2, 1 - share
+    at = np.searchsorted(key2, nodes & _U(0xFFFFFF))
+    done = done2[at].astype(np.float32) + rest2[at].astype(np.float32) * done
+    rest = rest2[at].astype(np.float32) * rest
+    nodes, step = np.r_[nodes, key2 | _U(2 << 56)], np.r_[step, _class(zeros + ones)].astype(np.int16)
+    done, rest, estimate = (np.r_[x, y].astype(np.float32) for x, y in ((done, done2), (rest, rest2), (estimate, estimate2)))
     # what deeper contexts would add: a half each where they were never seen, and the node's
     # own estimate where they had to leave the tree
     values = np.stack([done + rest / 2, done + rest * estimate], 1)
-    steps = np.bincount(_class(counts), minlength=_CLASSES)
+    key1, _, sums = _up(key2, 2, zeros, ones, weighed)
     return pa.table({
-        "key": [nodes.tobytes()], "step": [_class(counts).astype(np.int16).tobytes()],
-        "value": [values.astype(np.float32).tobytes()], "steps": [steps.astype(np.int64).tobytes()],
-        "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in top)], "n_top": [len(top[0])],
+        "key": [nodes.tobytes()], "step": [step.tobytes()], "value": [values.tobytes()],
+        "steps": [np.bincount(step, minlength=_CLASSES).astype(np.int64).tobytes()],
+        "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in (key1, *sums))], "n_top": [len(key1)],
     })
 
 
@@ -329,7 +351,7 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     returned table. Words are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(text).cast("string").alias("text"))
     parts = durable(rows.mapInArrow(_gather(buckets), "kind int, bucket int, key binary, n binary"))
     trees = durable(parts.filter("kind = 0").groupBy("bucket").applyInArrow(
@@ -352,12 +374,16 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
                     [pa.array([np.frombuffer(k, _U)[often].tobytes()]), pa.array([np.frombuffer(v, np.float32)[1 if least else 0 :: 2][often].tobytes()])],
                     ["key", "value"])
 
-    key, value = [np.zeros(0, _U)], [np.zeros(0, np.float32)]
+    held = int(most[least]) if least < _CLASSES else 0
+    key, value, filled = np.empty(held, _U), np.empty(held, np.float32), 0
     for r in trees.select("key", "step", "value").mapInArrow(kept, "key binary, value binary").toLocalIterator():
-        key.append(np.frombuffer(bytes(r.key), _U))
-        value.append(np.frombuffer(bytes(r.value), np.float32))
-    key, value = np.concatenate(key), np.concatenate(value)
+        part = np.frombuffer(r.key, _U)
+        key[filled : filled + len(part)] = part
+        value[filled : filled + len(part)] = np.frombuffer(r.value, np.float32)
+        filled += len(part)
     order = np.argsort(key)
+    key, value = key[order], value[order]
+    del order
 
     def tally(table: pa.Table) -> pa.Table:
         h, n = _counted(
@@ -368,15 +394,15 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     counts = durable(parts.filter("kind = 1").groupBy("bucket").applyInArrow(tally, "word long, n long"))
     spread = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect()
     n_tokens, n_words = sum(r.tokens for r in spread), sum(r.words for r in spread)
-    limit, held = 100_001, 0
+    limit, words_held = 100_001, 0
     for r in sorted(spread, key=lambda r: -r.n):
-        if held + r.words > FREQUENT:
+        if words_held + r.words > FREQUENT:
             break
-        limit, held = r.n, held + r.words
+        limit, words_held = r.n, words_held + r.words
     frequent = counts.filter(F.col("n") >= limit).toArrow()
     word = frequent.column("word").to_numpy().view(_U)
     by = np.argsort(word)
-    model = Model(key[order], value[order], crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words)
+    model = Model(key, value, crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words)
     return model, counts.filter(F.col("n") < limit)
 
 
@@ -401,8 +427,9 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, id: str = "doc_id", te
             lists = [words(t) for t in batch.column("text").to_pylist()]
             key, size = _stream(lists)
             gram, _ = _distinct(key)
-            doc = np.repeat(np.arange(len(lists)), size)
+            doc = np.repeat(np.arange(len(lists), dtype=np.int32), size)
             bits = np.bincount(doc, _per_position(key, gram, m.code_length(gram)), len(lists))
+            del key, gram, doc
             place: dict[bytes, int] = {}
             tokens = np.array([len(t) for t in lists])
             number = np.fromiter((place.setdefault(w, len(place)) for t in lists for w in t), np.int64, int(tokens.sum()))
