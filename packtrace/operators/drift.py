@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from packtrace.functions.numeric import finite, number
 from packtrace.operators import quantiles
-from packtrace.spec import Skew
 
 DECILES = tuple(k / 10 for k in range(1, 10))
 MIN_VALUES = 5
@@ -28,38 +27,24 @@ def align(target: DataFrame, features: Sequence[str], keep: Sequence[str] = ())
     return target.select(*keep, *cols)
 
 
-def _long(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
-    values = df.select(*[finite(number(F.col(c))).alias(c) for c in columns])
-    return values.unpivot([], list(columns), "feature", "value").withColumn("side", F.lit(side))
+def _side(df: DataFrame, features: Sequence[str], side: str, approx: bool, accuracy: int) -> DataFrame:
+    found = quantiles.by_column(df, [finite(number(F.col(c))) for c in features], DECILES, approx, accuracy)
+    return found.withColumnsRenamed({c: f"{c}_{side}" for c in ("n", "mean", "std", "quantiles")})
 
 
 def compare(
-    source: DataFrame,
-    target: DataFrame,
-    features: Sequence[str] | None = None,
-    skew: Skew = Skew(),
-    approx: bool = False,
+    source: DataFrame, target: DataFrame, features: Sequence[str] | None = None, approx: bool = False, accuracy: int = quantiles.ACCURACY
 ) -> DataFrame:
     """One row per shared feature; NULL shifts where a side has fewer than five values.
 
     ``quantile_shift_scaled`` divides by the source's spread, so features of
-    different units can be compared.
+    different units can be compared. Both tables are read wide; ``approx`` reads them once.
     """
     features = list(features or common_columns(source, target))
-    rows = _long(source, features, "s").unionByName(_long(target, features, "t"))
-    keys = ["side", "feature"]
-    stats = rows.groupBy(*keys).agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
-    )
-    cuts = quantiles.by_group(rows, keys, F.col("value"), DECILES, skew, approx)
-    # two rows per column of the tables
-    stats = stats.join(F.broadcast(cuts), keys, "left")
-    per_side = {
-        f"{name}_{side}": F.max(F.when(F.col("side") == side, F.col(name)))
-        for side in "st"
-        for name in ("n", "mean", "std", "quantiles")
-    }
-    wide = stats.groupBy("feature").agg(*[c.alias(n) for n, c in per_side.items()])
+    names = F.array(*[F.lit(c) for c in features])
+    # one short row per feature and side
+    wide = _side(source, features, "s", approx, accuracy).join(F.broadcast(_side(target, features, "t", approx, accuracy)), "place")
+    wide = wide.withColumn("feature", names[F.col("place")])
     enough = (F.col("n_s") >= MIN_VALUES) & (F.col("n_t") >= MIN_VALUES)
     apart = F.array_max(F.zip_with("quantiles_s", "quantiles_t", lambda a, b: F.abs(a - b)))
     return wide.select(

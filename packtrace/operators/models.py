@@ -54,11 +54,12 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
-def impute_label(df: DataFrame, label: str, name: str = "y_true", skew: Skew = Skew()) -> DataFrame:
-    """Missing labels become the median label; infinite ones are dropped."""
+def impute_label(df: DataFrame, label: str, name: str = "y_true", accuracy: int = quantiles.ACCURACY) -> DataFrame:
+    """Missing labels become the median label; infinite ones are dropped. Starts no job."""
     y = number(F.col(label))
-    median = quantiles.by_group(df, [], y, [0.5], skew).select(F.col("quantiles")[0]).scalar()
-    return df.withColumn(name, F.coalesce(y, median)).filter(finite(F.col(name)).isNotNull())
+    median = quantiles.by_column(df, [y], [0.5], accuracy=accuracy).select(F.col("quantiles")[0].alias("_median"))
+    out = df.join(F.broadcast(median), on=F.lit(True), how="left")  # one row beside every row
+    return out.withColumn(name, F.coalesce(y, "_median")).drop("_median").filter(finite(F.col(name)).isNotNull())
 
 
 @dataclass(frozen=True)
@@ -251,7 +252,7 @@ def fit_soh(
     require(df, [label, sample, group])
     features = list(features or feature_columns(df, (label, sample, group, *exclude)))
     keep = ("sample_id", "y_true", "_group")
-    rows = impute_label(df, label, skew=skew).withColumn("sample_id", F.col(sample))
+    rows = impute_label(df, label).withColumn("sample_id", F.col(sample))
     rows = rows.withColumn("_group", F.col(group) if group else F.lit(None).cast("string"))
     rows = feature_matrix(rows, features, keep)
     rows = durable(split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed, skew))

@@ -10,6 +10,7 @@ from packtrace.session import durable
 from packtrace.spec import Skew
 
 PIVOTS = 500
+ACCURACY = 100_000  # of the approximate percentiles that bracket a rank
 
 
 def by_group(
@@ -160,3 +161,59 @@ def _interpolate(rows: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFram
     value_at = F.when(F.col("part") == 0, found).otherwise(found + F.col("part") * (upper - found))
     per_key = sides.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("p", value_at.alias("q")))).alias("q"))
     return per_key.select(*keys, F.col("q")["q"].alias("quantiles"))
+
+
+def by_column(
+    df: DataFrame, columns: Sequence[Column], probs: Sequence[float], approx: bool = False, accuracy: int = ACCURACY
+) -> DataFrame:
+    """One row per column of a wide table: place, n, mean, std and exact interpolated quantiles.
+
+    Starts no job and writes nothing. Three passes over ``df``: approximate percentiles bracket
+    each rank within 5 / accuracy of the rows, a count finds how many values lie below each
+    bracket, and only the values inside are ranked. Columns of at most ``accuracy`` values are
+    ranked whole. ``approx`` stops after the first pass.
+    """
+    probs = [float(p) for p in probs]
+    names = [f"_c{i}" for i in range(len(columns))]
+    values = df.select(*[c.cast("double").alias(n) for c, n in zip(columns, names)])
+    grid = [min(1.0, max(0.0, p + side * 4 / accuracy)) for p in probs for side in (-1, 1)]
+    wanted = probs if approx else grid
+
+    def facts(name: str) -> Column:
+        cuts = F.percentile_approx(name, wanted, accuracy)
+        return F.struct(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"), cuts.alias("cuts"))
+
+    first = values.agg(F.array(*[facts(n) for n in names]).alias("_f"))
+    stats = first.select(F.posexplode("_f").alias("place", "f")).select("place", "f.*")
+    if approx:
+        return stats.select("place", "n", "mean", "std", F.col("cuts").alias("quantiles"))
+    # one flat row of bracket ends beside every row
+    places, ends = range(len(names)), range(len(probs))
+    flat = [f"_f[{i}].cuts[{k}] as _e{i}_{k}" for i in places for k in range(len(grid))] + [f"_f[{i}].n as _n{i}" for i in places]
+    beside = values.join(F.broadcast(first.selectExpr(*flat)), on=F.lit(True), how="left")
+    counts = ", ".join(f"array({', '.join(f'count_if({n} < _e{i}_{2 * j})' for j in ends)})" for i, n in enumerate(names))
+    below = beside.agg(F.expr(f"array({counts})").alias("b"))
+    below = below.select(F.posexplode("b").alias("place", "b")).select("place", F.posexplode("b").alias("p", "below"))
+
+    def taken(i: int, v: str) -> str:
+        some = " or ".join([f"_n{i} <= {accuracy}", *[f"({v} >= _e{i}_{2 * j} and {v} <= _e{i}_{2 * j + 1})" for j in ends]])
+        return f"if({v} is not null and ({some}), struct({i} as place, {v} as v), null)"
+
+    picked = F.expr(f"explode(array_compact(array({', '.join(taken(i, n) for i, n in enumerate(names))})))")
+    held = beside.select(picked.alias("x")).select("x.*").groupBy("place", "v").agg(F.count(F.lit(1)).alias("k"))
+    ranks = stats.select("place", "n", "cuts", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("p", "prob")).join(below, ["place", "p"])
+    at = F.col("prob") * (F.col("n") - 1)
+    small = F.col("n") <= accuracy
+    ranks = ranks.select(
+        "place", "p", F.floor(at).alias("rank"), (at - F.floor(at)).alias("over"), F.when(small, 0).otherwise(F.col("below")).alias("below"),
+        F.when(~small, F.col("cuts")[2 * F.col("p")]).alias("lo"), F.when(~small, F.col("cuts")[2 * F.col("p") + 1]).alias("hi"))
+    inside = F.col("lo").isNull() | ((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+    upto = F.sum("k").over(Window.partitionBy("place", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    held = held.join(F.broadcast(ranks), "place").filter(inside).withColumn("upto", upto)
+    reached = F.col("below") + F.col("upto")
+    found = held.groupBy("place", "p", "over").agg(
+        F.min(F.when(reached > F.col("rank"), F.col("v"))).alias("a"), F.min(F.when(reached > F.col("rank") + 1, F.col("v"))).alias("b"))
+    value = F.when(F.col("over") == 0, F.col("a")).otherwise(F.col("a") + F.col("over") * (F.coalesce("b", "a") - F.col("a")))
+    per_column = found.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("p", value.alias("q")))).alias("q"))
+    per_column = per_column.select("place", F.col("q")["q"].alias("quantiles"))  # one short row per column
+    return stats.drop("cuts").join(F.broadcast(per_column), "place", "left")

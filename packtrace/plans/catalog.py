@@ -562,7 +562,7 @@ def _(spark, sf):
 
 @query("impute_label_large_table", _IMPUTED, "y_true")
 def _(spark, sf):
-    return models.impute_label(_gappy(spark, sf), "y", skew=TIGHT).select("sample_id", "y_true")
+    return models.impute_label(_gappy(spark, sf), "y", accuracy=100).select("sample_id", "y_true")
 
 
 @query(
@@ -1149,8 +1149,8 @@ def _drift_sql() -> str:
     from x s join x t on s.feature = t.feature and s.side = 's' and t.side = 't')"""
 
 
-def _shifts(spark, sf, skew=Skew()):
-    return drift.compare(views.view(spark, sf, "drift_source"), views.view(spark, sf, "drift_target"), skew=skew)
+def _shifts(spark, sf, **how):
+    return drift.compare(views.view(spark, sf, "drift_source"), views.view(spark, sf, "drift_target"), **how)
 
 
 @query("drift_features", f"{_drift_sql()} select * from d", _DRIFT_COLUMNS)
@@ -1160,7 +1160,7 @@ def _(spark, sf):
 
 @query("drift_features_large_tables", f"{_drift_sql()} select * from d", _DRIFT_COLUMNS)
 def _(spark, sf):
-    return _shifts(spark, sf, Skew(rows_per_task=5000))
+    return _shifts(spark, sf, accuracy=1000)
 
 
 @query(

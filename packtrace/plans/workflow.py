@@ -81,7 +81,7 @@ def run(
         stages.append(readiness.stage(spark, "soh_train", soh.metrics()))
         if target is not None:
             train = soh.rows.filter(~F.col("is_test"))
-            shifts = durable(drift.compare(train, drift.align(target, soh.model.features), soh.model.features, skew))
+            shifts = durable(drift.compare(train, drift.align(target, soh.model.features), soh.model.features))
             stages.append(readiness.stage(spark, "soh_drift", drift.summary(shifts)))
 
     risks = None
