@@ -27,7 +27,7 @@ SEED = 42
 LEAKING = ("soh_proxy_from_input", "soh_proxy", "soh_trend_5")
 
 # Cumulative Poisson(1) probabilities, the limit of drawing n rows out of n.
-_POISSON = (
+POISSON = (
     0.36787944117144233,
     0.7357588823428847,
     0.9196986029286058,
@@ -119,16 +119,17 @@ class FaultRun:
     model: FaultModel
     rows: DataFrame
     predictions: DataFrame
+    test_size: float = FAULT_TEST_SIZE
 
     def metrics(self, skew: Skew = Skew()) -> DataFrame:
-        """One row: counts, classes, accuracy, macro scores and AUROC on the test side."""
+        """One row: test share, counts, classes, accuracy, macro scores and AUROC on the test side."""
         classes = self.model.classes
         scores = evaluate.classification_metrics(self.predictions)
         area = evaluate.auroc_macro(self.predictions, classes, "probability", "true_label", skew)
         counts = evaluate.run_counts(self.rows, features=len(self.model.features))
         packed = counts.select(F.struct("*").alias("c")).scalar()
         out = scores.withColumns({"auroc": area.scalar(), "_c": packed})
-        return out.select("*", "_c.*", F.array(*[F.lit(c) for c in classes]).alias("classes")).drop("_c")
+        return out.select("*", "_c.*", F.array(*[F.lit(c) for c in classes]).alias("classes"), F.lit(self.test_size).alias("test_size")).drop("_c")
 
 
 def fit_fault(
@@ -161,16 +162,17 @@ def fit_fault(
     train.unpersist()
     model = FaultModel(fitted, classes, features)
     test = rows.filter("is_test")
-    return FaultRun(model, rows, model.predict(test, ("sample_id", "true_label")).persist())
+    return FaultRun(model, rows, model.predict(test, ("sample_id", "true_label")).persist(), test_size)
 
 
 def bootstrap_weight(sample: str, seed: int) -> Column:
     """How often a row occurs in a resample: Poisson(1), drawn from a hash of its id.
 
-    Tied to the id, a draw survives recomputation on another executor.
+    Tied to the id, a draw survives recomputation on another executor, and any engine can repeat it.
     """
-    u = F.pmod(F.xxhash64(F.lit(seed), F.col(sample)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    return sum((F.when(u >= c, 1.0).otherwise(0.0) for c in _POISSON), F.lit(0.0))
+    digest = F.substring(split.hash_rank(sample, seed), 1, 13)
+    u = F.conv(digest, 16, 10).cast("bigint") / F.lit(float(1 << 52))
+    return sum((F.when(u >= c, 1.0).otherwise(0.0) for c in POISSON), F.lit(0.0))
 
 
 @dataclass(frozen=True)

@@ -179,26 +179,20 @@ def _(spark, sf):
     return integrity.severity(_tally(spark, sf))
 
 
-@query(
-    "integrity_report",
-    f"""{_DENSE_CHECKED} select count(*) as rows_total, count(*) filter (where {_ANY}) as flagged_rows,
-    count(*) filter (where duplicate_row) as duplicate_row, count(*) filter (where gap) as gap,
-    count(*) filter (where replay_pattern) as replay_pattern, 3.0::double as voltage_jump_threshold,
-    3 as flatline_window, cast(0 as bigint) as rows_null_device from checked""",
-)
-def _(spark, sf):
-    source = _dense(spark, sf)
-    report = integrity.report(_tally(spark, sf), LIMITS, source)
-    return report.select(
-        "rows_total",
-        "flagged_rows",
-        "severity.duplicate_row",
-        "severity.gap",
-        "severity.replay_pattern",
-        "parameters.voltage_jump_threshold",
-        "parameters.flatline_window",
-        "rows_null_device",
-    )
+_PARAMETERS = """3.0::double as voltage_jump_threshold, 0.5::double as current_jump_threshold, 8.0::double as temp_jump_threshold,
+    3 as flatline_window, 3.0::double as gap_multiplier"""
+_REPORT_SQL = f"""{_DENSE_CHECKED} select count(*) as rows_total, count(*) filter (where {_ANY}) as flagged_rows,
+    {', '.join(f'count(*) filter (where {r}) as {r}' for r in integrity.REASONS)}, {_PARAMETERS},
+    cast(0 as bigint) as rows_null_device from checked"""
+
+
+def _whole_report(report: DataFrame) -> DataFrame:
+    return report.select("rows_total", "flagged_rows", "severity.*", "parameters.*", "rows_null_device")
+
+
+@query("integrity_report", _REPORT_SQL)
+def _(spark, sf):
+    return _whole_report(integrity.report(_tally(spark, sf), LIMITS, _dense(spark, sf)))
 
 
 @query(
@@ -377,17 +371,19 @@ def _(spark, sf):
     return cycles.feature_stats(_soh(spark, sf).select(*cycles.SOH_FEATURES))
 
 
+_FAULT_COLUMNS = ("device", "cycle", *cycles.FAULT_FEATURES, "max_abs_temp_rate")
+
+
 @query(
     "feature_stats_report",
-    f"""{_FAULT_SQL} select count(*) as rows, count(*) as cycles, 11 as features,
-    avg(case when initial_min_voltage is null then 1e0 else 0e0 end) as initial_min_voltage_missing from fault""",
-    "initial_min_voltage_missing",
+    f"""{_FAULT_SQL} select count(*) as rows, count(*) as cycles, 11 as features, '{",".join(_FAULT_COLUMNS)}' as columns,
+    {', '.join(f"avg(case when {c} is null then 1e0 else 0e0 end) as {c}_missing" for c in _FAULT_COLUMNS)} from fault""",
+    " ".join(f"{c}_missing" for c in _FAULT_COLUMNS),
 )
 def _(spark, sf):
-    report = cycles.stats_report(_fault(spark, sf))
-    return report.select(
-        "rows", "cycles", "features", F.col("nan_rates.initial_min_voltage").alias("initial_min_voltage_missing")
-    )
+    report = cycles.stats_report(_fault(spark, sf).select(*_FAULT_COLUMNS))
+    rates = [F.col(f"nan_rates.{c}").alias(f"{c}_missing") for c in _FAULT_COLUMNS]
+    return report.select("rows", "cycles", "features", F.array_join("columns", ",").alias("columns"), *rates)
 
 
 @query(
@@ -599,14 +595,26 @@ def _(spark, sf):
     return _csv_round_trip(spark, rows.select(*cols))
 
 
+@query("json_report_sink", _REPORT_SQL)
+def _(spark, sf):
+    path = f"{scratch(spark, 'report')}.json"
+    report = integrity.report(_tally(spark, sf), LIMITS)
+    sinks.write_json(report, path)
+    return _whole_report(spark.read.schema(report.schema).json(path))
+
+
 @query(
-    "json_report_sink",
-    f"{_DENSE_CHECKED} select count(*) as rows_total, count(*) filter (where {_ANY}) as flagged_rows from checked",
+    "required_columns",
+    "select 'Missing columns: volts, amps' as message, count(*) as rows from events",
 )
 def _(spark, sf):
-    path = f"{scratch(spark, 'report')}.json"
-    sinks.write_json(integrity.report(_tally(spark, sf), LIMITS), path)
-    return tables.read_table(spark, path).select("rows_total", "flagged_rows")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    try:
+        tables.require(events, ["ts", "volts", None, "amps", "user_id"])
+        said = ""
+    except ValueError as error:
+        said = str(error)
+    return events.agg(F.lit(said).alias("message"), F.count(F.lit(1)).alias("rows"))
 
 
 @query(
@@ -1410,14 +1418,27 @@ def _(spark, sf):
     return prompts.compose(rows, tables.MECHANISMS).select("sample_id", "format", "prompt")
 
 
-@query("fault_model_artifacts")
+@query(
+    "fault_model_artifacts",
+    "select unnest(['model', 'predictions', 'importance', 'attributions', 'metrics', 'prompts', 'prompt_pack']) as artifact, true as present",
+)
 def _(spark, sf):
-    run = _fault_run(spark, sf)
-    path = scratch(spark, "fault-model")
-    sinks.save_model(run.model.fitted, path)
-    top = attribution.top(run.model.explain(run.predictions))
-    made = {"model": path, "metrics": run.metrics(), "attributions": top, "prompt_pack": prompts.compose(top)}
-    return readiness.artifacts_complete(spark, made)
+    job = workflow.run_fault(_labelled_faults(spark, sf, 2), "fault", "sample_id", fitted=_fault_run(spark, sf))
+    return workflow.write_fault(job, scratch(spark, "fault-job"))
+
+
+_SAMPLES_SQL = f"""{_FAULT_SQL}, f as (select concat_ws('/', device, cast(cycle as varchar)) as sample_id, terminal_temp,
+  case when terminal_temp > (select avg(terminal_temp) from fault) then 'thermal' else 'normal' end as y from fault),
+s as (select *, row_number() over (partition by y order by md5(concat_ws('#', sample_id, '42'))) <= round(0.2 * count(*) over (partition by y)) as is_test from f)"""
+
+
+@query(
+    "fault_model_counts",
+    f"""{_SAMPLES_SQL} select count(*) filter (where not is_test) as n_train, count(*) filter (where is_test) as n_test,
+    cast(10 as int) as n_features, cast(0.2 as double) as test_size from s""",
+)
+def _(spark, sf):
+    return _fault_run(spark, sf).metrics().select("n_train", "n_test", "n_features", "test_size")
 
 
 @query("fault_model_nodes")
@@ -1431,18 +1452,35 @@ def _soh_table(spark, sf) -> DataFrame:
 
 
 def _soh_run(spark, sf, model="rf"):
+    return _once(spark, "soh", sf, model, fit=lambda: _fit_soh(spark, sf, model))
+
+
+def _fit_soh(spark, sf, model):
     return models.fit_soh(
         _soh_table(spark, sf),
         "soh_proxy",
         "sample_id",
         group="device",
         model=model,
-        n_trees=20,
-        max_depth=5,
-        n_bootstrap=3,
+        # rounds of boosting follow one another: the documented size takes minutes on any table
+        **({"n_trees": 20, "max_depth": 5, "n_bootstrap": 3} if model == "gb" else {}),
     )
 
 
+def _draws_sql() -> str:
+    u = "('0x' || substr(md5(concat_ws('#', cast(o_orderkey as varchar), '{k}')), 1, 13))::ubigint / 4503599627370496e0"
+    times = " + ".join(f"case when u >= {c!r} then 1e0 else 0e0 end" for c in models.POISSON)
+    parts = " union all ".join(f"select o_orderkey, {k} as seed, {u.format(k=k)} as u from orders" for k in (142, 143))
+    return f"select o_orderkey, seed, {times} as weight from ({parts}) d"
+
+
+@query("bootstrap_draws", _draws_sql())
+def _(spark, sf):
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey")
+    one = [orders.select("o_orderkey", F.lit(k).alias("seed"), models.bootstrap_weight("o_orderkey", k).alias("weight")) for k in (142, 143)]
+    return one[0].unionByName(one[1])
+
+
 @query("soh_model_predictions")
 def _(spark, sf):
     return _soh_run(spark, sf).predictions
@@ -1505,10 +1543,10 @@ def _stream(spark, sf, name: str) -> DataFrame:
           cast(sum(case when n > 1 then n else 0 end) as bigint) as duplicate_rows, min(vl) as voltage_min,
           min(cl) as current_min, min(tl) as temperature_min, max(vh) as voltage_max, max(ch) as current_max,
           max(th) as temperature_max from i group by window_start_us, device)
-    select * from g where window_start_us + 21600000000 <= (select max(t_us) from t) - 600000000""",
+    select * from g""",
 )
 def _(spark, sf):
-    return live.drain(live.window_counts(_stream(spark, sf, "telemetry_dense"), "6 hours"), "windows")
+    return live.drain_windows(_stream(spark, sf, "telemetry_dense"), "6 hours")
 
 
 @query("live_distinct_packets", f"with t as ({views.duckdb('telemetry_dense')}) select distinct device, t_us from t")

@@ -1,4 +1,4 @@
-"""Field workflow: integrity, features, State-of-Health training, risks, readiness."""
+"""Whole jobs: the field workflow (integrity, features, State-of-Health training, risks, readiness) and the fault model."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from packtrace.operators import cycles, drift, integrity, models, readiness, risk
+from packtrace.operators import attribution, cycles, drift, evaluate, integrity, models, prompts, readiness, risk
 from packtrace.session import durable
 from packtrace.sources import sinks, tables
 from packtrace.spec import IntegrityLimits, Skew, SohLimits
@@ -25,6 +25,9 @@ class FieldRun:
     risks: DataFrame | None
     summary: DataFrame
     gates: DataFrame | None
+    report: DataFrame | None = None
+    target_predictions: DataFrame | None = None
+    target_metrics: DataFrame | None = None
 
 
 def run(
@@ -45,17 +48,19 @@ def run(
 ) -> FieldRun:
     """Run every stage in one session on canonical telemetry.
 
-    ``target`` is feature rows of another fleet to compare with. Training is skipped,
-    not failed, when the features hold no ``label``.
+    ``target`` is feature rows of another fleet, with a ``sample_id``: it is compared with the
+    training side, scored, and evaluated if it holds ``label``. Training is skipped, not
+    failed, when the features hold no ``label``.
     """
     stages = []
-    checked = tallied = None
+    checked = tallied = report = scored = measured = None
     if skip_integrity:
         stages.append(readiness.stage(spark, "telemetry_integrity", None, "skipped by request"))
     else:
         checked = integrity.checks(telemetry, integrity_limits, skew=skew)
         tallied = durable(integrity.tally(checked))
-        stages.append(readiness.stage(spark, "telemetry_integrity", integrity.report(tallied, integrity_limits, telemetry)))
+        report = durable(integrity.report(tallied, integrity_limits, telemetry))
+        stages.append(readiness.stage(spark, "telemetry_integrity", report))
 
     # read by labelling, training, drift and the report, so reduced from telemetry once
     features = durable(cycles.soh_features(telemetry, soh_limits, skew=skew))
@@ -83,6 +88,12 @@ def run(
             train = soh.rows.filter(~F.col("is_test"))
             shifts = durable(drift.compare(train, drift.align(target, soh.model.features), soh.model.features))
             stages.append(readiness.stage(spark, "soh_drift", drift.summary(shifts)))
+            scored = durable(models.score_target(soh, target, "sample_id", label))
+            measured = scored.agg(F.count(F.lit(1)).alias("target_rows"))
+            if label in target.columns:
+                known = evaluate.regression_metrics(scored)
+                measured = measured.join(F.broadcast(known), on=F.lit(True), how="left")  # one row each
+            stages.append(readiness.stage(spark, "soh_target", measured))
 
     risks = None
     if skip_security:
@@ -95,20 +106,80 @@ def run(
     gates = None
     if tallied is not None or soh is not None or risks is not None:
         gates = readiness.gates(tallied, soh.predictions if soh else None, shifts, risks, gate_limits)
-    return FieldRun(checked, features, soh, shifts, risks, readiness.summarise(stages), gates)
+    return FieldRun(checked, features, soh, shifts, risks, readiness.summarise(stages), gates, report, scored, measured)
 
 
 def write(run: FieldRun, folder: str) -> None:
     """Write every result of a run below ``folder``."""
     if run.checked is not None:
         sinks.write_table(integrity.flagged(run.checked), f"{folder}/integrity_flags")
+        sinks.write_json(run.report, f"{folder}/integrity_report")
+        sinks.write_lines(sinks.integrity_summary(run.report), f"{folder}/integrity_summary")
+    sinks.write_json(cycles.stats_report(run.features), f"{folder}/soh_feature_stats")
     sinks.write_table(run.features, f"{folder}/soh_features")
     if run.soh is not None:
         sinks.write_table(run.soh.predictions, f"{folder}/soh_predictions")
         sinks.write_table(run.soh.model.importance(run.features.sparkSession), f"{folder}/soh_feature_importance")
         sinks.save_model(run.soh.model.fitted, f"{folder}/soh_model")
+        sinks.write_json(run.soh.metrics(), f"{folder}/soh_metrics")
+        sinks.write_table(evaluate.uncertainty_table(run.soh.predictions), f"{folder}/soh_uncertainty")
     if run.shifts is not None:
         sinks.write_table(run.shifts, f"{folder}/soh_drift_features")
+        sinks.write_json(drift.summary(run.shifts), f"{folder}/soh_drift_summary")
+        sinks.write_table(run.target_predictions, f"{folder}/soh_target_predictions")
+        sinks.write_json(run.target_metrics, f"{folder}/soh_target_metrics")
     if run.risks is not None:
-        sinks.write_table(run.risks, f"{folder}/risk_register")
+        ranked = durable(risk.ranked(run.risks))
+        sinks.write_table(ranked, f"{folder}/risk_register")
+        sinks.write_lines(sinks.risk_markdown(ranked), f"{folder}/risk_register_text")
+        plan = risk.controls_plan(run.risks)
+        sinks.write_table(plan, f"{folder}/controls_plan")
+        sinks.write_lines(sinks.controls_markdown(plan), f"{folder}/controls_plan_text")
+        sinks.write_json(risk.summary(run.risks), f"{folder}/risk_summary")
+    if run.gates is not None:
+        sinks.write_json(run.gates, f"{folder}/gates")
     sinks.write_json(run.summary, f"{folder}/summary")
+
+
+@dataclass(frozen=True)
+class FaultJob:
+    run: models.FaultRun
+    metrics: DataFrame
+    hard_cases: DataFrame
+    importance: DataFrame
+    top: DataFrame
+    prompts: DataFrame
+
+
+def run_fault(
+    features: DataFrame,
+    label: str,
+    sample: str,
+    mechanisms: dict[str, str] | DataFrame | None = None,
+    top_k: int = attribution.TOP_K,
+    fmt: str = "markdown",
+    fitted: models.FaultRun | None = None,
+    **training,
+) -> FaultJob:
+    """Train the fault model, evaluate it, explain its test rows and render their prompts."""
+    run = fitted or models.fit_fault(features, label, sample, **training)
+    explained = durable(run.model.explain(run.predictions, toward="predicted"))
+    top = attribution.top(explained, top_k)
+    hard = evaluate.hard_cases(run.predictions, len(run.model.classes))
+    packed = prompts.compose(top, tables.MECHANISMS if mechanisms is None else mechanisms, fmt=fmt)
+    return FaultJob(run, run.metrics(), hard, attribution.global_importance(explained), top, packed)
+
+
+def write_fault(job: FaultJob, folder: str) -> DataFrame:
+    """Write every result of the fault job below ``folder``; one row per artifact that must hold rows."""
+    sinks.save_model(job.run.model.fitted, f"{folder}/model")
+    sinks.write_json(job.metrics, f"{folder}/metrics")
+    made = {"predictions": job.run.predictions.drop("features"), "hard_cases": job.hard_cases, "importance": job.importance, "attributions": job.top}
+    for name, table in made.items():
+        sinks.write_table(table, f"{folder}/{name}")
+    sinks.write_json(job.prompts.drop("summary"), f"{folder}/prompts")
+    sinks.write_lines(sinks.prompt_markdown(job.prompts), f"{folder}/prompt_pack")
+    spark = job.top.sparkSession
+    back = {n: spark.read.parquet(f"{folder}/{n}") for n in ("predictions", "importance", "attributions")}
+    back |= {n: spark.read.json(f"{folder}/{n}") for n in ("metrics", "prompts")}
+    return readiness.artifacts_complete(spark, {"model": f"{folder}/model", **back, "prompt_pack": spark.read.text(f"{folder}/prompt_pack")})

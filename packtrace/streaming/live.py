@@ -100,6 +100,33 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
+_END_OF_TIME = 253_402_300_799_000_000  # the last second of the year 9999, in microseconds
+
+
+def drain_windows(stream: DataFrame, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+    """``window_counts`` of a bounded stream, its last windows included.
+
+    Once all input is read, the same query goes on with one row of the far future from a
+    source of its own: the watermark passes every window of the input, and they come out.
+    """
+    spark = stream.sparkSession
+    path = scratch(spark, "windows")
+    nothing = spark.createDataFrame([], stream.schema)
+    nothing.write.parquet(f"{path}/end")
+    both = stream.unionByName(spark.readStream.schema(stream.schema).parquet(f"{path}/end"))
+    counts = window_counts(both, size, delay)
+
+    def run() -> None:
+        writer = counts.writeStream.format("parquet").option("path", f"{path}/out")
+        writer.option("checkpointLocation", f"{path}/log").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    last = {c.name: F.lit(_END_OF_TIME if c.name == "t_us" else None).cast(c.dataType).alias(c.name) for c in stream.schema}
+    spark.range(1).select(*last.values()).write.mode("append").parquet(f"{path}/end")
+    run()
+    return spark.read.schema(counts.schema).parquet(f"{path}/out")
+
+
 def drain_arrivals(stream: DataFrame, limits: IntegrityLimits = IntegrityLimits(), skew: Skew = Skew()) -> DataFrame:
     path = scratch(stream.sparkSession, "arrivals")
     step = ArrivalFlags(path, limits, skew)
