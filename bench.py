@@ -2,9 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Every query is written to Spark's ``noop`` sink, so all rows are produced and none
-travel to the driver. Queries named on the command line replace the headline set;
-`integrity_flags_hot_devices` and `drift_features_large_tables` are left to that, as
-their tiny task limits make them a correctness trial that takes minutes at sf0.1.
+travel to the driver. Queries named on the command line replace the headline set.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from packtrace.session import build  # noqa: E402
 
 HEADLINE = (
     "integrity_flags",
+    "integrity_flags_hot_devices",
     "integrity_severity",
     "integrity_replay_pattern",
     "fault_features",
@@ -36,6 +35,7 @@ HEADLINE = (
     "top_attributions",
     "prompt_markdown",
     "drift_features",
+    "drift_features_large_tables",
     "risk_register",
     "rollout_gates",
     "live_window_counts",

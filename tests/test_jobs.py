@@ -129,6 +129,69 @@ def test_csv_of_no_flags_keeps_its_header(spark):
     assert "flagged" in flags.columns and tables.read_table(spark, path, "seq int").count() == 0
 
 
+@pytest.mark.parametrize("text,want", [("1700000012", 1_700_000_012_000_000), ("1700000012.5", 1_700_000_012_500_000),
+                                       ("2023-11-14 22:13:32", 1_700_000_012_000_000), ("soon", None), ("NaN", None), (None, None)])
+def test_times_as_text(spark, text, want):
+    df = spark.createDataFrame([(text, 1, 2.0)], "t string, n int, v double")
+    assert df.select(tables.micros(df, "t").alias("us")).first().us == want
+
+
+def test_extra_columns_pass_and_tell_rows_apart(spark):
+    raw = [("a", 1.0, i, 3.0, f"frame {i}") for i in range(4)]
+    df = spark.createDataFrame(raw, "cell string, t double, n int, v double, note string")
+    spec = ColumnSpec(time="t", order="n", device="cell", voltage="v")
+    rows = tables.normalise(df, spec)
+    assert "note" in rows.columns and "note" not in tables.normalise(df, spec, extras=[]).columns
+    only = ["replay_pattern"]
+    assert integrity.checks(rows, only=only).filter("replay_pattern").isEmpty()
+    assert integrity.checks(rows.drop("note"), only=only).filter("replay_pattern").count() == 4
+
+
+def test_formats_by_name_or_choice(spark):
+    path = scratch(spark, "plain-folder")
+    spark.range(3).write.option("header", True).csv(path)
+    assert tables.read_table(spark, path, fmt="csv").count() == 3
+    with pytest.raises(ValueError):
+        tables.read_table(spark, path, fmt="xml")
+
+
+def test_wide_quantiles_start_no_job_and_are_exact(spark):
+    import numpy as np
+    from packtrace.operators import quantiles
+
+    rng = np.random.default_rng(4)
+    values = np.round(rng.normal(size=4000), 2)
+    df = spark.createDataFrame([(float(v), None, 7.0) for v in values], "x double, none double, same double").repartition(3)
+    tracker, group = spark.sparkContext.statusTracker(), "wide-quantiles"
+    spark.sparkContext.setJobGroup(group, group)
+    probs = [0.0, 0.1, 0.333, 0.5, 0.99, 1.0]
+    plan = quantiles.by_column(df, [F.col(c) for c in df.columns], probs, accuracy=200)
+    assert not tracker.getJobIdsForGroup(group)
+    found = {r.place: r for r in plan.collect()}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert np.allclose(found[0].quantiles, np.quantile(values, probs)) and found[0].n == 4000
+    assert found[1].n == 0 and found[2].quantiles == [7.0] * len(probs)
+
+
+def test_drift_reads_each_side_three_times_at_most(spark, sf_dir):
+    shifts = drift.compare(views.view(spark, sf_dir, "drift_source"), views.view(spark, sf_dir, "drift_target"))
+    shifts.collect()
+    plan = shifts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= 6
+
+
+def test_clear_removes_what_was_written(spark):
+    from packtrace import session
+
+    kept, session._MADE[:] = list(session._MADE), []
+    path = scratch(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.clear(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    session._MADE[:] = kept
+
+
 def test_durable_copy(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     assert same_rows(df, durable(df))
@@ -149,12 +212,32 @@ def test_workflow(spark, sf_dir):
     path = scratch(spark, "run")
     workflow.write(run, path)
     assert spark.read.parquet(f"{path}/soh_features").count() == run.features.count()
+    assert spark.read.parquet(f"{path}/risk_register").count() == 60
+    assert spark.read.parquet(f"{path}/controls_plan").count() == 20
+    assert spark.read.json(f"{path}/gates").count() == 8
+    assert spark.read.json(f"{path}/integrity_report").first().rows_total == telemetry_rows.count()
+    assert spark.read.text(f"{path}/risk_register_text").count() == 64
+    assert {"mae", "rmse"} <= set(spark.read.json(f"{path}/soh_metrics").select("test.*").columns)
     skipped = workflow.run(spark, telemetry_rows, label="nothing", skip_integrity=True, skip_security=True)
     steps = {s.stage: s for s in skipped.summary.first().steps}
     assert steps["soh_train"].reason == "missing label column nothing"
     assert steps["telemetry_integrity"].status == "skipped" and skipped.gates is None
 
 
+def test_target_branch(spark, sf_dir):
+    rows = views.view(spark, sf_dir, "telemetry_cycles")
+    features = cycles.soh_labels(cycles.soh_features(rows, SohLimits(cc_slope=1e-4)))
+    target = features.withColumn("sample_id", F.concat_ws("/", "device", F.col("cycle").cast("string")))
+    run = workflow.run(spark, rows, target=target, skip_integrity=True, skip_security=True, soh_limits=SohLimits(cc_slope=1e-4),
+                       n_trees=3, max_depth=2, n_bootstrap=1)
+    measured = run.target_metrics.first()
+    assert measured.target_rows == target.count() == run.target_predictions.count() and measured.mae >= 0
+    path = scratch(spark, "target")
+    workflow.write(run, path)
+    assert spark.read.parquet(f"{path}/soh_target_predictions").count() == measured.target_rows
+    assert spark.read.json(f"{path}/soh_drift_summary").first().num_features > 10
+
+
 def test_gates_need_input(spark):
     with pytest.raises(ValueError):
         readiness.gates()
