@@ -78,9 +78,9 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    found = warc.derive(warc.responses(table(spark, sf_dir, "pages")), carry="page_id")
     return found.select(
-        "warc_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest", "payload_digest",
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "content_type", "content_length", "block_digest", "payload_digest",
         "source_headers")
 
 

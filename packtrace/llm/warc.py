@@ -207,27 +207,33 @@ def derivatives(response: dict) -> list[dict]:
     ]
 
 
-def derive(records: DataFrame) -> DataFrame:
+def derive(records: DataFrame, carry: str | None = None) -> DataFrame:
     """Metadata and conversion records of all response records; records of other types give none.
 
+    ``carry`` names a bigint column, such as the id of the page, to hand on to the derivatives.
+
     Null ids, targets, dates and headers stay null; a null block counts as empty. Repeated
     responses give repeated derivatives. Each record is derived on its own: nothing is shuffled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "block", _SLICE):
-            rows = [d for r in batch.to_pylist() for d in derivatives(r)]
-            yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+            rows = [{**d, **({carry: r[carry]} if carry else {})} for r in batch.to_pylist() for d in derivatives(r)]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    names = [f.name for f in _SCHEMA]
-    return records.filter(F.col("warc_type") == "response").select(*names).mapInArrow(run, _KINDS)
+    names = [f.name for f in _SCHEMA] + [carry] * bool(carry)
+    schema = _SCHEMA.append(pa.field(carry, pa.int64())) if carry else _SCHEMA
+    kinds = f"{_KINDS}, `{carry}` long" if carry else _KINDS
+    return records.filter(F.col("warc_type") == "response").select(*names).mapInArrow(run, kinds)
 
 
 def responses(pages: DataFrame, url: str = "url", html: str = "html", id: str = "page_id", date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Response records for a table of raw pages, as a crawler would have stored them; null pages are empty.
 
     The record id follows from the page's id, address and payload, so repeated rows share it.
+    One more column, ``page_id``, holds the page's id.
     """
+    schema = _SCHEMA.append(pa.field("page_id", pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html", _SLICE):
@@ -239,11 +245,11 @@ def responses(pages: DataFrame, url: str = "url", html: str = "html", id: str =
                 rows.append({
                     "warc_type": "response", "record_id": record_id("response", key, target, of), "target_uri": target, "date": date,
                     "content_type": "application/http; msgtype=response", "content_length": len(block), "block_digest": digest(block),
-                    "payload_digest": of, "block": block})
-            yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+                    "payload_digest": of, "block": block, "page_id": key})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     rows = pages.select(F.col(id).cast("long").alias("key"), F.col(url).cast("string").alias("target"), F.col(html).cast("string").alias("html"))
-    return rows.mapInArrow(run, _KINDS)
+    return rows.mapInArrow(run, f"{_KINDS}, page_id long")
 
 
 def gzip_record(row: dict) -> bytes:

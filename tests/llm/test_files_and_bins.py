@@ -91,6 +91,8 @@ def test_derivatives_are_linked(spark):
     assert text == "T & t\nOne two\né <3 go"
     assert about["title"] == "T & t" and about["links"] == ["/l?a=1&b"] and ["Content-Type", "text/html; charset=utf-8"] in about["http_headers"]
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
+    carried = warc.derive(warc.responses(pages), carry="page_id").select("page_id", "refers_to").collect()
+    assert sorted((r.page_id, r.refers_to) for r in carried) == sorted((s.page_id, k) for k, s in sources.items() for _ in (1, 2))
     assert warc.derive(warc.derive(warc.responses(pages))).count() == 0  # no responses among them
 
 
