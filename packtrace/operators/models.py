@@ -140,7 +140,6 @@ def fit_fault(
     test_size: float = FAULT_TEST_SIZE,
     seed: int = SEED,
     model_kwargs: dict | None = None,
-    skew: Skew = Skew(),
 ) -> FaultRun:
     """Gradient-boosted trees on a stratified split; more than two classes go one-vs-rest."""
     require(df, [label, sample])
@@ -152,7 +151,7 @@ def fit_fault(
     rows = df.withColumnsRenamed({sample: "sample_id"}).withColumn("true_label", F.col(label).cast("string"))
     rows = feature_matrix(rows.filter(F.col("true_label").isNotNull()), features, ("sample_id", "true_label"))
     # training reads its table many times; a written one has partitions of sensible size
-    rows = durable(split.stratified(rows, "true_label", "sample_id", test_size, seed, skew))
+    rows = durable(split.stratified(rows, "true_label", "sample_id", test_size, seed))
     position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("true_label")) - 1
     train = _assembled(rows.filter(~F.col("is_test")), features)
     train = train.select("features", position.cast("double").alias("label")).persist()
@@ -248,7 +247,6 @@ def fit_soh(
     seed: int = SEED,
     n_bootstrap: int = 20,
     parallelism: int = 4,
-    skew: Skew = Skew(),
 ) -> SohRun:
     """Regressor plus resampled refits; columns derived from the label are left out by default."""
     require(df, [label, sample, group])
@@ -257,7 +255,7 @@ def fit_soh(
     rows = impute_label(df, label).withColumn("sample_id", F.col(sample))
     rows = rows.withColumn("_group", F.col(group) if group else F.lit(None).cast("string"))
     rows = feature_matrix(rows, features, keep)
-    rows = durable(split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed, skew))
+    rows = durable(split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed))
     train = _assembled(rows.filter(~F.col("is_test")), features).select("sample_id", "features", "y_true").persist()
     fitted = _soh_learner(model, n_trees, max_depth, seed).fit(train.withColumn("_w", F.lit(1.0)))
 

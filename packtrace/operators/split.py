@@ -2,49 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from packtrace.operators.ordered import Groups, position
-from packtrace.spec import Skew
+_BITS, _STEP = 52, 13  # of a hash, and of what one pass settles
 
 
 def hash_rank(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("#", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def stratified(
-    df: DataFrame, label: str, sample: str, test_size: float = 0.2, seed: int = 42, skew: Skew = Skew()
-) -> DataFrame:
-    """Add ``is_test``: of every label, the rounded share with the smallest hashes."""
-    rows = df.withColumn("_h", hash_rank(sample, seed))
-    groups = Groups.measure(rows, [label], {"draw": ["_h"]}, skew)
+def _place(key: str, seed: int) -> Column:
+    """The first 52 bits of the hash as a number, which orders ids as the hash does."""
+    return F.conv(F.substring(hash_rank(key, seed), 1, _BITS // 4), 16, 10).cast("bigint")
 
-    def run(part: DataFrame, scans) -> DataFrame:
-        part = scans["draw"].total(part, _n=F.count(F.lit(1)))
-        part = scans["draw"].look(part, sums={"_r": F.lit(1).cast("bigint")})
-        return part.withColumn("is_test", F.col("_r") <= F.round(F.lit(test_size) * F.col("_n")))
 
-    return groups.apply(rows, run).drop("_h", "_r", "_n")
+def _beside(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    """Every row next to the state of its group; without groups the state is one row."""
+    if not by:
+        return rows.join(F.broadcast(state), on=F.lit(True), how="left")
+    named = state.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    match = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return rows.join(named, match, "left").drop(*[f"_by_{c}" for c in by])
 
 
-def _cut(hashes: DataFrame, test_size: float, skew: Skew) -> Column:
-    """Largest hash that still goes to the test side, as a scalar of the plan."""
-    keys = hashes.distinct()
-    ranked = position(keys, [], ["_h"], "_r", skew, like=hashes)
-    wanted = F.ceil(F.lit(test_size) * keys.agg(F.count(F.lit(1))).scalar())
-    return ranked.filter(F.col("_r") <= wanted).agg(F.max("_h")).scalar()
+def _thresholds(rows: DataFrame, by: list[str], wanted: Column) -> DataFrame:
+    """Per group the ``wanted``-th smallest ``_u``, as ``_last``; -1 where none is wanted.
+
+    Each pass counts rows by the next 13 bits and keeps the part that holds the rank: counts
+    are combined before they are shuffled, no order of all rows is made, and no job starts here.
+    """
+    state = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    state = state.select(*by, F.lit(0).cast("bigint").alias("_prefix"), wanted.cast("bigint").alias("_left"))
+    for shift in range(_BITS - _STEP, -1, -_STEP):
+        held = _beside(rows, state, by).filter((F.col("_left") > 0) & (F.shiftright("_u", shift + _STEP) == F.col("_prefix")))
+        parts = held.groupBy(*by, F.shiftright("_u", shift).alias("_part"), "_left").agg(F.count(F.lit(1)).alias("n"))
+        # at most 8,192 parts per group
+        order = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+        parts = parts.withColumn("_upto", F.sum("n").over(order)).filter(F.col("_upto") >= F.col("_left"))
+        found = F.min(F.struct("_part", (F.col("_left") - F.col("_upto") + F.col("n")).alias("left")))
+        state = parts.groupBy(*by).agg(found.alias("f")).select(*by, F.col("f._part").alias("_prefix"), F.col("f.left").alias("_left"))
+    return state.select(*by, F.col("_prefix").alias("_last"))
+
+
+def _drawn(rows: DataFrame, limits: DataFrame, by: list[str]) -> DataFrame:
+    out = _beside(rows, limits, by).withColumn("is_test", F.coalesce(F.col("_u") <= F.col("_last"), F.lit(False)))
+    return out.drop("_u", "_last")
+
+
+def stratified(df: DataFrame, label: str, sample: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``is_test``: of every label, the rounded share with the smallest hashes; copies of an id stay together."""
+    rows = df.withColumn("_u", _place(sample, seed))
+    return _drawn(rows, _thresholds(rows.select(label, "_u"), [label], F.round(F.lit(test_size) * F.col("n"))), [label])
 
 
-def by_group(
-    df: DataFrame, sample: str, group: str | None = None, test_size: float = 0.25, seed: int = 42, skew: Skew = Skew()
-) -> DataFrame:
+def by_group(df: DataFrame, sample: str, group: str | None = None, test_size: float = 0.25, seed: int = 42) -> DataFrame:
     """Add ``is_test`` so that no group has rows on both sides.
 
-    With no group column, or a single group, rows are drawn one by one. Rows learn
-    their side by comparing a hash with one threshold: nothing is joined back.
+    With no group column, or a single group, rows are drawn one by one; to tell, a group column
+    is looked at while the plan is built. Rows learn their side by comparing a hash with one threshold.
     """
     key = sample
     if group and len(df.select(group).distinct().limit(2).collect()) > 1:
         key = group
-    rows = df.withColumn("_h", hash_rank(key, seed))
-    return rows.withColumn("is_test", F.col("_h") <= _cut(rows.select("_h"), test_size, skew)).drop("_h")
+    rows = df.withColumn("_u", _place(key, seed))
+    return _drawn(rows, _thresholds(rows.select("_u").distinct(), [], F.ceil(F.lit(test_size) * F.col("n"))), [])

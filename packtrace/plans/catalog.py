@@ -666,7 +666,7 @@ def _(spark, sf):
 @query("split_rows_large_table", _ORDER_SPLIT.format(key="o_orderkey", name="sample"))
 def _(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", F.col("o_orderkey").alias("sample"))
-    return split.by_group(orders, "sample", skew=TIGHT)
+    return split.by_group(orders, "sample")
 
 
 @query(
@@ -677,7 +677,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    return split.stratified(orders, "o_orderstatus", "o_orderkey", skew=TIGHT)
+    return split.stratified(orders, "o_orderstatus", "o_orderkey")
 
 
 # --- evaluation --------------------------------------------------------------------

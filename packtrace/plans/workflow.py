@@ -80,7 +80,6 @@ def run(
             "sample_id",
             group="device",
             exclude=tuple(c for c in (*models.LEAKING, "cycle") if c != label),
-            skew=skew,
             **training,
         )
         stages.append(readiness.stage(spark, "soh_train", soh.metrics()))

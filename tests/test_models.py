@@ -7,7 +7,6 @@ from packtrace.operators import attribution, evaluate, models, prompts, split
 from packtrace.plans import catalog
 from packtrace.sources import sinks
 from packtrace.session import scratch
-from packtrace.spec import Skew
 
 
 @pytest.fixture(scope="module")
@@ -120,9 +119,12 @@ def test_one_class_is_refused(spark):
 
 def test_stratified_counts_and_hot_labels(spark):
     df = spark.range(1000).select(F.col("id").alias("s"), F.when(F.col("id") % 10 < 8, "a").otherwise("b").alias("l"))
-    for skew in (Skew(), Skew(rows_per_task=40, per_chunk=4)):
-        got = split.stratified(df, "l", "s", 0.2, skew=skew).groupBy("l").agg(F.count_if("is_test").alias("n")).collect()
-        assert {r.l: r.n for r in got} == {"a": 160, "b": 40}
+    got = split.stratified(df, "l", "s", 0.2).groupBy("l").agg(F.count_if("is_test").alias("n")).collect()
+    assert {r.l: r.n for r in got} == {"a": 160, "b": 40}
+    twice = split.stratified(df.unionByName(df), "l", "s", 0.2)  # copies of an id stay on one side
+    assert twice.groupBy("s").agg(F.count_distinct("is_test").alias("n")).filter("n > 1").isEmpty()
+    none = split.stratified(df.limit(2), "l", "s", 0.2)
+    assert none.filter("is_test").isEmpty() and none.count() == 2
 
 
 def test_bootstrap_weights_look_like_resampling(spark):
