@@ -48,13 +48,18 @@ def letters() -> np.ndarray:
     return _TABLES["letters"]
 
 
-def squeeze(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letters as they are, each run of other characters as one space; and which places were kept."""
+def squeeze(codes: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Letters as they are, each run of other characters as one space; and which places were kept.
+
+    ``starts`` tells where texts begin; a run at the start of a text is left out.
+    """
     letter = letters()[np.minimum(codes, 0x10FFFF)]
     out = np.where(letter, codes, 32)
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     keep[:1] = letter[:1]
+    if starts is not None:
+        keep[starts] = letter[starts]
     return out[keep], keep
 
 
@@ -180,8 +185,8 @@ def parse(texts: list[str | None], models: list[tuple[str, Automaton]]) -> tuple
     """Phrases per character for each (text, language), and the characters of each text."""
     parts = [_codes(t) if t else np.zeros(0, np.uint32) for t in texts]
     bounds = np.cumsum([0, *map(len, parts)])
-    # a space between texts, dropped with the run it belongs to, keeps them apart
-    codes, keep = squeeze(np.concatenate(parts) if parts else np.zeros(0, np.uint32))
+    starts = bounds[:-1][np.diff(bounds) > 0]
+    codes, keep = squeeze(np.concatenate(parts) if parts else np.zeros(0, np.uint32), starts)
     before = np.concatenate([[0], np.cumsum(keep)])
     edge = before[bounds]
     length = np.diff(edge)
