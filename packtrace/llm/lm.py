@@ -5,7 +5,8 @@ A node's counts give a Krichevsky-Trofimov estimate; weighting mixes the estimat
 depths. Counts come from the whole training text: tasks count n-grams and ship sorted arrays by
 context, one task per bucket of contexts builds and weighs its subtrees, and the top two levels
 are weighed from sums of at most 65,280 nodes. The weighed tree then predicts each bit from the
-deepest context it holds.
+deepest context it holds. It stays as the written table: scoring holds the code lengths of the
+n-grams seen most and asks the buckets for those of all others, so every node counts.
 
 The text of a document is its token sequence: A to Z lower-cased, words joined by one space,
 and an end byte. The unigram base score uses the same tokens.
@@ -25,11 +26,15 @@ from packtrace.llm.common import remainder, slices, words
 from packtrace.session import durable
 
 DEPTH = 6  # bytes of context
-NODES = 5_500_000  # nodes of the tree that scoring holds in memory; the least seen go first
+NODES = 5_500_000  # nodes of a pruned tree, which is held in memory alone; the least seen go first
+GRAMS = 5_500_000  # n-grams whose code lengths scoring holds in memory; the others' are asked for
 FREQUENT = 1 << 20  # words whose counts scoring holds in memory; the others' counts are joined
 _SLICE = 3 << 20
+_SCORED = 2 << 20  # bytes of text scored together, beside the model
 _PARTIAL = 2_000_000  # distinct n-grams a task gathers before it ships them
 _PART = 60_000  # n-grams weighed together
+_ASKED = 4_000_000  # n-grams asked of a bucket in one task; more of them are spread over copies of its tree
+_LOOK = 200_000  # n-grams looked up together
 BUCKETS = 64  # of contexts, at least
 _END = b"\0"
 _U = np.uint64
@@ -82,6 +87,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x * _U(0x9E3779B97F4A7C15)) >> _U(40)
 
 
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of n-grams, by the two nearest context bytes."""
+    return _mix((key >> _U(8)) & _U(0xFFFF)) % _U(buckets)
+
+
 # --- gathering ------------------------------------------------------------------------
 
 
@@ -90,7 +100,7 @@ def _gather(buckets: int):
     out = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
 
     def ship(kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        where = (_mix((key >> _U(8)) & _U(0xFFFF)) if kind == 0 else key >> _U(40)) % _U(buckets)
+        where = _bucket(key, buckets) if kind == 0 else (key >> _U(40)) % _U(buckets)
         order = np.argsort(where, kind="stable")
         key, n = key[order], n[order]
         cuts = np.searchsorted(where[order], np.arange(buckets + 1, dtype=_U))
@@ -249,6 +259,7 @@ def _weigh(table: pa.Table) -> pa.Table:
     near = key >> _U(8) & _U(0xFFFFFF)
     order = np.argsort(near, kind="stable")
     key, n, near = key[order], n[order], near[order]
+    often = _class(n).astype(np.int16)
     ends = np.flatnonzero(np.r_[near[1:] != near[:-1], True]) + 1
     parts, tops, begin = [], [], 0
     while begin < len(key):
@@ -276,18 +287,26 @@ def _weigh(table: pa.Table) -> pa.Table:
     values = np.stack([done + rest / 2, done + rest * estimate], 1)
     key1, _, sums = _up(key2, 2, zeros, ones, weighed)
     return pa.table({
+        "bucket": table.column("bucket")[:1], "gram": [key.tobytes()], "often": [often.tobytes()],
+        "grams": [np.bincount(often, minlength=_CLASSES).astype(np.int64).tobytes()],
         "key": [nodes.tobytes()], "step": [step.tobytes()], "value": [values.tobytes()],
         "steps": [np.bincount(step, minlength=_CLASSES).astype(np.int64).tobytes()],
         "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in (key1, *sums))], "n_top": [len(key1)],
     })
 
 
-class Model:
-    """What scoring needs: node keys in order with predictions, the crown, frequent words, totals."""
+class Nodes:
+    """Node keys in order with predictions, and the crown."""
 
-    def __init__(self, key, value, crown, word, word_count, n_tokens, n_words):
+    def __init__(self, key, value, crown):
         self.key, self.value, self.crown = key, value, crown
-        self.word, self.word_count, self.n_tokens, self.n_words = word, word_count, n_tokens, n_words
+
+    @staticmethod
+    def of(key: bytes | None, value: bytes | None, crown) -> Nodes:
+        """The whole tree of a bucket, from its row of the written table."""
+        nodes, values = np.frombuffer(key or b"", _U), np.frombuffer(value or b"", np.float32)[::2]
+        order = np.argsort(nodes)
+        return Nodes(nodes[order], values[order], crown)
 
     def find(self, node: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.key):
@@ -321,6 +340,31 @@ class Model:
         return bits
 
 
+class Model(Nodes):
+    """What scoring needs. A pruned tree has its nodes; else the code lengths of the frequent n-grams stand for them."""
+
+    def __init__(self, key, value, crown, word, word_count, n_tokens, n_words, gram=None, cost=None, buckets=0):
+        super().__init__(key, value, crown)
+        self.word, self.word_count, self.n_tokens, self.n_words = word, word_count, n_tokens, n_words
+        self.gram, self.cost, self.buckets = gram, cost, buckets
+
+    def known(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Code lengths of distinct n-grams in order, and which of them must be asked for."""
+        if self.gram is None:
+            return self.code_length(gram), np.zeros(len(gram), bool)
+        if not len(self.gram):
+            return np.zeros(len(gram)), np.ones(len(gram), bool)
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        hit = self.gram[at] == gram
+        return np.where(hit, self.cost[at], 0.0), ~hit
+
+
+def _costs(tree: Nodes, gram: np.ndarray) -> np.ndarray:
+    """Code lengths of distinct n-grams in order, a part at a time."""
+    parts = [tree.code_length(gram[i : i + _LOOK]) for i in range(0, len(gram), _LOOK)]
+    return np.concatenate([np.zeros(0), *parts]).astype(np.float32)
+
+
 def _per_position(key: np.ndarray, distinct: np.ndarray, value: np.ndarray) -> np.ndarray:
     """value[i] where key equals distinct[i], by a hash table: much cheaper than a search per byte."""
     size = max(8, (2 * len(distinct)).bit_length())
@@ -344,39 +388,58 @@ def _per_position(key: np.ndarray, distinct: np.ndarray, value: np.ndarray) -> n
 
 
 def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
-    """Learn from all rows of ``docs``; returns the model and the counts (word, n) of the rarer words.
+    """Learn a tree pruned to fit into memory; returns the model and the counts (word, n) of the rarer words.
 
     Both models grow with the text up to NODES nodes and FREQUENT words; beyond, the contexts
     seen least leave the tree (their shorter contexts stay) and the rarer words stay in the
-    returned table. Words are told apart by 64-bit hashes.
+    returned table. Words are told apart by 64-bit hashes. ``train_whole`` prunes nothing.
     """
+    return _train(docs, text, False)[:2]
+
+
+def train_whole(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFrame]:
+    """Learn from all rows of ``docs``; returns the model, the rarer words' counts and the written tree.
+
+    All nodes stay, however much text there is: ``score`` holds GRAMS n-grams and FREQUENT words,
+    and gets what it does not hold from the returned tables. Neither bound changes a score.
+    """
+    return _train(docs, text, True)
+
+
+def _train(docs: DataFrame, text: str, whole: bool) -> tuple[Model, DataFrame, DataFrame]:
     spark = docs.sparkSession
     buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(text).cast("string").alias("text"))
     parts = durable(rows.mapInArrow(_gather(buckets), "kind int, bucket int, key binary, n binary"))
     trees = durable(parts.filter("kind = 0").groupBy("bucket").applyInArrow(
-        _weigh, "key binary, step binary, value binary, steps binary, top binary, n_top long"))
+        _weigh, "bucket int, gram binary, often binary, grams binary, key binary, step binary, value binary, steps binary, top binary, n_top long"))
     steps, tops = np.zeros(_CLASSES, np.int64), []
-    for r in trees.select("steps", "top", "n_top").toLocalIterator():
+    for r in trees.select(F.col("grams" if whole else "steps").alias("steps"), "top", "n_top").toLocalIterator():
         steps += np.frombuffer(bytes(r.steps), np.int64)
         blob = bytes(r.top)
         tops.append([np.frombuffer(blob, kind, r.n_top, 8 * i * r.n_top) for i, kind in enumerate((_U, float, float, float))])
-    most = np.cumsum(steps[::-1])[::-1]  # nodes of at least each step
-    least = int(np.flatnonzero(most <= NODES)[0]) if (most <= NODES).any() else _CLASSES
-    crown = _crown(least == 0, *(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
+    most = np.cumsum(steps[::-1])[::-1]  # nodes or n-grams of at least each step
+    room = GRAMS if whole else NODES
+    least = int(np.flatnonzero(most <= room)[0]) if (most <= room).any() else _CLASSES
+    crown = _crown(whole or least == 0, *(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
         np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5))
+    upper = spark.sparkContext.broadcast(crown)  # of fixed size
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, s, v in zip(*(batch.column(c).to_pylist() for c in ("key", "step", "value")), strict=True):
-                often = np.frombuffer(s, np.int16) >= least
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([np.frombuffer(k, _U)[often].tobytes()]), pa.array([np.frombuffer(v, np.float32)[1 if least else 0 :: 2][often].tobytes()])],
-                    ["key", "value"])
+            for i in range(batch.num_rows):
+                k, s, v, g, o = (batch.column(c)[i].as_py() for c in ("key", "step", "value", "gram", "often"))
+                if whole:
+                    of = np.sort(np.frombuffer(g, _U)[np.frombuffer(o, np.int16) >= least])
+                    value = _costs(Nodes.of(k, v, upper.value), of)
+                else:
+                    often = np.frombuffer(s, np.int16) >= least
+                    of, value = np.frombuffer(k, _U)[often], np.frombuffer(v, np.float32)[1 if least else 0 :: 2][often]
+                yield pa.RecordBatch.from_arrays([pa.array([of.tobytes()]), pa.array([value.tobytes()])], ["key", "value"])
 
     held = int(most[least]) if least < _CLASSES else 0
     key, value, filled = np.empty(held, _U), np.empty(held, np.float32), 0
-    for r in trees.select("key", "step", "value").mapInArrow(kept, "key binary, value binary").toLocalIterator():
+    for r in trees.select("key", "step", "value", "gram", "often").mapInArrow(kept, "key binary, value binary").toLocalIterator():
         part = np.frombuffer(r.key, _U)
         key[filled : filled + len(part)] = part
         value[filled : filled + len(part)] = np.frombuffer(r.value, np.float32)
@@ -402,34 +465,93 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
     frequent = counts.filter(F.col("n") >= limit).toArrow()
     word = frequent.column("word").to_numpy().view(_U)
     by = np.argsort(word)
-    model = Model(key, value, crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words)
-    return model, counts.filter(F.col("n") < limit)
-
-
-def score(docs: DataFrame, model: Model, rare: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    words_of = crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words
+    model = Model(None, None, *words_of, key, value, buckets) if whole else Model(key, value, *words_of)
+    return model, counts.filter(F.col("n") < limit), trees
+
+
+def _answers(asked: DataFrame, trees: DataFrame, crown) -> DataFrame:
+    """Code lengths of the n-grams that slices ask for, by slice and bucket, from the whole trees of the buckets."""
+    spark = asked.sparkSession
+    upper = spark.sparkContext.broadcast(crown)  # of fixed size
+    sizes = asked.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > _ASKED).collect()  # a row per bucket at most
+    copies = F.lit(1)
+    for r in sizes:
+        copies = F.when(F.col("bucket") == r.bucket, F.lit(-(-r.n // _ASKED))).otherwise(copies)
+    asked = asked.withColumn("copy", F.pmod(F.xxhash64("slice"), copies).cast("int"))
+    trees = trees.select("bucket", "key", "value").withColumn("copy", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
+
+    def look(tree: pa.Table, wanted: pa.Table) -> pa.Table:
+        parts = [_unpack(b, _U) for b in wanted.column("gram").to_pylist()]
+        gram, at = np.unique(np.concatenate([np.zeros(0, _U), *parts]), return_inverse=True)
+        row = {c: tree.column(c)[0].as_py() if len(tree) else None for c in ("key", "value")}
+        cost = _costs(Nodes.of(row["key"], row["value"], upper.value), gram)[at] if parts else []
+        cuts = np.cumsum([0, *map(len, parts)])
+        return pa.table({
+            "slice": wanted.column("slice"), "bucket": wanted.column("bucket"),
+            "cost": pa.array([cost[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+
+    return trees.groupBy("bucket", "copy").cogroup(asked.groupBy("bucket", "copy")).applyInArrow(look, "slice long, bucket int, cost binary")
+
+
+def _add_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """Bits that a slice's documents need for the n-grams it asked for."""
+    order = np.argsort(answers.column("bucket").to_numpy())
+    blobs = answers.column("cost").to_pylist()
+    cost = np.frombuffer(b"".join(blobs[i] for i in order), np.float32).astype(float)
+    lists = zip(docs.column("which").to_pylist(), docs.column("often").to_pylist(), strict=True)
+    more = [float(cost[_unpack(w, np.int32)] @ _unpack(o, np.int32)) for w, o in lists]
+    return pa.table({"row": docs.column("row"), "more_bits": pa.array(more, pa.float64())})
+
+
+def score(docs: DataFrame, model: Model, rare: DataFrame, trees: DataFrame | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     base_score sums log10((c + 1) / (N + V + 1)) over tokens, the end among them; score is the
     tree's log10 probability of the token sequence, bits_per_byte its code length. Null texts
-    count as empty: one end token. Without training text every bit costs one bit.
+    count as empty: one end token. Without training text every bit costs one bit. ``trees`` goes
+    with a model of ``train_whole``: a slice of documents sends its distinct n-grams that the
+    model does not hold to their buckets and gets their code lengths back.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by NODES and FREQUENT
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by NODES or GRAMS, and FREQUENT
     out = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
-        ("bits", pa.float64()), ("n_bytes", pa.int64()), ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+        ("bits", pa.float64()), ("n_bytes", pa.int64()), ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
+        ("slice", pa.int64()), ("which", pa.binary()), ("often", pa.binary()), ("bucket", pa.int32()), ("gram", pa.binary()), ("n", pa.int64())])
+
+    def questions(slice_: int, gram: np.ndarray, where: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows with a bucket: the n-grams a slice asks of it."""
+        for part in np.split(np.arange(len(gram)), np.flatnonzero(np.diff(where)) + 1) if len(gram) else ():
+            values = {"slice": slice_, "bucket": int(where[part[0]]), "gram": _pack(gram[part]), "n": len(part)}
+            yield pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in out], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         row = TaskContext.get().partitionId() << 33
         end = np.searchsorted(m.word, _U(xxhash.xxh64_intdigest(b"")))
         ends = int(m.word_count[end]) if len(m.word) and end < len(m.word) and m.word[end] == xxhash.xxh64_intdigest(b"") else 0
-        for batch in slices(batches, "text", _SLICE):
+        for batch in slices(batches, "text", _SCORED):
             lists = [words(t) for t in batch.column("text").to_pylist()]
             key, size = _stream(lists)
             gram, _ = _distinct(key)
-            doc = np.repeat(np.arange(len(lists), dtype=np.int32), size)
-            bits = np.bincount(doc, _per_position(key, gram, m.code_length(gram)), len(lists))
-            del key, gram, doc
+            cost, ask = m.known(gram)
+            at = _per_position(key, gram, np.arange(len(gram), dtype=np.int32))
+            del key
+            bits = np.add.reduceat(cost[at], np.cumsum(size) - size)  # no text is without an end byte
+            wanted = gram[ask]
+            where = _bucket(wanted, m.buckets or 1)
+            order = np.argsort(where, kind="stable")
+            place = np.zeros(len(gram), np.int64)  # of the n-grams asked for, by bucket
+            place[np.flatnonzero(ask)[order]] = np.arange(len(order))
+            some = np.flatnonzero(ask[at])
+            doc = np.searchsorted(np.cumsum(size), some, side="right")
+            pair, often = _distinct(doc.astype(_U) << _U(32) | place[at[some]].astype(_U))
+            ends_of = np.searchsorted(pair >> _U(32), np.arange(len(lists) + 1, dtype=_U))
+            which, often = (pair & _U(0xFFFFFFFF)).astype(np.int32), often.astype(np.int32)
+            each = list(zip(ends_of[:-1].tolist(), ends_of[1:].tolist(), strict=True))
+            wanted, where = wanted[order], where[order]
+            yield from questions(row, wanted, where)
+            del gram, at, some, doc, pair, place
             place: dict[bytes, int] = {}
             tokens = np.array([len(t) for t in lists])
             number = np.fromiter((place.setdefault(w, len(place)) for t in lists for w in t), np.int64, int(tokens.sum()))
@@ -448,16 +570,26 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, id: str = "doc_id", te
                 pa.array(np.arange(row, row + len(lists))), batch.column("doc_id"), pa.array(tokens + 1), pa.array(known), pa.array(logs),
                 pa.array(bits), pa.array(size),
                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[(pair & _U(0xFFFFFFFF)).astype(np.int64)].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(times))], schema=out)
+                pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)), pa.array(np.full(len(lists), row)),
+                pa.array([_pack(which[a:b]) if a < b else None for a, b in each], pa.binary()),
+                pa.array([_pack(often[a:b]) if a < b else None for a, b in each], pa.binary()),
+                *(pa.nulls(len(lists), f.type) for f in list(out)[-3:])], schema=out)
             row += len(lists)
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kinds = "row long, doc_id long, n_tokens long, n_known long, logs double, bits double, n_bytes long, rare array<long>, times array<long>"
-    scored = durable(rows.mapInArrow(run, kinds))
+    kinds = "row long, doc_id long, n_tokens long, n_known long, logs double, bits double, n_bytes long, rare array<long>, times array<long>, \
+slice long, which binary, often binary, bucket int, gram binary, n long"
+    found = durable(rows.mapInArrow(run, kinds))
+    scored = found.filter("bucket is null")
     pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("p")).select("row", F.col("p.rare").alias("word"), "p.times")
     more = pairs.join(rare, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"), F.sum("times").alias("more_known"))
-    out_rows = scored.drop("rare", "times").join(more, "row", "left")
+    out_rows = scored.select("row", "doc_id", "n_tokens", "n_known", "logs", "bits", "n_bytes").join(more, "row", "left")
+    if trees is not None:
+        answers = _answers(found.filter("bucket is not null").select("slice", "bucket", "gram", "n"), trees, model.crown)
+        asking = scored.filter("which is not null").select("slice", "row", "which", "often")
+        deep = asking.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_add_up, "row long, more_bits double")
+        out_rows = out_rows.join(deep, "row", "left").withColumn("bits", F.col("bits") + F.coalesce("more_bits", F.lit(0.0)))
     unit = float(np.log10(model.n_tokens + model.n_words + 1))
     return out_rows.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),

@@ -59,7 +59,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = lm.score(docs, *lm.train(lm.learnable(docs)))
+    found = lm.score(docs, *lm.train_whole(lm.learnable(docs)))
     return found.select(
         "doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
         "bits_per_byte")

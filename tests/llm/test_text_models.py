@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from packtrace.llm import bpe, langid, lm, toxicity
+from packtrace.llm import bpe, langid, lm, queries, toxicity
 from packtrace.llm.common import remainder, words
 
 ODD = [
@@ -264,3 +264,36 @@ def test_pruned_tree_still_predicts(spark, sf_dir, monkeypatch):
     assert 0 < len(small.key) <= 100_000
     less = lm.score(docs, small, rare).filter(remainder("doc_id", 7) == 2).agg({"score": "sum"}).first()[0]
     assert 1.3 * whole < less < whole < 0
+
+
+@pytest.mark.parametrize("held", [1 << 20, 7, 0])
+def test_whole_tree_equals_recursion(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "GRAMS", held)  # with few held the buckets are asked, by several copies of a tree
+    monkeypatch.setattr(lm, "_ASKED", 3)
+    monkeypatch.setattr(lm, "_LOOK", 2)
+    train = ["abab aba", "Abba  b\n", None, "baab", ""]
+    test = ["aba", "abc", None, "bb é", "abab aba", "abab abab abab"]
+    docs = table(spark, test).repartition(3)
+    found = {r.doc_id: r for r in lm.score(docs, *lm.train_whole(table(spark, train))).collect()}
+    tree = Tree([x for t in train for x in stream(t)])
+    assert len(found) == len(test)
+    for i, t in enumerate(test):
+        bits = [(c, (b | 256) >> (s + 1), b >> s & 1) for c, b in stream(t) for s in range(8)]
+        ones = [tree.predict(c, node) for c, node, _ in bits]
+        assert found[i].score == pytest.approx(sum(math.log10(p if bit else 1 - p) for p, (*_, bit) in zip(ones, bits, strict=True)), rel=1e-5)
+
+
+def test_scores_do_not_depend_on_what_is_held(spark, sf_dir, monkeypatch):
+    score = lambda: {r.doc_id: r.score for r in queries.op6_language_model(spark, sf_dir).collect()}
+    whole = score()
+    monkeypatch.setattr(lm, "NODES", 100_000)
+    monkeypatch.setattr(lm, "GRAMS", 10_000, raising=False)
+    less = score()
+    assert less.keys() == whole.keys() and all(less[k] == pytest.approx(v, rel=1e-5) for k, v in whole.items())
+
+
+def test_whole_model_without_training_text(spark):
+    none = table(spark, ["x"]).limit(0)
+    r = lm.score(table(spark, ["ab"]), *lm.train_whole(none)).first()
+    assert r.bits_per_byte == pytest.approx(8) and r.train_tokens == 0 and r.n_known == 0
+    assert lm.score(none, *lm.train_whole(none)).count() == 0
