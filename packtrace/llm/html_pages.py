@@ -151,4 +151,4 @@ def page(seed: int) -> str:
     ))
     out.append(foot if rng.random() < (0.0 if alone else 0.9) else "")
     text = "".join(out) + ("</body></html>" if rng.random() < 0.9 else "")
-    return text
+    return text.replace("</head>", "") if seed % 10 == 3 else text

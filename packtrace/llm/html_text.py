@@ -32,6 +32,7 @@ _ENDS = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
     "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]),
 }
+_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())  # what may stand in a head
 _SCOPE = frozenset("table ul ol dl body html article section div".split())
 _NAME = re.compile(r"[a-z]+")
 
@@ -66,7 +67,16 @@ class _Leaves(HTMLParser):
             elif tag not in _INLINE:
                 self.flush()
 
+    def _end_head(self, tag: str) -> None:
+        """Close a head whose end tag was left out: a body, or what cannot stand in a head, begins."""
+        depth = len(self.stack) - 1
+        if tag == "body":
+            depth = next((i for i, x in enumerate(self.stack) if x[0] == "head"), -1)
+        if depth >= 0 and self.stack[depth][0] == "head" and tag not in _HEAD:
+            self._pop(depth)
+
     def handle_starttag(self, tag, attrs):
+        self._end_head(tag)
         if tag not in _INLINE:
             self.flush()
             if tag not in _VOID:
@@ -113,6 +123,8 @@ class _Leaves(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.silent and data.strip():
+            self._end_head("")
         if self.silent:
             return
         if not self.buffer:

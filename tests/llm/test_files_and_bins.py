@@ -181,6 +181,16 @@ def test_odd_pages(spark, field):
     assert html_text.extract(spark.createDataFrame(data[:0], "page_id long, url string, html string"), field).count() == 0
 
 
+@pytest.mark.parametrize("start", ["<body><article>", "<article>", "<span></span><article>", "<noscript><link rel=x></noscript><body><article>"])
+def test_head_without_end_tag(start, field):
+    head = "<!DOCTYPE html><html><head><meta charset=utf-8><title>Name</title><style>p{}</style>\n"
+    want = html_text.main_text(head + "</head><body><article><p>one two three.</p><p>four five six.</p></article></body></html>", field)
+    assert want == "one two three. four five six."
+    assert html_text.main_text(head + start + "<p>one two three.</p><p>four five six.</p></article></html>", field) == want
+    assert [b[0] for b in html_text.leaves(head + "bare text<p>more")] == ["bare text", "more"]
+    assert "</head>" not in html_text.html_pages.page(3)
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 
