@@ -20,7 +20,13 @@ BLOCK = 1024  # characters parsed in a row
 TRAIN_CHARS = 48_000  # labelled text per language, the documented bound of the fit
 TRAIN_DOC_CHARS = 12_000  # longer texts are not taken for the fit
 TRAIN_DOCS = 120  # rows per language among which the fit chooses
-MOST_RATE = 0.6  # phrases per character above which a text is in none of the learnt languages
+MOST_RATE = 0.6  # phrases per character that a language's texts may need if none of them is left out to tell
+LEFT_OUT = 5  # of so many labelled texts one is left out of the automata, to find the rates of its language
+TRY_CHARS = 24_000  # left-out text per language that is parsed
+SPREAD = 6  # standard deviations above the mean rate of a language that are still in it,
+TIMES = 2.0  # and times its upper quartile: few left-out texts show too little of the spread, copies less
+LEAST_PIECES = 16  # by which a class of lengths is judged
+_CLASSES = 11  # of lengths, a power of two each; longer texts are in the last
 _SLICE = 6 << 20
 _LANES = 4096
 _FIRST, _STATE, _TOP = np.uint32(0x80000000), np.uint32(0x7FFFFFFF), np.uint32(31)
@@ -146,8 +152,8 @@ class Automaton:
         return out
 
 
-def labelled_text(docs: DataFrame, text: str, lang: str, key: str, chars: int = TRAIN_CHARS) -> dict[str, str]:
-    """Labelled text per language, at most ``chars`` characters and one text more.
+def _labelled(docs: DataFrame, text: str, lang: str, key: str) -> dict[str, list[str]]:
+    """Labelled texts per language, in the order of a hash.
 
     Rows are taken in the order of a hash of the key, so the choice is the same at every run
     and follows no other column. Per language at most a few times TRAIN_DOCS rows reach the driver.
@@ -164,12 +170,54 @@ def labelled_text(docs: DataFrame, text: str, lang: str, key: str, chars: int =
     # letters only, and one copy of a text that repeats
     rows = picked.groupBy("l", "t").agg(F.min("p").alias("p")).collect()
     out: dict[str, list[str]] = {}
-    size: dict[str, int] = {}
     for r in sorted(rows, key=lambda r: (r.l, r.p, r.t)):
-        if size.get(r.l, 0) < chars:
-            out.setdefault(r.l, []).append(r.t)
-            size[r.l] = size.get(r.l, 0) + len(r.t)
-    return {k: "\n".join(v) for k, v in out.items()}
+        out.setdefault(r.l, []).append(r.t)
+    return out
+
+
+def _until(texts: list[str], chars: int) -> list[str]:
+    """The first texts up to ``chars`` characters, and the one that reaches them."""
+    ends = np.cumsum([0, *map(len, texts)])
+    return texts[: int(np.searchsorted(ends, chars))]
+
+
+def labelled_text(docs: DataFrame, text: str, lang: str, key: str, chars: int = TRAIN_CHARS) -> dict[str, str]:
+    """Labelled text per language, at most ``chars`` characters and one text more."""
+    return {k: "\n".join(_until(v, chars)) for k, v in _labelled(docs, text, lang, key).items()}
+
+
+def labelled_split(docs: DataFrame, text: str, lang: str, key: str, chars: int = TRAIN_CHARS) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Labelled text per language to learn from, and labelled texts left out to find its rates."""
+    learn, left = {}, {}
+    for k, v in _labelled(docs, text, lang, key).items():
+        learn[k] = "\n".join(_until([t for i, t in enumerate(v) if i % LEFT_OUT != LEFT_OUT - 1], chars))
+        left[k] = _until(v[LEFT_OUT - 1 :: LEFT_OUT], TRY_CHARS)
+    return learn, left
+
+
+def _class(length: np.ndarray) -> np.ndarray:
+    return (np.frexp(np.maximum(length, 1).astype(float))[1] - 1).clip(0, _CLASSES - 1)
+
+
+def cuts(left: dict[str, list[str]], models: list[tuple[str, Automaton]], most: float = MOST_RATE) -> np.ndarray:
+    """Phrases per character that a text of a language needs at most, by language and class of length.
+
+    The left-out texts are cut into pieces of each length, so that short texts, whose rates are
+    high and spread widely, are judged by pieces as short. A class with few pieces takes the cut of
+    the next shorter one, and a language without left-out text takes ``most``.
+    """
+    out = np.full((len(models), _CLASSES), most)
+    for k, (name, _) in enumerate(models):
+        whole = ["".join(map(chr, squeeze(_codes(t))[0])).strip() for t in left.get(name, [])]
+        for c in range(_CLASSES):
+            n = 1 << c
+            rates, length = parse([t[i : i + n] for t in whole for i in range(0, len(t) - n + 1, n)], models)
+            rates = rates[length > 0].min(1)
+            if len(rates) >= LEAST_PIECES:
+                out[k, c] = max(rates.max(), rates.mean() + SPREAD * rates.std(), TIMES * np.quantile(rates, 0.75))
+            elif c:
+                out[k, c] = out[k, c - 1]
+    return out
 
 
 def automata(texts: dict[str, str]) -> list[tuple[str, Automaton]]:
@@ -254,17 +302,23 @@ def drop_unknown(docs: DataFrame, train: DataFrame, text: str = "text", lang: st
                  most: float = MOST_RATE, chars: int = TRAIN_CHARS) -> DataFrame:
     """The rows of ``docs`` in a learnt language, with all their columns; nothing is shuffled.
 
-    Texts without a letter go, and those for which even the best language needs more than
-    ``most`` phrases per character. If nothing is labelled every row stays.
+    Texts without a letter go, and those for which even the best language needs more phrases per
+    character than its left-out labelled texts of that length do (see ``cuts``; ``most`` where
+    none is left out). If nothing is labelled every row stays.
     """
-    model = docs.sparkSession.sparkContext.broadcast(labelled_text(train, text, lang, key, chars))
+    model = docs.sparkSession.sparkContext.broadcast(labelled_split(train, text, lang, key, chars))  # bounded: chars x languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = automata(model.value)
+        learn, left = model.value
+        models = automata(learn)
+        if models and ("cuts", most) not in _TABLES:
+            _TABLES["cuts", most] = cuts(left, models, most)
         for batch in slices(batches, text, _SLICE):
             if models:
                 rates, length = parse(batch.column(text).to_pylist(), models)
-                batch = batch.filter(pa.array((length > 0) & (rates.min(1) <= most)))
+                best = rates.argmin(1)
+                low = rates[np.arange(len(best)), best]
+                batch = batch.filter(pa.array((length > 0) & (low <= _TABLES["cuts", most][best, _class(length)])))
             yield batch
 
     return docs.mapInArrow(run, docs.schema)

@@ -89,6 +89,18 @@ def test_language_held_out(spark, sf_dir):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
 
 
+def test_unlabelled_languages_go_and_short_texts_stay(spark):
+    rng = random.Random(6)
+    parts = {k: ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 2))) for _ in range(30)] for k in ("aa", "bb", "cc")}
+    make = lambda k, n: " ".join("".join(rng.choice(parts[k]) for _ in range(2)) for _ in range(n))
+    known = [(i, make(k, 60), k, "", 0) for i, k in enumerate(["aa", "bb"] * 60)]
+    short = [(1000 + i, make("aa", 20)[:n].strip(), None, "", 0) for i, n in enumerate((1, 2, 3, 5, 9, 17, 33, 70))]
+    other = [(2000 + i, make("cc", 60), None, "", 0) for i in range(20)]
+    docs = spark.createDataFrame(known + short + other + [(3000, "Длинный текст другого письма", None, "", 0)], SCHEMA)
+    stay = {r.doc_id for r in langid.drop_unknown(docs, docs).collect()}
+    assert stay == {d for d, *_ in known + short}
+
+
 # --- toxicity -------------------------------------------------------------------------
 
 
