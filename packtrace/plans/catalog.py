@@ -1462,8 +1462,6 @@ def _fit_soh(spark, sf, model):
         "sample_id",
         group="device",
         model=model,
-        # rounds of boosting follow one another: the documented size takes minutes on any table
-        **({"n_trees": 20, "max_depth": 5, "n_bootstrap": 3} if model == "gb" else {}),
     )
 
 
@@ -1517,9 +1515,6 @@ def _(spark, sf):
         target=_soh_table(spark, sf),
         integrity_limits=LIMITS,
         soh_limits=SOH,
-        n_trees=10,
-        max_depth=4,
-        n_bootstrap=2,
     )
     return run.summary.select(F.col("status").alias("overall"), F.explode("steps").alias("s")).select("overall", "s.*")
 

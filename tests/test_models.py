@@ -136,3 +136,22 @@ def test_bootstrap_weights_look_like_resampling(spark):
 def test_auroc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(0.1, True), (0.9, True)], "p double, y boolean")
     assert evaluate.auroc(df, "p", F.col("y")).first()["auroc"] is None
+
+
+@pytest.mark.parametrize("name, owner, fit", [("soh_model_boosted_predictions", "models", "fit_soh"), ("field_workflow", "workflow", "run")])
+def test_queries_fit_at_the_documented_size(monkeypatch, name, owner, fit):
+    from packtrace.plans import catalog
+
+    class Asked(Exception):
+        pass
+
+    def record(*_, **given):
+        raise Asked(given)
+
+    for table in ("_soh_table", "_cycles", "_assets"):
+        monkeypatch.setattr(catalog, table, lambda *_: None)
+    monkeypatch.setattr(catalog, "_once", lambda *_, fit: fit())
+    monkeypatch.setattr(getattr(catalog, owner), fit, record)
+    with pytest.raises(Asked) as asked:
+        catalog.QUERIES[name](None, None)
+    assert not {"n_trees", "max_depth", "n_bootstrap"} & asked.value.args[0].keys()
