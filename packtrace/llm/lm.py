@@ -26,14 +26,13 @@ from packtrace.llm.common import remainder, slices, words
 from packtrace.session import durable
 
 DEPTH = 6  # bytes of context
-NODES = 5_500_000  # nodes of a pruned tree, which is held in memory alone; the least seen go first
-GRAMS = 5_500_000  # n-grams whose code lengths scoring holds in memory; the others' are asked for
-FREQUENT = 1 << 20  # words whose counts scoring holds in memory; the others' counts are joined
-_SLICE = 3 << 20
+GRAMS = 1_500_000  # n-grams whose code lengths scoring holds in memory; the others' are asked for
+FREQUENT = 1 << 19  # words whose counts scoring holds in memory; the others' counts are joined
+_SLICE = 1 << 20
 _SCORED = 2 << 20  # bytes of text scored together, beside the model
-_PARTIAL = 2_000_000  # distinct n-grams a task gathers before it ships them
+_PARTIAL = 400_000  # distinct n-grams a task gathers before it ships them
 _PART = 60_000  # n-grams weighed together
-_ASKED = 4_000_000  # n-grams asked of a bucket in one task; more of them are spread over copies of its tree
+_ASKED = 2_000_000  # n-grams asked of a bucket in one task; more of them are spread over copies of its tree
 _LOOK = 200_000  # n-grams looked up together
 BUCKETS = 64  # of contexts, at least
 _END = b"\0"
@@ -192,9 +191,9 @@ def _both(own: np.ndarray, children: np.ndarray) -> np.ndarray:
 def subtrees(key: np.ndarray, n: np.ndarray, root: int) -> tuple[tuple, tuple]:
     """Weigh the nodes of depths ``root`` to DEPTH above sorted n-grams.
 
-    Returns per node its key led by its depth, its count, the settled part of its prediction
-    and the weight left to deeper nodes, both relative to what the root gets, and its own
-    estimate; then, for the parents of the roots, key, zeros, ones and summed log weights.
+    Returns per node its key led by its depth, the settled part of its prediction and the
+    weight left to deeper nodes, both relative to what the root gets; then, for the parents of
+    the roots, key, zeros, ones and summed log weights.
     """
     levels = {}
     key, zeros, ones = _bits(key, n)
@@ -216,15 +215,12 @@ def subtrees(key: np.ndarray, n: np.ndarray, root: int) -> tuple[tuple, tuple]:
         estimate = (ones + 0.5) / (zeros + ones + 1)
         share = _share(own, weighed) if depth < DEPTH else np.ones(len(key))
         done, rest = done + rest * share * estimate, rest * (1 - share)
-        out.append((key | _U(depth << 56), _class(zeros + ones), done.astype(np.float32), rest.astype(np.float32), estimate.astype(np.float32)))
+        out.append((key | _U(depth << 56), done.astype(np.float32), rest.astype(np.float32)))
     return tuple(map(np.concatenate, zip(*out, strict=True))), (above, *sums)
 
 
-def _crown(whole: bool, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Depths 0 and 1 as dense tables over (context byte, bits so far): settled part, rest, and prediction without depth 2.
-
-    ``whole`` tells that no node left the tree, so that a missing depth 2 was never seen.
-    """
+def _crown(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Depths 0 and 1 as dense tables over (context byte, bits so far): settled part, rest, and prediction without depth 2."""
     key1, of, (zeros, ones, children) = _up(key, 2, zeros, ones, children)
     own1 = _log_kt(zeros, ones)
     weighed1 = _both(own1, children)
@@ -239,7 +235,7 @@ def _crown(whole: bool, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, ch
     for node, p in zip(key0.tolist(), (share0 * est0 + (1 - share0) / 2).tolist(), strict=True):
         alone[node::256] = p  # contexts never seen
     at = key1.astype(np.int64)
-    done[at], rest[at], alone[at] = done1, rest1, done1 + rest1 * (0.5 if whole else est1)
+    done[at], rest[at], alone[at] = done1, rest1, done1 + rest1 / 2
     return done, rest, alone
 
 
@@ -270,27 +266,26 @@ def _weigh(table: pa.Table) -> pa.Table:
         parts.append(part)
         tops.append(top)
         begin = stop
-    nodes, step, done, rest, estimate = map(np.concatenate, zip(*parts, strict=True))
+    nodes, done, rest = map(np.concatenate, zip(*parts, strict=True))
+    del parts
     key2, of, sums = _up(np.concatenate([t[0] for t in tops]), 3, *(np.concatenate([t[i] for t in tops]) for i in (1, 2, 3)))
     zeros, ones, children = sums
     own = _log_kt(zeros, ones)
     weighed = _both(own, children)
-    share, estimate2 = _share(own, weighed), (ones + 0.5) / (zeros + ones + 1)
-    done2, rest2 = share * estimate2, 1 - share
+    share = _share(own, weighed)
+    done2, rest2 = share * (ones + 0.5) / (zeros + ones + 1), 1 - share
     at = np.searchsorted(key2, nodes & _U(0xFFFFFF))
     done = done2[at].astype(np.float32) + rest2[at].astype(np.float32) * done
     rest = rest2[at].astype(np.float32) * rest
-    nodes, step = np.r_[nodes, key2 | _U(2 << 56)], np.r_[step, _class(zeros + ones)].astype(np.int16)
-    done, rest, estimate = (np.r_[x, y].astype(np.float32) for x, y in ((done, done2), (rest, rest2), (estimate, estimate2)))
-    # what deeper contexts would add: a half each where they were never seen, and the node's
-    # own estimate where they had to leave the tree
-    values = np.stack([done + rest / 2, done + rest * estimate], 1)
+    nodes = np.r_[nodes, key2 | _U(2 << 56)]
+    # deeper contexts that were never seen would add a half of the rest
+    value = np.r_[done + rest / 2, done2 + rest2 / 2].astype(np.float32)
     key1, _, sums = _up(key2, 2, zeros, ones, weighed)
+    at = np.argsort(nodes)
     return pa.table({
         "bucket": table.column("bucket")[:1], "gram": [key.tobytes()], "often": [often.tobytes()],
         "grams": [np.bincount(often, minlength=_CLASSES).astype(np.int64).tobytes()],
-        "key": [nodes.tobytes()], "step": [step.tobytes()], "value": [values.tobytes()],
-        "steps": [np.bincount(step, minlength=_CLASSES).astype(np.int64).tobytes()],
+        "key": [nodes[at].tobytes()], "value": [value[at].tobytes()],
         "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in (key1, *sums))], "n_top": [len(key1)],
     })
 
@@ -304,9 +299,7 @@ class Nodes:
     @staticmethod
     def of(key: bytes | None, value: bytes | None, crown) -> Nodes:
         """The whole tree of a bucket, from its row of the written table."""
-        nodes, values = np.frombuffer(key or b"", _U), np.frombuffer(value or b"", np.float32)[::2]
-        order = np.argsort(nodes)
-        return Nodes(nodes[order], values[order], crown)
+        return Nodes(np.frombuffer(key or b"", _U), np.frombuffer(value or b"", np.float32), crown)
 
     def find(self, node: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.key):
@@ -340,18 +333,15 @@ class Nodes:
         return bits
 
 
-class Model(Nodes):
-    """What scoring needs. A pruned tree has its nodes; else the code lengths of the frequent n-grams stand for them."""
+class Model:
+    """What scoring holds: the crown, the code lengths of the frequent n-grams, and the counts of the frequent words."""
 
-    def __init__(self, key, value, crown, word, word_count, n_tokens, n_words, gram=None, cost=None, buckets=0):
-        super().__init__(key, value, crown)
-        self.word, self.word_count, self.n_tokens, self.n_words = word, word_count, n_tokens, n_words
+    def __init__(self, crown, word, word_count, n_tokens, n_words, gram, cost, buckets):
+        self.crown, self.word, self.word_count, self.n_tokens, self.n_words = crown, word, word_count, n_tokens, n_words
         self.gram, self.cost, self.buckets = gram, cost, buckets
 
     def known(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code lengths of distinct n-grams in order, and which of them must be asked for."""
-        if self.gram is None:
-            return self.code_length(gram), np.zeros(len(gram), bool)
         if not len(self.gram):
             return np.zeros(len(gram)), np.ones(len(gram), bool)
         at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
@@ -387,59 +377,41 @@ def _per_position(key: np.ndarray, distinct: np.ndarray, value: np.ndarray) -> n
     return value[found]
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame]:
-    """Learn a tree pruned to fit into memory; returns the model and the counts (word, n) of the rarer words.
-
-    Both models grow with the text up to NODES nodes and FREQUENT words; beyond, the contexts
-    seen least leave the tree (their shorter contexts stay) and the rarer words stay in the
-    returned table. Words are told apart by 64-bit hashes. ``train_whole`` prunes nothing.
-    """
-    return _train(docs, text, False)[:2]
-
-
-def train_whole(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFrame]:
-    """Learn from all rows of ``docs``; returns the model, the rarer words' counts and the written tree.
+def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFrame]:
+    """Learn from all rows of ``docs``; returns the model, the rarer words' counts (word, n) and the written tree.
 
     All nodes stay, however much text there is: ``score`` holds GRAMS n-grams and FREQUENT words,
     and gets what it does not hold from the returned tables. Neither bound changes a score.
+    Words are told apart by 64-bit hashes.
     """
-    return _train(docs, text, True)
-
-
-def _train(docs: DataFrame, text: str, whole: bool) -> tuple[Model, DataFrame, DataFrame]:
     spark = docs.sparkSession
     buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(text).cast("string").alias("text"))
     parts = durable(rows.mapInArrow(_gather(buckets), "kind int, bucket int, key binary, n binary"))
     trees = durable(parts.filter("kind = 0").groupBy("bucket").applyInArrow(
-        _weigh, "bucket int, gram binary, often binary, grams binary, key binary, step binary, value binary, steps binary, top binary, n_top long"))
+        _weigh, "bucket int, gram binary, often binary, grams binary, key binary, value binary, top binary, n_top long"))
     steps, tops = np.zeros(_CLASSES, np.int64), []
-    for r in trees.select(F.col("grams" if whole else "steps").alias("steps"), "top", "n_top").toLocalIterator():
-        steps += np.frombuffer(bytes(r.steps), np.int64)
+    for r in trees.select("grams", "top", "n_top").toLocalIterator():
+        steps += np.frombuffer(bytes(r.grams), np.int64)
         blob = bytes(r.top)
         tops.append([np.frombuffer(blob, kind, r.n_top, 8 * i * r.n_top) for i, kind in enumerate((_U, float, float, float))])
-    most = np.cumsum(steps[::-1])[::-1]  # nodes or n-grams of at least each step
-    room = GRAMS if whole else NODES
-    least = int(np.flatnonzero(most <= room)[0]) if (most <= room).any() else _CLASSES
-    crown = _crown(whole or least == 0, *(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
+    most = np.cumsum(steps[::-1])[::-1]  # n-grams of at least each step
+    least = int(np.flatnonzero(most <= GRAMS)[0]) if (most <= GRAMS).any() else _CLASSES
+    crown = _crown(*(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
         np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5))
     upper = spark.sparkContext.broadcast(crown)  # of fixed size
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                k, s, v, g, o = (batch.column(c)[i].as_py() for c in ("key", "step", "value", "gram", "often"))
-                if whole:
-                    of = np.sort(np.frombuffer(g, _U)[np.frombuffer(o, np.int16) >= least])
-                    value = _costs(Nodes.of(k, v, upper.value), of)
-                else:
-                    often = np.frombuffer(s, np.int16) >= least
-                    of, value = np.frombuffer(k, _U)[often], np.frombuffer(v, np.float32)[1 if least else 0 :: 2][often]
+                k, v, g, o = (batch.column(c)[i].as_py() for c in ("key", "value", "gram", "often"))
+                of = np.sort(np.frombuffer(g, _U)[np.frombuffer(o, np.int16) >= least])
+                value = _costs(Nodes.of(k, v, upper.value), of)
                 yield pa.RecordBatch.from_arrays([pa.array([of.tobytes()]), pa.array([value.tobytes()])], ["key", "value"])
 
     held = int(most[least]) if least < _CLASSES else 0
     key, value, filled = np.empty(held, _U), np.empty(held, np.float32), 0
-    for r in trees.select("key", "step", "value", "gram", "often").mapInArrow(kept, "key binary, value binary").toLocalIterator():
+    for r in trees.select("key", "value", "gram", "often").mapInArrow(kept, "key binary, value binary").toLocalIterator():
         part = np.frombuffer(r.key, _U)
         key[filled : filled + len(part)] = part
         value[filled : filled + len(part)] = np.frombuffer(r.value, np.float32)
@@ -465,8 +437,7 @@ def _train(docs: DataFrame, text: str, whole: bool) -> tuple[Model, DataFrame, D
     frequent = counts.filter(F.col("n") >= limit).toArrow()
     word = frequent.column("word").to_numpy().view(_U)
     by = np.argsort(word)
-    words_of = crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words
-    model = Model(None, None, *words_of, key, value, buckets) if whole else Model(key, value, *words_of)
+    model = Model(crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words, key, value, buckets)
     return model, counts.filter(F.col("n") < limit), trees
 
 
@@ -504,16 +475,16 @@ def _add_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.table({"row": docs.column("row"), "more_bits": pa.array(more, pa.float64())})
 
 
-def score(docs: DataFrame, model: Model, rare: DataFrame, trees: DataFrame | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, rare: DataFrame, trees: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     base_score sums log10((c + 1) / (N + V + 1)) over tokens, the end among them; score is the
     tree's log10 probability of the token sequence, bits_per_byte its code length. Null texts
-    count as empty: one end token. Without training text every bit costs one bit. ``trees`` goes
-    with a model of ``train_whole``: a slice of documents sends its distinct n-grams that the
-    model does not hold to their buckets and gets their code lengths back.
+    count as empty: one end token. Without training text every bit costs one bit. A slice of
+    documents sends its distinct n-grams that the model does not hold to their buckets of
+    ``trees`` and gets their code lengths back.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by NODES or GRAMS, and FREQUENT
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by GRAMS and FREQUENT
     out = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
         ("bits", pa.float64()), ("n_bytes", pa.int64()), ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
@@ -539,7 +510,7 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, trees: DataFrame | Non
             del key
             bits = np.add.reduceat(cost[at], np.cumsum(size) - size)  # no text is without an end byte
             wanted = gram[ask]
-            where = _bucket(wanted, m.buckets or 1)
+            where = _bucket(wanted, m.buckets)
             order = np.argsort(where, kind="stable")
             place = np.zeros(len(gram), np.int64)  # of the n-grams asked for, by bucket
             place[np.flatnonzero(ask)[order]] = np.arange(len(order))
@@ -585,11 +556,10 @@ slice long, which binary, often binary, bucket int, gram binary, n long"
     more = pairs.join(rare, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"), F.sum("times").alias("more_known"))
     out_rows = scored.select("row", "doc_id", "n_tokens", "n_known", "logs", "bits", "n_bytes").join(more, "row", "left")
-    if trees is not None:
-        answers = _answers(found.filter("bucket is not null").select("slice", "bucket", "gram", "n"), trees, model.crown)
-        asking = scored.filter("which is not null").select("slice", "row", "which", "often")
-        deep = asking.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_add_up, "row long, more_bits double")
-        out_rows = out_rows.join(deep, "row", "left").withColumn("bits", F.col("bits") + F.coalesce("more_bits", F.lit(0.0)))
+    answers = _answers(found.filter("bucket is not null").select("slice", "bucket", "gram", "n"), trees, model.crown)
+    asking = scored.filter("which is not null").select("slice", "row", "which", "often")
+    deep = asking.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_add_up, "row long, more_bits double")
+    out_rows = out_rows.join(deep, "row", "left").withColumn("bits", F.col("bits") + F.coalesce("more_bits", F.lit(0.0)))
     unit = float(np.log10(model.n_tokens + model.n_words + 1))
     return out_rows.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
