@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from packtrace.session import durable
+
 K = 10
 PROJECTIONS = 32
 SHARE = 0.75  # of the windows a vector must fall into
@@ -106,8 +108,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(good, F.lit(False)) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _rows(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors by dimension."""
+def _rows(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By dimension: ids, vectors, and the places of their rows."""
     ids = table.column("id").to_numpy()
     lists = table.column("v").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
@@ -117,22 +119,25 @@ def _rows(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out = {}
     for d in np.unique(size).tolist():
         at = np.flatnonzero(size == d)
-        out[d] = ids[at], flat[start[at][:, None] + np.arange(d)]
+        out[d] = ids[at], flat[start[at][:, None] + np.arange(d)], at
     return out
 
 
 def _match(k: int):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        asked, ids, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        asked, row, ids, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        number = queries.column("q").to_numpy() if len(queries) else None
         have = _rows(vectors) if len(vectors) else {}
-        for d, (query_ids, points) in (_rows(queries) if len(queries) else {}).items():
+        for d, (query_ids, points, at) in (_rows(queries) if len(queries) else {}).items():
             if d not in have:  # vectors of another length have no distance
                 continue
-            for q, (i, s) in zip(query_ids.tolist(), Block(*have[d]).search(query_ids, points, k), strict=True):
+            answers = Block(*have[d][:2]).search(query_ids, points, k)
+            for q, n, (i, s) in zip(query_ids.tolist(), number[at].tolist(), answers, strict=True):
                 asked.append(np.full(len(i), q))
+                row.append(np.full(len(i), n))
                 ids.append(i)
                 far.append(s)
-        return pa.table({"query_id": np.concatenate(asked), "vec_id": np.concatenate(ids), "score": np.concatenate(far)})
+        return pa.table({"query_id": np.concatenate(asked), "q": np.concatenate(row), "vec_id": np.concatenate(ids), "score": np.concatenate(far)})
 
     return run
 
@@ -145,21 +150,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id: str = "vec_i
     with the query's own id is no candidate. Rows with a null id and vectors that are not
     ``usable`` take no part, neither as queries nor as candidates; vectors are compared with
     those of their own length only. A query without candidates has no row. Repeated rows are
-    candidates each. Queries meet all vectors block by block; nothing is sampled or cut.
+    candidates each; a query row repeated in id and vector counts once, and an id with several
+    vectors has ranks for each of them. Queries meet all vectors block by block; nothing is sampled or cut.
     """
     def ready(df: DataFrame) -> DataFrame:
         df = df.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
         return df.filter(F.col("id").isNotNull() & usable(F.col("v")))
 
-    points, asked = ready(vectors), ready(queries)
-    n, q = vectors.count(), queries.count()
+    points = ready(vectors)
+    asked = durable(ready(queries).distinct().withColumn("q", F.monotonically_increasing_id()))
+    n, q = vectors.count(), asked.count()
     blocks, parts = max(1, ceil(n / block_rows)), max(1, ceil(q / query_rows))
     points = points.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
     points = points.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(parts)).cast("int"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = points.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(
-        _match(k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        _match(k), "query_id long, q long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -22,6 +22,17 @@ def remainder(key: Column | str, divisor: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have yet."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def without_white(text: Column) -> Column:
     for c in WHITE:
         text = F.replace(text, F.lit(c), F.lit(""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from packtrace.llm.common import without_white
+from packtrace.llm.common import free, without_white
 from packtrace.session import durable
 
 BLOCK_CHARS = 4096
@@ -119,15 +119,20 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", bl
 
 
 def drop_exact(docs: DataFrame, id: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, one per group, with all their columns, whatever those are called.
+
+    Rows that agree in id, length and text but for white space cannot be told apart; one of them stays.
+    """
+    id_, chars, sha, n_same = free(docs, "_id", "_chars", "_sha", "_n_same")
     stay = durable(exact_duplicates(docs, id, text, block_chars).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("n_chars").alias("__chars"), F.col("text_sha256").alias("__sha"), "n_same"))
+        F.col("doc_id").alias(id_), F.col("n_chars").alias(chars), F.col("text_sha256").alias(sha), F.col("n_same").alias(n_same)))
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     match: list[Column] = [
-        F.col(id).cast("long").eqNullSafe(F.col("__id")),
-        F.char_length(whole) == F.col("__chars"),
-        F.sha2(without_white(whole), 256) == F.col("__sha"),
+        F.col(id).cast("long").eqNullSafe(F.col(id_)),
+        F.char_length(whole) == F.col(chars),
+        F.sha2(without_white(whole), 256) == F.col(sha),
     ]
-    once = docs.join(stay.filter("n_same = 1").drop("n_same"), match, "left_semi")
-    again = docs.join(stay.filter("n_same > 1").drop("n_same"), match, "left_semi").dropDuplicates([id, text])
-    return once.unionByName(again)
+    once = docs.join(stay.filter(F.col(n_same) == 1), match, "left_semi")
+    again = docs.join(stay.filter(F.col(n_same) > 1), match, "left_semi")
+    again = again.withColumns({id_: F.col(id).cast("long"), sha: F.sha2(without_white(whole), 256)}).dropDuplicates([id_, sha])
+    return once.unionByName(again.drop(id_, sha))

@@ -14,9 +14,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from packtrace.llm.common import words
+from packtrace.llm.common import free, words
 from packtrace.llm.links import components
 from packtrace.session import durable
 
@@ -45,15 +45,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) for every row; fp is the fingerprint as a signed long. Null texts have no words."""
+    """(doc_id, fp, mark) for every row; fp is the fingerprint as a signed long, mark a digest of the text.
+
+    Null texts have no words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], ["doc_id", "fp", "mark"])
+
+    whole = F.col(text).cast("string")
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), whole.alias("text"), _mark(whole).alias("mark"))
+    return rows.mapInArrow(run, "doc_id long, fp long, mark string")
+
 
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+def _mark(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def planes(values: np.ndarray, word: np.ndarray, lane: np.ndarray, n_words: int) -> np.ndarray:
@@ -182,6 +190,13 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: in
     return placed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(radius), "u long, v long")
 
 
+def _rooted(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, low, root) per distinct fingerprint: its smallest id, and the fingerprint that names its component."""
+    distinct = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    roots = components(fingerprint_links(distinct.select("fp"), radius))
+    return durable(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -189,11 +204,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     count once, so a large group of copies costs no comparisons. Null and empty texts share the
     fingerprint zero. An empty table gives an empty result; other columns are not read.
     """
-    marked = durable(fingerprints(docs, id, text, shingle))
-    distinct = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(fingerprint_links(distinct.select("fp"), radius))
-    rooted = durable(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")))
+    marked = durable(fingerprints(docs, id, text, shingle).drop("mark"))
+    rooted = _rooted(marked, radius)
     lowest = durable(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
     of_fp = durable(rooted.join(lowest, "root").select("fp", "component_id"))
     out = marked.join(of_fp, "fp")
@@ -201,7 +213,21 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
 
 
 def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns; rows without an id stay."""
-    out = near_duplicates(docs, id, text, shingle, radius).filter("doc_id <> component_id")
-    gone = durable(out.select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(gone, F.col(id).cast("long") == F.col("__id"), "left_anti")
+    """One row of each component of ``docs``, with all its columns, whatever those are called.
+
+    The row with the smallest id stays (rows without an id last), among rows with that id the one
+    whose text has the smallest digest, and of rows repeated in id and text the first.
+    """
+    marked = durable(fingerprints(docs, id, text, shingle))
+    same = marked.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "n")
+    of_fp = same.groupBy("fp").agg(F.min(first).alias("first"))  # combined before copies of a component meet
+    best = of_fp.join(_rooted(marked, radius), "fp").groupBy("root").agg(F.min("first").alias("best"))
+    id_, mark, n = free(docs, "_id", "_mark", "_n")
+    stay = durable(best.select(F.col("best.doc_id").alias(id_), F.col("best.mark").alias(mark), F.col("best.n").alias(n)))
+    whole = F.col(text).cast("string")
+    match = [F.col(id).cast("long").eqNullSafe(F.col(id_)), _mark(whole) == F.col(mark)]
+    once = docs.join(stay.filter(F.col(n) == 1), match, "left_semi")
+    again = docs.join(stay.filter(F.col(n) > 1), match, "left_semi")
+    again = again.withColumns({id_: F.col(id).cast("long"), mark: _mark(whole)}).dropDuplicates([id_, mark])
+    return once.unionByName(again.drop(id_, mark))

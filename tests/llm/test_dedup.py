@@ -159,8 +159,28 @@ def test_near_duplicates(spark):
     assert all(r.component_id == low.get(root[int(r.fingerprint, 16)]) for r in found)
     assert {(r.doc_id, r.fingerprint) for r in found} == {(d, f"{plain_fingerprint(t):016x}") for d, t, *_ in data}
     stay = simhash.drop_near(docs)
-    assert {r.doc_id for r in stay.collect()} == set(low.values()) | {None} and stay.columns == docs.columns
+    assert stay.columns == docs.columns
+    kept = [plain_fingerprint(r.text) for r in stay.collect()]
+    assert sorted(root[f] for f in kept) == sorted(set(root.values()))  # one of each component
+    assert {r.doc_id for r in stay.collect()} == {low.get(r) for r in set(root.values())}
 
 
 def test_near_duplicates_of_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_repeated_ids_lose_and_double_nothing(spark):
+    other = "quite another text that shares no words with it at all"
+    near = spark.createDataFrame([(1, "a b c d", 0), (2, "a b c d", 0), (2, other, 0), (3, None, 1), (3, None, 2)], "doc_id long, text string, _id int")
+    assert sorted((r.doc_id, r.text or "") for r in simhash.drop_near(near).collect()) == [(1, "a b c d"), (2, other), (3, "")]
+    same = spark.createDataFrame([(1, "a bc", 0), (1, "ab c", 0), (2, "abc", 0)], "doc_id long, text string, _sha int")
+    stay = exact.drop_exact(same).collect()
+    assert [(r.doc_id, len(r.text)) for r in stay] == [(1, 4)]
+
+
+@pytest.mark.parametrize("drop", [exact.drop_exact, simhash.drop_near])
+def test_columns_of_any_name_pass(spark, drop):
+    names = ["__id", "__chars", "__sha", "n_same", "_id", "_ID_", "_chars", "_sha", "_n_same", "_mark", "_n", "fp", "hash", "row"]
+    docs = spark.createDataFrame([(1, "a b", *range(len(names))), (2, "a b", *range(len(names)))], ["doc_id", "text", *names])
+    stay = drop(docs)
+    assert stay.columns == docs.columns and [tuple(r)[0] for r in stay.collect()] == [1]

@@ -66,6 +66,14 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.nearest(vectors, vectors.limit(0)).count() == 0
 
 
+def test_repeated_queries_get_one_answer_each(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "vec_id long, embedding array<double>")
+    again = spark.createDataFrame([(5, [5.0, 1.0])] * 3 + [(7, [7.0, 1.0]), (7, [20.0, 1.0])], vectors.schema)
+    rows = ann.nearest(vectors, again, k=4).collect()
+    assert sorted((r["rank"], r.vec_id) for r in rows if r.query_id == 5) == [(1, 4), (2, 6), (3, 3), (4, 7)]
+    assert sorted(r["rank"] for r in rows if r.query_id == 7) == [1, 1, 2, 2, 3, 3, 4, 4]
+
+
 # --- web archives ---------------------------------------------------------------------------
 
 PAGES = [
