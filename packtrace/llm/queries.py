@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, simhash, toxicity, warc
+from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, simhash, toxicity, trie, warc
 from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,47 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@_register
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(*trie.shared_openings(turns))
+
+
+ORACLES["op12_conversation_trie"] = """
+    with turns as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first,
+                   sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as pos
+        from conversations where conv_id is not null),
+    own as (
+        select conv_id, list(struct_pack(role := role, text := text) order by pos) as l from turns group by conv_id),
+    crc as (  -- crc32 of the decimal id, eight steps per byte
+        select conv_id, l, xor(4294967295, list_reduce(
+            list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+            lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1))))) % 6 as h
+        from own),
+    rebuilt as (
+        select c.conv_id, list_concat(coalesce(d.l[1:c.h], []), c.l[c.h + 1:]) as l
+        from crc c left join own d on d.conv_id = c.conv_id - c.conv_id % 100),
+    steps as (
+        select conv_id, len(l) as n, unnest(range(len(l) + 1)) as depth, l from rebuilt),
+    placed as (select conv_id, n, depth, l[1:depth] as node, l[1:greatest(depth - 1, 0)] as up from steps),
+    nodes as (
+        select depth, node, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '')) as ends_sha256
+        from placed group by depth, node),
+    kids as (select up as node, count(*) as n_children from nodes where depth > 0 group by up),
+    valued as (
+        select n.*, coalesce(k.n_children, 0) as n_children,
+               case when depth = 0 then 0 else (n_convs - 1) * length(n.node[depth].text) end as saved
+        from nodes n left join kids k on n.node = k.node),
+    lines as (select unnest(range(depth + 1)) as upto, node, n_children, saved from valued),
+    sums as (
+        select node[1:upto] as node, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+        from lines group by node[1:upto])
+    select v.conv_id, v.depth, p.conv_id as parent_conv_id, v.n_convs, v.n_children, s.n_leaves,
+           s.saved_tokens::bigint as saved_tokens, v.ends_sha256
+    from valued v join sums s on s.node = v.node
+    left join valued p on v.depth > 0 and p.node = v.up"""
