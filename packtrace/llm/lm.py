@@ -3,8 +3,8 @@
 Every byte is eight binary decisions, each with its own context tree over the bytes before it.
 A node's counts give a Krichevsky-Trofimov estimate; weighting mixes the estimates of all
 depths. Counts come from the whole training text: tasks count n-grams and ship sorted arrays by
-context, one task per bucket of contexts builds and weighs its subtrees, and the top two levels
-are weighed from sums of at most 65,280 nodes. The weighed tree then predicts each bit from the
+the three nearest bytes of context, one task per bucket of those builds and weighs its subtrees,
+and depths 0 to 2 are weighed from the sums of all buckets, at most 2**24 nodes. The weighed tree then predicts each bit from the
 deepest context it holds. It stays as the written table: scoring holds the code lengths of the
 n-grams seen most and asks the buckets for those of all others, so every node counts.
 
@@ -26,15 +26,16 @@ from packtrace.llm.common import remainder, slices, words
 from packtrace.session import durable
 
 DEPTH = 6  # bytes of context
-GRAMS = 1_500_000  # n-grams whose code lengths scoring holds in memory; the others' are asked for
+GRAMS = 3_000_000  # n-grams whose code lengths scoring holds in memory; the others' are asked for
 FREQUENT = 1 << 19  # words whose counts scoring holds in memory; the others' counts are joined
 _SLICE = 1 << 20
 _SCORED = 2 << 20  # bytes of text scored together, beside the model
-_PARTIAL = 400_000  # distinct n-grams a task gathers before it ships them
+_PARTIAL = 1_000_000  # distinct n-grams a task gathers before it ships them
 _PART = 60_000  # n-grams weighed together
 _ASKED = 2_000_000  # n-grams asked of a bucket in one task; more of them are spread over copies of its tree
 _LOOK = 200_000  # n-grams looked up together
-BUCKETS = 64  # of contexts, at least
+BUCKETS = 512  # of contexts, at least; each is a row of the written tree
+_MOST = 1 << 30  # of a count that is shipped
 _END = b"\0"
 _U = np.uint64
 
@@ -87,21 +88,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of n-grams, by the two nearest context bytes."""
-    return _mix((key >> _U(8)) & _U(0xFFFF)) % _U(buckets)
+    """Bucket of n-grams, by the three nearest context bytes."""
+    return _mix((key >> _U(8)) & _U(0xFFFFFF)) % _U(buckets)
 
 
 # --- gathering ------------------------------------------------------------------------
 
 
 def _gather(buckets: int):
-    """Per task: n-gram counts (kind 0, by the two nearest context bytes) and word counts (kind 1, by word)."""
+    """Per task: n-gram counts (kind 0, by the nearest context bytes) and word counts (kind 1, by word)."""
     out = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
 
     def ship(kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         where = _bucket(key, buckets) if kind == 0 else (key >> _U(40)) % _U(buckets)
         order = np.argsort(where, kind="stable")
-        key, n = key[order], n[order]
+        key, n = key[order], n[order].astype(np.int32)
         cuts = np.searchsorted(where[order], np.arange(buckets + 1, dtype=_U))
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             part = slice(cuts[b], cuts[b + 1])
@@ -112,7 +113,7 @@ def _gather(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, n = np.zeros(0, _U), np.zeros(0, np.int64)
         seen: dict[bytes, int] = {}
-        texts = 0
+        texts = total = 0
 
         def ship_words():
             h = np.fromiter(map(xxhash.xxh64_intdigest, seen), _U, len(seen))
@@ -123,15 +124,17 @@ def _gather(buckets: int):
             texts += len(lists)
             fresh, m = _distinct(_stream(lists)[0])
             key, n = _counted(np.r_[key, fresh], np.r_[n, m])
-            if len(key) > _PARTIAL:
+            total += int(m.sum())
+            if len(key) > _PARTIAL or total > _MOST:
                 yield from ship(0, key, n)
                 key, n = np.zeros(0, _U), np.zeros(0, np.int64)
             for tokens in lists:
                 for w in tokens:
                     seen[w] = seen.get(w, 0) + 1
-            if len(seen) > _PARTIAL // 8:
+            if len(seen) > _PARTIAL // 8 or total > _MOST:
                 yield from ship_words()
                 seen = {}
+            total = 0 if total > _MOST else total
         yield from ship(0, key, n)
         if texts:
             seen[b""] = texts  # the end token
@@ -219,24 +222,37 @@ def subtrees(key: np.ndarray, n: np.ndarray, root: int) -> tuple[tuple, tuple]:
     return tuple(map(np.concatenate, zip(*out, strict=True))), (above, *sums)
 
 
-def _crown(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Depths 0 and 1 as dense tables over (context byte, bits so far): settled part, rest, and prediction without depth 2."""
-    key1, of, (zeros, ones, children) = _up(key, 2, zeros, ones, children)
-    own1 = _log_kt(zeros, ones)
-    weighed1 = _both(own1, children)
-    key0, up, (z0, o0, c0) = _up(key1, 1, zeros, ones, weighed1)
-    own0 = _log_kt(z0, o0)
-    share0 = _share(own0, _both(own0, c0))
-    est0 = (o0 + 0.5) / (z0 + o0 + 1)
-    share1, est1 = _share(own1, weighed1), (ones + 0.5) / (zeros + ones + 1)
-    done1 = (share0 * est0)[up] + (1 - share0)[up] * share1 * est1
-    rest1 = (1 - share0)[up] * (1 - share1)
-    done, rest, alone = np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5)
-    for node, p in zip(key0.tolist(), (share0 * est0 + (1 - share0) / 2).tolist(), strict=True):
-        alone[node::256] = p  # contexts never seen
-    at = key1.astype(np.int64)
-    done[at], rest[at], alone[at] = done1, rest1, done1 + rest1 / 2
-    return done, rest, alone
+class Crown:
+    """Depths 0 and 1 as dense tables over (context byte, bits so far), depth 2 as sorted keys.
+
+    ``done`` is the settled part of a prediction and ``rest`` the weight left to deeper nodes;
+    ``alone`` is the prediction where depth 2 was never seen.
+    """
+
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray):
+        by = np.argsort(key)
+        key, zeros, ones, children = key[by], zeros[by], ones[by], children[by]
+        own2 = _log_kt(zeros, ones)
+        weighed2 = _both(own2, children)
+        share2 = _share(own2, weighed2)
+        self.key2, self.done2, self.rest2 = key, (share2 * (ones + 0.5) / (zeros + ones + 1)).astype(np.float32), (1 - share2).astype(np.float32)
+        self.done, self.rest, self.alone = np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5)
+        if not len(key):
+            return
+        key1, _, (zeros, ones, children) = _up(key, 2, zeros, ones, weighed2)
+        own1 = _log_kt(zeros, ones)
+        weighed1 = _both(own1, children)
+        key0, up, (z0, o0, c0) = _up(key1, 1, zeros, ones, weighed1)
+        own0 = _log_kt(z0, o0)
+        share0 = _share(own0, _both(own0, c0))
+        est0 = (o0 + 0.5) / (z0 + o0 + 1)
+        share1, est1 = _share(own1, weighed1), (ones + 0.5) / (zeros + ones + 1)
+        for node, p in zip(key0.tolist(), (share0 * est0 + (1 - share0) / 2).tolist(), strict=True):
+            self.alone[node::256] = p  # contexts never seen
+        at = key1.astype(np.int64)
+        self.done[at] = (share0 * est0)[up] + (1 - share0)[up] * share1 * est1
+        self.rest[at] = (1 - share0)[up] * (1 - share1)
+        self.alone[at] = self.done[at] + self.rest[at] / 2
 
 
 _CLASSES = 4096
@@ -251,7 +267,7 @@ def _weigh(table: pa.Table) -> pa.Table:
     """Weigh a bucket. Contexts of three bytes are independent below depth 3, so they go through in small parts."""
     key, n = _counted(
         np.concatenate([_unpack(b, _U) for b in table.column("key").to_pylist()]),
-        np.concatenate([_unpack(b, np.int64) for b in table.column("n").to_pylist()]))
+        np.concatenate([_unpack(b, np.int32) for b in table.column("n").to_pylist()]).astype(np.int64))
     near = key >> _U(8) & _U(0xFFFFFF)
     order = np.argsort(near, kind="stable")
     key, n, near = key[order], n[order], near[order]
@@ -268,30 +284,46 @@ def _weigh(table: pa.Table) -> pa.Table:
         begin = stop
     nodes, done, rest = map(np.concatenate, zip(*parts, strict=True))
     del parts
-    key2, of, sums = _up(np.concatenate([t[0] for t in tops]), 3, *(np.concatenate([t[i] for t in tops]) for i in (1, 2, 3)))
-    zeros, ones, children = sums
-    own = _log_kt(zeros, ones)
-    weighed = _both(own, children)
-    share = _share(own, weighed)
-    done2, rest2 = share * (ones + 0.5) / (zeros + ones + 1), 1 - share
-    at = np.searchsorted(key2, nodes & _U(0xFFFFFF))
-    done = done2[at].astype(np.float32) + rest2[at].astype(np.float32) * done
-    rest = rest2[at].astype(np.float32) * rest
-    nodes = np.r_[nodes, key2 | _U(2 << 56)]
-    # deeper contexts that were never seen would add a half of the rest
-    value = np.r_[done + rest / 2, done2 + rest2 / 2].astype(np.float32)
-    key1, _, sums = _up(key2, 2, zeros, ones, weighed)
+    key2, _, sums = _up(np.concatenate([t[0] for t in tops]), 3, *(np.concatenate([t[i] for t in tops]) for i in (1, 2, 3)))
     at = np.argsort(nodes)
+    value = (done + rest / 2)[at].astype(np.float32)  # deeper contexts that were never seen would add a half of the rest
     return pa.table({
         "bucket": table.column("bucket")[:1], "gram": [key.tobytes()], "often": [often.tobytes()],
         "grams": [np.bincount(often, minlength=_CLASSES).astype(np.int64).tobytes()],
-        "key": [nodes[at].tobytes()], "value": [value[at].tobytes()],
-        "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in (key1, *sums))], "n_top": [len(key1)],
+        "key": [nodes[at].tobytes()], "value": [value.tobytes()],
+        "top": [b"".join(np.ascontiguousarray(x).tobytes() for x in (key2, *sums))],
     })
 
 
+_MADE = "bucket int, gram binary, often binary, grams binary, key binary, value binary, top binary, word long, n long"
+
+
+def _settle(table: pa.Table) -> pa.Table:
+    """The weighed subtrees of a bucket of n-grams, or the counts of a bucket of words."""
+    if table.column("kind")[0].as_py() == 0:
+        out = _weigh(table)
+    else:
+        h, n = _counted(
+            np.concatenate([_unpack(b, _U) for b in table.column("key").to_pylist()]),
+            np.concatenate([_unpack(b, np.int32) for b in table.column("n").to_pylist()]).astype(np.int64))
+        out = pa.table({"word": h.view(np.int64), "n": n})
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in _MADE.split(", ")]
+    return pa.table({name: out.column(name).cast(kinds[kind]) if name in out.column_names else pa.nulls(len(out), kinds[kind]) for name, kind in fields})
+
+
+def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums that buckets hand to depth 2, a row per node and bucket."""
+    for batch in batches:
+        for blob in batch.column("top").to_pylist():
+            n = len(blob) // 32
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.frombuffer(blob, kind, n, 8 * i * n)) for i, kind in enumerate((np.int64, float, float, float))],
+                ["key", "zeros", "ones", "children"])
+
+
 class Nodes:
-    """Node keys in order with predictions, and the crown."""
+    """Node keys of depth 3 and more in order, with predictions relative to what depth 3 gets; and the crown."""
 
     def __init__(self, key, value, crown):
         self.key, self.value, self.crown = key, value, crown
@@ -310,7 +342,7 @@ class Nodes:
 
     def code_length(self, gram: np.ndarray) -> np.ndarray:
         """Bits for the last byte of each distinct n-gram; grams are sorted."""
-        done, rest, alone = self.crown
+        c = self.crown
         byte = gram & _U(255) | _U(256)
         bits = np.zeros(len(gram))
         for s in range(8):
@@ -319,25 +351,28 @@ class Nodes:
             which = np.cumsum(new) - 1
             node = node[new]
             low = (node & _U(0xFFFF)).astype(np.int64)
-            one = alone[low]
-            todo = np.arange(len(node))
-            for depth in range(DEPTH, 1, -1):
+            one = c.alone[low]
+            two = (node & _U(0xFFFFFF)).astype(_U)
+            at2 = np.minimum(np.searchsorted(c.key2, two), max(0, len(c.key2) - 1))
+            todo = np.flatnonzero(c.key2[at2] == two) if len(c.key2) else np.zeros(0, np.int64)
+            one[todo] = c.done[low[todo]] + c.rest[low[todo]] * (c.done2[at2[todo]] + c.rest2[at2[todo]] / 2)
+            for depth in range(DEPTH, 2, -1):
+                if not len(todo):
+                    break
                 at, hit = self.find(node[todo], depth)
                 got = todo[hit]
-                one[got] = done[low[got]] + rest[low[got]] * self.value[at[hit]]
+                one[got] = c.done[low[got]] + c.rest[low[got]] * (c.done2[at2[got]] + c.rest2[at2[got]] * self.value[at[hit]])
                 todo = todo[~hit]
-                if not len(todo):
-                    break
             one = one[which]
             bits -= np.log2(np.where(byte >> _U(s) & _U(1), one, 1 - one))
         return bits
 
 
 class Model:
-    """What scoring holds: the crown, the code lengths of the frequent n-grams, and the counts of the frequent words."""
+    """What scoring holds: the code lengths of the frequent n-grams and the counts of the frequent words."""
 
-    def __init__(self, crown, word, word_count, n_tokens, n_words, gram, cost, buckets):
-        self.crown, self.word, self.word_count, self.n_tokens, self.n_words = crown, word, word_count, n_tokens, n_words
+    def __init__(self, word, word_count, n_tokens, n_words, gram, cost, buckets):
+        self.word, self.word_count, self.n_tokens, self.n_words = word, word_count, n_tokens, n_words
         self.gram, self.cost, self.buckets = gram, cost, buckets
 
     def known(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -377,7 +412,14 @@ def _per_position(key: np.ndarray, distinct: np.ndarray, value: np.ndarray) -> n
     return value[found]
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFrame]:
+class Tree:
+    """The weighed tree: a written table with a row per bucket, and the crown."""
+
+    def __init__(self, rows: DataFrame, crown: Crown):
+        self.rows, self.crown = rows, crown
+
+
+def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, Tree]:
     """Learn from all rows of ``docs``; returns the model, the rarer words' counts (word, n) and the written tree.
 
     All nodes stay, however much text there is: ``score`` holds GRAMS n-grams and FREQUENT words,
@@ -385,29 +427,28 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFr
     Words are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
-    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    parts = durable(rows.mapInArrow(_gather(buckets), "kind int, bucket int, key binary, n binary"))
-    trees = durable(parts.filter("kind = 0").groupBy("bucket").applyInArrow(
-        _weigh, "bucket int, gram binary, often binary, grams binary, key binary, value binary, top binary, n_top long"))
-    steps, tops = np.zeros(_CLASSES, np.int64), []
-    for r in trees.select("grams", "top", "n_top").toLocalIterator():
+    parts = rows.mapInArrow(_gather(buckets), "kind int, bucket int, key binary, n binary")
+    made = durable(parts.groupBy("kind", "bucket").applyInArrow(_settle, _MADE))
+    trees, counts = made.filter("bucket is not null").drop("word", "n"), made.filter("word is not null").select("word", "n")
+    sums = trees.select("top").mapInArrow(_unfold, "key long, zeros double, ones double, children double").groupBy("key").agg(
+        *[F.sum(c).alias(c) for c in ("zeros", "ones", "children")]).toArrow()  # 2**24 rows at most
+    crown = Crown(*(sums.column(i).to_numpy().view(kind) for i, kind in enumerate((_U, float, float, float))))
+    steps = np.zeros(_CLASSES, np.int64)
+    for r in trees.select("grams").toLocalIterator():
         steps += np.frombuffer(bytes(r.grams), np.int64)
-        blob = bytes(r.top)
-        tops.append([np.frombuffer(blob, kind, r.n_top, 8 * i * r.n_top) for i, kind in enumerate((_U, float, float, float))])
     most = np.cumsum(steps[::-1])[::-1]  # n-grams of at least each step
     least = int(np.flatnonzero(most <= GRAMS)[0]) if (most <= GRAMS).any() else _CLASSES
-    crown = _crown(*(np.concatenate(x) for x in zip(*tops, strict=True))) if tops else (
-        np.zeros(1 << 16), np.zeros(1 << 16), np.full(1 << 16, 0.5))
-    upper = spark.sparkContext.broadcast(crown)  # of fixed size
+    upper = spark.sparkContext.broadcast(crown)  # 2**24 nodes at most
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 k, v, g, o = (batch.column(c)[i].as_py() for c in ("key", "value", "gram", "often"))
                 of = np.sort(np.frombuffer(g, _U)[np.frombuffer(o, np.int16) >= least])
-                value = _costs(Nodes.of(k, v, upper.value), of)
-                yield pa.RecordBatch.from_arrays([pa.array([of.tobytes()]), pa.array([value.tobytes()])], ["key", "value"])
+                cost = _costs(Nodes.of(k, v, upper.value), of)
+                yield pa.RecordBatch.from_arrays([pa.array([of.tobytes()]), pa.array([cost.tobytes()])], ["key", "value"])
 
     held = int(most[least]) if least < _CLASSES else 0
     key, value, filled = np.empty(held, _U), np.empty(held, np.float32), 0
@@ -419,14 +460,6 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFr
     order = np.argsort(key)
     key, value = key[order], value[order]
     del order
-
-    def tally(table: pa.Table) -> pa.Table:
-        h, n = _counted(
-            np.concatenate([_unpack(b, _U) for b in table.column("key").to_pylist()]),
-            np.concatenate([_unpack(b, np.int64) for b in table.column("n").to_pylist()]))
-        return pa.table({"word": h.view(np.int64), "n": n})
-
-    counts = durable(parts.filter("kind = 1").groupBy("bucket").applyInArrow(tally, "word long, n long"))
     spread = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect()
     n_tokens, n_words = sum(r.tokens for r in spread), sum(r.words for r in spread)
     limit, words_held = 100_001, 0
@@ -437,20 +470,20 @@ def train(docs: DataFrame, text: str = "text") -> tuple[Model, DataFrame, DataFr
     frequent = counts.filter(F.col("n") >= limit).toArrow()
     word = frequent.column("word").to_numpy().view(_U)
     by = np.argsort(word)
-    model = Model(crown, word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words, key, value, buckets)
-    return model, counts.filter(F.col("n") < limit), trees
+    model = Model(word[by], frequent.column("n").to_numpy()[by], n_tokens, n_words, key, value, buckets)
+    return model, counts.filter(F.col("n") < limit), Tree(trees, crown)
 
 
-def _answers(asked: DataFrame, trees: DataFrame, crown) -> DataFrame:
+def _answers(asked: DataFrame, tree: Tree) -> DataFrame:
     """Code lengths of the n-grams that slices ask for, by slice and bucket, from the whole trees of the buckets."""
     spark = asked.sparkSession
-    upper = spark.sparkContext.broadcast(crown)  # of fixed size
+    upper = spark.sparkContext.broadcast(tree.crown)  # 2**24 nodes at most
     sizes = asked.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > _ASKED).collect()  # a row per bucket at most
     copies = F.lit(1)
     for r in sizes:
         copies = F.when(F.col("bucket") == r.bucket, F.lit(-(-r.n // _ASKED))).otherwise(copies)
     asked = asked.withColumn("copy", F.pmod(F.xxhash64("slice"), copies).cast("int"))
-    trees = trees.select("bucket", "key", "value").withColumn("copy", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
+    trees = tree.rows.select("bucket", "key", "value").withColumn("copy", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
 
     def look(tree: pa.Table, wanted: pa.Table) -> pa.Table:
         parts = [_unpack(b, _U) for b in wanted.column("gram").to_pylist()]
@@ -475,14 +508,14 @@ def _add_up(docs: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.table({"row": docs.column("row"), "more_bits": pa.array(more, pa.float64())})
 
 
-def score(docs: DataFrame, model: Model, rare: DataFrame, trees: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, rare: DataFrame, tree: Tree, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     base_score sums log10((c + 1) / (N + V + 1)) over tokens, the end among them; score is the
     tree's log10 probability of the token sequence, bits_per_byte its code length. Null texts
     count as empty: one end token. Without training text every bit costs one bit. A slice of
     documents sends its distinct n-grams that the model does not hold to their buckets of
-    ``trees`` and gets their code lengths back.
+    ``tree`` and gets their code lengths back.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by GRAMS and FREQUENT
     out = pa.schema([
@@ -556,7 +589,7 @@ slice long, which binary, often binary, bucket int, gram binary, n long"
     more = pairs.join(rare, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"), F.sum("times").alias("more_known"))
     out_rows = scored.select("row", "doc_id", "n_tokens", "n_known", "logs", "bits", "n_bytes").join(more, "row", "left")
-    answers = _answers(found.filter("bucket is not null").select("slice", "bucket", "gram", "n"), trees, model.crown)
+    answers = _answers(found.filter("bucket is not null").select("slice", "bucket", "gram", "n"), tree)
     asking = scored.filter("which is not null").select("slice", "row", "which", "often")
     deep = asking.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_add_up, "row long, more_bits double")
     out_rows = out_rows.join(deep, "row", "left").withColumn("bits", F.col("bits") + F.coalesce("more_bits", F.lit(0.0)))
