@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, simhash, toxicity, trie, warc
+from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, phrases, simhash, toxicity, trie, warc
 from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,45 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@_register
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrases"] = r"""
+    with d as (
+        select coalesce(lang, 'und') as lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+        from documents),
+    p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as p from d),
+    w as (select lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+    totals as (select lang, sum(len(ws))::bigint as n from w group by lang),
+    grams as (
+        select lang, unnest(flatten(list_transform(range(1, 5), lambda m:
+            list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))))) as phrase
+        from w),
+    f as (
+        select lang, phrase, count(*) as f, string_split(phrase, ' ') as ws
+        from grams group by lang, phrase having count(*) >= 30),
+    k as (select lang, phrase, f as a, ws, unnest(range(1, len(ws))) as k from f where len(ws) > 1),
+    scored as (
+        select k.lang, k.phrase, a, l.f as l, r.f as r, k, (2000000::hugeint * a) // (l.f + r.f) as score
+        from k join f l on l.lang = k.lang and l.phrase = array_to_string(k.ws[1:k], ' ')
+        join f r on r.lang = k.lang and r.phrase = array_to_string(k.ws[k + 1:], ' ')),
+    best as (
+        select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    part as (
+        select lang, f, unnest(flatten(list_transform(range(2, len(ws)), lambda m:
+            list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))))) as phrase
+        from f where len(ws) > 2),
+    longer as (select lang, phrase, max(f) as f from part group by lang, phrase),
+    ranked as (
+        select b.*, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as rank
+        from best b left join longer g on g.lang = b.lang and g.phrase = b.phrase
+        where g.f is null or 100 * g.f < 80 * a)
+    select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000"""
+
+
 @_register
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = trie.numbered(table(spark, sf_dir, "conversations"))
