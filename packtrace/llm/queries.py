@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, phrases, simhash, toxicity, trie, warc
+from packtrace.llm import ann, bpe, exact, html_text, langid, lm, packing, phrases, pii, simhash, toxicity, trie, warc
 from packtrace.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,12 @@ ORACLES["op12_conversation_trie"] = """
            s.saved_tokens::bigint as saved_tokens, v.ends_sha256
     from valued v join sums s on s.node = v.node
     left join valued p on v.depth > 0 and p.node = v.up"""
+
+
+@_register
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return found.select(
+        "doc_id", *[pii.count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS], F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "added")).alias("spans"))
