@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from packtrace.operators.ordered import Groups, _join_keys
+from packtrace.operators import segments
 from packtrace.sources.tables import require
 from packtrace.spec import CANONICAL, IntegrityLimits, Skew
 
@@ -43,31 +43,32 @@ def _signature(df: DataFrame, replay_on: str, columns: Sequence[str] | None) ->
         if replay_on == "payload":
             columns = [c for c in _PAYLOAD if c in df.columns]
     keys = ["device", "t_us"] if "t_us" in columns else ["device"]
-    return [*keys, "_sig"], F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    return keys, F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
 
 
-def _copied_often(df: DataFrame, keys: list[str], skew: Skew) -> DataFrame | None:
-    """Groups of copies too large for one task, found in a sample of hot devices' rows.
+def _fingerprint(text: Column) -> dict[str, Column]:
+    """128 bits that stand for a row's text wherever it is shuffled or sorted."""
+    return {"_fp1": F.xxhash64(text), "_fp2": F.xxhash64(F.lit(1), text)}
 
-    A group is listed only when the sample itself holds more than two of its rows, so
-    being listed proves the replay. At most table_rows / rows_per_task groups qualify.
+
+def _replayed(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """Mark rows of which more than two are equal among the rows of ``keys``.
+
+    Equal fingerprints are verified by content inside their window; the text itself is never a key.
     """
-    picked = df.select(*keys)
-    if skew.rate < 1.0:
-        picked = picked.sample(fraction=skew.rate, seed=skew.seed)
-    often = picked.groupBy(*keys).count().filter(F.col("count") >= max(3, skew.per_chunk)).drop("count")
-    rows = often.collect()
-    return df.sparkSession.createDataFrame(rows, often.schema) if rows else None
+    copies = Window.partitionBy(*keys, "_fp1", "_fp2")
+    same = (F.count(F.lit(1)).over(copies) > 2) & (F.min(text).over(copies) == F.max(text).over(copies))
+    return df.withColumns(_fingerprint(text)).withColumn("replay_pattern", _true(same)).drop("_fp1", "_fp2")
 
 
-def _mark_replay(df: DataFrame, keys: list[str], often: DataFrame | None) -> DataFrame:
-    if often is None:
-        copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        return df.withColumn("replay_pattern", copies > 2)
-    df = _join_keys(df, often.withColumn("_often", F.lit(True)), keys)
-    df = df.withColumn("_salt", F.when(F.col("_often"), F.col("seq")))
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_salt"))
-    return df.withColumn("replay_pattern", _true(F.col("_often")) | (copies > 2)).drop("_often", "_salt")
+def _replayed_anywhere(df: DataFrame, base: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """The same for copies that no segment holds together: counted before they are shuffled, then joined back."""
+    prints = [*keys, "_fp1", "_fp2"]
+    often = base.withColumns(_fingerprint(text)).groupBy(*prints).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(text).alias("_low"), F.max(text).alias("_high"))
+    often = often.filter("_n > 2 and _low = _high").select(*prints, F.lit(True).alias("replay_pattern"))
+    marked = df.withColumns(_fingerprint(text)).join(often, prints, "left")
+    return marked.withColumn("replay_pattern", _true(F.col("replay_pattern"))).drop("_fp1", "_fp2")
 
 
 def checks(
@@ -80,72 +81,85 @@ def checks(
 ) -> DataFrame:
     """The input rows plus one boolean column per reason in ``only``.
 
-    All windows lead with the device, so ordinary devices cost a single shuffle.
+    Where every device fits a task, all windows lead with the device and cost a single shuffle.
+    Longer devices are cut into segments, see ``segments``.
     """
     require(df, ["device", "seq", "t_us", "voltage", "current", "temperature"])
     only = set(only)
     base, names = known_devices(df), df.columns
     copy_keys, text = _signature(df, replay_on, signature)
     timed = bool(only - {"timestamp_reorder", "replay_pattern"})
-    orders = {}
+    cut = segments.measure(base, skew)
+    rows = base
     if "timestamp_reorder" in only:
-        orders["arrival"] = ["seq"]
+        if cut:
+            rows = segments.previous_arrival(rows, cut, "t_us", "_arrived")
+        else:
+            rows = rows.withColumn("_arrived", F.lag("t_us").over(Window.partitionBy("device").orderBy("seq")))
+        rows = rows.withColumn("timestamp_reorder", _true(F.col("t_us") < F.col("_arrived")))
     if timed:
-        orders["timeline"] = ["t_us", "seq"]
-    groups = Groups.measure(base, ["device"], orders or {"arrival": ["seq"]}, skew)
-    often = None
-    if "replay_pattern" in only and groups.hot:
-        often = _copied_often(groups.hot_rows(base).withColumn("_sig", text), copy_keys, skew)
-
-    def run(part: DataFrame, scans) -> DataFrame:
-        if "timestamp_reorder" in only:
-            part = scans["arrival"].look(part, previous={"_arrived": F.col("t_us")})
-            part = part.withColumn("timestamp_reorder", _true(F.col("t_us") < F.col("_arrived")))
-        if timed:
-            part = _timeline_checks(part, scans["timeline"], limits, only)
-        if "replay_pattern" in only:
-            hot = any(scan.chunk for scan in scans.values())
-            part = _mark_replay(part.withColumn("_sig", text), copy_keys, often if hot else None)
-        return part
-
-    return groups.apply(base, run).select(*names, *[r for r in REASONS if r in only])
-
-
-def _timeline_checks(df: DataFrame, line, limits: IntegrityLimits, only: set[str]) -> DataFrame:
-    copies, flats = "duplicate_row" in only, "flatline" in only
-    df = line.look(
-        df,
-        previous={
-            "_t": F.col("t_us"),
-            "_v": F.col("voltage"),
-            "_i": F.col("current"),
-            "_temp": F.col("temperature"),
-        },
-        following={"_next": F.col("t_us")} if copies else None,
-        sums={"_pos": F.lit(1).cast("bigint")} if flats else None,
-    )
-    if copies:
+        rows = _around_in_segments(rows, base, cut, only) if cut else _around(rows, limits, only)
+        rows = _timeline_checks(rows, limits, only)
+    if "replay_pattern" in only:
+        if cut and (cut.crowded is not None or "t_us" not in copy_keys):
+            rows = _replayed_anywhere(rows, base, copy_keys, text)
+        elif cut:
+            rows = rows if timed else cut.by_time(rows)
+            rows = _replayed(rows, [*copy_keys, segments.SEG], text)
+        else:
+            rows = _replayed(rows, copy_keys, text)
+    return rows.select(*names, *[r for r in REASONS if r in only])
+
+
+def _around(df: DataFrame, limits: IntegrityLimits, only: set[str]) -> DataFrame:
+    """Each row beside the reading before it, the instant after it, its run and the median step."""
+    line = Window.partitionBy("device").orderBy("t_us", "seq")
+    before = {f"_b_{c}": F.lag(c).over(line) for c in ("t_us", "voltage", "current", "temperature")}
+    df = df.withColumns({**before, "_next": F.lead("t_us").over(line), "_pos": F.row_number().over(line)})
+    if "gap" in only:
+        step = F.col("t_us") - F.col("_b_t_us")
+        median = F.percentile(F.when(step != 0, F.abs(step)), F.lit(0.5)).over(Window.partitionBy("device"))
+        df = df.withColumn("_median", median)
+    if "flatline" in only:
+        moved = F.max(F.when(~segments.same_reading("", "_b_"), F.col("_pos")))
+        df = df.withColumn("_run", F.col("_pos") - moved.over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return df
+
+
+def _around_in_segments(df: DataFrame, base: DataFrame, cut: segments.Cut, only: set[str]) -> DataFrame:
+    """The same with windows that stay inside a segment; its small row brings what crosses the border."""
+    carried = segments.carried(segments.summaries(base, cut), "gap" in only)
+    line = Window.partitionBy("device", segments.SEG).orderBy("t_us", "seq")
+    columns = ("t_us", "voltage", "current", "temperature")
+    df = cut.by_time(df).withColumns({
+        "_pos": F.row_number().over(line), **{f"_b_{c}": F.lag(c).over(line) for c in columns}, "_next": F.lead("t_us").over(line)})
+    df = segments.joined(df, carried)
+    first = F.col("_pos") == 1
+    df = df.withColumns({f"_b_{c}": F.when(first, F.col(f"_c_{c}")).otherwise(F.col(f"_b_{c}")) for c in columns})
+    df = df.withColumn("_next", F.coalesce("_next", "_c_next"))
+    if "flatline" in only:
+        moved = F.max(F.when(~segments.same_reading("", "_b_"), F.col("_pos"))).over(line.rowsBetween(Window.unboundedPreceding, 0))
+        df = df.withColumn("_run", F.col("_pos") - F.coalesce(moved, -F.col("_c_run")))
+    return df
+
+
+def _timeline_checks(df: DataFrame, limits: IntegrityLimits, only: set[str]) -> DataFrame:
+    out = {}
+    if "duplicate_row" in only:
         # rows come in time order, so copies of an instant are neighbours
-        copied = _true(F.col("t_us") == F.col("_t")) | _true(F.col("t_us") == F.col("_next"))
-        df = df.withColumn("duplicate_row", copied)
+        out["duplicate_row"] = _true(F.col("t_us") == F.col("_b_t_us")) | _true(F.col("t_us") == F.col("_next"))
     if "gap" in only:
-        step = F.col("t_us") - F.col("_t")
-        df = line.quantile(df.withColumn("_dt", step), _median=(F.when(F.col("_dt") != 0, F.abs("_dt")), 0.5))
-        df = df.withColumn("gap", _true(F.col("_dt") > limits.gap_multiplier * F.col("_median")))
-    for reason, column, before, limit in (
-        ("voltage_jump", "voltage", "_v", limits.voltage_jump),
-        ("current_jump", "current", "_i", limits.current_jump),
-        ("temp_jump", "temperature", "_temp", limits.temp_jump),
+        out["gap"] = _true(F.col("t_us") - F.col("_b_t_us") > limits.gap_multiplier * F.col("_median"))
+    for reason, column, limit in (
+        ("voltage_jump", "voltage", limits.voltage_jump),
+        ("current_jump", "current", limits.current_jump),
+        ("temp_jump", "temperature", limits.temp_jump),
     ):
         if reason in only:
-            df = df.withColumn(reason, _true(F.abs(F.col(column) - F.col(before)) > limit))
-    if flats:
-        flat = _true((F.col("voltage") == F.col("_v")) & (F.col("current") == F.col("_i")))
-        df = df.withColumn("_flat", flat)
-        df = line.look(df, known_until={"_moved": F.when(~F.col("_flat"), F.col("_pos"))})
-        run = F.col("_pos") - F.col("_moved")
-        df = df.withColumn("flatline", F.col("_flat") & (run >= limits.flatline_window))
-    return df
+            out[reason] = _true(F.abs(F.col(column) - F.col(f"_b_{column}")) > limit)
+    if "flatline" in only:
+        out["flatline"] = segments.same_reading("", "_b_") & (F.col("_run") >= limits.flatline_window)
+    return df.withColumns(out)
 
 
 def flagged(checked: DataFrame) -> DataFrame:

@@ -40,6 +40,8 @@ FAULT = FaultLimits(cc_slope=1e-4)
 SOH = SohLimits(cc_slope=1e-4, cv_slope=1e-4)
 # Small enough that the fixture's devices and cycles count as too large for a task.
 TIGHT = Skew(rows_per_task=400, per_chunk=8)
+# two days of a device, or 5,000 arrivals, per segment
+SEGMENTS = Skew(segment_us=172_800_000_000, segment_seq=5_000)
 TIGHT_CYCLE = Skew(rows_per_task=20, per_chunk=4)
 
 
@@ -161,10 +163,21 @@ def _(spark, sf):
 
 
 @query("integrity_flags_hot_devices", f"{_DENSE_CHECKED} {_FLAGGED}", _SENSORS)
+def _(spark, sf):
+    return _flag_rows(integrity.flag(_dense(spark, sf), LIMITS, skew=SEGMENTS))
+
+
+@query("integrity_flags_sampled_segments", f"{_DENSE_CHECKED} {_FLAGGED}", _SENSORS)
 def _(spark, sf):
     return _flag_rows(integrity.flag(_dense(spark, sf), LIMITS, skew=TIGHT))
 
 
+@query("integrity_flags_unordered_segments", f"{_UNORDERED_CHECKED} {_FLAGGED}", _SENSORS)
+def _(spark, sf):
+    skew = Skew(segment_us=SEGMENTS.segment_us, segment_seq=20_000_000_000)
+    return _flag_rows(integrity.flag(views.view(spark, sf, "telemetry_unordered"), LIMITS, skew=skew))
+
+
 def _tally(spark, sf):
     return integrity.tally(integrity.checks(_dense(spark, sf), LIMITS))
 

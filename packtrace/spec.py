@@ -72,12 +72,16 @@ class Skew:
 
     A group expected to exceed ``rows_per_task`` rows is cut into ordered chunks of
     about that size. ``per_chunk`` sampled rows stand for one chunk, so the sampled
-    share of the table is ``per_chunk / rows_per_task``.
+    share of the table is ``per_chunk / rows_per_task``. ``segment_us`` and ``segment_seq``
+    name the width of the integrity checks' segments, in microseconds and arrival numbers;
+    without them a sample tells whether segments are needed and how wide.
     """
 
     rows_per_task: int = 2_000_000
     per_chunk: int = 32
     seed: int = 17
+    segment_us: int | None = None
+    segment_seq: int | None = None
 
     @property
     def rate(self) -> float:

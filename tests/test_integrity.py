@@ -147,6 +147,28 @@ def test_rules_match_a_plain_loop(spark, rows):
     assert {r: fired[r] for r in integrity.REASONS} == {r: want[r] for r in integrity.REASONS}
 
 
+@pytest.mark.parametrize("us, arrivals", [(1, 1), (3_000_000, 7), (10_000_000, 50), (10**9, 1000)])
+def test_segments_match_a_plain_loop(spark, us, arrivals):
+    """Segments of one instant, of a few readings, and of everything; flat runs and gaps cross borders."""
+    rng = random.Random(us)
+    rows, t = [], 0
+    for i in range(240):
+        t = max(0, t + rng.choice((0, 0, 1, 1, 1, 1, 2, 9, -4)))
+        same = rng.random() < 0.75 and rows
+        rows.append({
+            "seq": i, "device": rng.choice("aaab"), "t_us": t * 1_000_000,
+            "voltage": rows[-1]["voltage"] if same else rng.choice((None, 1.0, 2.0)),
+            "current": rows[-1]["current"] if same else rng.choice((None, 1.0)), "temperature": rng.choice((None, 20.0, 25.0)),
+        })
+    limits = IntegrityLimits(voltage_jump=0.5, current_jump=0.5, temp_jump=2.0, flatline_window=4, gap_multiplier=1.5)
+    want = _by_hand(rows, limits)
+    skew = Skew(segment_us=us, segment_seq=arrivals)
+    fired = _fired(telemetry(spark, rows).repartition(3), limits, skew=skew)
+    assert {r: fired[r] for r in integrity.REASONS} == {r: want[r] for r in integrity.REASONS}
+    payload = lambda s: _fired(telemetry(spark, rows), limits, skew=s, replay_on="payload", only=["replay_pattern"])
+    assert payload(skew) == payload(Skew())
+
+
 def test_hot_device_and_hot_copies_match_a_plain_loop(spark):
     rng = random.Random(5)
     rows = []

@@ -13,7 +13,7 @@ from packtrace.operators import cycles, drift, integrity, readiness, risk
 from packtrace.plans import views, workflow
 from packtrace.session import durable, scratch
 from packtrace.sources import sinks, tables
-from packtrace.spec import ColumnSpec, IntegrityLimits, SohLimits
+from packtrace.spec import ColumnSpec, IntegrityLimits, Skew, SohLimits
 
 
 def _exchanges(df) -> list[str]:
@@ -28,6 +28,21 @@ def test_checks_shuffle_once(spark, sf_dir):
     assert _exchanges(integrity.tally(checked)) == ["hashpartitioning"]
 
 
+def test_segments_move_rows_twice_and_start_no_job(spark, sf_dir):
+    df = views.view(spark, sf_dir, "telemetry_dense")
+    tracker, group = spark.sparkContext.statusTracker(), "segments"
+    spark.sparkContext.setJobGroup(group, group)
+    flags = integrity.flag(df, IntegrityLimits(flatline_window=3), skew=Skew(segment_us=3_600_000_000 * 48, segment_seq=500))
+    assert not tracker.getJobIdsForGroup(group)
+    flags.collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = flags._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") <= 4 and "Python" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan
+    moved = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(device#\d+L?, _seg", line)]
+    rows = [line for line in plan.splitlines() if "Sort [device" in line and "_seg" in line]
+    assert len(moved) >= 2 and rows
+
+
 def test_cycle_features_shuffle_once(spark, sf_dir):
     df = views.view(spark, sf_dir, "telemetry_cycles")
     assert _exchanges(cycles.fault_features(df)) == ["hashpartitioning"]
