@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from packtrace.operators.ordered import Groups
 from packtrace.session import scratch
-from packtrace.spec import IntegrityLimits, Skew
+from packtrace.spec import IntegrityLimits
 
 _KEPT = ("device", "seq", "t_us", "voltage", "current", "temperature")
 
@@ -41,53 +44,52 @@ def distinct_packets(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return _timed(stream, delay).dropDuplicatesWithinWatermark(["device", "t_us"]).drop("ts")
 
 
-class ArrivalFlags:
-    """``foreachBatch`` step: compare each arrival with the one before it on its device.
-
-    The last arrival per device is kept as a table in the shared folder. Two copies
-    alternate, so a batch that is repeated after a failure finds the state it started
-    from, and its output folder is written anew.
+_STATE = "seq bigint, t_us bigint, voltage double, current double, temperature double"
+_FLAGS = "seq bigint, t_us bigint, voltage double, current double, temperature double, device string, timestamp_reorder boolean, \
+voltage_jump boolean, current_jump boolean, temp_jump boolean"
+
+
+def _judge(limits: IntegrityLimits, silence_ms: int | None):
+    """Compare a device's new arrivals, in order, with the ones before them; the last one becomes the state."""
+    jumps = {"voltage": limits.voltage_jump, "current": limits.current_jump, "temperature": limits.temp_jump}
+    columns = ["seq", "t_us", *jumps]
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat([f[columns] for f in frames]).sort_values("seq", kind="stable", ignore_index=True)
+        before = rows.shift(1)
+        if state.exists:
+            before.loc[0, columns] = [float("nan") if x is None else x for x in state.get]
+        out = rows.assign(device=key[0], timestamp_reorder=(rows["t_us"] < before["t_us"]).to_numpy())
+        for name, limit in jumps.items():
+            out["temp_jump" if name == "temperature" else f"{name}_jump"] = ((rows[name] - before[name]).abs() > limit).to_numpy()
+        last = rows.iloc[-1]
+        state.update((int(last["seq"]), int(last["t_us"]), *[None if pd.isna(last[c]) else float(last[c]) for c in jumps]))
+        if silence_ms is not None:
+            # by event time, so that a repeated batch does the same
+            state.setTimeoutTimestamp(max(int(rows["t_us"].max()) // 1000 + silence_ms, state.getCurrentWatermarkMs() + 1))
+        yield out
+
+    return run
+
+
+def arrival_flags(
+    stream: DataFrame, limits: IntegrityLimits = IntegrityLimits(), silence_ms: int | None = None, delay: str = "10 minutes"
+) -> DataFrame:
+    """Each arrival beside the one before it on its device: a time that goes back, or a reading that jumps.
+
+    The last arrival per device is keyed state that Spark keeps, checkpoints and restores; a batch
+    touches the devices it holds. With ``silence_ms`` a device that has been silent for so long
+    when the watermark passes is forgotten, and its next arrival has none before it; arrivals more
+    than ``delay`` behind then stay out. Without it nothing is left out. One task
+    holds a device's arrivals of one batch: bound them by the source's files or bytes per trigger.
     """
-
-    def __init__(self, folder: str, limits: IntegrityLimits = IntegrityLimits(), skew: Skew = Skew()):
-        self.folder, self.limits, self.skew = folder, limits, skew
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*_KEPT).filter(F.col("device").isNotNull()).withColumn("_new", F.lit(1))
-        if batch_id > 0:
-            rows = rows.unionByName(batch.sparkSession.read.parquet(self._state(batch_id - 1)))
-        marked = self._mark(rows).filter("_new = 1").drop("_new")
-        marked.write.mode("overwrite").parquet(f"{self.folder}/flags/batch={batch_id}")
-        last = F.max_by(F.struct(*[c for c in _KEPT if c != "device"]), F.struct("_new", "seq"))
-        state = rows.groupBy("device").agg(last.alias("r")).select("device", "r.*", F.lit(0).alias("_new"))
-        state.write.mode("overwrite").parquet(self._state(batch_id))
-
-    def _state(self, batch_id: int) -> str:
-        return f"{self.folder}/state/{batch_id % 2}"
-
-    def _mark(self, rows: DataFrame) -> DataFrame:
-        limits = self.limits
-
-        def run(part: DataFrame, scans) -> DataFrame:
-            before = {f"_{c}": F.col(c) for c in ("t_us", "voltage", "current", "temperature")}
-            part = scans["arrival"].look(part, previous=before)
-
-            def jumped(name: str, limit: float):
-                return F.coalesce(F.abs(F.col(name) - F.col(f"_{name}")) > limit, F.lit(False))
-
-            return part.select(
-                *_KEPT,
-                "_new",
-                F.coalesce(F.col("t_us") < F.col("_t_us"), F.lit(False)).alias("timestamp_reorder"),
-                jumped("voltage", limits.voltage_jump).alias("voltage_jump"),
-                jumped("current", limits.current_jump).alias("current_jump"),
-                jumped("temperature", limits.temp_jump).alias("temp_jump"),
-            )
-
-        return Groups.measure(rows, ["device"], {"arrival": ["_new", "seq"]}, self.skew).apply(rows, run)
-
-    def results(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.folder}/flags").drop("batch")
+    rows = stream.filter(F.col("device").isNotNull())
+    rows = rows.select(*_KEPT) if silence_ms is None else _timed(rows, delay).select(*_KEPT, "ts")
+    timeout = GroupStateTimeout.NoTimeout if silence_ms is None else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy("device").applyInPandasWithState(_judge(limits, silence_ms), _FLAGS, _STATE, "append", timeout)
 
 
 def drain(stream: DataFrame, label: str) -> DataFrame:
@@ -127,9 +129,6 @@ def drain_windows(stream: DataFrame, size: str = "1 hour", delay: str = "10 minu
     return spark.read.schema(counts.schema).parquet(f"{path}/out")
 
 
-def drain_arrivals(stream: DataFrame, limits: IntegrityLimits = IntegrityLimits(), skew: Skew = Skew()) -> DataFrame:
-    path = scratch(stream.sparkSession, "arrivals")
-    step = ArrivalFlags(path, limits, skew)
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/log")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return step.results(stream.sparkSession)
+def drain_arrivals(stream: DataFrame, limits: IntegrityLimits = IntegrityLimits()) -> DataFrame:
+    """``arrival_flags`` of all available input."""
+    return drain(arrival_flags(stream, limits), "arrivals")

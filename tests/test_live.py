@@ -9,7 +9,7 @@ from helpers import SCHEMA, same_rows
 from packtrace.operators import integrity
 from packtrace.plans import views
 from packtrace.session import scratch
-from packtrace.spec import IntegrityLimits, Skew
+from packtrace.spec import IntegrityLimits
 from packtrace.streaming import live
 
 LIMITS = IntegrityLimits(voltage_jump=1.0, current_jump=1.0, temp_jump=3.0)
@@ -39,22 +39,47 @@ def test_arrival_flags_across_batches(spark, split_input):
     assert same_rows(reordered, want.filter("timestamp_reorder").select("seq", "device"))
 
 
-def test_repeating_a_batch_changes_nothing(spark, split_input):
+def test_restart_goes_on_from_the_checkpointed_state(spark, split_input):
     _, rows = split_input
-    parts = [rows.filter(c) for c in ("seq < 500000000000", "seq >= 500000000000")]
-    step = live.ArrivalFlags(scratch(spark, "step"), LIMITS)
-    step(parts[0], 0)
-    step(parts[1], 1)
-    before = step.results(spark).collect()
-    step(parts[1], 1)
-    assert sorted(before) == sorted(step.results(spark).collect())
-
-
-def test_hot_device_in_a_batch(spark, split_input):
-    path, _ = split_input
-    plain = live.drain_arrivals(_stream(spark, path), LIMITS)
-    cut = live.drain_arrivals(_stream(spark, path), LIMITS, Skew(rows_per_task=10, per_chunk=2))
-    assert same_rows(plain, cut)
+    source, path = scratch(spark, "restart"), scratch(spark, "restarted")
+    want = integrity.checks(rows, LIMITS, only=["timestamp_reorder", "voltage_jump", "current_jump", "temp_jump"])
+    for part in ("seq < 300000000000", "seq >= 300000000000 and seq < 700000000000", "seq >= 700000000000"):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(source)
+        flags = live.arrival_flags(_stream(spark, source), LIMITS)  # a new query each time, with the old checkpoint
+        writer = flags.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/log")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    names = ["seq", "device", "timestamp_reorder"]
+    got = spark.read.parquet(f"{path}/out")
+    assert same_rows(got.select(names), want.select(names)) and got.filter("voltage_jump").count() > 0
+
+
+def test_jumps_compare_arrivals_and_skip_missing(spark):
+    from helpers import telemetry
+
+    rows = [{"t": i, "voltage": v, "current": 0.0, "temperature": 20.0} for i, v in enumerate([1.0, 4.0, None, 9.0, 12.5])]
+    path = scratch(spark, "jumps")
+    for k in range(2):
+        telemetry(spark, rows).filter(f"seq div 2 = {k} or {k} = 1 and seq > 3").coalesce(1).write.mode("append").parquet(path)
+    got = live.drain_arrivals(_stream(spark, path), IntegrityLimits(voltage_jump=2.0)).collect()
+    assert sorted((r.seq, r.voltage_jump) for r in got) == [(0, False), (1, True), (2, False), (3, False), (4, True)]
+
+
+def test_silent_devices_are_forgotten(spark):
+    from helpers import telemetry
+
+    path, hour = scratch(spark, "silent"), 3600
+    start = 470_000 * hour
+    parts = [[("a", 0, 1.0), ("b", 0, 1.0)], [("b", 5 * hour, 9.0)], [("b", 6 * hour, 9.0)], [("a", 6 * hour, 9.0)]]
+    seq = 0
+    for part in parts:
+        listed = []
+        for d, t, v in part:
+            listed.append({"seq": seq, "device": d, "t": start + t, "voltage": v})
+            seq += 1
+        telemetry(spark, listed).coalesce(1).write.mode("append").parquet(path)
+    jumped = lambda silence: {r.seq for r in live.drain(live.arrival_flags(_stream(spark, path), LIMITS, silence), "s").filter("voltage_jump").collect()}
+    assert jumped(None) == {2, 4}
+    assert jumped(2 * hour * 1000) == {2}  # a is forgotten before it comes back, b jumped before its silence was noticed
 
 
 def test_window_counts_of_closed_windows(spark, sf_dir):
