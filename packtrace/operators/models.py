@@ -57,9 +57,8 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def impute_label(df: DataFrame, label: str, name: str = "y_true", accuracy: int = quantiles.ACCURACY) -> DataFrame:
     """Missing labels become the median label; infinite ones are dropped. Starts no job."""
     y = number(F.col(label))
-    median = quantiles.by_column(df, [y], [0.5], accuracy=accuracy).select(F.col("quantiles")[0].alias("_median"))
-    out = df.join(F.broadcast(median), on=F.lit(True), how="left")  # one row beside every row
-    return out.withColumn(name, F.coalesce(y, "_median")).drop("_median").filter(finite(F.col(name)).isNotNull())
+    median = quantiles.by_column(df, [y], [0.5], accuracy=accuracy).select(F.col("quantiles")[0].alias("median")).scalar()
+    return df.withColumn(name, F.coalesce(y, median)).filter(finite(F.col(name)).isNotNull())
 
 
 @dataclass(frozen=True)

@@ -168,13 +168,16 @@ def by_column(
 ) -> DataFrame:
     """One row per column of a wide table: place, n, mean, std and exact interpolated quantiles.
 
-    Starts no job and writes nothing. Three passes over ``df``: approximate percentiles bracket
-    each rank within 5 / accuracy of the rows, a count finds how many values lie below each
-    bracket, and only the values inside are ranked. Columns of at most ``accuracy`` values are
-    ranked whole. ``approx`` stops after the first pass.
+    Starts no job, writes nothing and reads ``df`` twice. The first pass merges one quantile sketch
+    per column, whose cuts bracket each rank within 5 / accuracy of the rows; it is a scalar
+    subquery, which Spark runs once. The second counts values inside a bracket by value and all
+    others by the stretch between brackets they fall into, so one running total proves each
+    bracket and settles its rank. A rank outside its bracket is an error, never a wrong value.
+    Columns of at most ``accuracy`` values are ranked whole. ``approx`` stops after the first pass.
     """
     probs = [float(p) for p in probs]
-    names = [f"_c{i}" for i in range(len(columns))]
+    places = range(len(columns))
+    names = [f"_c{i}" for i in places]
     values = df.select(*[c.cast("double").alias(n) for c, n in zip(columns, names)])
     grid = [min(1.0, max(0.0, p + side * 4 / accuracy)) for p in probs for side in (-1, 1)]
     wanted = probs if approx else grid
@@ -184,36 +187,43 @@ def by_column(
         return F.struct(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"), cuts.alias("cuts"))
 
     first = values.agg(F.array(*[facts(n) for n in names]).alias("_f"))
-    stats = first.select(F.posexplode("_f").alias("place", "f")).select("place", "f.*")
     if approx:
-        return stats.select("place", "n", "mean", "std", F.col("cuts").alias("quantiles"))
-    # one flat row of bracket ends beside every row
-    places, ends = range(len(names)), range(len(probs))
-    flat = [f"_f[{i}].cuts[{k}] as _e{i}_{k}" for i in places for k in range(len(grid))] + [f"_f[{i}].n as _n{i}" for i in places]
-    beside = values.join(F.broadcast(first.selectExpr(*flat)), on=F.lit(True), how="left")
-    counts = ", ".join(f"array({', '.join(f'count_if({n} < _e{i}_{2 * j})' for j in ends)})" for i, n in enumerate(names))
-    below = beside.agg(F.expr(f"array({counts})").alias("b"))
-    below = below.select(F.posexplode("b").alias("place", "b")).select("place", F.posexplode("b").alias("p", "below"))
-
-    def taken(i: int, v: str) -> str:
-        some = " or ".join([f"_n{i} <= {accuracy}", *[f"({v} >= _e{i}_{2 * j} and {v} <= _e{i}_{2 * j + 1})" for j in ends]])
-        return f"if({v} is not null and ({some}), struct({i} as place, {v} as v), null)"
-
-    picked = F.expr(f"explode(array_compact(array({', '.join(taken(i, n) for i, n in enumerate(names))})))")
-    held = beside.select(picked.alias("x")).select("x.*").groupBy("place", "v").agg(F.count(F.lit(1)).alias("k"))
-    ranks = stats.select("place", "n", "cuts", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("p", "prob")).join(below, ["place", "p"])
-    at = F.col("prob") * (F.col("n") - 1)
-    small = F.col("n") <= accuracy
-    ranks = ranks.select(
-        "place", "p", F.floor(at).alias("rank"), (at - F.floor(at)).alias("over"), F.when(small, 0).otherwise(F.col("below")).alias("below"),
-        F.when(~small, F.col("cuts")[2 * F.col("p")]).alias("lo"), F.when(~small, F.col("cuts")[2 * F.col("p") + 1]).alias("hi"))
-    inside = F.col("lo").isNull() | ((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    upto = F.sum("k").over(Window.partitionBy("place", "p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    held = held.join(F.broadcast(ranks), "place").filter(inside).withColumn("upto", upto)
-    reached = F.col("below") + F.col("upto")
-    found = held.groupBy("place", "p", "over").agg(
-        F.min(F.when(reached > F.col("rank"), F.col("v"))).alias("a"), F.min(F.when(reached > F.col("rank") + 1, F.col("v"))).alias("b"))
-    value = F.when(F.col("over") == 0, F.col("a")).otherwise(F.col("a") + F.col("over") * (F.coalesce("b", "a") - F.col("a")))
-    per_column = found.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("p", value.alias("q")))).alias("q"))
-    per_column = per_column.select("place", F.col("q")["q"].alias("quantiles"))  # one short row per column
-    return stats.drop("cuts").join(F.broadcast(per_column), "place", "left")
+        return first.select(F.posexplode("_f").alias("place", "f")).select("place", "f.n", "f.mean", "f.std", F.col("f.cuts").alias("quantiles"))
+
+    def placed(i: int) -> Column:
+        v, fact = F.col(names[i]), F.get("_f", F.lit(i))
+        ends = fact["cuts"]
+        passed = [(F.get(ends, F.lit(2 * j)) <= v).cast("int") for j in range(len(probs))]
+        left = [(F.get(ends, F.lit(2 * j + 1)) < v).cast("int") for j in range(len(probs))]
+        begun, ended = sum(passed[1:], passed[0]), sum(left[1:], left[0])
+        whole = fact["n"] <= accuracy
+        slot = F.when(whole, 0).otherwise(begun + ended)  # grows with the value
+        inside = whole | (begun > ended)
+        return F.when(v.isNotNull(), F.struct(F.lit(i).alias("place"), slot.alias("slot"), F.when(inside, v).alias("v")))
+
+    beside = values.withColumn("_f", first.scalar())
+    picked = beside.select(F.explode(F.array_compact(F.array(*[placed(i) for i in places]))).alias("x")).select("x.*")
+    held = picked.groupBy("place", "slot", "v").agg(F.count(F.lit(1)).alias("k"))
+    order = Window.partitionBy("place").orderBy("slot", "v")
+    held = held.withColumn("upto", F.sum("k").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_f", first.scalar())
+    fact = F.get("_f", F.col("place"))
+    held = held.select("place", "slot", "v", "upto", fact["n"].alias("n"))
+    found = []
+    for j, p in enumerate(probs):
+        at = F.lit(p) * (F.col("n") - 1)
+        for name, rank in (("a", F.floor(at)), ("b", F.least(F.floor(at) + 1, F.col("n") - 1))):
+            found.append(F.min(F.when(F.col("upto") > rank, F.struct("slot", "v")))["v"].alias(f"{name}{j}"))
+    ranked = held.groupBy("place").agg(F.max("n").alias("n"), *found)
+
+    def quantile(j: int, p: float) -> Column:
+        at = F.lit(p) * (F.col("n") - 1)
+        over = at - F.floor(at)
+        a, b = F.col(f"a{j}"), F.col(f"b{j}")
+        value = F.when(over == 0, a).otherwise(a + over * (b - a))
+        return F.coalesce(value, F.raise_error(F.lit("a rank lies outside its bracket: raise the accuracy")).cast("double"))
+
+    settled = ranked.select("place", F.array(*[quantile(j, p) for j, p in enumerate(probs)]).alias("quantiles"))
+    spark = df.sparkSession
+    listed = spark.range(len(names), numPartitions=1).select(F.col("id").cast("int").alias("place")).withColumn("_f", first.scalar())
+    stats = listed.select("place", fact["n"].alias("n"), fact["mean"].alias("mean"), fact["std"].alias("std"))
+    return stats.join(F.broadcast(settled), "place", "left")  # one short row per column

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import same_rows, telemetry
-from packtrace.operators import cycles, drift, integrity, readiness, risk
+from packtrace.operators import cycles, drift, integrity, models, readiness, risk
 from packtrace.plans import views, workflow
 from packtrace.session import durable, scratch
 from packtrace.sources import sinks, tables
@@ -188,11 +188,29 @@ def test_wide_quantiles_start_no_job_and_are_exact(spark):
     assert found[1].n == 0 and found[2].quantiles == [7.0] * len(probs)
 
 
-def test_drift_reads_each_side_three_times_at_most(spark, sf_dir):
-    shifts = drift.compare(views.view(spark, sf_dir, "drift_source"), views.view(spark, sf_dir, "drift_target"))
-    shifts.collect()
-    plan = shifts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan") <= 6
+def _executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_drift_reads_each_side_twice(spark, sf_dir):
+    plan = _executed(drift.compare(views.view(spark, sf_dir, "drift_source"), views.view(spark, sf_dir, "drift_target")))
+    assert plan.count("FileScan") <= 4 and "NestedLoop" not in plan
+
+
+def test_imputation_reads_twice_and_then_fills(spark, sf_dir):
+    plan = _executed(models.impute_label(views.view(spark, sf_dir, "regression_pairs"), "y_true", "y"))
+    assert plan.count("FileScan") <= 3 and "NestedLoop" not in plan
+
+
+def test_a_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
+    from packtrace.operators import quantiles
+
+    df = spark.range(5000).select((F.col("id") * 1.0).alias("x"))
+    wrong = lambda name, *rest: F.array(*[F.max(name)] * 2)
+    monkeypatch.setattr(quantiles.F, "percentile_approx", wrong)
+    with pytest.raises(Exception, match="bracket"):
+        quantiles.by_column(df, [F.col("x")], [0.5], accuracy=100).collect()
 
 
 def test_clear_removes_what_was_written(spark):
