@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from packtrace.functions.numeric import number
-from packtrace.operators.ordered import Groups
-from packtrace.spec import Skew
 
+RANGES = 256  # of scores
 MARGIN = 0.12
 Z95 = 1.96
 
@@ -51,44 +50,52 @@ def classification_metrics(df: DataFrame, truth: str = "true_label", predicted:
     )
 
 
-def auroc_by_class(df: DataFrame, label: str, score: str, positive: Column, skew: Skew = Skew()) -> DataFrame:
-    """Area under the ROC curve per class, exact, ties counting half.
+def _areas(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Exact area under the ROC curve per group of ``by`` from columns _s and _y, ties counting half.
 
-    Rows collapse by score first; the running count of negatives then goes through
-    the chunked scan, so no class is ordered in a single task.
+    Scores are cut into ranges at approximate percentiles, which one scalar subquery finds. Rows
+    collapse by score, each range sums up as (positives, negatives, area), and those few sums are
+    merged in order: a range's positives also beat the negatives of all ranges before it.
     """
-    rows = df.withColumn("_s", F.col(score))
-    tally = rows.groupBy(label, "_s").agg(
-        F.count_if(positive).alias("_pos"), F.count_if(~positive).alias("_neg")
-    )
+    cuts = rows.agg(F.percentile_approx("_s", [k / RANGES for k in range(1, RANGES)], 10 * RANGES)).scalar()
+    placed = rows.withColumn("_cuts", cuts).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))))
+    tally = placed.groupBy(*by, "_b", "_s").agg(F.count_if("_y").alias("pos"), F.count_if(~F.col("_y")).alias("neg"))
+    upto = F.sum("neg").over(Window.partitionBy(*by, "_b").orderBy("_s"))
+    tally = tally.withColumn("won", F.col("pos") * (upto - F.col("neg") / 2))
+    sums = tally.groupBy(*by, "_b").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"))
+    listed = F.sort_array(F.collect_list(F.struct("_b", "pos", "neg", "won")))  # at most RANGES
+    none = F.lit(0).cast("bigint")
+
+    def merge(a: Column, r: Column) -> Column:
+        won = a["won"] + r["won"] + r["pos"].cast("double") * a["neg"]
+        return F.struct((a["pos"] + r["pos"]).alias("pos"), (a["neg"] + r["neg"]).alias("neg"), won.alias("won"))
+
+    start = F.struct(none.alias("pos"), none.alias("neg"), F.lit(0.0).alias("won"))
+    merged = sums.groupBy(*by).agg(listed.alias("r")).withColumn("m", F.aggregate("r", start, merge))
+    return merged.select(*by, F.try_divide(F.col("m.won"), F.col("m.pos") * F.col("m.neg").cast("double")).alias("auroc"))
 
-    def run(part: DataFrame, scans) -> DataFrame:
-        part = scans["score"].look(part, sums={"_below": F.col("_neg")})
-        pairs = F.sum(F.col("_pos") * (F.col("_below") - F.col("_neg") / 2))
-        area = F.try_divide(pairs, F.sum("_pos") * F.sum("_neg").cast("double"))
-        return part.groupBy(label).agg(area.alias("auroc"))
 
-    # sizes come from the scored rows: sampling the tally would build it twice
-    return Groups.measure(rows, [label], {"score": ["_s"]}, skew).apply(tally, run)
+def auroc_by_class(df: DataFrame, label: str, score: str, positive: Column) -> DataFrame:
+    """Area under the ROC curve per class; NULL where only one side is present."""
+    return _areas(df.select(label, F.col(score).cast("double").alias("_s"), positive.alias("_y")), [label])
 
 
-def auroc(df: DataFrame, score: str, positive: Column, skew: Skew = Skew()) -> DataFrame:
+def auroc(df: DataFrame, score: str, positive: Column) -> DataFrame:
     """One row; NULL when only one class is present."""
-    rows = df.select(F.lit(0).alias("_c"), F.col(score), positive.alias("_y"))
-    return auroc_by_class(rows, "_c", score, F.col("_y"), skew).agg(F.max("auroc").alias("auroc"))
+    return _areas(df.select(F.col(score).cast("double").alias("_s"), positive.alias("_y")), [])
 
 
-def auroc_macro(df: DataFrame, classes: list[str], probability: str, truth: str, skew: Skew = Skew()) -> DataFrame:
+def auroc_macro(df: DataFrame, classes: list[str], probability: str, truth: str) -> DataFrame:
     """Mean one-vs-rest area over the classes; binary input scores the second class."""
     if len(classes) == 2:
-        scored = df.select(F.col(probability)[1].alias("_p"), F.col(truth).alias("_y"))
-        return auroc(scored, "_p", F.col("_y") == F.lit(classes[1]), skew)
+        scored = df.select(F.col(probability)[1].alias("_p"), F.col(truth).alias("_t"))
+        return auroc(scored, "_p", F.col("_t") == F.lit(classes[1]))
     named = F.transform(
         F.array(*[F.lit(c) for c in classes]),
         lambda c, i: F.struct(c.alias("c"), F.get(F.col(probability), i).alias("p")),
     )
-    rows = df.select(F.col(truth).alias("_y"), F.explode(named).alias("s")).select("_y", "s.c", "s.p")
-    return auroc_by_class(rows, "c", "p", F.col("_y") == F.col("c"), skew).agg(F.avg("auroc").alias("auroc"))
+    rows = df.select(F.col(truth).alias("_t"), F.explode(named).alias("s")).select("_t", "s.c", "s.p")
+    return auroc_by_class(rows, "c", "p", F.col("_t") == F.col("c")).agg(F.avg("auroc").alias("auroc"))
 
 
 def hard_cases(df: DataFrame, classes: int, margin: float = MARGIN, probability: str = "probability") -> DataFrame:

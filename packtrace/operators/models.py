@@ -18,7 +18,6 @@ from packtrace.operators import attribution, evaluate, quantiles, split, trees
 from packtrace.operators.drift import align
 from packtrace.session import durable
 from packtrace.sources.tables import require
-from packtrace.spec import Skew
 
 # Defaults of the training jobs.
 FAULT_TEST_SIZE = 0.2
@@ -120,11 +119,11 @@ class FaultRun:
     predictions: DataFrame
     test_size: float = FAULT_TEST_SIZE
 
-    def metrics(self, skew: Skew = Skew()) -> DataFrame:
+    def metrics(self) -> DataFrame:
         """One row: test share, counts, classes, accuracy, macro scores and AUROC on the test side."""
         classes = self.model.classes
         scores = evaluate.classification_metrics(self.predictions)
-        area = evaluate.auroc_macro(self.predictions, classes, "probability", "true_label", skew)
+        area = evaluate.auroc_macro(self.predictions, classes, "probability", "true_label")
         counts = evaluate.run_counts(self.rows, features=len(self.model.features))
         packed = counts.select(F.struct("*").alias("c")).scalar()
         out = scores.withColumns({"auroc": area.scalar(), "_c": packed})

@@ -233,18 +233,29 @@ class Groups:
         return _join_keys(df, self._hot_table(df), self.keys, how="inner")
 
 
-def position(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    skew: Skew = Skew(),
-    like: DataFrame | None = None,
-) -> DataFrame:
-    """1-based position of every row within its key, or in the table without keys.
-
-    Group sizes are sampled from ``like`` where sampling ``df`` itself would mean
-    running the work behind it twice; it must hold the same columns.
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """1-based position of every row in the table's order.
+
+    Rows are dealt out by ranges of the order, sorted and written once; a range's rows then count
+    on from the rows of all ranges before it. Those counts, a number per range, are all that the
+    driver sees; no row passes through one task or through Python.
     """
-    groups = Groups.measure(df if like is None else like, keys, {"o": order}, skew)
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    cut = durable(cut.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).cast("int")
+    sizes = sorted((r.part, r["count"]) for r in cut.groupBy(part.alias("part")).count().collect())  # a row per range
+    shifts, before = [], 0
+    for at, n in sizes:
+        shifts.append((at, before - (at << 33)))
+        before += n
+    table = df.sparkSession.createDataFrame(shifts, "_part int, _shift bigint")
+    out = cut.withColumn("_part", part).join(F.broadcast(table), "_part")  # as many rows as ranges
+    return out.withColumn(name, F.col("_at") + F.col("_shift") + 1).drop("_part", "_at", "_shift")
+
+
+def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, skew: Skew = Skew()) -> DataFrame:
+    """1-based position of every row within its key, or in the table without keys."""
+    if not keys:
+        return numbered(df, order, name)
+    groups = Groups.measure(df, keys, {"o": order}, skew)
     return groups.apply(df, lambda part, scans: scans["o"].look(part, sums={name: F.lit(1).cast("bigint")}))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_BITS, _STEP = 52, 13  # of a hash, and of what one pass settles
+_BITS, _TOP = 52, 16  # of a hash, and of the histogram that finds where a rank lies
 
 
 def hash_rank(key: str, seed: int) -> Column:
@@ -17,36 +17,37 @@ def _place(key: str, seed: int) -> Column:
 
 
 def _beside(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
-    """Every row next to the state of its group; without groups the state is one row."""
-    if not by:
-        return rows.join(F.broadcast(state), on=F.lit(True), how="left")
+    """Every row next to the state of its group, a row at most."""
     named = state.withColumnsRenamed({c: f"_by_{c}" for c in by})
     match = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
     return rows.join(named, match, "left").drop(*[f"_by_{c}" for c in by])
 
 
 def _thresholds(rows: DataFrame, by: list[str], wanted: Column) -> DataFrame:
-    """Per group the ``wanted``-th smallest ``_u``, as ``_last``; -1 where none is wanted.
+    """Per group the ``wanted``-th smallest ``_u``, as ``_last``; a group of which none is wanted has no row.
 
-    Each pass counts rows by the next 13 bits and keeps the part that holds the rank: counts
-    are combined before they are shuffled, no order of all rows is made, and no job starts here.
+    One histogram over the first 16 bits, combined before it is shuffled, tells the part of the
+    hashes that holds the rank; only that part, a 65,536th of the rows, is then ranked.
     """
-    state = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    state = state.select(*by, F.lit(0).cast("bigint").alias("_prefix"), wanted.cast("bigint").alias("_left"))
-    for shift in range(_BITS - _STEP, -1, -_STEP):
-        held = _beside(rows, state, by).filter((F.col("_left") > 0) & (F.shiftright("_u", shift + _STEP) == F.col("_prefix")))
-        parts = held.groupBy(*by, F.shiftright("_u", shift).alias("_part"), "_left").agg(F.count(F.lit(1)).alias("n"))
-        # at most 8,192 parts per group
-        order = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-        parts = parts.withColumn("_upto", F.sum("n").over(order)).filter(F.col("_upto") >= F.col("_left"))
-        found = F.min(F.struct("_part", (F.col("_left") - F.col("_upto") + F.col("n")).alias("left")))
-        state = parts.groupBy(*by).agg(found.alias("f")).select(*by, F.col("f._part").alias("_prefix"), F.col("f.left").alias("_left"))
-    return state.select(*by, F.col("_prefix").alias("_last"))
+    part = F.shiftright("_u", _BITS - _TOP)
+    parts = rows.groupBy(*by, part.alias("_part")).agg(F.count(F.lit(1)).alias("k"))  # at most 65,536 per group
+    group = Window.partitionBy(*by)
+    parts = parts.withColumns({"n": F.sum("k").over(group), "_upto": F.sum("k").over(group.orderBy("_part"))})
+    parts = parts.withColumn("_wanted", wanted.cast("bigint")).withColumn("_left", F.col("_wanted") - F.col("_upto") + F.col("k"))
+    state = parts.filter("_left > 0 and _upto >= _wanted").select(*by, "_part", "_left")  # the first part that reaches it
+    if by:
+        held = _beside(rows.withColumn("_in", part), state.withColumnRenamed("_part", "_cut"), by).filter("_in = _cut")
+    else:
+        one = state.select(F.struct("_part", "_left").alias("s")).scalar()
+        held = rows.filter(part == one["_part"]).withColumn("_left", one["_left"])
+    held = held.groupBy(*by, "_left", "_u").agg(F.count(F.lit(1)).alias("k"))
+    held = held.withColumn("_upto", F.sum("k").over(group.orderBy("_u"))).filter(F.col("_upto") >= F.col("_left"))
+    return held.groupBy(*by).agg(F.min("_u").alias("_last"))
 
 
 def _drawn(rows: DataFrame, limits: DataFrame, by: list[str]) -> DataFrame:
-    out = _beside(rows, limits, by).withColumn("is_test", F.coalesce(F.col("_u") <= F.col("_last"), F.lit(False)))
-    return out.drop("_u", "_last")
+    out = _beside(rows, limits, by) if by else rows.withColumn("_last", limits.scalar())
+    return out.withColumn("is_test", F.coalesce(F.col("_u") <= F.col("_last"), F.lit(False))).drop("_u", "_last")
 
 
 def stratified(df: DataFrame, label: str, sample: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -58,11 +59,12 @@ def stratified(df: DataFrame, label: str, sample: str, test_size: float = 0.2, s
 def by_group(df: DataFrame, sample: str, group: str | None = None, test_size: float = 0.25, seed: int = 42) -> DataFrame:
     """Add ``is_test`` so that no group has rows on both sides.
 
-    With no group column, or a single group, rows are drawn one by one; to tell, a group column
-    is looked at while the plan is built. Rows learn their side by comparing a hash with one threshold.
+    With no group column, or a single group, rows are drawn one by one. Rows learn their side by
+    comparing a hash with one threshold; no job starts here.
     """
-    key = sample
-    if group and len(df.select(group).distinct().limit(2).collect()) > 1:
-        key = group
-    rows = df.withColumn("_u", _place(key, seed))
+    place = _place(sample, seed)
+    if group:
+        several = (F.min(group) != F.max(group)) | ((F.count(group) > 0) & (F.count(group) < F.count(F.lit(1))))
+        place = F.when(F.coalesce(df.agg(several).scalar(), F.lit(False)), _place(group, seed)).otherwise(place)
+    rows = df.withColumn("_u", place)
     return _drawn(rows, _thresholds(rows.select("_u").distinct(), [], F.ceil(F.lit(test_size) * F.col("n"))), [])

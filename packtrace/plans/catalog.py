@@ -753,7 +753,7 @@ def _(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     score = ((F.col("o_orderkey") * 7919) % 9973) / F.lit(9973e0)
     rows = orders.select(score.alias("p"), (F.col("o_orderstatus") == "F").alias("y"))
-    return evaluate.auroc(rows, "p", F.col("y"), skew=TIGHT)
+    return evaluate.auroc(rows, "p", F.col("y"))
 
 
 _THREE = [f"(((o_orderkey * {a}) % 997) + 1) / 1000e0" for a in (31, 57, 83)]

@@ -213,6 +213,63 @@ def test_a_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
         quantiles.by_column(df, [F.col("x")], [0.5], accuracy=100).collect()
 
 
+def test_positions_pass_through_no_single_task(spark, sf_dir):
+    from packtrace.operators.ordered import position
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", "o_orderkey").repartition(5)
+    out = position(orders, [], ["o_custkey", "o_orderkey"], "at")
+    plan = _executed(out)
+    assert "SinglePartition" not in plan and "Python" not in plan and "Window" not in plan
+    rows = out.orderBy("at").collect()
+    assert [r["at"] for r in rows] == list(range(1, len(rows) + 1)) and rows == sorted(rows, key=lambda r: (r.o_custkey, r.o_orderkey))
+    assert position(orders.limit(0), [], ["o_custkey"], "at").count() == 0
+
+
+def test_areas_merge_over_score_ranges(spark, monkeypatch):
+    import random
+
+    from packtrace.operators import evaluate
+
+    monkeypatch.setattr(evaluate, "RANGES", 7)
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), rng.choice((0.1, 0.5, rng.random())), rng.random() < 0.4) for _ in range(400)]
+    rows += [("one side", 0.3, True), ("one side", 0.4, True)]
+    df = spark.createDataFrame(rows, "k string, s double, y boolean").repartition(3)
+
+    def area(part):
+        pos, neg = [s for s, y in part if y], [s for s, y in part if not y]
+        return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg)) if pos and neg else None
+
+    found = evaluate.auroc_by_class(df, "k", "s", F.col("y"))
+    want = {k: area([(s, y) for c, s, y in rows if c == k]) for k in ("a", "b", "one side")}
+    assert {r.k: r.auroc for r in found.collect()} == pytest.approx(want)
+    whole = evaluate.auroc(df, "s", F.col("y"))
+    plan = _executed(whole)
+    assert "NestedLoop" not in plan and "Python" not in plan
+    assert whole.first().auroc == pytest.approx(area([(s, y) for _, s, y in rows]))
+    assert evaluate.auroc(df.limit(0), "s", F.col("y")).count() <= 1
+
+
+def test_splits_rank_only_the_part_that_holds_the_border(spark, sf_dir):
+    from packtrace.operators import split
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    tracker, group = spark.sparkContext.statusTracker(), "splits"
+    spark.sparkContext.setJobGroup(group, group)
+    drawn = split.by_group(orders, "o_orderkey", "o_custkey")
+    strata = split.stratified(orders, "o_orderstatus", "o_orderkey")
+    assert not tracker.getJobIdsForGroup(group)
+    assert _executed(strata).count("FileScan") <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    sides = drawn.groupBy("o_custkey").agg(F.count_distinct("is_test").alias("n"))
+    assert sides.filter("n > 1").isEmpty()
+    ids = sorted({r.o_custkey for r in orders.collect()}, key=lambda c: __import__("hashlib").md5(f"{c}#42".encode()).hexdigest()[:13])
+    held = {r.o_custkey for r in drawn.filter("is_test").collect()}
+    assert held == set(ids[: -(-len(ids) // 4)])
+    alone = split.by_group(orders.withColumn("g", F.lit("x")), "o_orderkey", "g").filter("is_test").count()
+    assert alone == -(-orders.count() // 4)
+
+
 def test_clear_removes_what_was_written(spark):
     from packtrace import session
 
