@@ -55,9 +55,15 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def impute_label(df: DataFrame, label: str, name: str = "y_true", accuracy: int = quantiles.ACCURACY) -> DataFrame:
     """Missing labels become the median label; infinite ones are dropped. Starts no job."""
-    y = number(F.col(label))
-    median = quantiles.by_column(df, [y], [0.5], accuracy=accuracy).select(F.col("quantiles")[0].alias("median")).scalar()
-    return df.withColumn(name, F.coalesce(y, median)).filter(finite(F.col(name)).isNotNull())
+    return _filled(df, label, _median(df, label, accuracy).scalar(), name)
+
+
+def _median(df: DataFrame, label: str, accuracy: int = quantiles.ACCURACY) -> DataFrame:
+    return quantiles.by_column(df, [number(F.col(label))], [0.5], accuracy=accuracy).select(F.col("quantiles")[0].alias("median"))
+
+
+def _filled(df: DataFrame, label: str, median: Column, name: str = "y_true") -> DataFrame:
+    return df.withColumn(name, F.coalesce(number(F.col(label)), median)).filter(finite(F.col(name)).isNotNull())
 
 
 @dataclass(frozen=True)
@@ -178,22 +184,25 @@ class SohModel:
     resampled: list = field(repr=False)
     features: list[str]
     forest: trees.Forest | None = field(repr=False)
+    label_median: float | None = None
 
     def predict(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """``keep`` columns, ``y_pred``, ``tree_std`` and the resampled mean and spread.
 
-        Every model scores the same row in one pass over the table.
+        Every model scores the same row in one pass over the table, inside the engine.
         """
         out = _assembled(align(df, self.features, keep), self.features)
-        out = self.fitted.transform(out)
+        fitted = self.fitted if self.forest is None else self.fitted.copy({self.fitted.leafCol: "_leaf"})
+        out = fitted.transform(out)
         names = []
         for k, model in enumerate(self.resampled):
             names.append(f"_b{k}")
             out = model.copy({model.predictionCol: names[-1]}).transform(out)
-        tree_std = F.lit(0.0)
-        if self.forest is not None:
-            tree_std = trees.tree_spread(self.forest, vector_to_array("features"))
-        out = out.select(*keep, F.col("y_pred"), tree_std.alias("tree_std"), *names)
+        if self.forest is None:
+            out = out.withColumn("tree_std", F.lit(0.0))
+        else:
+            out = trees.with_tree_spread(out, self.forest, vector_to_array("_leaf"))
+        out = out.select(*keep, "y_pred", "tree_std", *names)
         total = sum((F.col(n) for n in names), F.lit(0.0))
         out = out.withColumn("bootstrap_mean", total / len(names))
         square = sum(((F.col(n) - F.col("bootstrap_mean")) ** 2 for n in names), F.lit(0.0))
@@ -250,7 +259,8 @@ def fit_soh(
     require(df, [label, sample, group])
     features = list(features or feature_columns(df, (label, sample, group, *exclude)))
     keep = ("sample_id", "y_true", "_group")
-    rows = impute_label(df, label).withColumn("sample_id", F.col(sample))
+    median = _median(df, label).first().median
+    rows = _filled(df, label, F.lit(median).cast("double")).withColumn("sample_id", F.col(sample))
     rows = rows.withColumn("_group", F.col(group) if group else F.lit(None).cast("string"))
     rows = feature_matrix(rows, features, keep)
     rows = durable(split.by_group(rows, "sample_id", "_group" if group else None, test_size, seed))
@@ -266,7 +276,7 @@ def fit_soh(
         resampled = pool.map(inheritable_thread_target(spark)(refit), range(max(1, n_bootstrap)))
     train.unpersist()
     forest = trees.Forest.load(spark, fitted) if model == "rf" else None
-    soh = SohModel(fitted, resampled, features, forest)
+    soh = SohModel(fitted, resampled, features, forest, median)
     predictions = evaluate.with_interval(soh.predict(rows.filter("is_test"), ("sample_id", "y_true")))
     return SohRun(soh, rows, predictions.persist())
 

@@ -97,6 +97,11 @@ class Forest:
             out[:, k] = self.value[at]
         return out
 
+    def leaf_values(self) -> list[list[float]]:
+        """Per tree the values of its leaves, in the order in which they are numbered."""
+        ends = [*self.roots[1:].tolist(), len(self.feature)]
+        return [self.value[a:b][self.feature[a:b] < 0].tolist() for a, b in zip(self.roots.tolist(), ends, strict=True)]
+
     def leaves(self) -> list[Leaf]:
         found = []
         for root in self.roots:
@@ -150,14 +155,18 @@ def _matrix(features: pd.Series) -> np.ndarray:
     return np.stack(features.to_numpy()) if len(features) else np.empty((0, 0))
 
 
-def tree_spread(forest: Forest, features: Column) -> Column:
-    """Population standard deviation over the trees' predictions; ``features`` is an array."""
-
-    @F.pandas_udf("double")
-    def spread(values: pd.Series) -> pd.Series:
-        return pd.Series(forest.per_tree(_matrix(values)).std(axis=1)) if len(values) else pd.Series(dtype=float)
+def with_tree_spread(df: DataFrame, forest: Forest, leaf: Column, name: str = "tree_std") -> DataFrame:
+    """Add the population standard deviation over the trees' predictions; ``leaf`` holds the leaf reached in each tree.
 
-    return spread(features)
+    The leaves' values, bounded by MAX_NODES, are one row that a scalar subquery hands to every task.
+    """
+    values = df.sparkSession.createDataFrame([(forest.leaf_values(),)], "v array<array<double>>").scalar()
+    n, zero = float(len(forest.roots)), F.lit(0.0)
+    df = df.withColumns({"_values": values, "_reached": leaf})
+    df = df.withColumn("_reached", F.zip_with("_values", "_reached", lambda v, at: F.get(v, at.cast("int"))))
+    df = df.withColumn("_mean", F.aggregate("_reached", zero, lambda a, x: a + x) / n)
+    square = F.aggregate("_reached", zero, lambda a, x: a + (x - F.col("_mean")) * (x - F.col("_mean")))
+    return df.withColumn(name, F.sqrt(square / n)).drop("_values", "_reached", "_mean")
 
 
 def attributions(forests: list[Forest], features: Column, which: Column) -> Column:

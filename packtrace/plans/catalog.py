@@ -26,7 +26,7 @@ from packtrace.operators import (
 )
 from packtrace.plans import views, workflow
 from packtrace.session import scratch
-from packtrace.sources import sinks, tables
+from packtrace.sources import sinks, store, tables
 from packtrace.spec import ColumnSpec, FaultLimits, IntegrityLimits, Skew, SohLimits
 from packtrace.streaming import live
 
@@ -1431,15 +1431,6 @@ def _(spark, sf):
     return prompts.compose(rows, tables.MECHANISMS).select("sample_id", "format", "prompt")
 
 
-@query(
-    "fault_model_artifacts",
-    "select unnest(['model', 'predictions', 'importance', 'attributions', 'metrics', 'prompts', 'prompt_pack']) as artifact, true as present",
-)
-def _(spark, sf):
-    job = workflow.run_fault(_labelled_faults(spark, sf, 2), "fault", "sample_id", fitted=_fault_run(spark, sf))
-    return workflow.write_fault(job, scratch(spark, "fault-job"))
-
-
 _SAMPLES_SQL = f"""{_FAULT_SQL}, f as (select concat_ws('/', device, cast(cycle as varchar)) as sample_id, terminal_temp,
   case when terminal_temp > (select avg(terminal_temp) from fault) then 'thermal' else 'normal' end as y from fault),
 s as (select *, row_number() over (partition by y order by md5(concat_ws('#', sample_id, '42'))) <= round(0.2 * count(*) over (partition by y)) as is_test from f)"""
@@ -1454,6 +1445,166 @@ def _(spark, sf):
     return _fault_run(spark, sf).metrics().select("n_train", "n_test", "n_features", "test_size")
 
 
+@query(
+    "fault_model_artifacts",
+    f"""{_SAMPLES_SQL}, n as (select count(*) filter (where is_test) as tests from s)
+    select artifact, true as present, cast(case artifact when 'attributions' then 8 * tests when 'importance' then 10
+      when 'metrics' then 1 when 'model' then 1 else tests end as bigint) as rows
+    from n, unnest(['attributions', 'importance', 'metrics', 'model', 'predictions', 'prompts']) u(artifact)
+    union all select 'prompt_pack', true, tests from n""",
+)
+def _(spark, sf):
+    path = scratch(spark, "fault-job")
+    job = workflow.run_fault(_labelled_faults(spark, sf, 2), "fault", "sample_id", fitted=_fault_run(spark, sf))
+    present = workflow.write_fault(job, path)
+    made = {n: spark.read.parquet(f"{path}/{n}") for n in ("attributions", "importance", "predictions")}
+    made |= {n: spark.read.json(f"{path}/{n}") for n in ("metrics", "prompts")}
+    made |= {"model": spark.read.json(f"{path}/model/manifest"), "prompt_pack": spark.read.text(f"{path}/prompt_pack").filter("value = '---'")}
+    counts = None
+    for name, table in made.items():
+        one = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("artifact"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return present.join(counts, "artifact")
+
+
+@query(
+    "saved_fault_model_scores",
+    f"""{_SAMPLES_SQL} select count(*) filter (where is_test) as rows, count(*) filter (where is_test) as same_label,
+    0e0 as largest_difference from s""",
+)
+def _(spark, sf):
+    run, path = _fault_run(spark, sf), scratch(spark, "saved-fault")
+    store.save_fault(spark, run.model, path)
+    again = store.load_fault(spark, path).predict(run.rows.filter("is_test"), ("sample_id",))
+    pick = lambda df, c: df.select("sample_id", F.col("predicted_label").alias(f"label_{c}"), F.col("probability").alias(f"p_{c}"))
+    both = pick(run.predictions, "a").join(pick(again, "b"), "sample_id")
+    apart = F.array_max(F.zip_with("p_a", "p_b", lambda a, b: F.abs(a - b)))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label_a") == F.col("label_b")).alias("same_label"), F.max(apart).alias("largest_difference"))
+
+
+# --- models of one split, which SQL can fit as well ---------------------------------
+
+# a twelve-valued feature; the label leans on it, with noise from the key
+_STUMP_ROWS = """select o_orderkey as sample_id, cast(o_orderkey * 31 % 12 as double) as k, (o_orderkey * 7919) % 100 as noise from orders"""
+_STUMP_FAULT = f"""select sample_id, k, case when noise < case when k < 5 then 22e0 else 71e0 end then 'worn' else 'fine' end as fault from ({_STUMP_ROWS}) s"""
+_STUMP_SOH = f"""select sample_id, k, case when k < 8 then 0.9e0 else 0.7e0 end + noise / 1000e0 as soh from ({_STUMP_ROWS}) s"""
+
+
+def _stump_rows(spark, sf, text: str) -> DataFrame:
+    return spark.sql(text.replace("from orders", f"from parquet.`{sf}/orders.parquet`"))
+
+
+def _stump_sql(name: str, weight: str, target: str) -> str:
+    """The split of ``train`` that removes most variance, and the means on its two sides."""
+    return f"""{name}_v as (select k, sum({weight}) as w, sum({weight} * {target}) as s from train where {weight} > 0 group by k),
+    {name}_c as (select k, lead(k) over (order by k) as up, sum(w) over (order by k) as lw, sum(s) over (order by k) as ls,
+      sum(w) over () as tw, sum(s) over () as ts from {name}_v),
+    {name} as (select (k + up) / 2 as cut, ls / lw as low, (ts - ls) / (tw - lw) as high, lw / tw as share, ts / tw as mean from {name}_c
+      where up is not null order by ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) desc limit 1)"""
+
+
+@query(
+    "fault_stump_predictions",
+    f"""with t as ({_STUMP_FAULT}),
+    h as (select *, row_number() over (partition by fault order by md5(concat_ws('#', cast(sample_id as varchar), '42')))
+      <= round(0.2 * count(*) over (partition by fault)) as is_test, case when fault = 'worn' then 1e0 else -1e0 end as y from t),
+    train as (select * from h where not is_test), {_stump_sql("m", "1e0", "y")},
+    p as (select sample_id, fault as true_label, case when k <= cut then low else high end as margin, mean from h, m where is_test)
+    select sample_id, true_label, case when margin > 0 then 'worn' else 'fine' end as predicted_label, 1 / (1 + exp(-2 * margin)) as p_worn,
+      margin - mean as shap_value from p""",
+    "p_worn shap_value",
+)
+def _(spark, sf):
+    rows = _stump_rows(spark, sf, _STUMP_FAULT)
+    run = models.fit_fault(rows, "fault", "sample_id", features=["k"], model_kwargs={"maxIter": 1, "maxDepth": 1})
+    explained = run.model.explain(run.predictions).select("sample_id", "shap_value")
+    said = run.predictions.select("sample_id", "true_label", "predicted_label", F.col("probability")[1].alias("p_worn"))
+    return said.join(explained, "sample_id")
+
+
+@query(
+    "fault_stump_nodes",
+    f"""with t as ({_STUMP_FAULT}),
+    h as (select *, row_number() over (partition by fault order by md5(concat_ws('#', cast(sample_id as varchar), '42')))
+      <= round(0.2 * count(*) over (partition by fault)) as is_test, case when fault = 'worn' then 1e0 else -1e0 end as y from t),
+    train as (select * from h where not is_test), {_stump_sql("m", "1e0", "y")}, n as (select count(*) as n from train)
+    select 0 as node, 1 as "left", 2 as "right", cut as threshold, mean as value, n as cover from m, n
+    union all select 1, -1, -1, null, low, cast(round(n * share) as bigint) from m, n
+    union all select 2, -1, -1, null, high, n - cast(round(n * share) as bigint) from m, n""",
+    "threshold value",
+)
+def _(spark, sf):
+    rows = _stump_rows(spark, sf, _STUMP_FAULT)
+    run = models.fit_fault(rows, "fault", "sample_id", features=["k"], model_kwargs={"maxIter": 1, "maxDepth": 1})
+    nodes = trees.node_table(spark, run.model.fitted)
+    inner = F.col("left") >= 0
+    return nodes.select("node", "left", "right", F.when(inner, F.col("threshold")).alias("threshold"), "value", "cover")
+
+
+_REFITS = 3
+
+
+def _stump_soh_sql(final: str) -> str:
+    u = "('0x' || substr(md5(concat_ws('#', cast(sample_id as varchar), '{k}')), 1, 13))::ubigint"
+    times = lambda k: "(" + " + ".join(f"case when {u.format(k=k)} / 4503599627370496e0 >= {c!r} then 1e0 else 0e0 end" for c in models.POISSON) + ")"
+    draws = ", ".join(f"{times(142 + k)} as w{k}" for k in range(_REFITS))
+    fits = ", ".join(_stump_sql(f"m{k}", f"w{k}", "soh") for k in range(_REFITS))
+    said = ", ".join(f"case when k <= m{k}.cut then m{k}.low else m{k}.high end as b{k}" for k in range(_REFITS))
+    mean = "(" + " + ".join(f"b{k}" for k in range(_REFITS)) + f") / {_REFITS}"
+    square = " + ".join(f"(b{k} - centre) * (b{k} - centre)" for k in range(_REFITS))
+    return f"""with t as ({_STUMP_SOH}),
+    h as (select *, row_number() over (order by {u.format(k=42)}) <= ceil(0.25 * count(*) over ()) as is_test from t),
+    train as (select *, 1e0 as w, {draws} from h where not is_test), {_stump_sql("m", "w", "soh")}, {fits},
+    p as (select sample_id, soh as y_true, case when k <= m.cut then m.low else m.high end as y_pred, {said}
+      from h, m, {', '.join(f'm{k}' for k in range(_REFITS))} where is_test),
+    q as (select *, {mean} as centre from p), r as (select *, sqrt(({square}) / {_REFITS}) as spread from q)
+    {final}"""
+
+
+def _stump_soh(spark, sf):
+    fit = lambda: models.fit_soh(
+        _stump_rows(spark, sf, _STUMP_SOH), "soh", "sample_id", features=["k"], model="gb", n_trees=2, max_depth=1, n_bootstrap=_REFITS)
+    return _once(spark, "stump", sf, fit=fit)
+
+
+@query(
+    "soh_stump_predictions",
+    _stump_soh_sql("""select sample_id, y_true, y_pred, 0e0 as tree_std, centre as bootstrap_mean, spread as bootstrap_std, spread as uncertainty,
+      centre - 1.96 * spread as y_pi_lower_95, centre + 1.96 * spread as y_pi_upper_95 from r"""),
+    "y_true y_pred bootstrap_mean bootstrap_std uncertainty y_pi_lower_95 y_pi_upper_95",
+)
+def _(spark, sf):
+    return _stump_soh(spark, sf).predictions.drop("pi_width", "residual")
+
+
+@query(
+    "soh_stump_metrics",
+    _stump_soh_sql(f"""select (select count(*) from h) as n_rows, count(*) as n_test, avg(abs(y_pred - y_true)) as mae,
+      sqrt(avg((y_pred - y_true) * (y_pred - y_true))) as rmse, {_REFITS} as bootstrap_reps,
+      avg(case when y_true between centre - 1.96 * spread and centre + 1.96 * spread then 1e0 else 0e0 end) as test_pi_coverage_95 from r"""),
+    "mae rmse test_pi_coverage_95",
+)
+def _(spark, sf):
+    return _stump_soh(spark, sf).metrics().select("n_rows", "n_test", "test.mae", "test.rmse", "bootstrap_reps", "test_pi_coverage_95")
+
+
+@query(
+    "soh_stump_target_scores",
+    _stump_soh_sql("""select l_orderkey * 10 + l_linenumber as sample_id, l_discount as y_true,
+      case when l_linenumber * 3 <= m.cut then m.low else m.high end as y_pred from lineitem, m"""),
+    "y_true y_pred",
+)
+def _(spark, sf):
+    target = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row"), (F.col("l_linenumber") * 3.0).alias("k"), F.col("l_discount").alias("other"))
+    return models.score_target(_stump_soh(spark, sf), target, "row", "other")
+
+
+@query("soh_stump_importance", "select distinct 'k' as feature, 1e0 as importance from orders")
+def _(spark, sf):
+    return _stump_soh(spark, sf).model.importance(spark)
+
+
 @query("fault_model_nodes")
 def _(spark, sf):
     return trees.node_table(spark, _fault_run(spark, sf).model.fitted)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from packtrace.operators import attribution, cycles, drift, evaluate, integrity, models, prompts, readiness, risk
 from packtrace.session import durable
-from packtrace.sources import sinks, tables
+from packtrace.sources import sinks, store, tables
 from packtrace.spec import IntegrityLimits, Skew, SohLimits
 
 # Assets audited when the caller names none.
@@ -119,7 +119,7 @@ def write(run: FieldRun, folder: str) -> None:
     if run.soh is not None:
         sinks.write_table(run.soh.predictions, f"{folder}/soh_predictions")
         sinks.write_table(run.soh.model.importance(run.features.sparkSession), f"{folder}/soh_feature_importance")
-        sinks.save_model(run.soh.model.fitted, f"{folder}/soh_model")
+        store.save_soh(run.features.sparkSession, run.soh.model, f"{folder}/soh_model")
         sinks.write_json(run.soh.metrics(), f"{folder}/soh_metrics")
         sinks.write_table(evaluate.uncertainty_table(run.soh.predictions), f"{folder}/soh_uncertainty")
     if run.shifts is not None:
@@ -171,7 +171,7 @@ def run_fault(
 
 def write_fault(job: FaultJob, folder: str) -> DataFrame:
     """Write every result of the fault job below ``folder``; one row per artifact that must hold rows."""
-    sinks.save_model(job.run.model.fitted, f"{folder}/model")
+    store.save_fault(job.top.sparkSession, job.run.model, f"{folder}/model")
     sinks.write_json(job.metrics, f"{folder}/metrics")
     made = {"predictions": job.run.predictions.drop("features"), "hard_cases": job.hard_cases, "importance": job.importance, "attributions": job.top}
     for name, table in made.items():
@@ -181,4 +181,5 @@ def write_fault(job: FaultJob, folder: str) -> DataFrame:
     spark = job.top.sparkSession
     back = {n: spark.read.parquet(f"{folder}/{n}") for n in ("predictions", "importance", "attributions")}
     back |= {n: spark.read.json(f"{folder}/{n}") for n in ("metrics", "prompts")}
-    return readiness.artifacts_complete(spark, {"model": f"{folder}/model", **back, "prompt_pack": spark.read.text(f"{folder}/prompt_pack")})
+    model = spark.read.json(f"{folder}/model/manifest")
+    return readiness.artifacts_complete(spark, {"model": model, **back, "prompt_pack": spark.read.text(f"{folder}/prompt_pack")})

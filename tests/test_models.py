@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from packtrace.operators import attribution, evaluate, models, prompts, split
 from packtrace.plans import catalog
-from packtrace.sources import sinks
+from packtrace.sources import sinks, store
 from packtrace.session import scratch
 
 
@@ -64,6 +64,32 @@ def test_training_is_reproducible(features, soh):
         assert tuple(a)[1:] == pytest.approx(tuple(b)[1:])
 
 
+def test_saved_soh_model_scores_alike(spark, features, soh):
+    path = scratch(spark, "saved-soh")
+    store.save_soh(spark, soh.model, path)
+    again = store.load_soh(spark, path)
+    assert again.features == soh.model.features and len(again.resampled) == 2 and again.label_median == soh.model.label_median
+    one, two = (m.predict(features, ("sample_id",)).orderBy("sample_id").collect() for m in (soh.model, again))
+    assert one == two
+    plan = again.predict(features, ("sample_id",))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    with pytest.raises(ValueError, match="kind soh, expected fault"):
+        store.load_fault(spark, path)
+
+
+def test_saved_fault_model_scores_alike(spark, sf_dir, fault):
+    path = scratch(spark, "saved-fault")
+    store.save_fault(spark, fault.model, path)
+    again = store.load_fault(spark, path)
+    assert (again.classes, again.features) == (fault.model.classes, fault.model.features)
+    test = fault.rows.filter("is_test")
+    one, two = (m.predict(test, ("sample_id",)).orderBy("sample_id").collect() for m in (fault.model, again))
+    assert one == two
+    spark.createDataFrame([(2, "fault", "GBTClassificationModel")], "format int, kind string, learner string").write.mode("overwrite").json(f"{path}/manifest")
+    with pytest.raises(ValueError, match="format 2"):
+        store.load_fault(spark, path)
+
+
 def test_target_without_label_or_some_columns(features, soh):
     other = features.drop("soh_proxy", "energy_wh")
     rows = models.score_target(soh, other, "sample_id", "soh_proxy")

@@ -77,8 +77,11 @@ def test_attributions_and_base_add_up_to_the_margin(table, boosted):
 def test_mean_of_single_trees_is_the_forest(spark, table):
     model = RandomForestRegressor(labelCol="y", numTrees=7, maxDepth=4, seed=3).fit(table)
     forest = trees.Forest.load(spark, model)
-    rows = model.transform(table).select("features", "prediction").collect()
+    scored = model.copy({model.leafCol: "leaf"}).transform(table)
+    rows = scored.select("features", "prediction").collect()
     single = forest.per_tree(np.array([r.features.toArray() for r in rows]))
     assert np.allclose(single.mean(axis=1), [r.prediction for r in rows])
-    spread = table.select(trees.tree_spread(forest, vector_to_array("features")).alias("s")).collect()
-    assert sorted(r.s for r in spread) == pytest.approx(sorted(single.std(axis=1)))
+    spread = trees.with_tree_spread(scored, forest, vector_to_array("leaf"), "s")
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "leaf" in spread.columns
+    assert np.allclose([r.s for r in spread.collect()], single.std(axis=1), atol=1e-9)
