@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from packtrace.functions.numeric import finite, pearson, ratio, seconds, share, slope
 from packtrace.operators.ordered import Groups
@@ -55,6 +55,8 @@ SOH_FEATURES = (
 )
 SOH_LABELS = ("soh_proxy_from_input", "soh_proxy", "soh_trend_5")
 
+SEGMENT_CYCLES = 100_000  # cycles of a device that one window holds
+
 _TIMELINE = {"timeline": ["t_us", "seq"]}
 
 
@@ -222,29 +224,31 @@ def _soh_part(df: DataFrame, line, limits: SohLimits, keys: Sequence[str]) -> Da
     )
 
 
-def soh_labels(features: DataFrame, keys: Sequence[str] = CYCLE, skew: Skew = Skew()) -> DataFrame:
+def soh_labels(features: DataFrame, keys: Sequence[str] = CYCLE, segment: int = SEGMENT_CYCLES) -> DataFrame:
     """Add ``soh_proxy`` (relative to the device's first cycle) and ``soh_trend_5``.
 
-    The trend is the least-squares slope over five consecutive cycles; against
-    positions 0..4 that slope is a fixed weighting of the five values.
+    The trend is the least-squares slope over five consecutive cycles; against positions 0..4 that
+    slope is a fixed weighting of the five values. Windows hold ``segment`` cycles of a device; one
+    small row per segment brings the device's first capacity and the four values before it. Starts
+    no job; the features are read twice, so pass a written table if they are costly.
     """
     device = [k for k in keys if k != "cycle"]
-    groups = Groups.measure(features, device, {"life": ["cycle"]}, skew)
-
-    def run(part: DataFrame, scans) -> DataFrame:
-        life = scans["life"]
-        proxy = F.col("soh_proxy_from_input")
-        part = life.total(part, _base=F.min_by(proxy, F.when(proxy.isNotNull(), F.col("cycle"))))
-        part = part.withColumn("soh_proxy", ratio(proxy, F.col("_base")))
-        before = "soh_proxy"
-        for lag in range(1, 5):
-            part = life.look(part, previous={f"_y{lag}": F.col(before)})
-            before = f"_y{lag}"
-        trend = (2 * F.col("soh_proxy") + F.col("_y1") - F.col("_y3") - 2 * F.col("_y4")) / 10
-        known = F.col("_y2").isNotNull()
-        return part.withColumn("soh_trend_5", F.when(known, trend)).drop("_base", *[f"_y{k}" for k in range(1, 5)])
-
-    return groups.apply(features, run)
+    placed = features.withColumn("_seg", F.floor(F.col("cycle") / segment))
+    proxy = F.col("soh_proxy_from_input")
+    small = placed.groupBy(*device, "_seg").agg(
+        F.min_by(proxy, F.when(proxy.isNotNull(), F.col("cycle"))).alias("_first"),
+        F.slice(F.sort_array(F.collect_list(F.struct("cycle", proxy.alias("y"))), asc=False), 1, 4).alias("_last"))  # of one segment
+    line = Window.partitionBy(*device).orderBy("_seg")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.flatten(F.reverse(F.collect_list("_last").over(line.rowsBetween(-4, -1))))  # newest first
+    small = small.select(*device, "_seg", F.first("_first", ignorenulls=True).over(whole).alias("_base"), before["y"].alias("_before"))
+    inside = Window.partitionBy(*device, "_seg").orderBy("cycle")
+    rows = placed.withColumn("_at", F.row_number().over(inside))
+    rows = rows.withColumns({f"_y{k}": F.lag(proxy, k).over(inside) for k in range(1, 5)})
+    rows = rows.join(small, [*device, "_seg"], "left").withColumn("soh_proxy", ratio(proxy, F.col("_base")))
+    y = {k: ratio(F.when(F.col("_at") > k, F.col(f"_y{k}")).otherwise(F.get("_before", k - F.col("_at"))), F.col("_base")) for k in range(1, 5)}
+    trend = (2 * F.col("soh_proxy") + y[1] - y[3] - 2 * y[4]) / 10
+    return rows.select(*features.columns, "soh_proxy", F.when(y[2].isNotNull(), trend).alias("soh_trend_5"))
 
 
 def feature_stats(features: DataFrame, skip: Sequence[str] = ()) -> DataFrame:

@@ -205,11 +205,14 @@ def severity(tallied: DataFrame) -> DataFrame:
     return tallied.agg(*[_sum(r) for r in present]).unpivot([], present, "reason", "rows")
 
 
-def report(tallied: DataFrame, limits: IntegrityLimits = IntegrityLimits(), source: DataFrame | None = None) -> DataFrame:
+def report(
+    tallied: DataFrame, limits: IntegrityLimits = IntegrityLimits(), source: DataFrame | None = None, observed: dict | None = None
+) -> DataFrame:
     """One row: totals, severity struct and parameters.
 
     ``source`` is the canonical table before rows without a device were set aside;
-    given, the total covers it as well.
+    given, the total covers it as well. ``observed`` holds the counts that ``tables.normalise`` took
+    in passing; it replaces the second read and adds the rows read and those without a time.
     """
     present = [r for r in REASONS if r in tallied.columns]
     parameters = F.struct(
@@ -222,8 +225,10 @@ def report(tallied: DataFrame, limits: IntegrityLimits = IntegrityLimits(), sour
     out = tallied.agg(
         _sum("rows").alias("rows_total"), _sum("flagged_rows"), F.struct(*[_sum(r) for r in present]).alias("severity")
     ).withColumn("parameters", parameters)
-    unknown = F.lit(0).cast("bigint")
-    if source is not None:
+    unknown = F.lit(0 if observed is None else observed["rows_null_device"]).cast("bigint")
+    if observed is not None:
+        out = out.withColumns({c: F.lit(observed[c]).cast("bigint") for c in ("rows_read", "rows_without_time")})
+    elif source is not None:
         unknown = source.agg(F.count_if(F.col("device").isNull()).alias("n")).scalar()
     out = out.withColumn("rows_null_device", unknown)
     return out.withColumn("rows_total", F.col("rows_total") + F.col("rows_null_device"))

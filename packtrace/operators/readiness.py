@@ -23,10 +23,19 @@ class GateLimits:
     drifted_features: float = 0.0
 
 
+_STAGE = "stage string, status string, reason string, report string"
+
+
+def failed(spark: SparkSession, name: str, error: BaseException) -> DataFrame:
+    """The row of a stage that ended with an error: its kind and the first line of its message."""
+    lines = str(error).splitlines() or [""]
+    return spark.createDataFrame([(name, "fail", f"{type(error).__name__}: {lines[0]}", None)], _STAGE)
+
+
 def stage(spark: SparkSession, name: str, report: DataFrame | None, reason: str | None = None) -> DataFrame:
     """One row (stage, status, reason, report as JSON); no report means the stage was skipped."""
     if report is None:
-        return spark.createDataFrame([(name, "skipped", reason, None)], "stage string, status string, reason string, report string")
+        return spark.createDataFrame([(name, "skipped", reason, None)], _STAGE)
     return report.select(
         F.lit(name).alias("stage"),
         F.lit("ok").alias("status"),

@@ -67,6 +67,9 @@ def measure(df: DataFrame, skew: Skew) -> Cut | None:
     picked = df.select("device", "t_us", "seq")
     if skew.rate < 1.0:
         picked = picked.sample(fraction=skew.rate, seed=skew.seed)
+    # a row of no device: Spark drops the plan below an empty shuffle, and with it what is observed there
+    nobody = df.sparkSession.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in (("device", "string"), ("t_us", "bigint"), ("seq", "bigint"))])
+    picked = picked.unionByName(nobody)
     device = Window.partitionBy("device")
     back = lambda c, *order: F.col(c) - F.lag(c, skew.per_chunk).over(device.orderBy(*order))
     spans = picked.select("device", back("t_us", "t_us", "seq").alias("us"), back("seq", "seq").alias("arrivals"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from packtrace.operators import (
     attribution,
@@ -25,7 +25,7 @@ from packtrace.operators import (
     trees,
 )
 from packtrace.plans import views, workflow
-from packtrace.session import scratch
+from packtrace.session import durable, scratch
 from packtrace.sources import sinks, store, tables
 from packtrace.spec import ColumnSpec, FaultLimits, IntegrityLimits, Skew, SohLimits
 from packtrace.streaming import live
@@ -354,7 +354,7 @@ def _soh_part(name: str, columns: str, skew: Skew = Skew()):
         out = _soh(spark, sf, skew)
         if last:
             # the tight bound for rows of a cycle is also tight for the cycles of a device
-            out = cycles.soh_labels(out, skew=Skew(8, 2) if skew is TIGHT_CYCLE else skew)
+            out = cycles.soh_labels(out, segment=3 if skew is TIGHT_CYCLE else cycles.SEGMENT_CYCLES)
         return out.select("device", "cycle", *cols)
 
 
@@ -482,6 +482,60 @@ def _(spark, sf):
     return tables.unreadable_times(_raw(spark, sf), ColumnSpec(time="stamp", order="event_id"))
 
 
+@query(
+    "integrity_report_observed",
+    """select count(*) filter (where event_id % 10 <> 3) as rows_total, count(*) as rows_read,
+    count(*) filter (where event_id % 10 = 3) as rows_without_time,
+    count(*) filter (where event_id % 10 <> 3 and event_id % 17 = 0) as rows_null_device from events""",
+)
+def _(spark, sf):
+    seen = Observation("normalised")
+    spec = ColumnSpec(time="stamp", order="event_id", device="lap", voltage="volts")
+    tallied = durable(integrity.tally(integrity.checks(tables.normalise(_raw(spark, sf), spec, observation=seen), LIMITS, skew=SEGMENTS)))
+    return integrity.report(tallied, LIMITS, observed=seen.get).select("rows_total", "rows_read", "rows_without_time", "rows_null_device")
+
+
+_STUMP_RUN = dict(model="gb", n_trees=2, max_depth=1, n_bootstrap=2, features=["cycle_points"])
+
+
+@query(
+    "workflow_with_a_failing_stage",
+    f"""with t as ({views.duckdb('telemetry_cycles')}), c as (select count(*) as n from (select distinct device, cycle from t) x),
+    s as (select * from (values ('telemetry_integrity', 'ok'), ('soh_feature_extraction', 'ok'), ('soh_train', 'fail'), ('security_audit', 'ok')) v(stage, status))
+    select 'fail' as overall, stage, status, case stage when 'telemetry_integrity' then (select count(*) from t)
+      when 'soh_feature_extraction' then (select n from c) when 'security_audit' then 60 end as counted from s""",
+)
+def _(spark, sf):
+    run = workflow.run(spark, _cycles(spark, sf), integrity_limits=LIMITS, soh_limits=SOH, keep_going=True, model="no such learner")
+    steps = run.summary.select(F.col("status").alias("overall"), F.explode("steps").alias("s")).select("overall", "s.stage", "s.status", "s.report")
+    counted = F.coalesce(*[F.get_json_object("report", f"$.{c}") for c in ("rows_total", "rows", "total_rows")]).cast("bigint")
+    return steps.select("overall", "stage", "status", counted.alias("counted"))
+
+
+@query(
+    "workflow_stages_and_artifacts",
+    f"""with t as ({views.duckdb('telemetry_cycles')}), c as (select distinct device, cycle from t),
+    a as (select 'integrity_report' as artifact, 1 as rows union all select 'soh_feature_stats', 1
+      union all select 'soh_features', (select count(*) from c) union all select 'soh_metrics', 1
+      union all select 'soh_model', 1 union all select 'risk_register', 60 union all select 'controls_plan', 20
+      union all select 'risk_summary', 1 union all select 'gates', 8 union all select 'soh_feature_importance', 1)
+    select artifact, cast(rows as bigint) as rows, 'pass' as status, true as timed from a""",
+)
+def _(spark, sf):
+    run, path = workflow.run(spark, _cycles(spark, sf), integrity_limits=LIMITS, soh_limits=SOH, **_STUMP_RUN), scratch(spark, "field-run")
+    workflow.write(run, path)
+    summary = spark.read.json(f"{path}/summary")
+    named = summary.select("status", (F.col("finished_utc") >= F.col("started_utc")).alias("timed"), F.explode("artifacts.artifact").alias("artifact"))
+    kinds = {"soh_features": "parquet", "risk_register": "parquet", "controls_plan": "parquet", "soh_feature_importance": "parquet", "soh_model": "manifest"}
+    counts = None
+    for name in ("integrity_report", "soh_feature_stats", "soh_metrics", "risk_summary", "gates", *kinds):
+        kind = kinds.get(name, "json")
+        table = spark.read.parquet(f"{path}/{name}") if kind == "parquet" else spark.read.json(f"{path}/{name}" + "/manifest" * (kind == "manifest"))
+        one = table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("artifact"), "rows")
+        counts = one if counts is None else counts.unionByName(one)
+    return named.join(counts, "artifact")
+
+
 @query(
     "normalise_cycle_ids",
     "select event_id % 29 as cycle, count(*) as rows from events where event_id % 17 <> 0 and event_id % 10 <> 3 group by 1",

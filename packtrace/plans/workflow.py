@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from packtrace.operators import attribution, cycles, drift, evaluate, integrity, models, prompts, readiness, risk
 from packtrace.session import durable
@@ -19,7 +20,7 @@ ASSETS = "CellTelemetry,ChargingGateway,InverterCloud,FeatureStore,ModelRegistry
 @dataclass(frozen=True)
 class FieldRun:
     checked: DataFrame | None
-    features: DataFrame
+    features: DataFrame | None
     soh: models.SohRun | None
     shifts: DataFrame | None
     risks: DataFrame | None
@@ -28,6 +29,34 @@ class FieldRun:
     report: DataFrame | None = None
     target_predictions: DataFrame | None = None
     target_metrics: DataFrame | None = None
+    started: str | None = None
+    finished: str | None = None
+
+
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat(timespec="seconds")
+
+
+class _Stages:
+    """Rows of the stages so far. A stage that ends with an error is recorded if the run goes on, else it ends the run."""
+
+    def __init__(self, spark: SparkSession, keep_going: bool):
+        self.spark, self.keep_going, self.rows = spark, keep_going, []
+
+    def skip(self, name: str, reason: str) -> None:
+        self.rows.append(readiness.stage(self.spark, name, None, reason))
+
+    def run(self, name: str, work):
+        """The result of ``work``, a pair of result and one-row report; None after a recorded error."""
+        try:
+            result, report = work()
+            self.rows.append(durable(readiness.stage(self.spark, name, report)))  # evaluated here, so that an error belongs to its stage
+            return result
+        except Exception as error:
+            if not self.keep_going:
+                raise
+            self.rows.append(readiness.failed(self.spark, name, error))
+            return None
 
 
 def run(
@@ -44,100 +73,132 @@ def run(
     soh_limits: SohLimits = SohLimits(),
     gate_limits: readiness.GateLimits = readiness.GateLimits(),
     skew: Skew = Skew(),
+    observation: Observation | None = None,
+    keep_going: bool = False,
     **training,
 ) -> FieldRun:
     """Run every stage in one session on canonical telemetry.
 
     ``target`` is feature rows of another fleet, with a ``sample_id``: it is compared with the
     training side, scored, and evaluated if it holds ``label``. Training is skipped, not
-    failed, when the features hold no ``label``.
+    failed, when the features hold no ``label``. ``observation`` is the one given to
+    ``tables.normalise``: its counts enter the integrity report without a second read. With
+    ``keep_going`` a stage's error makes the summary fail, stages that need its result are skipped
+    and the others go on; without it the error ends the run.
     """
-    stages = []
-    checked = tallied = report = scored = measured = None
-    if skip_integrity:
-        stages.append(readiness.stage(spark, "telemetry_integrity", None, "skipped by request"))
-    else:
+    started, stages = _now(), _Stages(spark, keep_going)
+    checked = tallied = report = None
+
+    def check():
         checked = integrity.checks(telemetry, integrity_limits, skew=skew)
         tallied = durable(integrity.tally(checked))
-        report = durable(integrity.report(tallied, integrity_limits, telemetry))
-        stages.append(readiness.stage(spark, "telemetry_integrity", report))
+        observed = observation.get if observation is not None else None
+        report = durable(integrity.report(tallied, integrity_limits, None if observed else telemetry, observed))
+        return (checked, tallied, report), report
 
-    # read by labelling, training, drift and the report, so reduced from telemetry once
-    features = durable(cycles.soh_features(telemetry, soh_limits, skew=skew))
-    features = cycles.soh_labels(features, skew=skew)
-    features = features.withColumn("sample_id", F.concat_ws("/", *cycles.CYCLE))
-    stages.append(readiness.stage(spark, "soh_feature_extraction", cycles.stats_report(features)))
-
-    soh = shifts = None
+    if skip_integrity:
+        stages.skip("telemetry_integrity", "skipped by request")
+    else:
+        checked, tallied, report = stages.run("telemetry_integrity", check) or (None,) * 3
+
+    def reduce_cycles():
+        # read by labelling, training, drift and the report, so reduced from telemetry once
+        found = cycles.soh_labels(durable(cycles.soh_features(telemetry, soh_limits, skew=skew)))
+        found = found.withColumn("sample_id", F.concat_ws("/", *cycles.CYCLE))
+        return found, cycles.stats_report(found)
+
+    features = stages.run("soh_feature_extraction", reduce_cycles)
+
+    def train():
+        exclude = tuple(c for c in (*models.LEAKING, "cycle") if c != label)
+        soh = models.fit_soh(features, label, "sample_id", group="device", exclude=exclude, **training)
+        return soh, soh.metrics()
+
+    def compare():
+        rows = soh.rows.filter(~F.col("is_test"))
+        shifts = durable(drift.compare(rows, drift.align(target, soh.model.features), soh.model.features))
+        return shifts, drift.summary(shifts)
+
+    def score():
+        scored = durable(models.score_target(soh, target, "sample_id", label))
+        measured = scored.agg(F.count(F.lit(1)).alias("target_rows"))
+        if label in target.columns:
+            measured = measured.withColumn("_k", evaluate.regression_metrics(scored).select(F.struct("*")).scalar()).select("target_rows", "_k.*")
+        return (scored, measured), measured
+
+    soh = shifts = scored = measured = None
     if skip_soh:
-        stages.append(readiness.stage(spark, "soh_train", None, "skipped by request"))
+        stages.skip("soh_train", "skipped by request")
+    elif features is None:
+        stages.skip("soh_train", "no features")
     elif label not in features.columns:
-        stages.append(readiness.stage(spark, "soh_train", None, f"missing label column {label}"))
+        stages.skip("soh_train", f"missing label column {label}")
     else:
-        soh = models.fit_soh(
-            features,
-            label,
-            "sample_id",
-            group="device",
-            exclude=tuple(c for c in (*models.LEAKING, "cycle") if c != label),
-            **training,
-        )
-        stages.append(readiness.stage(spark, "soh_train", soh.metrics()))
-        if target is not None:
-            train = soh.rows.filter(~F.col("is_test"))
-            shifts = durable(drift.compare(train, drift.align(target, soh.model.features), soh.model.features))
-            stages.append(readiness.stage(spark, "soh_drift", drift.summary(shifts)))
-            scored = durable(models.score_target(soh, target, "sample_id", label))
-            measured = scored.agg(F.count(F.lit(1)).alias("target_rows"))
-            if label in target.columns:
-                known = evaluate.regression_metrics(scored)
-                measured = measured.join(F.broadcast(known), on=F.lit(True), how="left")  # one row each
-            stages.append(readiness.stage(spark, "soh_target", measured))
+        soh = stages.run("soh_train", train)
+        if target is not None and soh is not None:
+            shifts = stages.run("soh_drift", compare)
+            scored, measured = stages.run("soh_target", score) or (None,) * 2
+
+    def audit():
+        listed = assets if isinstance(assets, DataFrame) else tables.assets_from_names(spark, assets)
+        risks = risk.register(listed, tables.threats(spark, threat_profile))
+        return risks, risk.summary(risks)
 
     risks = None
     if skip_security:
-        stages.append(readiness.stage(spark, "security_audit", None, "skipped by request"))
+        stages.skip("security_audit", "skipped by request")
     else:
-        listed = assets if isinstance(assets, DataFrame) else tables.assets_from_names(spark, assets)
-        risks = risk.register(listed, tables.threats(spark, threat_profile))
-        stages.append(readiness.stage(spark, "security_audit", risk.summary(risks)))
+        risks = stages.run("security_audit", audit)
 
     gates = None
     if tallied is not None or soh is not None or risks is not None:
         gates = readiness.gates(tallied, soh.predictions if soh else None, shifts, risks, gate_limits)
-    return FieldRun(checked, features, soh, shifts, risks, readiness.summarise(stages), gates, report, scored, measured)
+    summary = readiness.summarise(stages.rows)
+    return FieldRun(checked, features, soh, shifts, risks, summary, gates, report, scored, measured, started, _now())
+
+
+def write(run: FieldRun, folder: str) -> list[str]:
+    """Write every result of a run below ``folder``; the summary lists them, and when the run began and ended."""
+    made = []
 
+    def put(name: str, writer, what) -> None:
+        writer(what, f"{folder}/{name}")
+        made.append(name)
 
-def write(run: FieldRun, folder: str) -> None:
-    """Write every result of a run below ``folder``."""
     if run.checked is not None:
-        sinks.write_table(integrity.flagged(run.checked), f"{folder}/integrity_flags")
-        sinks.write_json(run.report, f"{folder}/integrity_report")
-        sinks.write_lines(sinks.integrity_summary(run.report), f"{folder}/integrity_summary")
-    sinks.write_json(cycles.stats_report(run.features), f"{folder}/soh_feature_stats")
-    sinks.write_table(run.features, f"{folder}/soh_features")
+        put("integrity_flags", sinks.write_table, integrity.flagged(run.checked))
+        put("integrity_report", sinks.write_json, run.report)
+        put("integrity_summary", sinks.write_lines, sinks.integrity_summary(run.report))
+    if run.features is not None:
+        put("soh_feature_stats", sinks.write_json, cycles.stats_report(run.features))
+        put("soh_features", sinks.write_table, run.features)
     if run.soh is not None:
-        sinks.write_table(run.soh.predictions, f"{folder}/soh_predictions")
-        sinks.write_table(run.soh.model.importance(run.features.sparkSession), f"{folder}/soh_feature_importance")
-        store.save_soh(run.features.sparkSession, run.soh.model, f"{folder}/soh_model")
-        sinks.write_json(run.soh.metrics(), f"{folder}/soh_metrics")
-        sinks.write_table(evaluate.uncertainty_table(run.soh.predictions), f"{folder}/soh_uncertainty")
+        spark = run.features.sparkSession
+        put("soh_predictions", sinks.write_table, run.soh.predictions)
+        put("soh_feature_importance", sinks.write_table, run.soh.model.importance(spark))
+        put("soh_model", lambda model, path: store.save_soh(spark, model, path), run.soh.model)
+        put("soh_metrics", sinks.write_json, run.soh.metrics())
+        put("soh_uncertainty", sinks.write_table, evaluate.uncertainty_table(run.soh.predictions))
     if run.shifts is not None:
-        sinks.write_table(run.shifts, f"{folder}/soh_drift_features")
-        sinks.write_json(drift.summary(run.shifts), f"{folder}/soh_drift_summary")
-        sinks.write_table(run.target_predictions, f"{folder}/soh_target_predictions")
-        sinks.write_json(run.target_metrics, f"{folder}/soh_target_metrics")
+        put("soh_drift_features", sinks.write_table, run.shifts)
+        put("soh_drift_summary", sinks.write_json, drift.summary(run.shifts))
+    if run.target_predictions is not None:
+        put("soh_target_predictions", sinks.write_table, run.target_predictions)
+        put("soh_target_metrics", sinks.write_json, run.target_metrics)
     if run.risks is not None:
         ranked = durable(risk.ranked(run.risks))
-        sinks.write_table(ranked, f"{folder}/risk_register")
-        sinks.write_lines(sinks.risk_markdown(ranked), f"{folder}/risk_register_text")
+        put("risk_register", sinks.write_table, ranked)
+        put("risk_register_text", sinks.write_lines, sinks.risk_markdown(ranked))
         plan = risk.controls_plan(run.risks)
-        sinks.write_table(plan, f"{folder}/controls_plan")
-        sinks.write_lines(sinks.controls_markdown(plan), f"{folder}/controls_plan_text")
-        sinks.write_json(risk.summary(run.risks), f"{folder}/risk_summary")
+        put("controls_plan", sinks.write_table, plan)
+        put("controls_plan_text", sinks.write_lines, sinks.controls_markdown(plan))
+        put("risk_summary", sinks.write_json, risk.summary(run.risks))
     if run.gates is not None:
-        sinks.write_json(run.gates, f"{folder}/gates")
-    sinks.write_json(run.summary, f"{folder}/summary")
+        put("gates", sinks.write_json, run.gates)
+    listed = F.array(*[F.struct(F.lit(n).alias("artifact"), F.lit(f"{folder}/{n}").alias("path")) for n in made])
+    times = {"started_utc": F.lit(run.started), "finished_utc": F.lit(run.finished)}
+    sinks.write_json(run.summary.withColumns({**times, "artifacts": listed}), f"{folder}/summary")
+    return [*made, "summary"]
 
 
 @dataclass(frozen=True)

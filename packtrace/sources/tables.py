@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from packtrace.functions.numeric import number
-from packtrace.operators.ordered import position
+from packtrace.operators.ordered import numbered, position
 from packtrace.spec import CANONICAL, ColumnSpec, Skew
 
 # Threat profile used when the caller brings none.
@@ -87,12 +87,15 @@ def unreadable_times(df: DataFrame, spec: ColumnSpec) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows_read"), lost.alias("rows_without_time"))
 
 
-def normalise(df: DataFrame, spec: ColumnSpec, extras: Sequence[str] | None = None) -> DataFrame:
+def normalise(
+    df: DataFrame, spec: ColumnSpec, extras: Sequence[str] | None = None, observation: Observation | None = None
+) -> DataFrame:
     """Canonical telemetry: every role present and typed, NaN as NULL, no NULL time.
 
     Without a device column all rows belong to device ``all``. Columns that play no role pass
     through, so that flagged rows keep them and copies are judged by the whole row; ``extras``
-    names those to keep instead of all.
+    names those to keep instead of all. An ``observation`` counts what the first job on the result
+    reads, in the same pass: rows_read, rows_without_time and rows_null_device.
     """
     roles = {name: getattr(spec, name) for name in CANONICAL if name not in ("seq", "t_us")}
     require(df, [spec.time, spec.order, *roles.values()])
@@ -112,7 +115,13 @@ def normalise(df: DataFrame, spec: ColumnSpec, extras: Sequence[str] | None = No
         extras = [c for c in df.columns if c not in used and c not in CANONICAL]
     require(df, extras)
     kept = [F.col(f"`{c}`") for c in extras]
-    return df.select(*[out[name].alias(name) for name in CANONICAL], *kept).filter(F.col("t_us").isNotNull())
+    rows = df.select(*[out[name].alias(name) for name in CANONICAL], *kept)
+    if observation is not None:
+        timeless = F.col("t_us").isNull()
+        rows = rows.observe(
+            observation, F.count(F.lit(1)).alias("rows_read"), F.count_if(timeless).alias("rows_without_time"),
+            F.count_if(~timeless & F.col("device").isNull()).alias("rows_null_device"))
+    return rows.filter(F.col("t_us").isNotNull())
 
 
 def assign_cycles(
@@ -154,10 +163,13 @@ def assets_from_names(spark: SparkSession, names: str | Sequence[str]) -> DataFr
 def assets(df: DataFrame, listed: str | None = None) -> DataFrame:
     """Fill in an asset table; ``listed`` is the column holding the listing order.
 
-    Without one the order of the rows as read is taken, which a single file keeps.
+    Without one it is the order of the files' names and of the rows in them.
     """
     require(df, ["asset", listed])
-    at = F.col(listed) if listed else F.monotonically_increasing_id()
+    if listed is None:
+        read = {"_file": F.input_file_name(), "_block": F.input_file_block_start(), "_row": F.monotonically_increasing_id()}
+        df, listed = numbered(df.withColumns(read), list(read), "_listed").withColumn("_listed", F.col("_listed") - 1), "_listed"
+    at = F.col(listed)
     owner = F.col("owner") if "owner" in df.columns else F.lit(None).cast("string")
     criticality = F.col("criticality") if "criticality" in df.columns else F.lit(None).cast("int")
     return df.select(

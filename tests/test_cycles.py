@@ -110,7 +110,7 @@ def test_chunked_soh_cycles_match(spark, sf_dir):
     df = views.view(spark, sf_dir, "telemetry_cycles")
     limits = SohLimits(cc_slope=1e-4, cv_slope=1e-4)
     plain = cycles.soh_labels(cycles.soh_features(df, limits))
-    cut = cycles.soh_labels(cycles.soh_features(df, limits, skew=TIGHT), skew=TIGHT)
+    cut = cycles.soh_labels(cycles.soh_features(df, limits, skew=TIGHT), segment=2)
     assert same_rows(plain, cut)
 
 

@@ -6,7 +6,7 @@ import json
 import re
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from helpers import same_rows, telemetry
 from packtrace.operators import cycles, drift, integrity, models, readiness, risk
@@ -105,6 +105,43 @@ def test_assets_and_threats(spark):
         tables.assets_from_names(spark, " , ")
 
 
+def test_assets_of_several_files_keep_their_order(spark):
+    path = scratch(spark, "assets")
+    for k in (2, 0, 1):
+        names = [(f"asset {k}{i:02}",) for i in range(20)]
+        spark.createDataFrame(names, "asset string").coalesce(1).write.option("header", True).csv(f"{path}/{k}.csv")
+    rows = tables.assets(spark.read.option("header", True).csv([f"{path}/{k}.csv" for k in (1, 0, 2)])).orderBy("asset_pos").collect()
+    assert [r.asset_pos for r in rows] == list(range(60)) and [r.asset for r in rows] == sorted(r.asset for r in rows)
+
+
+def test_observed_counts_need_no_second_read(spark):
+    raw = [("2024-01-01 00:00:01", 1, "a"), ("nonsense", 2, "a"), ("2024-01-01 00:00:02", 3, None), (None, 4, None)]
+    df = spark.createDataFrame(raw, "t string, n int, cell string").withColumn("v", F.lit(1.0))
+    seen = Observation("seen")
+    rows = tables.normalise(df, ColumnSpec(time="t", order="n", device="cell", voltage="v"), observation=seen)
+    tallied = durable(integrity.tally(integrity.checks(rows)))
+    report = integrity.report(tallied, observed=seen.get).first()
+    assert (report.rows_read, report.rows_without_time, report.rows_null_device, report.rows_total) == (4, 2, 1, 2)
+
+
+def test_a_failing_stage_is_recorded_or_ends_the_run(spark, sf_dir):
+    rows = views.view(spark, sf_dir, "telemetry_cycles")
+    options = dict(soh_limits=SohLimits(cc_slope=1e-4), skip_integrity=True, threat_profile="/no/such/profile")
+    with pytest.raises(Exception, match="no/such"):
+        workflow.run(spark, rows, skip_soh=True, **options)
+    run = workflow.run(spark, rows, keep_going=True, model="none", **options)
+    summary = run.summary.first()
+    steps = {s.stage: s for s in summary.steps}
+    assert summary.status == "fail" and steps["security_audit"].status == steps["soh_train"].status == "fail"
+    assert "rf or gb" in steps["soh_train"].reason and steps["soh_feature_extraction"].status == "ok"
+    assert run.risks is None and run.soh is None and run.gates is None
+    path = scratch(spark, "failed-run")
+    made = workflow.write(run, path)
+    written = spark.read.json(f"{path}/summary").first()
+    assert written.status == "fail" and written.started_utc <= written.finished_utc
+    assert [a.artifact for a in written.artifacts] == [n for n in made if n != "summary"] == ["soh_feature_stats", "soh_features"]
+
+
 def test_risk_scores(spark):
     listed = spark.createDataFrame([(0, "pack", "Ana", 5), (1, "app", "Bo", 1)], "asset_pos bigint, asset string, owner string, criticality int")
     rows = risk.register(listed, [(0, "spoof", 4, 5, None), (1, "leak", 1, 2, "Ops")])
