@@ -33,6 +33,12 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def piece(text: Column, key: Column, chars: int) -> Column:
+    """The whole text, or of a longer one ``chars`` characters from a place that a hash of its key picks."""
+    over = F.char_length(text) - chars
+    return F.when(over <= 0, text).otherwise(F.substring(text, F.pmod(F.xxhash64(key), over + 1).cast("int") + 1, F.lit(chars)))
+
+
 def without_white(text: Column) -> Column:
     for c in WHITE:
         text = F.replace(text, F.lit(c), F.lit(""))

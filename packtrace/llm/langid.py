@@ -14,11 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from packtrace.llm.common import remainder, slices
+from packtrace.llm.common import piece, remainder, slices
 
 BLOCK = 1024  # characters parsed in a row
 TRAIN_CHARS = 48_000  # labelled text per language, the documented bound of the fit
-TRAIN_DOC_CHARS = 12_000  # longer texts are not taken for the fit
+TRAIN_DOC_CHARS = 12_000  # of a text in the fit: longer texts serve, by a piece, only a language without shorter ones
 TRAIN_DOCS = 120  # rows per language among which the fit chooses
 MOST_RATE = 0.6  # phrases per character that a language's texts may need if none of them is left out to tell
 LEFT_OUT = 5  # of so many labelled texts one is left out of the automata, to find the rates of its language
@@ -160,13 +160,17 @@ def _labelled(docs: DataFrame, text: str, lang: str, key: str) -> dict[str, list
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     length = F.char_length(text)
-    known = known.filter((length > 0) & (length <= TRAIN_DOC_CHARS))
-    counts = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
-    if not counts:
+    known = known.filter(length > 0)
+    short = length <= TRAIN_DOC_CHARS
+    sizes = known.groupBy(lang).agg(F.count_if(short).alias("short"), F.count(F.lit(1)).alias("n")).collect()  # a row per language
+    if not sizes:
         return {}
+    counts = {r[0]: r.short or r.n for r in sizes}
+    only_long = [r[0] for r in sizes if not r.short]
+    known = known.filter(short | F.col(lang).isin(only_long)) if only_long else known.filter(short)
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 40))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, TRAIN_DOCS / n) * (1 << 40)))])
-    picked = known.filter(place <= share[F.col(lang)]).select(F.col(lang).alias("l"), F.col(text).alias("t"), place.alias("p"))
+    picked = known.filter(place <= share[F.col(lang)]).select(F.col(lang).alias("l"), piece(F.col(text), F.col(key), TRAIN_DOC_CHARS).alias("t"), place.alias("p"))
     # letters only, and one copy of a text that repeats
     rows = picked.groupBy("l", "t").agg(F.min("p").alias("p")).collect()
     out: dict[str, list[str]] = {}

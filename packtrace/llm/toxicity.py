@@ -14,13 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from packtrace.llm.common import remainder, slices
+from packtrace.llm.common import piece, remainder, slices
 
 NGRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 DIM = 4
 TRAIN_ROWS = {1: 2000, 0: 4000}  # labelled rows per class, the documented bound of the fit
-TRAIN_DOC_CHARS = 12_000  # longer texts are not taken for the fit
+TRAIN_DOC_CHARS = 12_000  # of a text in the fit: longer texts serve, by a piece, only a class without shorter ones
 STEPS, BATCH, RATE, DECAY = 800, 64, 1.0, 1e-4
 LEAST_TEXTS = 3  # texts of the sample that hold a bucket, else it keeps weight zero
 _SLICE = 4 << 20
@@ -138,8 +138,9 @@ def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str)
     top = F.when(F.col("y") == 1, F.lit(_cut(counts, 1))).otherwise(F.lit(_cut(counts, 0)))
     picked = marks.filter(place < top)
     rows = docs.select(F.col(id).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    rows = rows.filter(F.char_length("text") <= TRAIN_DOC_CHARS)
-    return rows.join(F.broadcast(picked), "key").select("key", "text", "y"), counts  # picked is bounded by TRAIN_ROWS
+    rows = rows.filter("text is not null").select(
+        "key", piece(F.col("text"), F.col("key"), TRAIN_DOC_CHARS).alias("text"), (F.char_length("text") > TRAIN_DOC_CHARS).alias("long"))
+    return rows.join(F.broadcast(picked), "key").select("key", "text", "y", "long"), counts  # picked is bounded by TRAIN_ROWS
 
 
 def _cut(counts: dict[int, int], y: int) -> int:
@@ -157,7 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        rows = sorted(set(zip(*(table.column(c).to_pylist() for c in ("key", "text", "y")), strict=True))) if len(table) else []
+        rows = sorted(set(zip(*(table.column(c).to_pylist() for c in ("key", "text", "y", "long")), strict=True))) if len(table) else []
+        shorter = {y for _, _, y, long in rows if not long}
+        rows = [r for r in rows if not r[3] or r[2] not in shorter]
         y = np.array([r[2] for r in rows], np.int64)
         if len(set(y.tolist())) < 2:
             return

@@ -276,3 +276,30 @@ def test_scores_do_not_depend_on_what_is_held(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(lm, "GRAMS", 10_000)
     less = score()
     assert less.keys() == whole.keys() and all(less[k] == pytest.approx(v, rel=1e-5) for k, v in whole.items())
+
+
+def test_long_texts_serve_a_class_without_shorter_ones(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_DOC_CHARS", 300)
+    monkeypatch.setattr(toxicity, "TRAIN_DOC_CHARS", 300)
+    monkeypatch.setattr(toxicity, "STEPS", 120)
+    rng = random.Random(8)
+    parts = {"aa": ["ko", "ra", "mi", "tu"], "bb": ["sch", "ein", "ung", "ver"]}
+    make = lambda k, n: " ".join("".join(rng.choice(parts[k]) for _ in range(3)) for _ in range(n))
+    data = [(i, make(k, 30 if k == "aa" else 200), k, "", 0) for i, k in enumerate(["aa", "bb"] * 60)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.learnable(docs)).collect()}
+    assert all(found[d] == k for d, _, k, *_ in data)
+    labels = spark.createDataFrame([(d, int(k == "bb")) for d, _, k, *_ in data], "doc_id long, toxic int")
+    said = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert sum(said[d] == int(k == "bb") for d, _, k, *_ in data) >= 0.95 * len(data)
+
+
+def test_toxicity_scores_equal_a_plain_sum(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    weight, bias = toxicity.train(docs, labels)
+    found = {r.doc_id: r for r in toxicity.score(docs, (weight, bias)).collect()}
+    for r in docs.limit(40).collect():
+        bucket, _ = toxicity.units([r.text])
+        mean = float(sum(float(weight[b]) for b in bucket.tolist())) / max(1, len(bucket))
+        want = 1 / (1 + math.exp(-(mean + bias)))
+        assert found[r.doc_id].score == pytest.approx(want, abs=1e-5) and found[r.doc_id].predicted == int(found[r.doc_id].score >= 0.5)
