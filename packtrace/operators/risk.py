@@ -11,10 +11,14 @@ from packtrace.operators.ordered import position
 from packtrace.sources.tables import THREAT_SCHEMA
 from packtrace.spec import Skew
 
+# Limits and wording that readers of the register expect.
 HIGH_SCORE = 40
 CONTROL_ROWS = 20
 TOP_ROWS = 10
 ACTION = "Define control + validation proof + due date"
+STATUS = "open"
+DUE = "TBD"
+BANDS = (("high", 20), ("medium", 9), ("low", None))  # by least base score
 
 _ORDER = ("_falling", "asset_pos", "threat_pos")
 _COLUMNS = ("asset", "owner", "threat", "likelihood", "impact", "criticality", "risk_score", "recommended_owner", "status")
@@ -42,9 +46,9 @@ def register(assets: DataFrame, threats: Sequence[tuple]) -> DataFrame:
         "criticality",
         (base * F.greatest(F.lit(1), F.col("criticality") - 1)).alias("risk_score"),
         F.coalesce("t.owner_hint", "owner").alias("recommended_owner"),
-        F.lit("open").alias("status"),
+        F.lit(STATUS).alias("status"),
         base.alias("base_score"),
-        F.when(base >= 20, "high").when(base >= 9, "medium").otherwise("low").alias("priority_band"),
+        F.coalesce(*[F.when(base >= least, name) if least is not None else F.lit(name) for name, least in BANDS]).alias("priority_band"),
     )
 
 
@@ -67,7 +71,7 @@ def controls_plan(rows: DataFrame, n: int = CONTROL_ROWS) -> DataFrame:
         "threat",
         F.col("recommended_owner").alias("owner"),
         F.lit(ACTION).alias("action"),
-        F.lit("TBD").alias("due_by"),
+        F.lit(DUE).alias("due_by"),
     )
 
 
