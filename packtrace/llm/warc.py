@@ -47,61 +47,89 @@ def record_id(*parts: object) -> str:
 # --- reading and writing ----------------------------------------------------------------
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+_START = re.compile(rb"(?:^|\n)(WARC/[0-9])")
+
+
+def parse(data: bytes, lost: list[int] | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) per record of an archive file, plain or gzipped by record or as a whole.
 
-    Reading stops at the first place that is no record, as in a file cut short.
+    A place that is no record, or one cut short, is skipped up to the next line that begins a record;
+    ``lost`` gets the bytes of each such stretch.
     """
+    lost = [] if lost is None else lost
     if data[:2] == b"\x1f\x8b":
-        data = _unzip(data)
+        data = _unzip(data, lost)
     f = io.BytesIO(data)
     while True:
+        begin = f.tell()
         line = f.readline()
         while line in (b"\r\n", b"\n"):
+            begin = f.tell()
             line = f.readline()
-        if not line.startswith(b"WARC/"):
-            return
-        headers: dict[str, str] = {}
-        last = ""
-        while (line := f.readline()) not in (b"\r\n", b"\n", b""):
-            text = line.decode("utf-8", "replace").rstrip("\r\n")
-            if text[:1] in " \t" and last:  # a folded header goes on
-                headers[last] += " " + text.strip()
-            else:
-                name, _, value = text.partition(":")
-                last = name.strip().lower()
-                headers[last] = value.strip()
-        try:
-            size = int(headers.get("content-length", ""))
-        except ValueError:
-            return
-        block = f.read(size)
-        if len(block) < size:
+        if not line:
             return
-        yield headers, block
-
-
-def _unzip(data: bytes) -> bytes:
-    out = []
-    while data[:2] == b"\x1f\x8b":
+        found = _record(f) if line.startswith(b"WARC/") else None
+        if found:
+            yield found
+            continue
+        after = _START.search(data, begin + 1)  # within the broken record, so that none behind it goes with it
+        end = after.start(1) if after else len(data)
+        lost.append(end - begin)
+        f.seek(end)
+
+
+def _record(f: io.BytesIO) -> tuple[dict[str, str], bytes] | None:
+    """What follows a version line; None if it is no whole record."""
+    headers: dict[str, str] = {}
+    last = ""
+    while (line := f.readline()) not in (b"\r\n", b"\n", b""):
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[:1] in " \t" and last:  # a folded header goes on
+            headers[last] += " " + text.strip()
+        else:
+            name, _, value = text.partition(":")
+            last = name.strip().lower()
+            headers[last] = value.strip()
+    size = headers.get("content-length", "")
+    if not re.fullmatch("[0-9]{1,18}", size):
+        return None
+    block = f.read(int(size))
+    return (headers, block) if len(block) == int(size) else None
+
+
+def _unzip(data: bytes, lost: list[int]) -> bytes:
+    """All readable members; what cannot be inflated is skipped up to the next member's mark."""
+    out, at = [], 0
+    while at < len(data):
         member = zlib.decompressobj(31)
         try:
-            out.append(member.decompress(data))
+            part = member.decompress(data[at:] if at else data)
+            if not member.eof:
+                lost.append(len(data) - at)  # cut short; what came out of it may still hold whole records
+            out.append(part)
+            at = len(data) - len(member.unused_data) if member.eof else len(data)
         except zlib.error:
-            break
-        data = member.unused_data
+            after = data.find(b"\x1f\x8b\x08", at + 1)
+            after = len(data) if after < 0 else after
+            lost.append(after - at)
+            out.append(b"\r\n")
+            at = after
     return b"".join(out)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archive files under ``path``. A file is one task; it must fit a row (2 GB)."""
+    """Records of the archive files under ``path``. A file is one task; it must fit a row (2 GB).
+
+    A file with parts that are no records has one more row, of type ``unreadable``, whose
+    content_length counts the bytes left out.
+    """
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows, size = [], 0
-                for h, block in parse(content.as_py()):
+                rows, size, lost = [], 0, []
+                for h, block in parse(content.as_py(), lost):
                     rows.append((
                         h.get("warc-type"), h.get("warc-record-id"), h.get("warc-refers-to"), h.get("warc-target-uri"), h.get("warc-date"),
                         h.get("content-type"), len(block), h.get("warc-block-digest") or digest(block), h.get("warc-payload-digest"),
@@ -110,6 +138,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     if size > _SLICE:
                         yield _batch(rows)
                         rows, size = [], 0
+                if lost:
+                    rows.append(("unreadable", *[None] * 5, sum(lost), *[None] * 4))
                 yield _batch(rows)
 
     # one file per batch, as a batch of large files would not fit

@@ -8,6 +8,7 @@ import json
 import random
 import re
 import uuid
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -124,6 +125,77 @@ def test_parsing_archives():
     assert len(list(warc.parse(whole[:-30]))) == 2 and list(warc.parse(b"junk")) == [] and list(warc.parse(b"")) == []
 
 
+def test_reading_goes_on_after_broken_records(spark, tmp_path):
+    rows = [{"warc_type": "response", "record_id": f"<urn:{i}>", "refers_to": None, "target_uri": "u", "date": "d", "block_digest": None,
+             "payload_digest": None, "content_type": "c", "content_length": 6, "block": b"%06d" % i} for i in range(5)]
+    one = [warc.to_bytes(r) for r in rows]
+    bad = one[1].replace(b"Content-Length: 6", b"Content-Length: six")
+    short = one[3].replace(b"Content-Length: 6", b"Content-Length: 600000")
+    blocks = lambda data, lost: [b for _, b in warc.parse(data, lost)]
+    for broken, kept in ((bad, (0, 2, 4)), (b"garbage\r\nmore garbage\r\n", (0, 2, 4)), (short, (0, 2, 4))):
+        lost = []
+        assert blocks(one[0] + broken + one[2] + one[4], lost) == [rows[i]["block"] for i in kept]
+        assert sum(lost) in (len(broken), len(broken) - 4, len(broken) - 2)
+    lost = []
+    members = [warc.gzip_record(r) for r in rows]
+    members[2] = members[2][:12] + b"\xff" * 8 + members[2][20:]
+    assert blocks(b"".join(members), lost) == [rows[i]["block"] for i in (0, 1, 3, 4)] and lost == [len(members[2])]
+    (tmp_path / "a.warc").write_bytes(one[0] + bad + one[2])
+    (tmp_path / "b.warc").write_bytes(one[3])
+    found = warc.read(spark, f"{tmp_path}/*.warc").collect()
+    assert sorted(r.warc_type for r in found) == ["response"] * 3 + ["unreadable"]
+    assert next(r.content_length for r in found if r.warc_type == "unreadable") > 100
+
+
+class PlainReader(HTMLParser):
+    """All text of a page by another parser: a line per block, without scripts, styles and comments."""
+
+    BLOCKS = set("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 article section nav header footer aside title body head html blockquote pre form td th dd dt".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.silent, self.links, self.title, self.in_title = [], 0, [], "", False
+
+    def handle_starttag(self, tag, attrs):
+        self.out += ["\n"] * (tag in self.BLOCKS)
+        self.silent += tag in ("script", "style", "template", "noscript")
+        self.links += [v for k, v in attrs if tag == "a" and k == "href"]
+        self.in_title |= tag == "title"
+
+    def handle_endtag(self, tag):
+        self.out += ["\n"] * (tag in self.BLOCKS)
+        self.silent -= tag in ("script", "style", "template", "noscript")
+        self.in_title &= tag != "title"
+
+    def handle_data(self, data):
+        self.out += [data] * (not self.silent)
+        self.title += data * self.in_title
+
+
+def test_derivatives_of_pages_equal_another_parser(spark, sf_dir):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    records = {r.page_id: r for r in warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()}
+    found: dict = {}
+    for r in queries.op3_warc_derivatives(spark, sf_dir).collect():
+        found.setdefault(r.page_id, {})[r.warc_type] = r
+    blocks = {(r.page_id, r.warc_type): r.block for r in warc.derive(warc.responses(spark.read.parquet(f"{sf_dir}/pages.parquet")), carry="page_id").collect()}
+    sha = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    assert found.keys() == pages.keys()
+    for i, page in pages.items():
+        reader = PlainReader()
+        reader.feed(page.html)
+        reader.close()
+        lines = [" ".join(line.split()) for line in "".join(reader.out).split("\n")]
+        text = "\n".join(line for line in lines if line).encode()
+        meta, conversion = found[i]["metadata"], found[i]["conversion"]
+        assert blocks[i, "conversion"] == text and conversion.block_digest == sha(text) and conversion.content_length == len(text)
+        about = json.loads(blocks[i, "metadata"])
+        assert about["links"] == reader.links and (about["title"] or "") == " ".join(reader.title.split())
+        for r in (meta, conversion):
+            assert r.refers_to == records[i].record_id and r.target_uri == page.url and r.payload_digest == sha(page.html.encode())
+            assert ["Content-Type", "text/html; charset=utf-8"] in json.loads(r.source_headers)
+
+
 def test_other_payloads():
     r = {"record_id": "<i>", "target_uri": None, "date": None, "content_type": "application/http", "payload_digest": "sha1:GIVEN"}
     image = warc.derivatives({**r, "block": b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG"})
