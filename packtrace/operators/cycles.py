@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from packtrace.functions.numeric import finite, pearson, ratio, seconds, share, slope
+from packtrace.operators import segments
 from packtrace.operators.ordered import Groups
 from packtrace.spec import FaultLimits, Skew, SohLimits
 
@@ -82,7 +83,7 @@ def fault_features(
     keys: Sequence[str] = CYCLE,
     skew: Skew = Skew(),
 ) -> DataFrame:
-    """One row per cycle: the ten fault features and ``max_abs_temp_rate``.
+    """One row per cycle: the ten fault features and ``max_abs_temp_rate``. Long cycles are cut into segments.
 
     ``max_temp_rate`` is the mean absolute rate, which is what the name has always
     meant here; ``max_abs_temp_rate`` is the largest one.
@@ -90,42 +91,37 @@ def fault_features(
     rows = _usable(df, keys).select(
         *dict.fromkeys([*keys, "seq", "t_us", "voltage", "pack_voltage", "cell_voltage", "temperature", "soc", "cycle"])
     )
-
-    def run(part: DataFrame, scans) -> DataFrame:
-        line = scans["timeline"]
-        part = line.total(part, _n=F.count(F.lit(1)))
-        part = line.look(
-            part,
-            previous={"_t": F.col("t_us"), "_v": F.col("voltage"), "_temp": F.col("temperature")},
-            sums={"_pos": F.lit(1).cast("bigint")},
-        )
-        dt = seconds(F.col("t_us") - F.col("_t"))
-        part = part.withColumns(
-            {
-                "_slope": slope(F.col("voltage") - F.col("_v"), dt),
-                "_rate": slope(F.col("temperature") - F.col("_temp"), dt),
-                "_early": F.col("_pos") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(limits.initial_share))),
-            }
-        )
-        slow = F.sum((F.col("_slope") <= limits.cc_slope).cast("int"))
-        enough = (F.count(F.lit(1)) >= 3) & (F.count("_slope") > 0)
-        return part.groupBy(*keys).agg(
-            F.max("cycle").cast("double").alias("cycle_number"),
-            F.when(enough, slow / (F.count(F.lit(1)) - 1)).alias("cc_phase_ratio"),
-            F.max("soc").alias("soc_max"),
-            ratio(F.avg("pack_voltage"), F.avg("cell_voltage")).alias("pack_cell_voltage_ratio"),
-            F.when(F.count(F.lit(1)) > 2, pearson(F.col("pack_voltage"), F.col("cell_voltage"))).alias(
-                "voltage_correlation"
-            ),
-            F.min(F.when(F.col("_early"), F.col("voltage"))).alias("initial_min_voltage"),
-            F.avg("_slope").alias("voltage_gradient"),
-            _spread("temperature").alias("max_temp_diff"),
-            F.avg("_rate").alias("max_temp_rate"),
-            F.max("_rate").alias("max_abs_temp_rate"),
-            _last("temperature").alias("terminal_temp"),
-        )
-
-    return Groups.measure(rows, keys, _TIMELINE, skew).apply(rows, run)
+    cut = segments.measure(rows, skew, keys)
+    around = ("t_us", "voltage", "temperature")
+    if cut:
+        rows = segments.numbered_after(rows, cut, around)
+    else:
+        line = Window.partitionBy(*keys).orderBy("t_us", "seq")
+        before = {f"_b_{c}": F.lag(c).over(line) for c in around}
+        rows = rows.withColumns({"_pos": F.row_number().over(line), "_n": F.count(F.lit(1)).over(Window.partitionBy(*keys)), **before})
+    dt = seconds(F.col("t_us") - F.col("_b_t_us"))
+    rows = rows.withColumns(
+        {
+            "_slope": slope(F.col("voltage") - F.col("_b_voltage"), dt),
+            "_rate": slope(F.col("temperature") - F.col("_b_temperature"), dt),
+            "_early": F.col("_pos") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(limits.initial_share))),
+        }
+    )
+    slow = F.sum((F.col("_slope") <= limits.cc_slope).cast("int"))
+    enough = (F.count(F.lit(1)) >= 3) & (F.count("_slope") > 0)
+    return rows.groupBy(*keys).agg(
+        F.max("cycle").cast("double").alias("cycle_number"),
+        F.when(enough, slow / (F.count(F.lit(1)) - 1)).alias("cc_phase_ratio"),
+        F.max("soc").alias("soc_max"),
+        ratio(F.avg("pack_voltage"), F.avg("cell_voltage")).alias("pack_cell_voltage_ratio"),
+        F.when(F.count(F.lit(1)) > 2, pearson(F.col("pack_voltage"), F.col("cell_voltage"))).alias("voltage_correlation"),
+        F.min(F.when(F.col("_early"), F.col("voltage"))).alias("initial_min_voltage"),
+        F.avg("_slope").alias("voltage_gradient"),
+        _spread("temperature").alias("max_temp_diff"),
+        F.avg("_rate").alias("max_temp_rate"),
+        F.max("_rate").alias("max_abs_temp_rate"),
+        _last("temperature").alias("terminal_temp"),
+    )
 
 
 def soh_features(

@@ -24,6 +24,7 @@ from packtrace.session import durable
 from packtrace.spec import Skew
 
 HOT = "_hot"
+MAX_CHUNKS = 500_000  # borders that the driver holds and every task gets: above it, raise rows_per_task
 
 
 def _position(borders: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
@@ -191,7 +192,9 @@ class Groups:
         border = F.lit(False)
         for name in marks:
             border = border | F.col(name)
-        rows = marked.filter((F.col("_n") >= 2 * skew.per_chunk) & border).drop("_n").collect()
+        rows = marked.filter((F.col("_n") >= 2 * skew.per_chunk) & border).drop("_n").limit(MAX_CHUNKS + 1).collect()
+        if len(rows) > MAX_CHUNKS:
+            raise ValueError(f"more than {MAX_CHUNKS} chunks: raise rows_per_task")
         hot: dict[tuple, int] = {}
         found: dict[str, dict[int, list]] = {name: {} for name in orders}
         for row in rows:

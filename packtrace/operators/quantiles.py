@@ -10,6 +10,7 @@ from packtrace.session import durable
 from packtrace.spec import Skew
 
 PIVOTS = 500
+MAX_LARGE = 500_000  # groups above a task's size, whose keys are broadcast
 ACCURACY = 100_000  # of the approximate percentiles that bracket a rank
 
 
@@ -35,7 +36,9 @@ def by_group(
     if not keys:
         big = rows.count() > skew.rows_per_task
         return select_exact(rows, keys, F.col("_v"), probs, skew) if big else rows.agg(exact)
-    large = sizes.collect()  # at most table_rows / rows_per_task keys
+    large = sizes.limit(MAX_LARGE + 1).collect()  # at most table_rows / rows_per_task keys
+    if len(large) > MAX_LARGE:
+        raise ValueError(f"more than {MAX_LARGE} groups above the size of a task: raise rows_per_task")
     if not large:
         return rows.groupBy(*keys).agg(exact)
     table = F.broadcast(df.sparkSession.createDataFrame(large, sizes.schema))

@@ -20,19 +20,20 @@ MAX_HOT = 1_000_000  # devices above a task's size; each holds at least two task
 
 
 class Cut:
-    """How wide segments are: one width for all devices, or a row (device, us, arrivals) per long device.
+    """How wide segments are: one width for all keys, or a row (keys, _us, _arrivals) per long key.
 
-    Other devices then stay whole. ``crowded`` lists instants (device, t_us) with more rows than a
-    task should hold; those are cut by arrival.
+    A key is a device, or a device's cycle. Other keys then stay whole. ``crowded`` lists instants
+    (keys, t_us) with more rows than a task should hold; those are cut by arrival.
     """
 
-    def __init__(self, us: int | None, arrivals: int | None, hot: DataFrame | None = None, crowded: DataFrame | None = None):
-        self.us, self.arrivals, self.hot, self.crowded = us, arrivals, hot, crowded
+    def __init__(self, us: int | None, arrivals: int | None, hot: DataFrame | None = None, crowded: DataFrame | None = None,
+                 keys: Sequence[str] = ("device",)):
+        self.us, self.arrivals, self.hot, self.crowded, self.keys = us, arrivals, hot, crowded, list(keys)
 
     def _wide(self, df: DataFrame) -> tuple[DataFrame, Column, Column]:
         if self.hot is None:
             return df, F.lit(self.us), F.lit(self.arrivals)
-        return df.join(F.broadcast(self.hot), "device", "left"), F.col("_us"), F.col("_arrivals")  # MAX_HOT rows at most
+        return df.join(F.broadcast(self.hot), self.keys, "left"), F.col("_us"), F.col("_arrivals")  # MAX_HOT rows at most
 
     def by_time(self, df: DataFrame) -> DataFrame:
         """Add ``SEG``, which grows with (t_us, seq)."""
@@ -40,9 +41,9 @@ class Cut:
         zero = F.lit(0).cast("bigint")
         bucket, sub, part = F.coalesce(F.floor(F.col("t_us") / us), zero), zero, zero
         if self.crowded is not None:
-            listed = self.crowded.join(F.broadcast(self.hot), "device").withColumn("_bucket", bucket)
-            listed = listed.groupBy("device", "_bucket").agg(F.collect_set("t_us").alias("_instants"))
-            df = df.withColumn("_bucket", bucket).join(F.broadcast(listed), ["device", "_bucket"], "left")  # fewer than tasks
+            listed = self.crowded.join(F.broadcast(self.hot), self.keys).withColumn("_bucket", bucket)
+            listed = listed.groupBy(*self.keys, "_bucket").agg(F.collect_set("t_us").alias("_instants"))
+            df = df.withColumn("_bucket", bucket).join(F.broadcast(listed), [*self.keys, "_bucket"], "left")  # fewer than tasks
             instants = F.coalesce("_instants", F.array().cast("array<bigint>"))
             inside = F.array_contains(instants, F.col("t_us"))
             sub = (2 * F.size(F.filter(instants, lambda x: x < F.col("t_us"))) + inside.cast("int")).cast("bigint")
@@ -56,45 +57,68 @@ class Cut:
         return df.withColumn(SEG, F.coalesce(F.floor(F.col("seq") / arrivals), F.lit(0).cast("bigint"))).drop("_us", "_arrivals")
 
 
-def measure(df: DataFrame, skew: Skew) -> Cut | None:
-    """The cut that ``skew`` names, or one from a sample of the table; None if every device fits a task.
+def measure(df: DataFrame, skew: Skew, keys: Sequence[str] = ("device",)) -> Cut | None:
+    """The cut that ``skew`` names, or one from a sample of the table; None if every key fits a task.
 
     The sample holds ``per_chunk`` rows for each ``rows_per_task`` of the table; a segment is as wide as
-    the shortest stretch of a device's order with so many sampled rows.
+    the shortest stretch of a key's order with so many sampled rows.
     """
+    keys = list(keys)
     if skew.segment_us:
-        return Cut(skew.segment_us, skew.segment_seq or skew.rows_per_task)
-    picked = df.select("device", "t_us", "seq")
+        return Cut(skew.segment_us, skew.segment_seq or skew.rows_per_task, keys=keys)
+    picked = df.select(*keys, "t_us", "seq")
     if skew.rate < 1.0:
         picked = picked.sample(fraction=skew.rate, seed=skew.seed)
-    # a row of no device: Spark drops the plan below an empty shuffle, and with it what is observed there
-    nobody = df.sparkSession.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in (("device", "string"), ("t_us", "bigint"), ("seq", "bigint"))])
+    # a row of no key: Spark drops the plan below an empty shuffle, and with it what is observed there
+    nobody = df.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in picked.schema])
     picked = picked.unionByName(nobody)
-    device = Window.partitionBy("device")
-    back = lambda c, *order: F.col(c) - F.lag(c, skew.per_chunk).over(device.orderBy(*order))
-    spans = picked.select("device", back("t_us", "t_us", "seq").alias("us"), back("seq", "seq").alias("arrivals"))
-    hot = spans.groupBy("device").agg(
+    key = Window.partitionBy(*keys)
+    back = lambda c, *order: F.col(c) - F.lag(c, skew.per_chunk).over(key.orderBy(*order))
+    spans = picked.select(*keys, back("t_us", "t_us", "seq").alias("us"), back("seq", "seq").alias("arrivals"))
+    hot = spans.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("us") > 0, F.col("us"))).alias("_us"),
         F.min(F.when(F.col("arrivals") > 0, F.col("arrivals"))).alias("_arrivals"))
-    rows = hot.filter(F.col("n") >= 2 * skew.per_chunk).drop("n").limit(MAX_HOT + 1).collect()
+    hot = hot.filter(F.col("n") >= 2 * skew.per_chunk).drop("n")
+    rows = hot.limit(MAX_HOT + 1).collect()
     if not rows:
         return None
     if len(rows) > MAX_HOT:
-        raise ValueError("too many devices above the size of a task: raise rows_per_task")
+        raise ValueError("too many keys above the size of a task: raise rows_per_task")
     spark = df.sparkSession
-    table = spark.createDataFrame(rows, "device string, _us bigint, _arrivals bigint")
-    often = picked.join(F.broadcast(table.select("device")), "device").groupBy("device", "t_us").count()
-    crowded = often.filter(F.col("count") >= skew.per_chunk).drop("count").collect()  # each holds a task's rows
-    return Cut(None, None, table, spark.createDataFrame(crowded, "device string, t_us bigint") if crowded else None)
+    table = spark.createDataFrame(rows, hot.schema)
+    often = picked.join(F.broadcast(table.select(*keys)), keys).groupBy(*keys, "t_us").count().filter(F.col("count") >= skew.per_chunk).drop("count")
+    crowded = often.collect()  # each holds a task's rows
+    return Cut(None, None, table, spark.createDataFrame(crowded, often.schema) if crowded else None, keys)
 
 
-def by_device(order: Sequence[str] = (SEG,)):
-    return Window.partitionBy("device").orderBy(*order)
+def by_key(keys: Sequence[str], order: Sequence[str] = (SEG,)):
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
-def joined(rows: DataFrame, carried: DataFrame) -> DataFrame:
-    """Rows with what their segment's small row carries; rows are already placed by device and segment."""
-    return rows.join(carried, ["device", SEG], "left")
+def by_device():
+    return by_key(["device"])
+
+
+def joined(rows: DataFrame, carried: DataFrame, keys: Sequence[str] = ("device",)) -> DataFrame:
+    """Rows with what their segment's small row carries; rows are already placed by key and segment."""
+    return rows.join(carried, [*keys, SEG], "left")
+
+
+def numbered_after(df: DataFrame, cut: Cut, columns: Sequence[str]) -> DataFrame:
+    """Rows in time order over all segments of their key: ``_pos`` from 1, ``_n`` rows of the key, ``_b_`` columns of the row before."""
+    keys, at = cut.keys, F.struct("t_us", "seq")
+    small = cut.by_time(df.select(*keys, "seq", *columns)).groupBy(*keys, SEG).agg(
+        F.count(F.lit(1)).alias("k"), F.max_by(F.struct(*columns), at).alias("tail"))
+    line = by_key(keys)
+    small = small.select(
+        *keys, SEG, F.sum("k").over(Window.partitionBy(*keys)).alias("_n"), (F.sum("k").over(line) - F.col("k")).alias("_earlier"),
+        F.lag("tail").over(line).alias("_tail"))
+    inside = by_key([*keys, SEG], ["t_us", "seq"])
+    rows = cut.by_time(df).withColumns({"_pos": F.row_number().over(inside), **{f"_b_{c}": F.lag(c).over(inside) for c in columns}})
+    rows = joined(rows, small, keys)
+    first = F.col("_pos") == 1
+    rows = rows.withColumns({f"_b_{c}": F.when(first, F.col("_tail")[c]).otherwise(F.col(f"_b_{c}")) for c in columns})
+    return rows.withColumn("_pos", F.col("_pos") + F.col("_earlier")).drop("_tail", "_earlier", SEG)
 
 
 def previous_arrival(df: DataFrame, cut: Cut, column: str, name: str) -> DataFrame:

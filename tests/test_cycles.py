@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import same_rows, telemetry
-from packtrace.operators import cycles
+from packtrace.operators import cycles, segments
 from packtrace.plans import views
 from packtrace.spec import FaultLimits, Skew, SohLimits
 
@@ -106,6 +106,21 @@ def test_chunked_cycles_match(spark, sf_dir, keys):
     assert same_rows(cycles.fault_features(df, keys=keys), cycles.fault_features(df, keys=keys, skew=TIGHT))
 
 
+@pytest.mark.parametrize("us, arrivals", [(1, 1), (3_600_000_000, 3), (10**12, 10**9)])
+def test_segments_of_cycles_match(spark, sf_dir, us, arrivals):
+    df = views.view(spark, sf_dir, "telemetry_cycles")
+    cut = cycles.fault_features(df, skew=Skew(segment_us=us, segment_seq=arrivals))
+    assert same_rows(cycles.fault_features(df), cut)
+
+
+def test_a_cycle_of_one_instant_is_cut_by_arrival(spark):
+    rows = [{"t": 5, "seq": i, "voltage": 3.0 + i % 7, "temperature": float(i % 5), "pack_voltage": 1.0 * i, "cell_voltage": 2.0} for i in range(200)]
+    rows += [{"t": t, "seq": 1000 + t, "voltage": 4.0, "temperature": 9.0} for t in (1, 2, 8, 9)]
+    df = telemetry(spark, rows)
+    assert segments.measure(df, TIGHT, ["device", "cycle"]).crowded is not None
+    assert same_rows(cycles.fault_features(df), cycles.fault_features(df, skew=TIGHT))
+
+
 def test_chunked_soh_cycles_match(spark, sf_dir):
     df = views.view(spark, sf_dir, "telemetry_cycles")
     limits = SohLimits(cc_slope=1e-4, cv_slope=1e-4)
