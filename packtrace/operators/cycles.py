@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from packtrace.functions.numeric import finite, pearson, ratio, seconds, share, slope
 from packtrace.operators import segments
-from packtrace.operators.ordered import Groups
 from packtrace.spec import FaultLimits, Skew, SohLimits
 
 CYCLE = ("device", "cycle")
@@ -58,7 +57,6 @@ SOH_LABELS = ("soh_proxy_from_input", "soh_proxy", "soh_trend_5")
 
 SEGMENT_CYCLES = 100_000  # cycles of a device that one window holds
 
-_TIMELINE = {"timeline": ["t_us", "seq"]}
 
 
 def _usable(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -138,41 +136,103 @@ def soh_features(
     rows = _usable(df, keys).select(
         *keys, "seq", "t_us", *[finite(F.col(c)).alias(c) for c in sensors]
     )
-    return Groups.measure(rows, keys, _TIMELINE, skew).apply(
-        rows, lambda part, scans: _soh_part(part, scans["timeline"], limits, keys)
-    )
-
-
-def _soh_part(df: DataFrame, line, limits: SohLimits, keys: Sequence[str]) -> DataFrame:
+    cut = segments.measure(rows, skew, keys)
+    around = _soh_around_in_segments(rows, cut, limits) if cut else _soh_around(rows, keys, limits)
+    return _soh_reduce(around, limits, keys)
+
+
+def _complete() -> Column:
+    return F.col("voltage").isNotNull() & F.col("current").isNotNull()
+
+
+def _charge(before: str) -> Column:
+    """Charge moved since the latest row with voltage and current."""
+    return -0.5 * (F.col("current") + F.col(f"{before}.i")) * seconds(F.col("t_us") - F.col(f"{before}.t")) / 3600
+
+
+def _ohm(before: Sequence[Column], limits: SohLimits) -> Column:
+    """Change of voltage over a change of current that is large enough."""
+    v, i = before
+    return F.when(F.abs(F.col("current") - i) > limits.min_current_step, F.abs((F.col("voltage") - v) / (F.col("current") - i)))
+
+
+def _soh_around(df: DataFrame, keys: Sequence[str], limits: SohLimits) -> DataFrame:
+    """Each row beside the readings before it, its place among complete rows, the charge so far, and its cycle's quantiles."""
+    line = Window.partitionBy(*keys).orderBy("t_us", "seq")
+    before, upto = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns({
+        "_t": F.lag("t_us").over(line), "_v": F.lag("voltage").over(line), "_i": F.lag("current").over(line), "_temp": F.lag("temperature").over(line),
+        "_pv": F.last(_reading_v(), ignorenulls=True).over(before), "_pc": F.last(_reading_c(), ignorenulls=True).over(before)})
+    df = df.withColumn("_dq", F.when(_complete(), _charge("_pc")))
+    group = Window.partitionBy(*keys)
+    return df.withColumns({
+        "_k": F.sum(_complete().cast("bigint")).over(upto), "_q": F.sum("_dq").over(upto),
+        "_high": F.percentile("voltage", F.lit(limits.cv_quantile)).over(group),
+        "_ohm_median": F.percentile(_ohm((F.col("_v"), F.col("_i")), limits), F.lit(0.5)).over(group)})
+
+
+def _reading_v() -> Column:
+    return F.when(F.col("voltage").isNotNull(), F.struct(F.col("t_us").alias("t"), F.col("voltage").alias("v")))
+
+
+def _reading_c() -> Column:
+    return F.when(_complete(), F.struct(F.col("t_us").alias("t"), F.col("voltage").alias("v"), F.col("current").alias("i")))
+
+
+def _soh_around_in_segments(df: DataFrame, cut: segments.Cut, limits: SohLimits) -> DataFrame:
+    """The same with windows that stay inside a segment. A small row per segment brings what crosses its border."""
+    keys, at = cut.keys, F.struct("t_us", "seq")
+    line = segments.by_key([*keys, segments.SEG], ["t_us", "seq"])
+    before, upto = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
+    around = {
+        "_t": F.lag("t_us").over(line), "_v": F.lag("voltage").over(line), "_i": F.lag("current").over(line), "_temp": F.lag("temperature").over(line),
+        "_pv": F.last(_reading_v(), ignorenulls=True).over(before), "_pc": F.last(_reading_c(), ignorenulls=True).over(before)}
+    narrow = cut.by_time(df.select(*keys, "seq", "t_us", "voltage", "current", "temperature"))
+    narrow = narrow.withColumns({"_pc": around["_pc"], "_rv": _reading_v(), "_rc": _reading_c()})
+    small = narrow.groupBy(*keys, segments.SEG).agg(
+        F.max_by(F.struct("t_us", "voltage", "current", "temperature"), at).alias("tail"),
+        F.max_by("_rv", F.when(F.col("_rv").isNotNull(), at)).alias("pv"), F.max_by("_rc", F.when(F.col("_rc").isNotNull(), at)).alias("pc"),
+        F.min_by("_rc", F.when(F.col("_rc").isNotNull(), at)).alias("fc"), F.count("_rc").alias("k"), F.sum(F.when(_complete(), _charge("_pc"))).alias("q"))
+    order = segments.by_key(keys)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    small = small.withColumns({
+        "_c_tail": F.lag("tail").over(order), "_c_pv": F.last("pv", ignorenulls=True).over(earlier),
+        "_c_pc": F.last("pc", ignorenulls=True).over(earlier), "_c_k": F.coalesce(F.sum("k").over(earlier), F.lit(0))})
+    across = -0.5 * (F.col("fc.i") + F.col("_c_pc.i")) * seconds(F.col("fc.t") - F.col("_c_pc.t")) / 3600
+    moved = F.coalesce("q", F.lit(0.0)) + F.coalesce(across, F.lit(0.0))
+    small = small.withColumn("moved", moved).withColumn("_c_q", F.coalesce(F.sum("moved").over(earlier), F.lit(0.0)))
+    high = segments.ranked_quantile(df.select(*keys, F.col("voltage").alias("x")), keys, limits.cv_quantile, "_high")
+    pairs = segments.numbered_after(df.select(*keys, "seq", "t_us", "voltage", "current"), cut, ("voltage", "current"))
+    steps = pairs.select(*keys, _ohm((F.col("_b_voltage"), F.col("_b_current")), limits).alias("x"))
+    median = segments.ranked_quantile(steps, keys, 0.5, "_ohm_median")
+    small = small.select(*keys, segments.SEG, "_c_tail", "_c_pv", "_c_pc", "_c_k", "_c_q").join(high, keys, "left").join(median, keys, "left")
+    df = cut.by_time(df).withColumns({"_pos": F.row_number().over(line), **around})
+    df = segments.joined(df, small, keys)
+    first = F.col("_pos") == 1
+    tail = {"_t": "t_us", "_v": "voltage", "_i": "current", "_temp": "temperature"}
+    df = df.withColumns({
+        **{n: F.when(first, F.col("_c_tail")[c]).otherwise(F.col(n)) for n, c in tail.items()},
+        "_pv": F.coalesce("_pv", "_c_pv"), "_pc": F.coalesce("_pc", "_c_pc")})
+    df = df.withColumn("_dq", F.when(_complete(), _charge("_pc")))
+    return df.withColumns({
+        "_k": F.col("_c_k") + F.sum(_complete().cast("bigint")).over(upto), "_q": F.col("_c_q") + F.coalesce(F.sum("_dq").over(upto), F.lit(0.0))})
+
+
+def _soh_reduce(df: DataFrame, limits: SohLimits, keys: Sequence[str]) -> DataFrame:
     t, v, i, temp = (F.col(c) for c in ("t_us", "voltage", "current", "temperature"))
-    df = line.look(
-        df,
-        previous={"_t": t, "_v": v, "_i": i, "_temp": temp},
-        known_before={
-            # the latest reading with a voltage, and the latest with voltage and current
-            "_pv": F.when(v.isNotNull(), F.struct(t.alias("t"), v.alias("v"))),
-            "_pc": F.when(v.isNotNull() & i.isNotNull(), F.struct(t.alias("t"), v.alias("v"), i.alias("i"))),
-        },
-    )
-    complete = v.isNotNull() & i.isNotNull()
+    complete = _complete()
     dt = seconds(t - F.col("_t"))
-    step = seconds(t - F.col("_pc.t"))
     df = df.withColumns(
         {
-            "_dt": dt,
             "_ah": 0.5 * (i + F.col("_i")) * dt / 3600,
             "_wh": 0.5 * (v * i + F.col("_v") * F.col("_i")) * dt / 3600,
             "_rate": F.when(dt != 0, F.abs(temp - F.col("_temp")) / dt),
             "_slope": F.when(v.isNotNull(), slope(v - F.col("_pv.v"), seconds(t - F.col("_pv.t")))),
-            "_ohm": F.when(F.abs(i - F.col("_i")) > limits.min_current_step, F.abs((v - F.col("_v")) / (i - F.col("_i")))),
-            "_step": F.when(complete, step),
+            "_step": F.when(complete, seconds(t - F.col("_pc.t"))),
             "_dv": F.when(complete, v - F.col("_pc.v")),
-            "_dq": F.when(complete, -0.5 * (i + F.col("_pc.i")) * step / 3600),
             "_mid": F.when(complete, 0.5 * (v + F.col("_pc.v"))),
         }
     )
-    df = line.look(df, sums={"_k": complete.cast("bigint"), "_q": F.col("_dq")})
-    df = line.quantile(df, _high=(v, limits.cv_quantile), _ohm_median=(F.col("_ohm"), 0.5))
     # The first complete interval never enters the dQ/dV curve.
     used = complete & (F.col("_k") >= 3) & (F.abs("_dv") > limits.min_voltage_step)
     df = df.withColumn("_dqdv", F.when(used, F.abs(F.col("_dq") / F.col("_dv"))))

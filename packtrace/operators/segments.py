@@ -107,7 +107,7 @@ def joined(rows: DataFrame, carried: DataFrame, keys: Sequence[str] = ("device",
 def numbered_after(df: DataFrame, cut: Cut, columns: Sequence[str]) -> DataFrame:
     """Rows in time order over all segments of their key: ``_pos`` from 1, ``_n`` rows of the key, ``_b_`` columns of the row before."""
     keys, at = cut.keys, F.struct("t_us", "seq")
-    small = cut.by_time(df.select(*keys, "seq", *columns)).groupBy(*keys, SEG).agg(
+    small = cut.by_time(df.select(*dict.fromkeys([*keys, "seq", "t_us", *columns]))).groupBy(*keys, SEG).agg(
         F.count(F.lit(1)).alias("k"), F.max_by(F.struct(*columns), at).alias("tail"))
     line = by_key(keys)
     small = small.select(
@@ -190,3 +190,18 @@ def median_step(found: DataFrame) -> DataFrame:
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
     middle = F.min(F.when(F.col("upto") > low, F.col("step"))) + F.min(F.when(F.col("upto") > high, F.col("step")))
     return steps.groupBy("device").agg((middle / 2).alias("_median"))
+
+
+def ranked_quantile(values: DataFrame, keys: Sequence[str], prob: float, name: str) -> DataFrame:
+    """(keys, name): the exact interpolated quantile per key of the column ``x`` of ``values``.
+
+    Equal values are counted before they are shuffled; a key's distinct values are then ranked in order.
+    """
+    counted = values.filter("x is not null").groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("k"))
+    whole = Window.partitionBy(*keys)
+    counted = counted.withColumns({"upto": F.sum("k").over(whole.orderBy("x")), "n": F.sum("k").over(whole)})
+    at = F.lit(prob) * (F.col("n") - 1)
+    low = F.min(F.when(F.col("upto") > F.floor(at), F.col("x")))
+    high = F.min(F.when(F.col("upto") > F.ceil(at), F.col("x")))
+    over = F.max(at - F.floor(at))
+    return counted.groupBy(*keys).agg(F.when(over == 0, low).otherwise(low + over * (high - low)).alias(name))

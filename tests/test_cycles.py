@@ -129,6 +129,18 @@ def test_chunked_soh_cycles_match(spark, sf_dir):
     assert same_rows(plain, cut)
 
 
+@pytest.mark.parametrize("us, arrivals", [(1, 1), (3_600_000_000, 3), (10**12, 10**9)])
+def test_segments_of_soh_cycles_match(spark, sf_dir, us, arrivals):
+    df = views.view(spark, sf_dir, "telemetry_cycles")
+    holes = df.withColumns({c: F.when(F.col("seq") % n != 0, F.col(c)) for c, n in (("voltage", 5), ("current", 7), ("temperature", 3))})
+    limits = SohLimits(cc_slope=1e-4, cv_slope=1e-4)
+    for rows in (df, holes):
+        cut = cycles.soh_features(rows, limits, skew=Skew(segment_us=us, segment_seq=arrivals))
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "SinglePartition" not in plan
+        assert same_rows(cycles.soh_features(rows, limits), cut)
+
+
 def test_shift_and_stretch(spark):
     df = _six(spark)
     plain = cycles.soh_features(df).first()
