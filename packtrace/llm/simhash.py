@@ -219,15 +219,19 @@ def drop_near(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle:
     whose text has the smallest digest, and of rows repeated in id and text the first.
     """
     marked = durable(fingerprints(docs, id, text, shingle))
-    same = marked.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "n")
+    same = durable(marked.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n")))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    rooted = _rooted(marked, radius).select("fp", "root")
     of_fp = same.groupBy("fp").agg(F.min(first).alias("first"))  # combined before copies of a component meet
-    best = of_fp.join(_rooted(marked, radius), "fp").groupBy("root").agg(F.min("first").alias("best"))
-    id_, mark, n = free(docs, "_id", "_mark", "_n")
-    stay = durable(best.select(F.col("best.doc_id").alias(id_), F.col("best.mark").alias(mark), F.col("best.n").alias(n)))
+    best = of_fp.join(rooted, "fp").groupBy("root").agg(F.min("first").alias("best"))
+    best = durable(rooted.join(best, "root").select("fp", "best"))
+    id_, mark = free(docs, "_id", "_mark")
+    judged = same.join(best, "fp").withColumn("stays", F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.mark") == F.col("mark")))
+    judged = durable(judged.filter("n > 1 or not stays").select(F.col("doc_id").alias(id_), F.col("mark").alias(mark), "stays"))
     whole = F.col(text).cast("string")
     match = [F.col(id).cast("long").eqNullSafe(F.col(id_)), _mark(whole) == F.col(mark)]
-    once = docs.join(stay.filter(F.col(n) == 1), match, "left_semi")
-    again = docs.join(stay.filter(F.col(n) > 1), match, "left_semi")
+    # what goes is usually little, so that few texts travel
+    once = docs.join(judged.drop("stays"), match, "left_anti")
+    again = docs.join(judged.filter("stays").drop("stays"), match, "left_semi")
     again = again.withColumns({id_: F.col(id).cast("long"), mark: _mark(whole)}).dropDuplicates([id_, mark])
     return once.unionByName(again.drop(id_, mark))
