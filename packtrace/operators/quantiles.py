@@ -172,8 +172,8 @@ def by_column(
     """One row per column of a wide table: place, n, mean, std and exact interpolated quantiles.
 
     Starts no job, writes nothing and reads ``df`` twice. The first pass merges one quantile sketch
-    per column, whose cuts bracket each rank within 5 / accuracy of the rows; it is a scalar
-    subquery, which Spark runs once. The second counts values inside a bracket by value and all
+    per column, whose cuts bracket each rank within 5 / accuracy of the rows; it is one scalar
+    subquery, referred to once. The second counts values inside a bracket by value and all
     others by the stretch between brackets they fall into, so one running total proves each
     bracket and settles its rank. A rank outside its bracket is an error, never a wrong value.
     Columns of at most ``accuracy`` values are ranked whole. ``approx`` stops after the first pass.
@@ -186,37 +186,44 @@ def by_column(
     wanted = probs if approx else grid
 
     def facts(name: str) -> Column:
-        cuts = F.percentile_approx(name, wanted, accuracy)
-        return F.struct(F.count(name).alias("n"), F.avg(name).alias("mean"), F.stddev_samp(name).alias("std"), cuts.alias("cuts"))
+        moments = [F.avg(name).alias("mean"), F.stddev_samp(name).alias("std")] if approx else []
+        return F.struct(F.count(name).alias("n"), *moments, F.percentile_approx(name, wanted, accuracy).alias("cuts"))
 
     first = values.agg(F.array(*[facts(n) for n in names]).alias("_f"))
     if approx:
         return first.select(F.posexplode("_f").alias("place", "f")).select("place", "f.n", "f.mean", "f.std", F.col("f.cuts").alias("quantiles"))
 
+    def passed(i: int) -> dict[str, Column]:
+        """How many brackets begin at or below the value, how many end below it, and whether the column is ranked whole."""
+        v, cuts = F.col(names[i]), F.get("_f", F.lit(i))["cuts"]
+        return {
+            f"_whole{i}": F.get("_f", F.lit(i))["n"] <= accuracy,
+            f"_begun{i}": F.size(F.filter(cuts, lambda x, k: (k % 2 == 0) & (x <= v))),
+            f"_ended{i}": F.size(F.filter(cuts, lambda x, k: (k % 2 == 1) & (x < v)))}
+
     def placed(i: int) -> Column:
-        v, fact = F.col(names[i]), F.get("_f", F.lit(i))
-        ends = fact["cuts"]
-        passed = [(F.get(ends, F.lit(2 * j)) <= v).cast("int") for j in range(len(probs))]
-        left = [(F.get(ends, F.lit(2 * j + 1)) < v).cast("int") for j in range(len(probs))]
-        begun, ended = sum(passed[1:], passed[0]), sum(left[1:], left[0])
-        whole = fact["n"] <= accuracy
+        v, whole = F.col(names[i]), F.col(f"_whole{i}")
+        begun, ended = F.col(f"_begun{i}"), F.col(f"_ended{i}")
         slot = F.when(whole, 0).otherwise(begun + ended)  # grows with the value
-        inside = whole | (begun > ended)
-        return F.when(v.isNotNull(), F.struct(F.lit(i).alias("place"), slot.alias("slot"), F.when(inside, v).alias("v")))
+        return F.when(v.isNotNull(), F.struct(
+            F.lit(i).alias("place"), slot.alias("slot"), F.when(whole | (begun > ended), v).alias("v"), v.alias("x")))
 
     beside = values.withColumn("_f", first.scalar())
+    beside = beside.withColumns({name: c for i in places for name, c in passed(i).items()})
     picked = beside.select(F.explode(F.array_compact(F.array(*[placed(i) for i in places]))).alias("x")).select("x.*")
-    held = picked.groupBy("place", "slot", "v").agg(F.count(F.lit(1)).alias("k"))
-    order = Window.partitionBy("place").orderBy("slot", "v")
-    held = held.withColumn("upto", F.sum("k").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_f", first.scalar())
-    fact = F.get("_f", F.col("place"))
-    held = held.select("place", "slot", "v", "upto", fact["n"].alias("n"))
+    held = picked.groupBy("place", "slot", "v").agg(F.count(F.lit(1)).alias("k"), F.avg("x").alias("m"), F.var_pop("x").alias("q"))
+    place = Window.partitionBy("place")
+    upto = F.sum("k").over(place.orderBy("slot", "v").rowsBetween(Window.unboundedPreceding, 0))
+    held = held.withColumns({"upto": upto, "n": F.sum("k").over(place), "total": F.sum(F.col("k") * F.col("m")).over(place)})
+    mean = F.col("total") / F.col("n")
+    square = F.sum(F.col("k") * (F.col("q") + (F.col("m") - mean) * (F.col("m") - mean)))
     found = []
     for j, p in enumerate(probs):
         at = F.lit(p) * (F.col("n") - 1)
         for name, rank in (("a", F.floor(at)), ("b", F.least(F.floor(at) + 1, F.col("n") - 1))):
             found.append(F.min(F.when(F.col("upto") > rank, F.struct("slot", "v")))["v"].alias(f"{name}{j}"))
-    ranked = held.groupBy("place").agg(F.max("n").alias("n"), *found)
+    spread = F.when(F.max("n") > 1, F.sqrt(square / (F.max("n") - 1)))
+    ranked = held.groupBy("place").agg(F.max("n").alias("n"), F.max(mean).alias("mean"), spread.alias("std"), *found)
 
     def quantile(j: int, p: float) -> Column:
         at = F.lit(p) * (F.col("n") - 1)
@@ -225,8 +232,7 @@ def by_column(
         value = F.when(over == 0, a).otherwise(a + over * (b - a))
         return F.coalesce(value, F.raise_error(F.lit("a rank lies outside its bracket: raise the accuracy")).cast("double"))
 
-    settled = ranked.select("place", F.array(*[quantile(j, p) for j, p in enumerate(probs)]).alias("quantiles"))
-    spark = df.sparkSession
-    listed = spark.range(len(names), numPartitions=1).select(F.col("id").cast("int").alias("place")).withColumn("_f", first.scalar())
-    stats = listed.select("place", fact["n"].alias("n"), fact["mean"].alias("mean"), fact["std"].alias("std"))
-    return stats.join(F.broadcast(settled), "place", "left")  # one short row per column
+    settled = ranked.select("place", "n", "mean", "std", F.array(*[quantile(j, p) for j, p in enumerate(probs)]).alias("quantiles"))
+    listed = df.sparkSession.range(len(names), numPartitions=1).select(F.col("id").cast("int").alias("place"))
+    found = listed.join(F.broadcast(settled), "place", "left")  # one short row per column
+    return found.select("place", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "mean", "std", "quantiles")
