@@ -193,13 +193,17 @@ def by_column(
     if approx:
         return first.select(F.posexplode("_f").alias("place", "f")).select("place", "f.n", "f.mean", "f.std", F.col("f.cuts").alias("quantiles"))
 
+    # one row: where brackets begin and end, apart
+    ends = lambda side: lambda f: F.filter(f["cuts"], lambda x, k: k % 2 == side)
+    first = first.select(F.transform("_f", lambda f: F.struct(f["n"].alias("n"), ends(0)(f).alias("lo"), ends(1)(f).alias("hi"))).alias("_f"))
+
     def passed(i: int) -> dict[str, Column]:
         """How many brackets begin at or below the value, how many end below it, and whether the column is ranked whole."""
-        v, cuts = F.col(names[i]), F.get("_f", F.lit(i))["cuts"]
+        v, fact = F.col(names[i]), F.get("_f", F.lit(i))
         return {
-            f"_whole{i}": F.get("_f", F.lit(i))["n"] <= accuracy,
-            f"_begun{i}": F.size(F.filter(cuts, lambda x, k: (k % 2 == 0) & (x <= v))),
-            f"_ended{i}": F.size(F.filter(cuts, lambda x, k: (k % 2 == 1) & (x < v)))}
+            f"_whole{i}": fact["n"] <= accuracy,
+            f"_begun{i}": F.size(F.filter(fact["lo"], lambda x: x <= v)),
+            f"_ended{i}": F.size(F.filter(fact["hi"], lambda x: x < v))}
 
     def placed(i: int) -> Column:
         v, whole = F.col(names[i]), F.col(f"_whole{i}")
