@@ -100,3 +100,31 @@ def test_distinct_packets(spark, sf_dir):
     dense.coalesce(1).write.parquet(path)
     got = live.drain(live.distinct_packets(_stream(spark, path)), "p")
     assert same_rows(got.select("device", "t_us"), dense.select("device", "t_us").distinct())
+
+
+def _events(spark, ids: list[int]):
+    return spark.sql("select id as event_id, id % 3 as user_id, timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id % 1000) as ts, "
+                     "cast(id % 400 as double) as value, concat('k=', id % 90) as props, 'x' as event_type from {ids}",
+                     ids=spark.createDataFrame([(i,) for i in ids], "id bigint"))
+
+
+def test_live_queries_read_a_table_of_several_files(spark, tmp_path):
+    from packtrace.plans import catalog
+
+    for name, parts in (("file", 1), ("folder", 3)):
+        _events(spark, list(range(60))).repartition(parts).write.parquet(f"{tmp_path}/{name}/written")
+    (tmp_path / "folder" / "written").rename(tmp_path / "folder" / "events.parquet")
+    next((tmp_path / "file" / "written").glob("part-*.parquet")).rename(tmp_path / "file" / "events.parquet")
+    for query in ("live_distinct_packets", "live_window_counts"):
+        one, several = (catalog.QUERIES[query](spark, f"{tmp_path}/{name}") for name in ("file", "folder"))
+        assert not one.isEmpty() and same_rows(one, several)
+
+
+def test_arrivals_outside_the_thirds_stay(spark, tmp_path):
+    from packtrace.plans import catalog
+
+    prime = 1_000_003
+    last = -pow(7919, -1, prime) % prime  # the id whose arrival comes last
+    ids = [-5, 1, 2, 3, last, last + 4 * prime]
+    _events(spark, ids).write.parquet(f"{tmp_path}/events.parquet")
+    assert catalog.QUERIES["live_arrival_flags"](spark, str(tmp_path)).count() == len(ids)
