@@ -7,15 +7,17 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from packtrace.llm import bpe, langid, lm, queries, toxicity
-from packtrace.llm.common import remainder, words
+from packtrace.llm.common import remainder, slices, words
 
 ODD = [
     None, "", " \n\t", "ΣΑΣ ΣΟΦΟΣ Σ", "İstanbul ǅ x²³ ½ Ⅷ ٣٤", "a\x1cb\x1db\x85c\xa0d e​f", "étude É É",
@@ -146,6 +148,21 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_scores_hold_little_at_once():
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(400)) for _ in range(2000)]  # 4.8 MB
+    weight = np.random.default_rng(0).normal(size=toxicity.BUCKETS).astype(np.float32)
+    toxicity.scores(["warm up"], weight, 0.0)
+    batch, found = pa.record_batch({"text": pa.array(texts)}), []
+    tracemalloc.start()
+    for part in slices(iter([batch]), "text", toxicity._SLICE):
+        found.append(toxicity.scores(part.column("text").to_pylist(), weight, 0.0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+    assert np.concatenate(found)[[0, 999, 1999]].tolist() == [toxicity.scores([texts[i]], weight, 0.0)[0] for i in (0, 999, 1999)]
+
+
 # --- tokens -----------------------------------------------------------------------------
 
 
