@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from packtrace.llm.common import remainder, slices, words
+from packtrace.llm.common import remainder, slices
 from packtrace.session import durable
 
 DEPTH = 6  # bytes of context
@@ -43,12 +44,25 @@ _U = np.uint64
 # --- texts as bytes -----------------------------------------------------------------
 
 
-def _stream(token_lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def _words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another as UTF-8, with A to Z lower-cased, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    flat, ends = lists.flatten(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)]
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at either end leaves an empty word
+    before = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)]
+    return flat.filter(full).cast(pa.binary()), np.diff(before[ends])
+
+
+def _hashes(word: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, word.to_pylist()), _U, len(word))
+
+
+def _stream(word: pa.Array, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of DEPTH context bytes and the byte they precede, for all bytes; and bytes per text."""
-    pad = b"\0" * DEPTH
-    parts = [pad + b" ".join(t) + _END for t in token_lists]
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    a = np.frombuffer(b"".join(parts), np.uint8)
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(tokens)].astype(np.int32)), word)
+    texts = pc.binary_join_element_wise(b"\0" * DEPTH, pc.binary_join(lists, b" "), _END, b"")
+    size = pc.binary_length(texts).to_numpy().astype(np.int64)
+    a = np.frombuffer(texts.buffers()[2], np.uint8, int(size.sum()))
     two = a[:-1].astype(np.uint32) << np.uint32(8) | a[1:]
     four = two[:-2] << np.uint32(16) | two[2:]
     key = four[:-3].astype(_U) << _U(24) | (four[3:] & np.uint32(0xFFFFFF)).astype(_U)
@@ -92,6 +106,11 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return _mix((key >> _U(8)) & _U(0xFFFFFF)) % _U(buckets)
 
 
+def _by_bucket(where: np.ndarray, buckets: int) -> np.ndarray:
+    """Stable order of bucket numbers; numpy sorts short integers by radix."""
+    return np.argsort(where.astype(np.uint16) if buckets <= 1 << 16 else where, kind="stable")
+
+
 # --- gathering ------------------------------------------------------------------------
 
 
@@ -101,44 +120,38 @@ def _gather(buckets: int):
 
     def ship(kind: int, key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         where = _bucket(key, buckets) if kind == 0 else (key >> _U(40)) % _U(buckets)
-        order = np.argsort(where, kind="stable")
+        order = _by_bucket(where, buckets)
         key, n = key[order], n[order].astype(np.int32)
         cuts = np.searchsorted(where[order], np.arange(buckets + 1, dtype=_U))
-        for b in np.flatnonzero(np.diff(cuts)).tolist():
-            part = slice(cuts[b], cuts[b + 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind], pa.int32()), pa.array([b], pa.int32()), pa.array([_pack(key[part])]), pa.array([_pack(n[part])])],
-                schema=out)
+        full = np.flatnonzero(np.diff(cuts))
+        parts = [slice(cuts[b], cuts[b + 1]) for b in full.tolist()]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(full), kind, np.int32)), pa.array(full.astype(np.int32)),
+            pa.array([_pack(key[p]) for p in parts], pa.binary()), pa.array([_pack(n[p]) for p in parts], pa.binary())], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, n = np.zeros(0, _U), np.zeros(0, np.int64)
-        seen: dict[bytes, int] = {}
+        word, times = np.zeros(0, _U), np.zeros(0, np.int64)
         texts = total = 0
-
-        def ship_words():
-            h = np.fromiter(map(xxhash.xxh64_intdigest, seen), _U, len(seen))
-            return ship(1, *_counted(h, np.fromiter(seen.values(), np.int64, len(seen))))
-
         for batch in slices(batches, "text", _SLICE):
-            lists = [words(t) for t in batch.column("text").to_pylist()]
-            texts += len(lists)
-            fresh, m = _distinct(_stream(lists)[0])
+            flat, tokens = _words(batch.column("text"))
+            texts += len(tokens)
+            fresh, m = _distinct(_stream(flat, tokens)[0])
             key, n = _counted(np.r_[key, fresh], np.r_[n, m])
             total += int(m.sum())
             if len(key) > _PARTIAL or total > _MOST:
                 yield from ship(0, key, n)
                 key, n = np.zeros(0, _U), np.zeros(0, np.int64)
-            for tokens in lists:
-                for w in tokens:
-                    seen[w] = seen.get(w, 0) + 1
-            if len(seen) > _PARTIAL // 8 or total > _MOST:
-                yield from ship_words()
-                seen = {}
+            found = flat.value_counts()
+            word, times = _counted(np.r_[word, _hashes(found.field("values"))], np.r_[times, found.field("counts").to_numpy()])
+            if len(word) > _PARTIAL // 8 or total > _MOST:
+                yield from ship(1, word, times)
+                word, times = np.zeros(0, _U), np.zeros(0, np.int64)
             total = 0 if total > _MOST else total
         yield from ship(0, key, n)
-        if texts:
-            seen[b""] = texts  # the end token
-        yield from ship_words()
+        if texts:  # the end token
+            word, times = _counted(np.r_[word, _U(xxhash.xxh64_intdigest(b""))], np.r_[times, texts])
+        yield from ship(1, word, times)
 
     return run
 
@@ -525,9 +538,15 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, tree: Tree, id: str =
 
     def questions(slice_: int, gram: np.ndarray, where: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Rows with a bucket: the n-grams a slice asks of it."""
-        for part in np.split(np.arange(len(gram)), np.flatnonzero(np.diff(where)) + 1) if len(gram) else ():
-            values = {"slice": slice_, "bucket": int(where[part[0]]), "gram": _pack(gram[part]), "n": len(part)}
-            yield pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in out], schema=out)
+        if not len(gram):
+            return
+        cuts = np.r_[0, np.flatnonzero(np.diff(where)) + 1, len(gram)]
+        first, size = cuts[:-1], np.diff(cuts)
+        values = {
+            "slice": np.full(len(first), slice_), "bucket": where[first].astype(np.int32), "n": size,
+            "gram": [_pack(gram[a:b]) for a, b in zip(first.tolist(), cuts[1:].tolist(), strict=True)]}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[f.name], f.type) if f.name in values else pa.nulls(len(first), f.type) for f in out], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
@@ -535,8 +554,8 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, tree: Tree, id: str =
         end = np.searchsorted(m.word, _U(xxhash.xxh64_intdigest(b"")))
         ends = int(m.word_count[end]) if len(m.word) and end < len(m.word) and m.word[end] == xxhash.xxh64_intdigest(b"") else 0
         for batch in slices(batches, "text", _SCORED):
-            lists = [words(t) for t in batch.column("text").to_pylist()]
-            key, size = _stream(lists)
+            word, tokens = _words(batch.column("text"))
+            key, size = _stream(word, tokens)
             gram, _ = _distinct(key)
             cost, ask = m.known(gram)
             at = _per_position(key, gram, np.arange(len(gram), dtype=np.int32))
@@ -544,41 +563,39 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, tree: Tree, id: str =
             bits = np.add.reduceat(cost[at], np.cumsum(size) - size)  # no text is without an end byte
             wanted = gram[ask]
             where = _bucket(wanted, m.buckets)
-            order = np.argsort(where, kind="stable")
+            order = _by_bucket(where, m.buckets)
             place = np.zeros(len(gram), np.int64)  # of the n-grams asked for, by bucket
             place[np.flatnonzero(ask)[order]] = np.arange(len(order))
             some = np.flatnonzero(ask[at])
             doc = np.searchsorted(np.cumsum(size), some, side="right")
             pair, often = _distinct(doc.astype(_U) << _U(32) | place[at[some]].astype(_U))
-            ends_of = np.searchsorted(pair >> _U(32), np.arange(len(lists) + 1, dtype=_U))
+            ends_of = np.searchsorted(pair >> _U(32), np.arange(len(tokens) + 1, dtype=_U))
             which, often = (pair & _U(0xFFFFFFFF)).astype(np.int32), often.astype(np.int32)
             each = list(zip(ends_of[:-1].tolist(), ends_of[1:].tolist(), strict=True))
             wanted, where = wanted[order], where[order]
             yield from questions(row, wanted, where)
             del gram, at, some, doc, pair, place
-            place: dict[bytes, int] = {}
-            tokens = np.array([len(t) for t in lists])
-            number = np.fromiter((place.setdefault(w, len(place)) for t in lists for w in t), np.int64, int(tokens.sum()))
-            h = np.fromiter(map(xxhash.xxh64_intdigest, place), _U, len(place))
-            count = np.zeros(len(place), np.int64)
+            coded = word.dictionary_encode()
+            number, h = coded.indices.to_numpy(), _hashes(coded.dictionary)
+            count = np.zeros(len(h), np.int64)
             if len(m.word) and len(h):
                 at = np.minimum(np.searchsorted(m.word, h), len(m.word) - 1)
                 count = np.where(m.word[at] == h, m.word_count[at], 0)
-            doc = np.repeat(np.arange(len(lists)), tokens)
-            logs = np.bincount(doc, np.log10(count + 1)[number], len(lists)) + np.log10(ends + 1)
-            known = np.bincount(doc, (count > 0)[number], len(lists)).astype(np.int64) + (ends > 0)
+            doc = np.repeat(np.arange(len(tokens)), tokens)
+            logs = np.bincount(doc, np.log10(count + 1)[number], len(tokens)) + np.log10(ends + 1)
+            known = np.bincount(doc, (count > 0)[number], len(tokens)).astype(np.int64) + (ends > 0)
             other = count[number] == 0
             pair, times = _distinct(doc[other].astype(_U) << _U(32) | number[other].astype(_U))
-            cuts = np.searchsorted(pair >> _U(32), np.arange(len(lists) + 1, dtype=_U)).astype(np.int32)
+            cuts = np.searchsorted(pair >> _U(32), np.arange(len(tokens) + 1, dtype=_U)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(row, row + len(lists))), batch.column("doc_id"), pa.array(tokens + 1), pa.array(known), pa.array(logs),
+                pa.array(np.arange(row, row + len(tokens))), batch.column("doc_id"), pa.array(tokens + 1), pa.array(known), pa.array(logs),
                 pa.array(bits), pa.array(size),
                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[(pair & _U(0xFFFFFFFF)).astype(np.int64)].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)), pa.array(np.full(len(lists), row)),
+                pa.ListArray.from_arrays(pa.array(cuts), pa.array(times)), pa.array(np.full(len(tokens), row)),
                 pa.array([_pack(which[a:b]) if a < b else None for a, b in each], pa.binary()),
                 pa.array([_pack(often[a:b]) if a < b else None for a, b in each], pa.binary()),
-                *(pa.nulls(len(lists), f.type) for f in list(out)[-3:])], schema=out)
-            row += len(lists)
+                *(pa.nulls(len(tokens), f.type) for f in list(out)[-3:])], schema=out)
+            row += len(tokens)
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     kinds = "row long, doc_id long, n_tokens long, n_known long, logs double, bits double, n_bytes long, rare array<long>, times array<long>, \

@@ -320,3 +320,33 @@ def test_toxicity_scores_equal_a_plain_sum(spark, sf_dir):
         mean = float(sum(float(weight[b]) for b in bucket.tolist())) / max(1, len(bucket))
         want = 1 / (1 + math.exp(-(mean + bias)))
         assert found[r.doc_id].score == pytest.approx(want, abs=1e-5) and found[r.doc_id].predicted == int(found[r.doc_id].score >= 0.5)
+
+
+def test_words_and_bytes_of_odd_texts():
+    texts = [*ODD, " \x0b\x0ca\rB\tC \n", "\u2003x\u2003", "\x1c \x1f"]
+    word, tokens = lm._words(pa.array(texts))
+    lists = [words(t) for t in texts]
+    assert word.to_pylist() == [w for x in lists for w in x] and tokens.tolist() == [len(x) for x in lists]
+    key, size = lm._stream(word, tokens)
+    pairs = [x for t in texts for x in stream(t)]
+    assert key.tolist() == [int.from_bytes(c) << 8 | b for c, b in pairs] and size.tolist() == [len(stream(t)) for t in texts]
+
+
+def test_gathered_counts_travel_in_one_batch_a_kind():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(300))) for _ in range(40)] + [None, ""]
+    found = list(lm._gather(512)(iter([pa.record_batch({"text": pa.array(texts)})])))
+    assert len(found) == 2  # n-grams and words, each with a row per bucket
+    rows = [r for b in found for r in b.to_pylist()]
+    n = {k: {} for k in (0, 1)}
+    for r in rows:
+        n[r["kind"]] |= dict(zip(lm._unpack(r["key"], np.uint64).tolist(), lm._unpack(r["n"], np.int32).tolist(), strict=True))
+    count: dict[int, int] = {}
+    for c, b in (x for t in texts for x in stream(t)):
+        count[int.from_bytes(c) << 8 | b] = count.get(int.from_bytes(c) << 8 | b, 0) + 1
+    assert n[0] == count
+    seen: dict[int, int] = {}
+    for w in [w for t in texts for w in [*words(t), b""]]:
+        h = lm.xxhash.xxh64_intdigest(w)
+        seen[h] = seen.get(h, 0) + 1
+    assert n[1] == seen
